@@ -97,7 +97,8 @@ def segment_by_rank(
     if not group_cols:
         df = df.withColumn("_all", F.lit(0))
         cuts = cuts.withColumn("_all", F.lit(0))
-    cuts = cuts.select(*g, F.col("k").cast("long").alias("k"))
+    # equal cut ranks collapse to one target with a multiplicity
+    cuts = cuts.select(*g, F.col("k").cast("long").alias("k")).groupBy(*g, "k").agg(F.count(F.lit(1)).alias("_mult"))
     narrow = df.select(*g, F.col(key_col).alias("_ck"), F.col(id_col).alias("_cid"))
 
     sizes = narrow.groupBy(*g).agg(F.count(F.lit(1)).alias("_n")).cache()
@@ -114,7 +115,7 @@ def segment_by_rank(
     targets = (
         hist.join(F.broadcast(cuts), g, "inner")
         .where((F.col("_start") < F.col("k")) & (F.col("k") <= F.col("_end")))
-        .select(*g, "_b", "k", (F.col("k") - F.col("_start")).alias("_kr"))
+        .select(*g, "_b", "k", "_mult", (F.col("k") - F.col("_start")).alias("_kr"))
         .cache()
     )
     n_targets = targets.count()
@@ -126,10 +127,10 @@ def segment_by_rank(
         bucketed.join(t_side, g + ["_b"], "inner")
         .withColumn("_r", F.row_number().over(in_bucket))
         .where(F.col("_r") == F.col("_kr"))
-        .select(*g, F.struct(F.col("_ck").alias("k"), F.col("_cid").alias("i")).alias("_cut"))
+        .select(*g, F.struct(F.struct(F.col("_ck").alias("k"), F.col("_cid").alias("i")).alias("v"), F.col("_mult").alias("m")).alias("_cut"))
     )
     # cuts at rank <= 0 are exceeded by every row; cuts past the group size by none
-    below = cuts.where(F.col("k") <= 0).groupBy(*g).agg(F.count(F.lit(1)).alias("_below"))
+    below = cuts.where(F.col("k") <= 0).groupBy(*g).agg(F.sum("_mult").alias("_below"))
     per_group = (
         picked.groupBy(*g)
         .agg(F.collect_list("_cut").alias("_cuts"))
@@ -143,14 +144,18 @@ def segment_by_rank(
         row = per_group.first()
         cut_list = (row["_cuts"] or []) if row else []
         n_below = (row["_below"] or 0) if row else 0
-        lits = [F.struct(F.lit(c["k"]).alias("k"), F.lit(c["i"]).cast(df.schema[id_col].dataType).alias("i")) for c in cut_list]
-        passed = F.lit(n_below) + F.size(F.filter(F.array(*lits), lambda c: me > c)) if lits else F.lit(n_below)
+        passed = F.lit(n_below)
+        for c in cut_list:
+            v = F.struct(F.lit(c["v"]["k"]).alias("k"), F.lit(c["v"]["i"]).cast(df.schema[id_col].dataType).alias("i"))
+            passed = passed + F.when(me > v, F.lit(c["m"])).otherwise(F.lit(0))
         out = df.withColumn(seg_col, passed.cast("int")).drop("_all")
     else:
         small = F.broadcast(per_group) if n_groups <= BROADCAST_ROW_LIMIT else per_group
-        passed = F.coalesce(F.col("_below"), F.lit(0)) + F.coalesce(
-            F.size(F.filter(F.col("_cuts"), lambda c: me > c)), F.lit(0)
+        exceeded = F.aggregate(
+            F.coalesce(F.col("_cuts"), F.array()), F.lit(0).cast("long"),
+            lambda acc, c: acc + F.when(me > c["v"], c["m"]).otherwise(F.lit(0)),
         )
+        passed = F.coalesce(F.col("_below"), F.lit(0)) + exceeded
         out = df.join(small, g, "left").withColumn(seg_col, passed.cast("int")).drop("_cuts", "_below")
     sizes.unpersist()
     return out

@@ -201,3 +201,261 @@ def q_label_vocab_multi(spark, sf_dir):
 @query("label_ids")
 def q_label_ids(spark, sf_dir):
     return V.dense_ids(read_parquet_table(spark, sf_dir, "documents").select(F.col("lang").alias("label")))
+
+
+# ------------------------------------------------------------------ ranks, batches, splits
+
+from ..functions import arrays as AR  # noqa: E402
+from ..operators import metrics as M  # noqa: E402
+from ..operators import rank as R  # noqa: E402
+from ..operators import split as X  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+
+SEED = 42
+
+
+def _docs_ids(spark, sf_dir) -> DataFrame:
+    return read_parquet_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), "lang")
+
+
+@query("exact_rank")
+def q_exact_rank(spark, sf_dir):
+    d = _docs_ids(spark, sf_dir).withColumn("_k", R.hash_order_key(SEED, "row_id"))
+    return R.exact_rank(d, ["_k", "row_id"], "rank").select("row_id", "rank")
+
+
+def _epoch_order(spark, sf_dir, epoch: int) -> DataFrame:
+    d = _docs_ids(spark, sf_dir).withColumn("epoch", F.lit(epoch))
+    return d.withColumn("shuffle_key", R.hash_order_key(SEED, "epoch", "row_id"))
+
+
+@query("epoch_shuffle")
+def q_epoch_shuffle(spark, sf_dir):
+    d = _epoch_order(spark, sf_dir, 1)
+    return R.exact_rank(d, ["shuffle_key", "row_id"], "position").select("row_id", "epoch", "shuffle_key", "position")
+
+
+def assign_batches(df: DataFrame, order_cols, batch_size: int) -> DataFrame:
+    ranked = R.exact_rank(df, order_cols, "_pos")
+    return ranked.withColumns({
+        "batch_id": F.floor((F.col("_pos") - 1) / batch_size).cast("long"),
+        "pos_in_batch": ((F.col("_pos") - 1) % batch_size).cast("int"),
+    }).drop("_pos")
+
+
+@query("assign_batches")
+def q_assign_batches(spark, sf_dir):
+    d = _epoch_order(spark, sf_dir, 1)
+    return assign_batches(d, ["shuffle_key", "row_id"], 16).select("row_id", "batch_id", "pos_in_batch")
+
+
+@query("split_random")
+def q_split_random(spark, sf_dir):
+    df, _ = P.clean_short(FX.fx_meta(spark, sf_dir))
+    return X.split_random(df, "row_id", 0.1, 0.1, SEED).select("row_id", "split")
+
+
+@query("split_holdout")
+def q_split_holdout(spark, sf_dir):
+    return X.split_holdout(_docs_ids(spark, sf_dir), "row_id", 0.2, SEED).select("row_id", "split")
+
+
+@query("split_fraction")
+def q_split_fraction(spark, sf_dir):
+    lab = read_parquet_table(spark, sf_dir, "labels").select(F.col("doc_id").alias("row_id"))
+    return X.split_fraction(lab, "row_id", 0.8, 0.1, SEED).select("row_id", "split")
+
+
+@query("split_positional")
+def q_split_positional(spark, sf_dir):
+    pages = read_parquet_table(spark, sf_dir, "pages").select(F.col("page_id").alias("row_id"))
+    return X.split_positional(pages, "row_id", 0.8).select("row_id", "split")
+
+
+@query("split_stratified")
+def q_split_stratified(spark, sf_dir):
+    return X.split_stratified(_docs_ids(spark, sf_dir), "lang", "row_id", SEED).select("row_id", "lang", "split")
+
+
+# ------------------------------------------------------------------ multi-hot, short preparation, metadata
+
+
+def _prepared_short(spark, sf_dir) -> P.Prepared:
+    return P.prepare_short(FX.fx_meta(spark, sf_dir))
+
+
+@query("multi_hot")
+def q_multi_hot(spark, sf_dir):
+    df, label_col = P.clean_short(FX.fx_meta(spark, sf_dir))
+    df = df.withColumn("labels", T.parse_labels(label_col))
+    classes = V.vocab_list(V.label_vocab_multi(df, label_col))
+    y = AR.multi_hot("labels", classes)
+    return df.select("row_id", F.array_join(y.cast("array<int>"), "|").alias("y"),
+                     F.aggregate(y, F.lit(0.0), lambda a, v: a + v).cast("int").alias("n_hot"))
+
+
+@query("prepare_short")
+def q_prepare_short(spark, sf_dir):
+    p = _prepared_short(spark, sf_dir)
+    return p.data.select("row_id", "split", F.array_join(F.col("y").cast("array<int>"), "|").alias("y"))
+
+
+def _metadata_row(meta: DataFrame) -> DataFrame:
+    return meta.select(
+        F.array_join("labels", "|").alias("labels"),
+        "num_labels", "label_col", "text_col",
+        F.array_join(F.transform(F.map_entries("lab2id"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), "|").alias("lab2id"),
+        F.array_join(F.transform(F.map_entries("id2lab"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), "|").alias("id2lab"),
+    )
+
+
+@query("label_metadata")
+def q_label_metadata(spark, sf_dir):
+    df, label_col = P.clean_short(FX.fx_meta(spark, sf_dir))
+    return _metadata_row(V.label_metadata(V.label_vocab_multi(df, label_col), label_col, "scene"))
+
+
+@query("load_label_metadata")
+def q_load_label_metadata(spark, sf_dir):
+    df, label_col = P.clean_short(FX.fx_meta(spark, sf_dir))
+    path = scratch_path(spark, "labels")
+    S.write_label_metadata(V.label_metadata(V.label_vocab_multi(df, label_col), label_col, "scene"), path)
+    return V.metadata_to_vocab(S.load_label_metadata(spark, path))
+
+
+# ------------------------------------------------------------------ scores and losses
+
+
+def _r(c, n: int = 6):
+    return F.round(c.cast("double") if not isinstance(c, str) else F.col(c).cast("double"), n)
+
+
+@query("sigmoid_threshold")
+def q_sigmoid_threshold(spark, sf_dir):
+    lg = FX.fx_logits(spark, sf_dir)
+    p = AR.sigmoid("z")
+    return lg.select("vec_id", F.array_join(AR.threshold(p, 0.5), "|").alias("pred"), _r(p[0]).alias("p0"))
+
+
+@query("softmax_argmax")
+def q_softmax_argmax(spark, sf_dir):
+    lg = FX.fx_logits(spark, sf_dir)
+    return lg.select("vec_id", AR.argmax("z").alias("pred"), _r(F.array_max(AR.softmax("z"))).alias("p_max"))
+
+
+@query("bce_loss")
+def q_bce_loss(spark, sf_dir):
+    lg = FX.fx_logits(spark, sf_dir)
+    return lg.select("vec_id", _r(AR.bce_with_logits("z", F.col("y_multi").cast("array<double>"))).alias("loss"))
+
+
+@query("ce_loss")
+def q_ce_loss(spark, sf_dir):
+    lg = FX.fx_logits(spark, sf_dir)
+    return lg.select("vec_id", _r(AR.cross_entropy("z", "y")).alias("loss"))
+
+
+@query("mean_loss")
+def q_mean_loss(spark, sf_dir):
+    lg = FX.fx_logits(spark, sf_dir).select(AR.cross_entropy("z", "y").alias("row_loss"))
+    return A.mean_loss(lg, "row_loss").select(_r("loss").alias("loss"))
+
+
+# ------------------------------------------------------------------ metrics
+
+
+def _single_pairs(spark, sf_dir) -> DataFrame:
+    return FX.fx_logits(spark, sf_dir).select(F.col("y").alias("y_true"), AR.argmax("z").alias("y_pred"))
+
+
+def _multi_pairs(spark, sf_dir) -> DataFrame:
+    lg = FX.fx_logits(spark, sf_dir)
+    return lg.select(F.col("y_multi").alias("y_true"), AR.threshold(AR.sigmoid("z"), 0.5).alias("y_pred"))
+
+
+def _round_all(df: DataFrame, keep=()) -> DataFrame:
+    return df.select(*[F.col(c) if c in keep or not str(df.schema[c].dataType).startswith("Double") else _r(c).alias(c) for c in df.columns])
+
+
+@query("confusion_matrix")
+def q_confusion_matrix(spark, sf_dir):
+    return M.confusion_matrix(_single_pairs(spark, sf_dir), "y_true", "y_pred")
+
+
+@query("per_label_counts")
+def q_per_label_counts(spark, sf_dir):
+    return M.per_label_counts(_multi_pairs(spark, sf_dir), "y_true", "y_pred")
+
+
+@query("single_metrics")
+def q_single_metrics(spark, sf_dir):
+    return _round_all(M.classification_metrics(_single_pairs(spark, sf_dir), "y_true", "y_pred"))
+
+
+@query("multilabel_metrics")
+def q_multilabel_metrics(spark, sf_dir):
+    lg = FX.fx_logits(spark, sf_dir).select("y_multi", AR.sigmoid("z").alias("prob"))
+    return _round_all(M.multilabel_metrics(lg, "y_multi", "prob", 0.5))
+
+
+def _resp_pairs(spark, sf_dir) -> DataFrame:
+    r = FX.fx_resp(spark, sf_dir)
+    return r.select("vec_id", F.col("gold"), T.clean_response("resp").alias("pred"))
+
+
+@query("clean_response")
+def q_clean_response(spark, sf_dir):
+    return _resp_pairs(spark, sf_dir).select("vec_id", F.col("pred").alias("resp"))
+
+
+@query("sft_single_report")
+def q_sft_single_report(spark, sf_dir):
+    cm = M.confusion_matrix(_resp_pairs(spark, sf_dir), "gold", "pred")
+    return _round_all(M.single_label_summary(cm))
+
+
+@query("classification_report")
+def q_classification_report(spark, sf_dir):
+    return _round_all(M.classification_report(_resp_pairs(spark, sf_dir), "gold", "pred"))
+
+
+def _multi_resp(spark, sf_dir) -> DataFrame:
+    r = FX.fx_resp_multi(spark, sf_dir)
+    return r.select("vec_id", T.split_predicted_labels("gold").alias("gold_labels"), T.split_predicted_labels("resp").alias("pred_labels"))
+
+
+@query("split_predicted_labels")
+def q_split_predicted_labels(spark, sf_dir):
+    m = _multi_resp(spark, sf_dir)
+    return m.select("vec_id", F.array_join("gold_labels", "|").alias("gold"), F.array_join("pred_labels", "|").alias("resp"),
+                    F.size("pred_labels").alias("n_resp"))
+
+
+@query("binarize_fixed")
+def q_binarize_fixed(spark, sf_dir):
+    m = _multi_resp(spark, sf_dir)
+    yg = AR.multi_hot("gold_labels", FX.FX_MULTI_CLASSES).cast("array<int>")
+    yp = AR.multi_hot("pred_labels", FX.FX_MULTI_CLASSES).cast("array<int>")
+    return m.select("vec_id", F.array_join(yg, "|").alias("y_gold"), F.array_join(yp, "|").alias("y_resp"))
+
+
+@query("sft_multi_report")
+def q_sft_multi_report(spark, sf_dir):
+    summary, _ = M.fixed_class_report(_multi_resp(spark, sf_dir), "gold_labels", "pred_labels", FX.FX_MULTI_CLASSES)
+    return _round_all(summary)
+
+
+@query("per_label_report")
+def q_per_label_report(spark, sf_dir):
+    _, per_label = M.fixed_class_report(_multi_resp(spark, sf_dir), "gold_labels", "pred_labels", FX.FX_MULTI_CLASSES)
+    return _round_all(per_label)
+
+
+@query("best_epoch")
+def q_best_epoch(spark, sf_dir):
+    return M.best_epoch(FX.fx_epochs(spark, sf_dir), "macro_f1")
+
+
+@query("improved_epochs")
+def q_improved_epochs(spark, sf_dir):
+    return M.improved_epochs(FX.fx_epochs(spark, sf_dir), "macro_f1")

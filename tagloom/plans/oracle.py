@@ -132,3 +132,182 @@ SQL["decode_label_id"] = """SELECT e.vec_id, e.label AS label_id, v.label FROM e
   ON e.label = v.id"""
 SQL["pair_text_label"] = ("SELECT d.doc_id AS row_id, d.text, l.quality, l.toxic FROM documents d "
                           "JOIN labels l ON d.doc_id = l.doc_id")
+
+
+# ------------------------------------------------------------------ ranks, batches, splits
+
+
+def okey(*cols: str, seed: int = 42) -> str:
+    parts = ", ".join([f"'{seed}'"] + [f"CAST({c} AS VARCHAR)" for c in cols])
+    return f"md5(concat_ws(':', {parts}))"
+
+
+SQL["exact_rank"] = f"SELECT doc_id AS row_id, row_number() OVER (ORDER BY {okey('doc_id')}, doc_id) AS rank FROM documents"
+SQL["epoch_shuffle"] = (f"SELECT doc_id AS row_id, 1 AS epoch, {okey('1', 'doc_id')} AS shuffle_key, "
+                        f"row_number() OVER (ORDER BY {okey('1', 'doc_id')}, doc_id) AS position FROM documents")
+SQL["assign_batches"] = (f"SELECT row_id, CAST(floor((position - 1) / 16) AS BIGINT) AS batch_id, CAST((position - 1) % 16 AS INTEGER) AS pos_in_batch "
+                         f"FROM (SELECT doc_id AS row_id, row_number() OVER (ORDER BY {okey('1', 'doc_id')}, doc_id) AS position FROM documents)")
+
+
+def random_split_sql(source: str, test: float, val: float) -> str:
+    """``source`` yields ``row_id``; test = ceil(test n), val = ceil(val (n - test)), hash order."""
+    return f"""ranked AS (SELECT row_id, row_number() OVER (ORDER BY {okey('row_id')}, row_id) AS r, count(*) OVER () AS n FROM ({source})),
+sized AS (SELECT row_id, r, ceil(CAST({test} AS DOUBLE) * n) AS n_test, n FROM ranked),
+sized2 AS (SELECT row_id, r, n_test, ceil(CAST({val} AS DOUBLE) * (n - n_test)) AS n_val FROM sized)
+SELECT row_id, CASE WHEN r <= n_test THEN 'test' WHEN r <= n_test + n_val THEN 'val' ELSE 'train' END AS split FROM sized2"""
+
+
+SQL["split_random"] = with_(FX_META, CLEAN_SHORT, random_split_sql("SELECT row_id FROM clean_short", 0.1, 0.1))
+SQL["split_holdout"] = with_(random_split_sql("SELECT doc_id AS row_id FROM documents", 0.2, 0.0))
+SQL["split_fraction"] = f"""WITH ranked AS (SELECT doc_id AS row_id, row_number() OVER (ORDER BY {okey('doc_id')}, doc_id) AS r, count(*) OVER () AS n FROM labels),
+sized AS (SELECT *, floor(CAST(0.8 AS DOUBLE) * n) AS n_train, floor(CAST(0.1 AS DOUBLE) * n) AS n_test FROM ranked)
+SELECT row_id, CASE WHEN r <= n_train THEN 'train' WHEN r <= n_train + n_test THEN 'test' ELSE 'val' END AS split FROM sized"""
+SQL["split_positional"] = """WITH ranked AS (SELECT page_id AS row_id, row_number() OVER (ORDER BY page_id) AS r, count(*) OVER () AS n FROM pages)
+SELECT row_id, CASE WHEN r <= floor(CAST(0.8 AS DOUBLE) * n) THEN 'train' ELSE 'test' END AS split FROM ranked"""
+
+
+def quota_sql(name: str, src: str, n_col: str, draws: str, out: str) -> str:
+    """scikit-learn's approximate mode with ties broken by label (``src`` has label, n_col)."""
+    return f"""{name}_a AS (SELECT *, ({n_col} / sum({n_col}) OVER ()) * ({draws}) AS _cont FROM {src}),
+{name}_b AS (SELECT *, floor(_cont) AS _fl FROM {name}_a),
+{name}_c AS (SELECT *, ({draws}) - sum(_fl) OVER () AS _need, row_number() OVER (ORDER BY _cont - _fl DESC, label) AS _ord FROM {name}_b),
+{name} AS (SELECT * EXCLUDE (_cont, _fl, _need, _ord), CAST(_fl + CASE WHEN _ord <= _need THEN 1 ELSE 0 END AS BIGINT) AS {out} FROM {name}_c)"""
+
+
+SQL["split_stratified"] = with_(
+    "cls AS (SELECT lang AS label, count(*) AS n FROM documents GROUP BY lang)",
+    "tot AS (SELECT sum(n) AS total, ceil(CAST(0.3 AS DOUBLE) * sum(n)) AS n_tmp FROM cls)",
+    "c1 AS (SELECT cls.*, tot.total - tot.n_tmp AS d1 FROM cls, tot)",
+    quota_sql("q1", "c1", "n", "d1", "n_train"),
+    "c2 AS (SELECT label, n, n_train, n - n_train AS n_rest FROM q1)",
+    "tot2 AS (SELECT sum(n_rest) - ceil(CAST(0.5 AS DOUBLE) * sum(n_rest)) AS d2 FROM c2)",
+    "c3 AS (SELECT c2.*, tot2.d2 FROM c2, tot2)",
+    quota_sql("q2", "c3", "n_rest", "d2", "n_val"),
+    f"ranked AS (SELECT doc_id AS row_id, lang, row_number() OVER (PARTITION BY lang ORDER BY {okey('doc_id')}, doc_id) AS r FROM documents)",
+) + """SELECT r.row_id, r.lang, CASE WHEN r.r <= q.n_train THEN 'train' WHEN r.r <= q.n_train + q.n_val THEN 'val' ELSE 'test' END AS split
+FROM ranked r JOIN q2 q ON r.lang = q.label"""
+
+# ------------------------------------------------------------------ multi-hot, short preparation, metadata
+
+VOCAB_MULTI = f"""vocab AS (SELECT label, CAST(row_number() OVER (ORDER BY label) - 1 AS INTEGER) AS id
+  FROM (SELECT DISTINCT unnest({parse_labels('tags')}) AS label FROM clean_short)),
+vlist AS (SELECT list(label ORDER BY id) AS classes FROM vocab),
+hot AS (SELECT c.row_id, list_transform(v.classes, lambda l: CASE WHEN list_contains({parse_labels('c.tags')}, l) THEN 1 ELSE 0 END) AS y
+  FROM clean_short c, vlist v)"""
+
+SQL["multi_hot"] = with_(FX_META, CLEAN_SHORT, VOCAB_MULTI) + (
+    "SELECT row_id, array_to_string(y, '|') AS y, CAST(list_sum(y) AS INTEGER) AS n_hot FROM hot")
+_split_cte = f"""ranked AS (SELECT row_id, row_number() OVER (ORDER BY {okey('row_id')}, row_id) AS r, count(*) OVER () AS n FROM clean_short),
+sized AS (SELECT row_id, r, ceil(CAST(0.1 AS DOUBLE) * n) AS n_test, n FROM ranked),
+sized2 AS (SELECT row_id, r, n_test, ceil(CAST(0.1 AS DOUBLE) * (n - n_test)) AS n_val FROM sized),
+splits AS (SELECT row_id, CASE WHEN r <= n_test THEN 'test' WHEN r <= n_test + n_val THEN 'val' ELSE 'train' END AS split FROM sized2)"""
+SQL["prepare_short"] = with_(FX_META, CLEAN_SHORT, VOCAB_MULTI, _split_cte) + (
+    "SELECT h.row_id, s.split, array_to_string(h.y, '|') AS y FROM hot h JOIN splits s ON h.row_id = s.row_id")
+SQL["label_metadata"] = with_(FX_META, CLEAN_SHORT, VOCAB_MULTI.split(",\nvlist")[0]) + """SELECT
+  string_agg(label, '|' ORDER BY id) AS labels, CAST(count(*) AS INTEGER) AS num_labels, 'tags' AS label_col, 'scene' AS text_col,
+  string_agg(label || '=' || CAST(id AS VARCHAR), '|' ORDER BY id) AS lab2id,
+  string_agg(CAST(id AS VARCHAR) || '=' || label, '|' ORDER BY id) AS id2lab FROM vocab"""
+SQL["load_label_metadata"] = SQL["label_vocab_multi"]
+
+# ------------------------------------------------------------------ scores and losses
+
+SIG = "list_transform(z, lambda x: 1.0 / (1.0 + exp(-x)))"
+SQL["sigmoid_threshold"] = with_(FX_LOGITS) + (
+    f"SELECT vec_id, array_to_string(list_transform({SIG}, lambda p: CAST(p >= 0.5 AS INTEGER)), '|') AS pred, "
+    f"round({SIG}[1], 6) AS p0 FROM fx_logits_m")
+SQL["softmax_argmax"] = with_(FX_LOGITS) + (
+    "SELECT vec_id, CAST(list_position(z, list_max(z)) - 1 AS INTEGER) AS pred, "
+    "round(1.0 / list_sum(list_transform(z, lambda x: exp(x - list_max(z)))), 6) AS p_max FROM fx_logits")
+SQL["bce_loss"] = with_(FX_LOGITS) + (
+    "SELECT vec_id, round(list_sum(list_transform(list_zip(z, y_multi), lambda t: greatest(t[1], 0.0) - t[1] * t[2] + ln(1 + exp(-abs(t[1]))))) / len(z), 6) AS loss "
+    "FROM fx_logits_m")
+CE = "(ln(list_sum(list_transform(z, lambda x: exp(x - list_max(z))))) + list_max(z) - z[y + 1])"
+SQL["ce_loss"] = with_(FX_LOGITS) + f"SELECT vec_id, round({CE}, 6) AS loss FROM fx_logits"
+SQL["mean_loss"] = with_(FX_LOGITS) + f"SELECT round(coalesce(avg({CE}), 0.0), 6) AS loss FROM fx_logits"
+
+# ------------------------------------------------------------------ metrics
+
+
+def single_cls_sql(pairs: str) -> str:
+    """CTEs cm / cls / sc over ``pairs(y_true, y_pred)``."""
+    return f"""cm AS (SELECT y_true, y_pred, count(*) AS n FROM ({pairs}) GROUP BY y_true, y_pred),
+tr AS (SELECT y_true AS label, sum(n) AS support, sum(CASE WHEN y_true = y_pred THEN n ELSE 0 END) AS tp FROM cm GROUP BY y_true),
+pr AS (SELECT y_pred AS label, sum(n) AS predicted FROM cm GROUP BY y_pred),
+cls AS (SELECT coalesce(tr.label, pr.label) AS label, coalesce(tp, 0) AS tp, coalesce(predicted, 0) - coalesce(tp, 0) AS fp,
+  coalesce(support, 0) - coalesce(tp, 0) AS fn, coalesce(support, 0) AS support FROM tr FULL OUTER JOIN pr ON tr.label = pr.label),
+sc AS (SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS precision,
+  CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS recall,
+  CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0.0 END AS f1 FROM cls)"""
+
+
+def ratio(a: str, b: str) -> str:
+    return f"CASE WHEN ({b}) > 0 THEN ({a}) / ({b}) ELSE 0.0 END"
+
+
+SUMMARY_COLS = f"""round({ratio('sum(tp)', 'sum(support)')}, 6) AS accuracy,
+  round(avg(precision), 6) AS macro_precision, round(avg(recall), 6) AS macro_recall, round(avg(f1), 6) AS macro_f1,
+  round({ratio('sum(tp)', 'sum(tp) + sum(fp)')}, 6) AS micro_precision, round({ratio('sum(tp)', 'sum(tp) + sum(fn)')}, 6) AS micro_recall,
+  round({ratio('2 * sum(tp)', '2 * sum(tp) + sum(fp) + sum(fn)')}, 6) AS micro_f1,
+  round({ratio('sum(precision * support)', 'sum(support)')}, 6) AS weighted_precision,
+  round({ratio('sum(recall * support)', 'sum(support)')}, 6) AS weighted_recall,
+  round({ratio('sum(f1 * support)', 'sum(support)')}, 6) AS weighted_f1, CAST(sum(support) AS BIGINT) AS n"""
+
+SINGLE_PAIRS = "SELECT y AS y_true, CAST(list_position(z, list_max(z)) - 1 AS INTEGER) AS y_pred FROM fx_logits"
+MULTI_PAIRS = f"SELECT y_multi AS y_true, list_transform({SIG}, lambda p: CAST(p >= 0.5 AS INTEGER)) AS y_pred FROM fx_logits_m"
+RESP_PAIRS = "SELECT vec_id, gold, replace(resp, chr(10), '') AS pred FROM fx_resp"
+
+SQL["confusion_matrix"] = with_(FX_LOGITS) + f"SELECT y_true, y_pred, count(*) AS n FROM ({SINGLE_PAIRS}) GROUP BY y_true, y_pred"
+
+
+def per_label_sql(pairs: str) -> str:
+    return f"""z AS (SELECT unnest(range(len(y_true))) AS pos, unnest(y_true) AS t, unnest(y_pred) AS p FROM ({pairs})),
+plc AS (SELECT CAST(pos AS INTEGER) AS pos, sum(t * p) AS tp, sum((1 - t) * p) AS fp, sum(t * (1 - p)) AS fn, sum(t) AS support FROM z GROUP BY pos),
+pls AS (SELECT *, {ratio('tp', 'tp + fp')} AS precision, {ratio('tp', 'tp + fn')} AS recall, {ratio('2 * tp', '2 * tp + fp + fn')} AS f1 FROM plc)"""
+
+
+SQL["per_label_counts"] = with_(FX_LOGITS, per_label_sql(MULTI_PAIRS)) + (
+    "SELECT pos, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn, CAST(support AS BIGINT) AS support FROM plc")
+SQL["single_metrics"] = with_(FX_LOGITS, single_cls_sql(SINGLE_PAIRS)) + (
+    f"SELECT round({ratio('sum(tp)', 'sum(support)')}, 6) AS accuracy, round(avg(precision), 6) AS precision, "
+    "round(avg(recall), 6) AS recall, round(avg(f1), 6) AS f1 FROM sc")
+
+
+def multi_summary_sql(pairs: str) -> str:
+    return f"""SELECT round({ratio('sum(tp)', 'sum(tp) + sum(fp)')}, 6) AS micro_precision,
+  round({ratio('sum(tp)', 'sum(tp) + sum(fn)')}, 6) AS micro_recall,
+  round({ratio('2 * sum(tp)', '2 * sum(tp) + sum(fp) + sum(fn)')}, 6) AS micro_f1,
+  round(avg(precision), 6) AS macro_precision, round(avg(recall), 6) AS macro_recall, round(avg(f1), 6) AS macro_f1,
+  (SELECT round(coalesce(avg(CASE WHEN y_true = y_pred THEN 1.0 ELSE 0.0 END), 0.0), 6) FROM ({pairs})) AS subset_acc
+FROM pls"""
+
+
+SQL["multilabel_metrics"] = with_(FX_LOGITS, per_label_sql(MULTI_PAIRS)) + (
+    "SELECT micro_f1, macro_f1, micro_precision, micro_recall, subset_acc FROM (" + multi_summary_sql(MULTI_PAIRS) + ")")
+SQL["clean_response"] = with_(FX_RESP) + "SELECT vec_id, replace(resp, chr(10), '') AS resp FROM fx_resp"
+SQL["sft_single_report"] = with_(FX_RESP, single_cls_sql("SELECT gold AS y_true, pred AS y_pred FROM (" + RESP_PAIRS + ")")) + (
+    f"SELECT {SUMMARY_COLS} FROM sc")
+SQL["classification_report"] = with_(FX_RESP, single_cls_sql("SELECT gold AS y_true, pred AS y_pred FROM (" + RESP_PAIRS + ")")) + f"""
+SELECT CAST(label AS VARCHAR) AS row, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1,
+  CAST(support AS BIGINT) AS support, CAST(row_number() OVER (ORDER BY label) AS INTEGER) AS ord FROM sc
+UNION ALL SELECT 'accuracy', NULL, NULL, round({ratio('sum(tp)', 'sum(support)')}, 6), CAST(sum(support) AS BIGINT), 1000000000 FROM sc
+UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), CAST(sum(support) AS BIGINT), 1000000001 FROM sc
+UNION ALL SELECT 'weighted avg', round({ratio('sum(precision * support)', 'sum(support)')}, 6), round({ratio('sum(recall * support)', 'sum(support)')}, 6),
+  round({ratio('sum(f1 * support)', 'sum(support)')}, 6), CAST(sum(support) AS BIGINT), 1000000002 FROM sc"""
+
+MULTI_RESP = f"SELECT vec_id, {split_pred('gold')} AS gold_labels, {split_pred('resp')} AS pred_labels FROM fx_resp_multi"
+FX_CLASSES_SQL = "['s0', 's1', 's2', 's3', 's4', 's5', 's6']"
+BIN_RESP = (f"SELECT vec_id, list_transform({FX_CLASSES_SQL}, lambda c: CASE WHEN list_contains(gold_labels, c) THEN 1 ELSE 0 END) AS y_true, "
+            f"list_transform({FX_CLASSES_SQL}, lambda c: CASE WHEN list_contains(pred_labels, c) THEN 1 ELSE 0 END) AS y_pred FROM ({MULTI_RESP})")
+SQL["split_predicted_labels"] = with_(FX_RESP_MULTI) + (
+    f"SELECT vec_id, array_to_string(gold_labels, '|') AS gold, array_to_string(pred_labels, '|') AS resp, "
+    f"CAST(len(pred_labels) AS INTEGER) AS n_resp FROM ({MULTI_RESP})")
+SQL["binarize_fixed"] = with_(FX_RESP_MULTI) + (
+    f"SELECT vec_id, array_to_string(y_true, '|') AS y_gold, array_to_string(y_pred, '|') AS y_resp FROM ({BIN_RESP})")
+SQL["sft_multi_report"] = with_(FX_RESP_MULTI, per_label_sql(BIN_RESP)) + multi_summary_sql(BIN_RESP)
+SQL["per_label_report"] = with_(FX_RESP_MULTI, per_label_sql(BIN_RESP)) + (
+    f"SELECT {FX_CLASSES_SQL}[pos + 1] AS label, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, "
+    "CAST(support AS BIGINT) AS support FROM pls")
+SQL["best_epoch"] = with_(FX_EPOCHS) + "SELECT epoch, macro_f1 FROM fx_epochs ORDER BY macro_f1 DESC, epoch LIMIT 1"
+SQL["improved_epochs"] = with_(FX_EPOCHS) + (
+    "SELECT epoch, macro_f1, macro_f1 > coalesce(max(macro_f1) OVER (ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1.0) "
+    "AS improved FROM fx_epochs")
