@@ -459,3 +459,289 @@ def q_best_epoch(spark, sf_dir):
 @query("improved_epochs")
 def q_improved_epochs(spark, sf_dir):
     return M.improved_epochs(FX.fx_epochs(spark, sf_dir), "macro_f1")
+
+
+# ------------------------------------------------------------------ sinks and round trips
+
+from ..functions import templates as TP  # noqa: E402
+from ..operators import encode as EN  # noqa: E402
+from ..operators import score as SC  # noqa: E402
+from . import sft as SFT  # noqa: E402
+
+
+@query("csv_roundtrip")
+def q_csv_roundtrip(spark, sf_dir):
+    web = FX.fx_web(spark, sf_dir)
+    path = scratch_path(spark, "web_csv")
+    S.write_csv(web, path)
+    return S.read_csv(spark, path, "page_id bigint, url string, content string")
+
+
+@query("jsonl_roundtrip")
+def q_jsonl_roundtrip(spark, sf_dir):
+    docs = read_parquet_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    path = scratch_path(spark, "docs_jsonl")
+    S.write_jsonl(docs, path)
+    return S.read_jsonl(spark, path, "doc_id bigint, text string, lang string")
+
+
+@query("write_splits_json")
+def q_write_splits_json(spark, sf_dir):
+    p = _prepared_short(spark, sf_dir)
+    path = scratch_path(spark, "splits_json")
+    S.write_splits_json(p.data.select("row_id", "scene", "tags", "split"), path)
+    return S.read_jsonl(spark, path, "row_id bigint, scene string, tags string, split string")
+
+
+@query("write_splits_csv")
+def q_write_splits_csv(spark, sf_dir):
+    p = _prepared_short(spark, sf_dir)
+    path = scratch_path(spark, "splits_text")
+    S.write_splits_csv(p.data, path, "scene")
+    return S.read_csv(spark, path, "row_id bigint, scene string, split string")
+
+
+@query("write_encoded")
+def q_write_encoded(spark, sf_dir):
+    p = _prepared_short(spark, sf_dir)
+    path = scratch_path(spark, "encoded")
+    S.write_encoded(p.data, path)
+    back = spark.read.parquet(path)
+    return back.select("row_id", "split", F.array_join(F.col("y").cast("array<int>"), "|").alias("y"))
+
+
+@query("load_split")
+def q_load_split(spark, sf_dir):
+    p = _prepared_short(spark, sf_dir)
+    data = p.data.cache()
+    text_path, y_path = scratch_path(spark, "splits_text"), scratch_path(spark, "encoded")
+    S.write_splits_csv(data, text_path, "scene")
+    S.write_encoded(data, y_path)
+    test = S.load_split(spark, text_path, y_path, "test", "row_id bigint, scene string, split string")
+    return test.select("row_id", "scene", F.array_join(F.col("y").cast("array<int>"), "|").alias("y"))
+
+
+# ------------------------------------------------------------------ instruction-tuning records
+
+
+def _short_records(spark, sf_dir) -> DataFrame:
+    return SFT.build_sft_multi(_prepared_short(spark, sf_dir).data)
+
+
+@query("category_prompt")
+def q_category_prompt(spark, sf_dir):
+    return FX.fx_meta(spark, sf_dir).select("doc_id", TP.category_prompt(T.parse_labels("tags")).alias("categories"))
+
+
+@query("sft_records")
+def q_sft_records(spark, sf_dir):
+    df, label_col = P.clean_short(FX.fx_meta(spark, sf_dir))
+    rec = TP.sft_record("scene", label_col, TP.MULTI_LABEL_INSTRUCTION, TP.FIXED_CLASSES)
+    return df.select("row_id", rec.alias("r")).select("row_id", "r.*")
+
+
+@query("build_sft_multi")
+def q_build_sft_multi(spark, sf_dir):
+    return _short_records(spark, sf_dir)
+
+
+@query("build_sft_single")
+def q_build_sft_single(spark, sf_dir):
+    return SFT.build_sft_single(_merged_long(spark, sf_dir))
+
+
+@query("sft_jsonl")
+def q_sft_jsonl(spark, sf_dir):
+    path = scratch_path(spark, "sft_multi")
+    S.write_sft_jsonl(_short_records(spark, sf_dir), path)
+    return S.read_sft_jsonl(spark, path)
+
+
+@query("render_prompt")
+def q_render_prompt(spark, sf_dir):
+    return _short_records(spark, sf_dir).select("row_id", TP.render_prompt("instruction", "input").alias("prompt"))
+
+
+def _single_records_with_answer(spark, sf_dir) -> DataFrame:
+    """Single-label test records with a deterministic stand-in answer (see ``eval_generated_single``)."""
+    recs = SFT.build_sft_single(_merged_long(spark, sf_dir)).where(F.col("split") == "test")
+    return SFT.generate(recs, echo_model("input", "output"), ECHO_SCHEMA)
+
+
+@query("chat_messages")
+def q_chat_messages(spark, sf_dir):
+    ans = _single_records_with_answer(spark, sf_dir)
+    t = SFT.chat_transcript(ans, "response")
+    return t.select("doc_id", "page_id", F.size("messages").alias("n_messages"), "transcript")
+
+
+@query("render_chat")
+def q_render_chat(spark, sf_dir):
+    return SFT.render_chat(read_parquet_table(spark, sf_dir, "conversations"))
+
+
+# ------------------------------------------------------------------ token sequences
+
+MAX_VOCAB = 5000
+
+
+def _doc_tokens(spark, sf_dir) -> DataFrame:
+    return read_parquet_table(spark, sf_dir, "documents").select("doc_id", EN.tokenize("text").alias("tokens"))
+
+
+def _checksum(ids) -> list:
+    """Whole-sequence summary: length, sum, position-weighted sum (1-based)."""
+    ids = F.col(ids) if isinstance(ids, str) else ids
+    return [
+        F.size(ids).alias("n_ids"),
+        F.aggregate(ids, F.lit(0).cast("long"), lambda a, x: a + x).alias("ids_sum"),
+        F.aggregate(F.transform(ids, lambda x, i: x.cast("long") * (i + 1)), F.lit(0).cast("long"), lambda a, x: a + x).alias("ids_wsum"),
+    ]
+
+
+@query("token_vocab")
+def q_token_vocab(spark, sf_dir):
+    return EN.token_vocab(_doc_tokens(spark, sf_dir), "tokens", MAX_VOCAB)
+
+
+def _encoded_docs(spark, sf_dir) -> DataFrame:
+    toks = _doc_tokens(spark, sf_dir)
+    vocab = EN.token_vocab(toks, "tokens", MAX_VOCAB).cache()
+    return EN.encode_tokens(toks, "tokens", vocab, MAX_VOCAB), vocab
+
+
+@query("encode_text")
+def q_encode_text(spark, sf_dir):
+    enc, _ = _encoded_docs(spark, sf_dir)
+    return enc.select("doc_id", *_checksum("input_ids"))
+
+
+@query("decode_ids")
+def q_decode_ids(spark, sf_dir):
+    enc, vocab = _encoded_docs(spark, sf_dir)
+    dec = EN.decode_ids(enc, "input_ids", vocab, MAX_VOCAB)
+    return dec.select("doc_id", F.array_join("tokens", " ").alias("decoded"))
+
+
+@query("encode_fixed")
+def q_encode_fixed(spark, sf_dir):
+    enc, _ = _encoded_docs(spark, sf_dir)
+    fx = EN.encode_fixed(enc, "input_ids", 128)
+    return fx.select("doc_id", F.array_join("input_ids", " ").alias("input_ids"),
+                     F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("n_real"),
+                     F.size("token_type_ids").alias("n_types"))
+
+
+def _codepoints(col):
+    return SC.tokenizer_udf(SC.codepoint_tokenizer)(col)
+
+
+@query("tokenizer_udf")
+def q_tokenizer_udf(spark, sf_dir):
+    docs = read_parquet_table(spark, sf_dir, "documents")
+    return docs.select("doc_id", _codepoints(F.col("text")).alias("ids")).select("doc_id", *_checksum("ids"))
+
+
+def _masked_records(spark, sf_dir) -> DataFrame:
+    recs = _short_records(spark, sf_dir)
+    seq = recs.select(
+        "row_id",
+        _codepoints(TP.render_prompt("instruction", "input")).alias("prompt_ids"),
+        _codepoints(F.col("output")).alias("response_ids"),
+    )
+    return EN.mask_labels(seq, "prompt_ids", "response_ids", EN.PAD_ID, 512)
+
+
+@query("sft_mask_labels")
+def q_sft_mask_labels(spark, sf_dir):
+    m = _masked_records(spark, sf_dir)
+    ign = F.size(F.filter("labels", lambda x: x == F.lit(-100)))
+    return m.select("row_id", *_checksum("input_ids"), F.size("attention_mask").alias("n_mask"), ign.alias("n_ignored"), "n_target")
+
+
+@query("strip_prompt_ids")
+def q_strip_prompt_ids(spark, sf_dir):
+    recs = _short_records(spark, sf_dir)
+    seq = recs.select(
+        "row_id",
+        _codepoints(TP.render_prompt("instruction", "input")).alias("inp"),
+        _codepoints(F.concat(TP.render_prompt("instruction", "input"), F.col("output"))).alias("out"),
+    )
+    return seq.select("row_id", *_checksum(AR.strip_prompt_ids("inp", "out")))
+
+
+@query("pad_batches")
+def q_pad_batches(spark, sf_dir):
+    m = _masked_records(spark, sf_dir).withColumn("_k", R.hash_order_key(SEED, "row_id"))
+    b = assign_batches(m, ["_k", "row_id"], 16)
+    padded = EN.pad_batches(b, "batch_id")
+    return padded.select(
+        "row_id", "batch_id", F.size("input_ids").alias("n_ids"),
+        F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("mask_sum"),
+        F.size(F.filter("labels", lambda x: x == F.lit(-100))).alias("n_ignored"),
+        F.aggregate("input_ids", F.lit(0).cast("long"), lambda a, x: a + x).alias("ids_sum"),
+    )
+
+
+# ------------------------------------------------------------------ scoring and generated answers
+
+ECHO_SCHEMA = "doc_id bigint, page_id bigint, instruction string, input string, output string, response string"
+
+
+def echo_model(input_col: str, output_col: str, id_cols=("doc_id", "page_id")):
+    """Deterministic stand-in for a generator: answers the gold label, except
+    "无" when len(input) % 3 == 0 and with a leading newline when it is 1."""
+
+    def factory():
+        def predict(pdf):
+            n = pdf[input_col].str.len() % 3
+            resp = pdf[output_col].where(n != 0, "无")
+            resp = resp.where(n != 1, "\n" + pdf[output_col])
+            out = pdf[list(id_cols) + ["instruction", input_col, output_col]].copy()
+            out["response"] = resp
+            return out
+
+        return predict
+
+    return factory
+
+
+@query("batch_score")
+def q_batch_score(spark, sf_dir):
+    e = read_parquet_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return SC.batch_score(e, SC.argmax_rule("vec_id", "embedding", 10), "vec_id bigint, pred int, score double").select(
+        "vec_id", "pred", F.round("score", 6).alias("score"))
+
+
+@query("eval_generated_single")
+def q_eval_generated_single(spark, sf_dir):
+    summary, _ = SFT.eval_generated_single(_single_records_with_answer(spark, sf_dir))
+    return _round_all(summary)
+
+
+MULTI_ECHO_SCHEMA = "row_id bigint, output string, response string"
+
+
+def multi_echo_model():
+    """Stand-in multi-label generator: the gold list; "无" when len(input) % 3 == 0;
+    an unknown extra label when it is 1."""
+
+    def factory():
+        def predict(pdf):
+            n = pdf["input"].str.len() % 3
+            resp = pdf["output"].where(n != 0, "无")
+            resp = resp.where(n != 1, pdf["output"] + "、未知")
+            return pdf[["row_id", "output"]].assign(response=resp)
+
+        return predict
+
+    return factory
+
+
+@query("eval_generated_multi")
+def q_eval_generated_multi(spark, sf_dir):
+    recs = _short_records(spark, sf_dir).where(F.col("split") == "test")
+    ans = SFT.generate(recs, multi_echo_model(), MULTI_ECHO_SCHEMA)
+    classes = V.vocab_list(V.label_vocab_multi(_prepared_short(spark, sf_dir).data, "tags"))
+    summary, _ = SFT.eval_generated_multi(ans, classes)
+    return _round_all(summary)

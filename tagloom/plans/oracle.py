@@ -311,3 +311,124 @@ SQL["best_epoch"] = with_(FX_EPOCHS) + "SELECT epoch, macro_f1 FROM fx_epochs OR
 SQL["improved_epochs"] = with_(FX_EPOCHS) + (
     "SELECT epoch, macro_f1, macro_f1 > coalesce(max(macro_f1) OVER (ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1.0) "
     "AS improved FROM fx_epochs")
+
+
+# ------------------------------------------------------------------ sinks and round trips
+
+NL = "chr(10)"
+SPLITS_SHORT = with_(FX_META, CLEAN_SHORT, VOCAB_MULTI, _split_cte)
+SQL["csv_roundtrip"] = with_(FX_WEB) + "SELECT page_id, url, content FROM fx_web"
+SQL["jsonl_roundtrip"] = "SELECT doc_id, text, lang FROM documents"
+SQL["write_splits_json"] = SPLITS_SHORT + "SELECT c.row_id, c.scene, c.tags, s.split FROM clean_short c JOIN splits s ON c.row_id = s.row_id"
+SQL["write_splits_csv"] = SPLITS_SHORT + "SELECT c.row_id, c.scene, s.split FROM clean_short c JOIN splits s ON c.row_id = s.row_id"
+SQL["write_encoded"] = SQL["prepare_short"]
+SQL["load_split"] = SPLITS_SHORT + (
+    "SELECT c.row_id, c.scene, array_to_string(h.y, '|') AS y FROM clean_short c JOIN splits s ON c.row_id = s.row_id "
+    "JOIN hot h ON c.row_id = h.row_id WHERE s.split = 'test'")
+
+# ------------------------------------------------------------------ instruction-tuning records
+
+MULTI_INSTRUCTION = (
+    "你是一个文本多标签分类专家。给定一段文本和一组备选标签，请从中选择所有适用的标签，"
+    "并且只输出这些标签的列表，用逗号分隔；如果没有任何标签适用，则输出“无”,注意：只能从备选标签中选择，不要生成新的标签。"
+)
+SINGLE_INSTRUCTION = "你是一个文本分类领域的专家，你会接收到一段文本和几个潜在的分类选项，请输出文本内容的正确类型。"
+FIXED_CATS = "[事故处理, 停车管控, 安全引导, 拥堵治理, 流量检测, 流量监测, 车辆违法]"
+
+
+def record_cols(text: str, label: str, instruction: str, cats: str) -> str:
+    return (f"'{instruction}' AS instruction, concat('文本:', {text}, ',类型选型:', '{cats}') AS input, "
+            f"replace({label}, '、', ',') AS output")
+
+
+def prompt_sql(instr: str, inp: str) -> str:
+    return (f"concat('<|system|>', {NL}, ' ', {instr}, '<|endoftext|>', {NL}, '<|user|>', {NL}, {inp}, "
+            f"'<|endoftext|>', {NL}, '<|assistant|>', {NL})")
+
+
+def codepoints(x: str) -> str:
+    return f"list_transform(string_split({x}, ''), lambda c: CAST(unicode(c) AS INTEGER))"
+
+
+def checksum(ids: str) -> str:
+    return (f"CAST(len({ids}) AS INTEGER) AS n_ids, CAST(coalesce(list_sum({ids}), 0) AS BIGINT) AS ids_sum, "
+            f"CAST(coalesce(list_sum(list_transform({ids}, lambda x, i: CAST(x AS BIGINT) * i)), 0) AS BIGINT) AS ids_wsum")
+
+
+MULTI_RECORDS = f"""multi_records AS (SELECT c.row_id, s.split, {record_cols('c.scene', 'c.tags', MULTI_INSTRUCTION, FIXED_CATS)}
+  FROM clean_short c JOIN splits s ON c.row_id = s.row_id WHERE s.split IN ('train', 'test'))"""
+SINGLE_RECORDS = f"""single_ranked AS (SELECT *, row_number() OVER (ORDER BY doc_id, page_id) AS position, count(*) OVER () AS n FROM merged_long),
+single_records AS (SELECT doc_id, page_id, CASE WHEN position <= floor(CAST(0.8 AS DOUBLE) * n) THEN 'train' ELSE 'test' END AS split,
+  {record_cols('content', 'label', SINGLE_INSTRUCTION, '[]')} FROM single_ranked)"""
+ECHO_SINGLE = f"""single_answers AS (SELECT *, CASE length(input) % 3 WHEN 0 THEN '无' WHEN 1 THEN concat({NL}, output) ELSE output END AS response
+  FROM single_records WHERE split = 'test')"""
+
+SQL["category_prompt"] = with_(FX_META) + f"SELECT doc_id, concat('[', array_to_string({parse_labels('tags')}, ', '), ']') AS categories FROM fx_meta"
+SQL["sft_records"] = with_(FX_META, CLEAN_SHORT) + f"SELECT row_id, {record_cols('scene', 'tags', MULTI_INSTRUCTION, FIXED_CATS)} FROM clean_short"
+SQL["build_sft_multi"] = with_(FX_META, CLEAN_SHORT, VOCAB_MULTI, _split_cte, MULTI_RECORDS) + "SELECT * FROM multi_records"
+SQL["build_sft_single"] = with_(FX_META, FX_WEB, MERGED_LONG, SINGLE_RECORDS) + "SELECT * FROM single_records"
+SQL["sft_jsonl"] = with_(FX_META, CLEAN_SHORT, VOCAB_MULTI, _split_cte, MULTI_RECORDS) + "SELECT instruction, input, output FROM multi_records"
+SQL["render_prompt"] = with_(FX_META, CLEAN_SHORT, VOCAB_MULTI, _split_cte, MULTI_RECORDS) + (
+    f"SELECT row_id, {prompt_sql('instruction', 'input')} AS prompt FROM multi_records")
+SQL["chat_messages"] = with_(FX_META, FX_WEB, MERGED_LONG, SINGLE_RECORDS, ECHO_SINGLE) + f"""SELECT doc_id, page_id, 3 AS n_messages,
+  concat('system: ', instruction, {NL}, {NL}, 'user: ', input, {NL}, {NL}, 'assistant: ', replace(response, {NL}, '')) AS transcript
+  FROM single_answers"""
+SQL["render_chat"] = f"""SELECT conv_id, concat(string_agg(concat('<|', role, '|>', {NL}, text, '<|endoftext|>', {NL}), '' ORDER BY turn),
+  '<|assistant|>', {NL}) AS prompt, CAST(count(*) AS INTEGER) AS n_turns FROM conversations GROUP BY conv_id"""
+
+# ------------------------------------------------------------------ token sequences
+
+TOKENS = r"""toks AS (SELECT doc_id, regexp_extract_all(regexp_replace(lower(text), '([一-鿿])', ' \1 ', 'g'),
+  '[\p{L}\p{N}]+|[^\s\x0b\x1c-\x1f\x85\p{Z}\p{L}\p{N}]') AS t FROM documents),
+tcounts AS (SELECT tok, count(*) AS n FROM (SELECT unnest(t) AS tok FROM toks) GROUP BY tok),
+tvocab AS (SELECT tok AS token, CAST(row_number() OVER (ORDER BY n DESC, tok) + 3 AS INTEGER) AS id, n FROM tcounts
+  ORDER BY n DESC, tok LIMIT 5000),
+tpos AS (SELECT doc_id, unnest(t) AS tok, unnest(range(1, len(t) + 1)) AS pos FROM toks),
+enc AS (SELECT d.doc_id, coalesce(list(coalesce(v.id, 1) ORDER BY p.pos) FILTER (WHERE p.pos IS NOT NULL), []) AS ids,
+  coalesce(list(v.token ORDER BY p.pos) FILTER (WHERE v.id IS NOT NULL), []) AS known
+  FROM documents d LEFT JOIN tpos p ON d.doc_id = p.doc_id LEFT JOIN tvocab v ON p.tok = v.token GROUP BY d.doc_id)"""
+
+SQL["token_vocab"] = with_(TOKENS) + "SELECT token, id, n FROM tvocab"
+SQL["encode_text"] = with_(TOKENS) + f"SELECT doc_id, {checksum('ids')} FROM enc"
+SQL["decode_ids"] = with_(TOKENS) + "SELECT doc_id, array_to_string(known, ' ') AS decoded FROM enc"
+FIXED128 = "list_concat([2], list_slice(ids, 1, 126), [3])"
+SQL["encode_fixed"] = with_(TOKENS) + f"""SELECT doc_id,
+  array_to_string(list_concat({FIXED128}, list_transform(range(128 - len({FIXED128})), lambda x: 0)), ' ') AS input_ids,
+  CAST(len({FIXED128}) AS INTEGER) AS n_real, 128 AS n_types FROM enc"""
+SQL["tokenizer_udf"] = f"SELECT doc_id, {checksum(codepoints('text'))} FROM documents"
+
+MASKED = f"""masked0 AS (SELECT row_id, {codepoints(prompt_sql('instruction', 'input'))} AS p, {codepoints('output')} AS r FROM multi_records),
+masked AS (SELECT row_id, list_slice(list_concat(p, r, [0]), 1, 512) AS ids,
+  list_slice(list_concat(list_transform(p, lambda x: -100), r, [0]), 1, 512) AS labels FROM masked0)"""
+SQL["sft_mask_labels"] = with_(FX_META, CLEAN_SHORT, VOCAB_MULTI, _split_cte, MULTI_RECORDS, MASKED) + f"""SELECT row_id, {checksum('ids')},
+  CAST(len(ids) AS INTEGER) AS n_mask, CAST(len(list_filter(labels, lambda x: x = -100)) AS INTEGER) AS n_ignored,
+  CAST(len(list_filter(labels, lambda x: x <> -100)) AS INTEGER) AS n_target FROM masked"""
+SQL["strip_prompt_ids"] = with_(FX_META, CLEAN_SHORT, VOCAB_MULTI, _split_cte, MULTI_RECORDS) + f"""SELECT row_id, {checksum('s')} FROM (
+  SELECT row_id, list_slice(o, len(i) + 1, len(o)) AS s FROM (
+    SELECT row_id, {codepoints(prompt_sql('instruction', 'input'))} AS i, {codepoints(f"concat({prompt_sql('instruction', 'input')}, output)")} AS o
+    FROM multi_records))"""
+SQL["pad_batches"] = with_(FX_META, CLEAN_SHORT, VOCAB_MULTI, _split_cte, MULTI_RECORDS, MASKED) + f"""SELECT row_id, batch_id,
+  CAST(max(len(ids)) OVER (PARTITION BY batch_id) AS INTEGER) AS n_ids, CAST(len(ids) AS INTEGER) AS mask_sum,
+  CAST(len(list_filter(labels, lambda x: x = -100)) + max(len(ids)) OVER (PARTITION BY batch_id) - len(ids) AS INTEGER) AS n_ignored,
+  CAST(list_sum(ids) AS BIGINT) AS ids_sum
+FROM (SELECT *, CAST(floor((row_number() OVER (ORDER BY {okey('row_id')}, row_id) - 1) / 16) AS BIGINT) AS batch_id FROM masked)"""
+
+# ------------------------------------------------------------------ scoring and generated answers
+
+SQL["batch_score"] = with_(FX_LOGITS) + (
+    "SELECT vec_id, CAST(list_position(z, list_max(z)) - 1 AS INTEGER) AS pred, "
+    "round(1.0 / list_sum(list_transform(z, lambda x: exp(x - list_max(z)))), 6) AS score FROM fx_logits")
+SQL["eval_generated_single"] = with_(
+    FX_META, FX_WEB, MERGED_LONG, SINGLE_RECORDS, ECHO_SINGLE,
+    single_cls_sql(f"SELECT output AS y_true, replace(response, {NL}, '') AS y_pred FROM single_answers"),
+) + f"SELECT {SUMMARY_COLS} FROM sc"
+
+MULTI_ANSWERS = f"""multi_answers AS (SELECT row_id, output, CASE length(input) % 3 WHEN 0 THEN '无' WHEN 1 THEN concat(output, '、未知') ELSE output END AS response
+  FROM multi_records WHERE split = 'test'),
+mclasses AS (SELECT list(label ORDER BY label) AS cl FROM vocab),
+mbin AS (SELECT list_transform(m.cl, lambda c: CASE WHEN list_contains(g, c) THEN 1 ELSE 0 END) AS y_true,
+  list_transform(m.cl, lambda c: CASE WHEN list_contains(p, c) THEN 1 ELSE 0 END) AS y_pred
+  FROM (SELECT {split_pred('output')} AS g, {split_pred(f"replace(response, {NL}, '')")} AS p FROM multi_answers), mclasses m)"""
+SQL["eval_generated_multi"] = with_(
+    FX_META, CLEAN_SHORT, VOCAB_MULTI, _split_cte, MULTI_RECORDS, MULTI_ANSWERS, per_label_sql("SELECT * FROM mbin")
+) + multi_summary_sql("SELECT * FROM mbin")
