@@ -21,7 +21,7 @@ from .metrics import classification_metrics, multilabel_metrics
 TOKEN_GAPS = r"[^\p{L}\p{N}]+"
 
 
-def feature_stages(text_col: str, num_features: int = 1 << 18):
+def feature_stages(text_col: str, num_features: int = 1 << 15):
     return [
         RegexTokenizer(inputCol=text_col, outputCol="_tok", pattern=TOKEN_GAPS, gaps=True, toLowercase=True),
         HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=num_features),
@@ -29,38 +29,50 @@ def feature_stages(text_col: str, num_features: int = 1 << 18):
     ]
 
 
-def train_single(train: DataFrame, text_col: str, label_col: str, reg: float = 0.0, max_iter: int = 50) -> PipelineModel:
+def _classifier(label_col: str, reg: float, max_iter: int) -> LogisticRegression:
+    return LogisticRegression(featuresCol="features", labelCol=label_col, family="multinomial", regParam=reg, maxIter=max_iter)
+
+
+def train_single(train: DataFrame, text_col: str, label_col: str, reg: float = 0.0, max_iter: int = 30) -> PipelineModel:
     """Multinomial logistic regression on TF-IDF; ``label_col`` holds integer class ids."""
-    lr = LogisticRegression(featuresCol="features", labelCol=label_col, family="multinomial", regParam=reg, maxIter=max_iter)
-    return Pipeline(stages=feature_stages(text_col) + [lr]).fit(train.withColumn(label_col, F.col(label_col).cast("double")))
+    stages = feature_stages(text_col) + [_classifier(label_col, reg, max_iter)]
+    return Pipeline(stages=stages).fit(train.withColumn(label_col, F.col(label_col).cast("double")))
 
 
-def predict_single(model: PipelineModel, df: DataFrame, pred_col: str = "pred") -> DataFrame:
+def predict_single(model, df: DataFrame, pred_col: str = "pred") -> DataFrame:
     out = model.transform(df)
     return out.withColumn(pred_col, F.col("prediction").cast("int")).drop("_tok", "_tf", "features", "rawPrediction", "probability", "prediction")
 
 
 def select_and_test(train: DataFrame, val: DataFrame, test: DataFrame, text_col: str, label_col: str,
-                    regs: Sequence[float] = (0.0, 0.01, 0.1)) -> tuple[PipelineModel, DataFrame]:
+                    regs: Sequence[float] = (0.0, 0.01, 0.1), max_iter: int = 30) -> tuple[PipelineModel, DataFrame]:
     """Fit each candidate, keep the first with the strictly best validation macro F1, score test once.
 
-    Returns the chosen model and a table ``candidate, reg, split, accuracy, precision, recall, f1, chosen``.
+    Features are fitted once on train and the three transformed splits are
+    cached, so candidates differ only in the classifier fit. Returns the
+    chosen pipeline and ``candidate, reg, split, accuracy, precision, recall, f1, chosen``.
     """
-    best, best_f1, rows = None, -1.0, []
+    y = F.col(label_col).cast("double")
+    feats = Pipeline(stages=feature_stages(text_col)).fit(train)
+    tr, va, te = (feats.transform(d.withColumn(label_col, y)).cache() for d in (train, val, test))
+    best, best_f1, best_i, rows = None, -1.0, 0, []
     for i, reg in enumerate(regs):
-        model = train_single(train, text_col, label_col, reg)
-        m = classification_metrics(predict_single(model, val), label_col, "pred").first()
+        clf = _classifier(label_col, reg, max_iter).fit(tr)
+        m = classification_metrics(predict_single(clf, va), label_col, "pred").first()
         rows.append((i, float(reg), "val", m["accuracy"], m["precision"], m["recall"], m["f1"]))
         if m["f1"] > best_f1:  # strict: ties keep the earlier candidate
-            best, best_f1, best_i = model, m["f1"], i
-    t = classification_metrics(predict_single(best, test), label_col, "pred").first()
+            best, best_f1, best_i = clf, m["f1"], i
+    t = classification_metrics(predict_single(best, te), label_col, "pred").first()
     rows.append((best_i, float(regs[best_i]), "test", t["accuracy"], t["precision"], t["recall"], t["f1"]))
+    for d in (tr, va, te):
+        d.unpersist()
     spark = train.sparkSession
     table = spark.createDataFrame(rows, "candidate int, reg double, split string, accuracy double, precision double, recall double, f1 double")
-    return best, table.withColumn("chosen", F.col("candidate") == F.lit(best_i))
+    model = PipelineModel(stages=feats.stages + [best])
+    return model, table.withColumn("chosen", F.col("candidate") == F.lit(best_i))
 
 
-def train_multi(train: DataFrame, text_col: str, label_cols: Sequence[str], reg: float = 0.0, max_iter: int = 50):
+def train_multi(train: DataFrame, text_col: str, label_cols: Sequence[str], reg: float = 0.0, max_iter: int = 30):
     """Binary relevance: one logistic regression per label on shared (cached) TF-IDF features.
 
     BCE over L sigmoids is L independent logistic losses, so this trains the

@@ -235,12 +235,7 @@ def q_epoch_shuffle(spark, sf_dir):
     return R.exact_rank(d, ["shuffle_key", "row_id"], "position").select("row_id", "epoch", "shuffle_key", "position")
 
 
-def assign_batches(df: DataFrame, order_cols, batch_size: int) -> DataFrame:
-    ranked = R.exact_rank(df, order_cols, "_pos")
-    return ranked.withColumns({
-        "batch_id": F.floor((F.col("_pos") - 1) / batch_size).cast("long"),
-        "pos_in_batch": ((F.col("_pos") - 1) % batch_size).cast("int"),
-    }).drop("_pos")
+from .loader import assign_batches  # noqa: E402
 
 
 @query("assign_batches")
@@ -745,3 +740,85 @@ def q_eval_generated_multi(spark, sf_dir):
     classes = V.vocab_list(V.label_vocab_multi(_prepared_short(spark, sf_dir).data, "tags"))
     summary, _ = SFT.eval_generated_multi(ans, classes)
     return _round_all(summary)
+
+
+# ------------------------------------------------------------------ loader and training
+
+from ..operators import train as TR  # noqa: E402
+from . import loader as LD  # noqa: E402
+
+
+def _merged_keyed(spark, sf_dir) -> DataFrame:
+    m = _merged_long(spark, sf_dir)
+    return m.withColumn("row_key", F.concat_ws(":", F.col("doc_id").cast("string"), F.col("page_id").cast("string")))
+
+
+@query("load_batches")
+def q_load_batches(spark, sf_dir):
+    merged = _merged_keyed(spark, sf_dir).cache()
+    meta_path = scratch_path(spark, "labels")
+    S.write_label_metadata(V.label_metadata(V.label_vocab_single(merged, "label"), "label", "content"), meta_path)
+    vocab = V.metadata_to_vocab(S.load_label_metadata(spark, meta_path))
+    b = LD.load_batches(merged, vocab, "row_key", max_length=512)
+    return b.select("row_key", "split", "batch_id", "pos_in_batch", "label_id",
+                    F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("n_real"),
+                    F.size("input_ids").alias("n_ids"))
+
+
+def _lang_splits(spark, sf_dir) -> DataFrame:
+    docs = read_parquet_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), "text", "lang")
+    vocab = V.dense_ids(docs.select(F.col("lang").alias("label")))
+    enc = J.encode_label_id(docs, vocab, "lang", "y")
+    return X.split_random(enc, "row_id", 0.2, 0.2, SEED).cache()
+
+
+@query("train_single")
+def q_train_single(spark, sf_dir):
+    d = _lang_splits(spark, sf_dir)
+    model = TR.train_single(d.where("split = 'train'"), "text", "y")
+    pred = TR.predict_single(model, d.where("split = 'test'"))
+    return _round_all(M.classification_metrics(pred, "y", "pred"))
+
+
+@query("select_and_test")
+def q_select_and_test(spark, sf_dir):
+    d = _lang_splits(spark, sf_dir)
+    _, table = TR.select_and_test(d.where("split = 'train'"), d.where("split = 'val'"), d.where("split = 'test'"), "text", "y")
+    return _round_all(table)
+
+
+@query("model_roundtrip")
+def q_model_roundtrip(spark, sf_dir):
+    d = _lang_splits(spark, sf_dir)
+    model = TR.train_single(d.where("split = 'train'"), "text", "y")
+    path = scratch_path(spark, "model")
+    model.write().overwrite().save(path)
+    reloaded = TR.PipelineModel.load(path)
+    test = d.where("split = 'test'")
+    a = TR.predict_single(model, test).select("row_id", F.col("pred").alias("before"))
+    b = TR.predict_single(reloaded, test).select("row_id", F.col("pred").alias("after"))
+    both = a.join(b, "row_id")
+    return both.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("before") == F.col("after")).alias("n_equal"))
+
+
+@query("train_multi")
+def q_train_multi(spark, sf_dir):
+    labels = read_parquet_table(spark, sf_dir, "labels")
+    docs = read_parquet_table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = docs.join(labels, "doc_id").withColumnRenamed("doc_id", "row_id")
+    d = X.split_random(d, "row_id", 0.2, 0.0, SEED).cache()
+    feats, heads = TR.train_multi(d.where("split = 'train'"), "text", ["quality", "toxic"])
+    pred = TR.predict_multi(feats, heads, d.where("split = 'test'"), ["quality", "toxic"])
+    return _round_all(TR.evaluate_multi(pred, ["quality", "toxic"]))
+
+
+@query("train_eval")
+def q_train_eval(spark, sf_dir):
+    """Long-text job end to end: merged pages -> label ids -> 80/10/10 split -> candidates -> best -> test."""
+    merged = _merged_keyed(spark, sf_dir).cache()
+    vocab = V.label_vocab_single(merged, "label")
+    rows = J.encode_label_id(merged, vocab, "label", "y")
+    rows = X.split_fraction(rows, "row_key", 0.8, 0.1, SEED).cache()
+    _, table = TR.select_and_test(rows.where("split = 'train'"), rows.where("split = 'val'"), rows.where("split = 'test'"),
+                                  "content", "y", regs=(0.0, 0.1))
+    return _round_all(table)

@@ -432,3 +432,19 @@ mbin AS (SELECT list_transform(m.cl, lambda c: CASE WHEN list_contains(g, c) THE
 SQL["eval_generated_multi"] = with_(
     FX_META, CLEAN_SHORT, VOCAB_MULTI, _split_cte, MULTI_RECORDS, MULTI_ANSWERS, per_label_sql("SELECT * FROM mbin")
 ) + multi_summary_sql("SELECT * FROM mbin")
+
+
+# ------------------------------------------------------------------ loader
+
+LOAD_BATCHES = f"""keyed AS (SELECT *, concat_ws(':', CAST(doc_id AS VARCHAR), CAST(page_id AS VARCHAR)) AS row_key FROM merged_long),
+lvocab AS (SELECT label, CAST(row_number() OVER (ORDER BY label) - 1 AS INTEGER) AS id FROM (SELECT DISTINCT label FROM keyed)),
+ltoks AS (SELECT row_key, regexp_extract_all(regexp_replace(lower(content), '([一-鿿])', ' \\1 ', 'g'),
+  '[\\p{{L}}\\p{{N}}]+|[^\\s\\x0b\\x1c-\\x1f\\x85\\p{{Z}}\\p{{L}}\\p{{N}}]') AS t FROM keyed),
+lranked AS (SELECT k.row_key, v.id AS label_id, l.t, row_number() OVER (ORDER BY {okey('k.row_key')}, k.row_key) AS r, count(*) OVER () AS n
+  FROM keyed k JOIN lvocab v ON k.label = v.label JOIN ltoks l ON k.row_key = l.row_key),
+lsplit AS (SELECT *, CASE WHEN r <= floor(CAST(0.8 AS DOUBLE) * n) THEN 'train' WHEN r <= floor(CAST(0.8 AS DOUBLE) * n) + floor(CAST(0.1 AS DOUBLE) * n)
+  THEN 'test' ELSE 'val' END AS split FROM lranked),
+lbatch AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY
+  md5(concat_ws(':', '42', CASE WHEN split = 'test' THEN '0' ELSE '1' END, row_key)), row_key) AS p FROM lsplit)"""
+SQL["load_batches"] = with_(FX_META, FX_WEB, MERGED_LONG, LOAD_BATCHES) + """SELECT row_key, split, CAST(floor((p - 1) / 16) AS BIGINT) AS batch_id,
+  CAST((p - 1) % 16 AS INTEGER) AS pos_in_batch, label_id, CAST(least(len(t), 510) + 2 AS INTEGER) AS n_real, 512 AS n_ids FROM lbatch"""
