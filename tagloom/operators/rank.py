@@ -79,83 +79,95 @@ def segment_by_rank(
     df: DataFrame,
     key_col: str,
     id_col: str,
-    cuts: DataFrame,
+    cuts: Sequence[tuple],
     group_cols: Sequence[str] = (),
     seg_col: str = "_seg",
+    max_group_rows: int | None = None,
     target_bucket_rows: int = 200_000,
 ) -> DataFrame:
     """Add ``seg_col`` = number of cut ranks each row's rank exceeds.
 
     Rows are ordered by ``(key_col, id_col)`` inside their group, where
     ``key_col`` is a hex string (e.g. an md5 order key) and ``id_col`` unique.
-    ``cuts`` holds ``group_cols`` + ``k`` (bigint): rank thresholds, any
-    number per group. A row of rank r gets ``#{k : r > k}``. Rows never move:
-    only bucket counts, the rows of at most one bucket per cut, and the cut
-    values themselves are shuffled.
+    ``cuts`` lists ``(*group_values, k)`` rank thresholds (a few per group,
+    derived from counts, so bounded). A row of rank r gets ``#{k : r > k}``.
+
+    Jobs: one bucket histogram (partial aggregation, ~n/target_bucket_rows
+    rows), one exact ranking restricted to the buckets that hold a cut, then
+    a projection (one group: literals; several: a broadcast join of one row
+    per group). Rows never move.
     """
+    spark = df.sparkSession
     g = list(group_cols) or ["_all"]
     if not group_cols:
         df = df.withColumn("_all", F.lit(0))
-        cuts = cuts.withColumn("_all", F.lit(0))
-    # equal cut ranks collapse to one target with a multiplicity
-    cuts = cuts.select(*g, F.col("k").cast("long").alias("k")).groupBy(*g, "k").agg(F.count(F.lit(1)).alias("_mult"))
-    narrow = df.select(*g, F.col(key_col).alias("_ck"), F.col(id_col).alias("_cid"))
+        cuts = [(0, c[-1]) for c in cuts]
+    if len(cuts) > BROADCAST_ROW_LIMIT:
+        raise ValueError(f"{len(cuts)} cut points: too many to broadcast")
+    mult: dict[tuple, int] = {}
+    for c in cuts:
+        key = tuple(c[:-1]) + (int(c[-1]),)
+        mult[key] = mult.get(key, 0) + 1  # equal cut ranks collapse, with a multiplicity
+    gtypes = [df.schema[c].dataType.simpleString() for c in g]
+    cut_schema = ", ".join(f"`{c}` {t}" for c, t in zip(g, gtypes)) + ", k long, _mult long"
+    cuts_df = spark.createDataFrame([k + (m,) for k, m in mult.items()], cut_schema)
 
-    sizes = narrow.groupBy(*g).agg(F.count(F.lit(1)).alias("_n")).cache()
-    max_rows = sizes.agg(F.max("_n")).first()[0] or 0
-    digits = _bucket_digits(int(max_rows), target_bucket_rows)
+    narrow = df.select(*g, F.col(key_col).alias("_ck"), F.col(id_col).alias("_cid"))
+    if max_group_rows is None:
+        max_group_rows = narrow.groupBy(*g).count().agg(F.max("count")).first()[0] or 0
+    digits = _bucket_digits(int(max_group_rows), target_bucket_rows)
 
     bucketed = narrow.withColumn("_b", F.substring("_ck", 1, digits))
     hist = bucketed.groupBy(*g, "_b").agg(F.count(F.lit(1)).alias("_bn"))
     # running row count per group over its (at most ~ n / target) buckets
     upto = Window.partitionBy(*g).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
     hist = hist.withColumn("_end", F.sum("_bn").over(upto)).withColumn("_start", F.col("_end") - F.col("_bn"))
-
     # the bucket holding each cut rank: start < k <= end (equi-join on the group, range test)
     targets = (
-        hist.join(F.broadcast(cuts), g, "inner")
+        hist.join(F.broadcast(cuts_df), g, "inner")
         .where((F.col("_start") < F.col("k")) & (F.col("k") <= F.col("_end")))
         .select(*g, "_b", "k", "_mult", (F.col("k") - F.col("_start")).alias("_kr"))
-        .cache()
-    )
-    n_targets = targets.count()
-    t_side = F.broadcast(targets) if n_targets <= BROADCAST_ROW_LIMIT else targets
-
-    # exact position only inside the target buckets (each about target_bucket_rows rows)
-    in_bucket = Window.partitionBy(*g, "_b", "k").orderBy("_ck", "_cid")
-    picked = (
-        bucketed.join(t_side, g + ["_b"], "inner")
-        .withColumn("_r", F.row_number().over(in_bucket))
-        .where(F.col("_r") == F.col("_kr"))
-        .select(*g, F.struct(F.struct(F.col("_ck").alias("k"), F.col("_cid").alias("i")).alias("v"), F.col("_mult").alias("m")).alias("_cut"))
-    )
-    # cuts at rank <= 0 are exceeded by every row; cuts past the group size by none
-    below = cuts.where(F.col("k") <= 0).groupBy(*g).agg(F.sum("_mult").alias("_below"))
-    per_group = (
-        picked.groupBy(*g)
-        .agg(F.collect_list("_cut").alias("_cuts"))
-        .join(below, g, "full_outer")
-        .cache()
+        .collect()  # at most one row per cut point
     )
+    below: dict[tuple, int] = {}
+    for k, m in mult.items():
+        if k[-1] <= 0:  # exceeded by every row of the group
+            below[k[:-1]] = below.get(k[:-1], 0) + m
+
+    picked_rows = []
+    if targets:
+        t_df = spark.createDataFrame([tuple(r) for r in targets], ", ".join(
+            [f"`{c}` {t}" for c, t in zip(g, gtypes)] + ["_b string", "k long", "_mult long", "_kr long"]))
+        # exact position only inside the target buckets (each about target_bucket_rows rows)
+        in_bucket = Window.partitionBy(*g, "_b", "k").orderBy("_ck", "_cid")
+        picked_rows = (
+            bucketed.join(F.broadcast(t_df), g + ["_b"], "inner")
+            .withColumn("_r", F.row_number().over(in_bucket))
+            .where(F.col("_r") == F.col("_kr"))
+            .select(*g, "_ck", "_cid", "_mult")
+            .collect()  # one row per target
+        )
+
     me = F.struct(F.col(key_col).alias("k"), F.col(id_col).alias("i"))
-    n_groups = per_group.count()
+    id_type = df.schema[id_col].dataType
     if not group_cols:
-        # one group: inline the few cut values as literals, no join at all
-        row = per_group.first()
-        cut_list = (row["_cuts"] or []) if row else []
-        n_below = (row["_below"] or 0) if row else 0
-        passed = F.lit(n_below)
-        for c in cut_list:
-            v = F.struct(F.lit(c["v"]["k"]).alias("k"), F.lit(c["v"]["i"]).cast(df.schema[id_col].dataType).alias("i"))
-            passed = passed + F.when(me > v, F.lit(c["m"])).otherwise(F.lit(0))
-        out = df.withColumn(seg_col, passed.cast("int")).drop("_all")
-    else:
-        small = F.broadcast(per_group) if n_groups <= BROADCAST_ROW_LIMIT else per_group
-        exceeded = F.aggregate(
-            F.coalesce(F.col("_cuts"), F.array()), F.lit(0).cast("long"),
-            lambda acc, c: acc + F.when(me > c["v"], c["m"]).otherwise(F.lit(0)),
-        )
-        passed = F.coalesce(F.col("_below"), F.lit(0)) + exceeded
-        out = df.join(small, g, "left").withColumn(seg_col, passed.cast("int")).drop("_cuts", "_below")
-    sizes.unpersist()
-    return out
+        passed = F.lit(below.get((0,), 0))
+        for r in picked_rows:
+            v = F.struct(F.lit(r["_ck"]).alias("k"), F.lit(r["_cid"]).cast(id_type).alias("i"))
+            passed = passed + F.when(me > v, F.lit(r["_mult"])).otherwise(F.lit(0))
+        return df.withColumn(seg_col, passed.cast("int")).drop("_all")
+
+    per_group: dict[tuple, list] = {}
+    for r in picked_rows:
+        per_group.setdefault(tuple(r[c] for c in g), []).append((r["_ck"], r["_cid"], r["_mult"]))
+    groups = set(per_group) | set(below)
+    cut_type = f"array<struct<v:struct<k:string,i:{id_type.simpleString()}>,m:long>>"
+    rows = [gv + ([((ck, ci), m) for ck, ci, m in per_group.get(gv, [])], below.get(gv, 0)) for gv in groups]
+    small = spark.createDataFrame(rows, ", ".join([f"`{c}` {t}" for c, t in zip(g, gtypes)] + [f"_cuts {cut_type}", "_below long"]))
+    exceeded = F.aggregate(
+        F.coalesce(F.col("_cuts"), F.array().cast(cut_type)), F.lit(0).cast("long"),
+        lambda acc, c: acc + F.when(me > c["v"], c["m"]).otherwise(F.lit(0)),
+    )
+    passed = F.coalesce(F.col("_below"), F.lit(0)) + exceeded
+    # one row per group (bounded by the cut list, checked above)
+    return df.join(F.broadcast(small), g, "left").withColumn(seg_col, passed.cast("int")).drop("_cuts", "_below")

@@ -18,23 +18,20 @@ from pyspark.sql import functions as F
 from .rank import hash_order_key, segment_by_rank
 
 
-def _cuts_df(spark, ks: Sequence[int]) -> DataFrame:
-    return spark.createDataFrame([(int(k),) for k in ks], "k long")
-
-
 def _name_segments(df: DataFrame, names: Sequence[str], split_col: str, seg_col: str = "_seg") -> DataFrame:
     arr = F.array(*[F.lit(n) for n in names])
     return df.withColumn(split_col, F.element_at(arr, F.col(seg_col) + 1)).drop(seg_col, "_okey")
 
 
-def split_by_sizes(df: DataFrame, id_col: str, sizes: Sequence[int], names: Sequence[str], seed, split_col: str = "split") -> DataFrame:
+def split_by_sizes(df: DataFrame, id_col: str, sizes: Sequence[int], names: Sequence[str], seed, split_col: str = "split",
+                   n: int | None = None) -> DataFrame:
     """First ``sizes[0]`` rows in hash order -> ``names[0]``, next ``sizes[1]`` -> ``names[1]``, rest -> last name."""
     ks, acc = [], 0
     for s in sizes:
         acc += int(s)
-        ks.append(acc)
+        ks.append((acc,))
     keyed = df.withColumn("_okey", hash_order_key(seed, id_col))
-    seg = segment_by_rank(keyed, "_okey", id_col, _cuts_df(df.sparkSession, ks))
+    seg = segment_by_rank(keyed, "_okey", id_col, ks, max_group_rows=n)
     return _name_segments(seg, names, split_col)
 
 
@@ -50,7 +47,7 @@ def split_random(df: DataFrame, id_col: str = "row_id", test_size: float = 0.1,
     """Two-step random split (test first, then validation from the rest)."""
     n = df.count()
     n_train, n_val, n_test = random_split_sizes(n, test_size, val_size)
-    return split_by_sizes(df, id_col, [n_test, n_val], ["test", "val", "train"], seed, split_col)
+    return split_by_sizes(df, id_col, [n_test, n_val], ["test", "val", "train"], seed, split_col, n)
 
 
 def split_holdout(df: DataFrame, id_col: str = "row_id", test_size: float = 0.2, seed=42, split_col: str = "split") -> DataFrame:
@@ -64,7 +61,7 @@ def split_fraction(df: DataFrame, id_col: str = "row_id", train_frac: float = 0.
     n = df.count()
     n_train = int(float(train_frac) * n)
     n_test = int(float(test_frac) * n)
-    return split_by_sizes(df, id_col, [n_train, n_test], ["train", "test", "val"], seed, split_col)
+    return split_by_sizes(df, id_col, [n_train, n_test], ["train", "test", "val"], seed, split_col, n)
 
 
 def split_positional(df: DataFrame, id_col: str = "row_id", train_frac: float = 0.8, drop_last: bool = False,
@@ -74,7 +71,6 @@ def split_positional(df: DataFrame, id_col: str = "row_id", train_frac: float =
     ``drop_last=True`` reproduces the reference's ``messages[k:-1]``, which
     loses the last row.
     """
-    spark = df.sparkSession
     stats = df.agg(F.count(F.lit(1)).alias("n"), F.min(id_col).alias("lo"), F.max(id_col).alias("hi")).first()
     n = stats["n"]
     if n == 0:
@@ -83,8 +79,8 @@ def split_positional(df: DataFrame, id_col: str = "row_id", train_frac: float =
     width = max(1, len(format(int(stats["hi"]) - int(stats["lo"]), "x")))
     # fixed-width hex of (id - min): string order == numeric order, prefixes spread over the id range
     keyed = df.withColumn("_okey", F.lpad(F.lower(F.hex(F.col(id_col) - F.lit(stats["lo"]))), width, "0"))
-    ks = [k, n - 1] if drop_last else [k]
-    seg = segment_by_rank(keyed, "_okey", id_col, _cuts_df(spark, ks))
+    ks = [(k,), (n - 1,)] if drop_last else [(k,)]
+    seg = segment_by_rank(keyed, "_okey", id_col, ks, max_group_rows=n)
     out = _name_segments(seg, ["train", "test", "_dropped"], split_col)
     return out.where(F.col(split_col) != "_dropped") if drop_last else out
 
@@ -105,13 +101,22 @@ def stratified_quota(counts: DataFrame, label_col: str, n_col: str, draws_col: s
     )
 
 
-def stratified_plan(df: DataFrame, label_col: str, first_test: float = 0.3, second_test: float = 0.5) -> DataFrame:
-    """Per class ``n, n_train, n_val, n_test`` of the two-step stratified split (70/15/15)."""
-    counts = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("n")).cache()
-    small = counts.where(F.col("n") < 2).limit(1).collect()
+def stratified_plan(df: DataFrame, label_col: str, first_test: float = 0.3, second_test: float = 0.5,
+                    max_classes: int = 100_000) -> DataFrame:
+    """Per class ``n, n_train, n_val, n_test`` of the two-step stratified split (70/15/15).
+
+    One job counts the classes (partial aggregation); the quota arithmetic
+    then runs on that one-row-per-class table.
+    """
+    spark = df.sparkSession
+    rows = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("n")).limit(max_classes + 1).collect()
+    if len(rows) > max_classes:
+        raise ValueError(f"more than {max_classes} classes: not a stratification key")
+    small = [r for r in rows if r["n"] < 2]
     if small:
         raise ValueError(f"class {small[0][label_col]!r} has fewer than 2 rows; stratified split impossible")
-    n = counts.agg(F.sum("n")).first()[0]
+    n = sum(r["n"] for r in rows)
+    counts = spark.createDataFrame([tuple(r) for r in rows], df.select(label_col).schema.add("n", "long"))
     n_tmp = math.ceil(first_test * n)
     step1 = stratified_quota(counts.withColumn("_d", F.lit(n - n_tmp)), label_col, "n", "_d", "n_train")
     step1 = step1.withColumn("n_tmp", F.col("n") - F.col("n_train")).drop("_d")
@@ -127,10 +132,8 @@ def split_stratified(df: DataFrame, label_col: str, id_col: str = "row_id", seed
     Per-class ranks come from bucket counts per (class, bucket), so a class
     holding a third of all rows is still spread over many tasks.
     """
-    plan = stratified_plan(df, label_col)
-    cuts = plan.select(label_col, F.col("n_train").alias("k")).unionByName(
-        plan.select(label_col, (F.col("n_train") + F.col("n_val")).alias("k"))
-    )
+    plan = stratified_plan(df, label_col).collect()  # one row per class (vocabulary-sized)
+    cuts = [(r[label_col], r["n_train"]) for r in plan] + [(r[label_col], r["n_train"] + r["n_val"]) for r in plan]
     keyed = df.withColumn("_okey", hash_order_key(seed, id_col))
-    seg = segment_by_rank(keyed, "_okey", id_col, cuts, group_cols=[label_col])
+    seg = segment_by_rank(keyed, "_okey", id_col, cuts, group_cols=[label_col], max_group_rows=max(r["n"] for r in plan))
     return _name_segments(seg, ["train", "val", "test"], split_col)

@@ -42,16 +42,19 @@ def label_vocab_multi(df: DataFrame, label_col: str) -> DataFrame:
     return dense_ids(df.select(F.explode(parse_labels(label_col)).alias("label")))
 
 
-def vocab_list(vocab: DataFrame) -> list[str]:
+def vocab_list(vocab: DataFrame, limit: int = VOCAB_LIMIT) -> list[str]:
     """Labels in id order (bounded; used to inline a multi-hot class list)."""
-    rows = bounded(vocab).orderBy("id").select("label").collect()
+    rows = vocab.orderBy("id").select("label").limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"vocabulary has more than {limit} entries")
     return [r["label"] for r in rows]
 
 
 def label_metadata(vocab: DataFrame, label_col: str, text_col: str) -> DataFrame:
     """One-row record ``labels, lab2id, id2lab (string keys), num_labels, label_col, text_col``."""
     entries = F.sort_array(F.collect_list(F.struct("id", "label")))
-    return bounded(vocab).agg(entries.alias("_e")).select(
+    # ``vocab`` comes from ``dense_ids`` (size already checked); one row out
+    return vocab.agg(entries.alias("_e")).select(
         F.transform("_e", lambda e: e["label"]).alias("labels"),
         F.map_from_entries(F.transform("_e", lambda e: F.struct(e["label"], e["id"]))).alias("lab2id"),
         F.map_from_entries(F.transform("_e", lambda e: F.struct(e["id"].cast("string"), e["label"]))).alias("id2lab"),

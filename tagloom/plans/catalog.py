@@ -735,10 +735,10 @@ def multi_echo_model():
 
 @query("eval_generated_multi")
 def q_eval_generated_multi(spark, sf_dir):
-    recs = _short_records(spark, sf_dir).where(F.col("split") == "test")
+    p = _prepared_short(spark, sf_dir)
+    recs = SFT.build_sft_multi(p.data).where(F.col("split") == "test")
     ans = SFT.generate(recs, multi_echo_model(), MULTI_ECHO_SCHEMA)
-    classes = V.vocab_list(V.label_vocab_multi(_prepared_short(spark, sf_dir).data, "tags"))
-    summary, _ = SFT.eval_generated_multi(ans, classes)
+    summary, _ = SFT.eval_generated_multi(ans, V.vocab_list(p.vocab))
     return _round_all(summary)
 
 

@@ -43,9 +43,8 @@ def build_sft_single(merged: DataFrame, categories: Sequence[str] = (), train_fr
     key = F.concat(F.lpad(F.lower(F.hex(F.col("doc_id") - F.lit(stats["d0"]))), wd, "0"),
                    F.lpad(F.lower(F.hex(F.col("page_id") - F.lit(stats["p0"]))), wp, "0"))
     k = int(float(train_frac) * n)
-    ks = [k, n - 1] if drop_last else [k]
-    cuts = merged.sparkSession.createDataFrame([(x,) for x in ks], "k long")
-    seg = segment_by_rank(out.withColumn("_okey", key), "_okey", "page_id", cuts)
+    ks = [(k,), (n - 1,)] if drop_last else [(k,)]
+    seg = segment_by_rank(out.withColumn("_okey", key), "_okey", "page_id", ks, max_group_rows=n)
     names = F.array(F.lit("train"), F.lit("test"), F.lit("_dropped"))
     res = seg.withColumn("split", F.element_at(names, F.col("_seg") + 1)).drop("_seg", "_okey")
     if drop_last:

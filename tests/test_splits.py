@@ -40,11 +40,22 @@ def test_random_matches_brute_force(spark):
 def test_small_buckets_still_exact(spark):
     # force many buckets so cut ranks fall inside partially covered buckets
     df = _ids(spark, 3000).withColumn("_k", R.hash_order_key(1, "row_id"))
-    cuts = spark.createDataFrame([(0,), (1,), (1500,), (2999,), (3000,), (5000,)], "k long")
+    cuts = [(0,), (1,), (1500,), (1500,), (2999,), (3000,), (5000,)]
     seg = R.segment_by_rank(df, "_k", "row_id", cuts, target_bucket_rows=50).collect()
     order = sorted(seg, key=lambda r: (r._k, r.row_id))
     for rank, r in enumerate(order, start=1):
-        assert r._seg == sum(1 for k in (0, 1, 1500, 2999, 3000, 5000) if rank > k)
+        assert r._seg == sum(1 for k in (0, 1, 1500, 1500, 2999, 3000, 5000) if rank > k)
+
+
+def test_grouped_segments_match_brute_force(spark):
+    df = _ids(spark, 2000).withColumn("g", (F.col("row_id") % 3).cast("string")).withColumn("_k", R.hash_order_key(5, "row_id"))
+    cuts = [("0", 10), ("0", 10), ("1", 0), ("1", 400), ("2", 666), ("2", 667), ("2", 9999)]
+    seg = R.segment_by_rank(df, "_k", "row_id", cuts, group_cols=["g"], target_bucket_rows=20).collect()
+    for gv in "012":
+        rows = sorted((r for r in seg if r.g == gv), key=lambda r: (r._k, r.row_id))
+        ks = [k for g2, k in cuts if g2 == gv]
+        for rank, r in enumerate(rows, start=1):
+            assert r._seg == sum(1 for k in ks if rank > k)
 
 
 def test_stratified_quotas(spark):
