@@ -9,13 +9,24 @@ from pyspark.sql import functions as F
 from .vocab import VOCAB_LIMIT, bounded
 
 
-def left_join_content(meta: DataFrame, web: DataFrame, left_key: str, right_key: str) -> DataFrame:
+def left_join_content(meta: DataFrame, web: DataFrame, left_key: str, right_key: str, skew_safe: bool = True) -> DataFrame:
     """pandas ``merge(how="left")``: null keys match null keys, repeated right keys fan out.
 
-    ``<=>`` is still an equi-join key, so Spark can hash- or sort-merge on it;
-    AQE splits a hot key's partition when one dominates.
+    ``<=>`` is still an equi-join key. With ``skew_safe`` the left join is
+    built as an inner join (AQE can split a hot key on either side) plus the
+    left rows without a match, found by an anti-join against the *distinct*
+    right keys (partial aggregation collapses a key that holds a third of the
+    rows before it is shuffled). A plain left outer join could split only the
+    left side, leaving one task with every right row of a hot key.
     """
-    return meta.join(web, meta[left_key].eqNullSafe(web[right_key]), "left")
+    cond = meta[left_key].eqNullSafe(web[right_key])
+    if not skew_safe:
+        return meta.join(web, cond, "left")
+    matched = meta.join(web, cond, "inner")
+    keys = web.select(F.col(right_key).alias("_rkey")).distinct()
+    unmatched = meta.join(keys, meta[left_key].eqNullSafe(keys["_rkey"]), "left_anti")
+    pad = [F.lit(None).cast(f.dataType).alias(f.name) for f in web.schema.fields]
+    return matched.unionByName(unmatched.select(*meta.columns, *pad))
 
 
 def merge_content(meta: DataFrame, web: DataFrame, left_key: str, right_key: str, content_col: str) -> DataFrame:

@@ -52,13 +52,14 @@ def exact_rank(df: DataFrame, order_cols: Sequence, rank_col: str = "rank", num_
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [_col(c) for c in order_cols]
+    ranged = df.repartitionByRange(n, *order)
     tagged = (
-        df.repartitionByRange(n, *order)
-        .sortWithinPartitions(*order)
+        ranged.sortWithinPartitions(*order)
         .withColumn("_rk_part", F.spark_partition_id())
         .withColumn("_rk_local", F.monotonically_increasing_id() - F.shiftleft(F.col("_rk_part").cast("long"), 33))
     )
-    sizes = tagged.groupBy("_rk_part").agg(F.count(F.lit(1)).alias("_rk_n"))
+    # partition sizes read the same range exchange (reused at run time) without sorting it
+    sizes = ranged.select(F.spark_partition_id().alias("_rk_part")).groupBy("_rk_part").agg(F.count(F.lit(1)).alias("_rk_n"))
     before = Window.orderBy("_rk_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_rk_part", F.coalesce(F.sum("_rk_n").over(before), F.lit(0)).alias("_rk_off"))
     # one row per range partition: bounded by n

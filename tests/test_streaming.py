@@ -1,0 +1,22 @@
+from pyspark.sql import functions as F
+
+from tagloom.plans import fixtures as FX
+from tagloom.session import scratch_path
+from tagloom.streaming.evaluate import label_counts, metrics_from_counts, start_label_counts
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_streaming_counts_equal_batch(spark):
+    answers = FX.fx_resp_multi(spark, SF).select(F.col("gold").alias("output"), F.col("resp").alias("response"), "vec_id")
+    src = scratch_path(spark, "answers")
+    # two arrivals: the stream must add them up exactly once
+    answers.where("vec_id % 2 = 0").drop("vec_id").write.json(src + "/part=a")
+    answers.where("vec_id % 2 = 1").drop("vec_id").write.json(src + "/part=b")
+    q = start_label_counts(spark, src + "/*", FX.FX_MULTI_CLASSES, "answer_counts")
+    q.awaitTermination(120)
+    streamed = {tuple(r) for r in spark.table("answer_counts").select("pos", "tp", "fp", "fn", "support").collect()}
+    batch = label_counts(answers, FX.FX_MULTI_CLASSES)
+    assert streamed == {tuple(r) for r in batch.select("pos", "tp", "fp", "fn", "support").collect()}
+    m = metrics_from_counts(spark.table("answer_counts")).first()
+    assert 0.0 <= m.micro_f1 <= 1.0
