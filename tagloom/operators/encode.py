@@ -42,7 +42,10 @@ def token_vocab(df: DataFrame, tokens_col: str, max_vocab: int) -> DataFrame:
     task); the top-k is a bounded ``TakeOrderedAndProject``; only the capped
     table is ranked.
     """
-    counts = df.select(F.explode(tokens_col).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    # explode_outer: a plain explode makes Catalyst infer ``size(tokens) > 0`` and push that
+    # filter (the whole tokenizer) below any repartition, tokenizing every text twice
+    tokens = df.select(F.explode_outer(tokens_col).alias("token")).where(F.col("token").isNotNull())
+    counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     top = counts.orderBy(F.desc("n"), F.asc("token")).limit(max_vocab)
     ranked = top.withColumn("id", (F.row_number().over(Window.orderBy(F.desc("n"), F.asc("token"))) + len(SPECIAL_TOKENS) - 1).cast("int"))
     return ranked.select("token", "id", "n")

@@ -102,7 +102,7 @@ SQL["drop_blank"] = with_(FX_META, CLEAN_SHORT) + "SELECT row_id, scene, tags FR
 SQL["cast_cells"] = ("SELECT vec_id, CAST(label AS VARCHAR) AS label_text, CAST(CAST(label AS DOUBLE) AS VARCHAR) AS label_float_text, "
                      "CAST(CAST(label AS VARCHAR) AS INTEGER) AS label_int FROM embeddings")
 SQL["take_rows"] = "SELECT doc_id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)"
-SQL["parse_labels"] = with_(FX_META) + f"SELECT doc_id, {joined(parse_labels('tags'))} AS labels, len({parse_labels('tags')}) AS n_labels FROM fx_meta"
+SQL["parse_labels"] = with_(FX_META) + f"SELECT doc_id, {joined(parse_labels('tags'))} AS labels, CAST(len({parse_labels('tags')}) AS INTEGER) AS n_labels FROM fx_meta"
 SQL["first_label"] = with_(FX_META) + "SELECT doc_id, split_part(tags, '、', 1) AS label FROM fx_meta"
 SQL["canonical_separator"] = with_(FX_META) + "SELECT doc_id, replace(tags, '、', ',') AS tags FROM fx_meta"
 SQL["left_join_web"] = with_(FX_META, FX_WEB) + (
@@ -114,9 +114,10 @@ SQL["dedupe_first"] = with_(FX_META) + (
     "SELECT doc_id, src, tags FROM fx_meta QUALIFY row_number() OVER (PARTITION BY src ORDER BY doc_id) = 1")
 SQL["prepare_long"] = with_(FX_META, FX_WEB, MERGED_LONG) + "SELECT doc_id, page_id, content, label FROM merged_long"
 SQL["class_distribution"] = with_(FX_META, FX_WEB, MERGED_LONG) + "SELECT label, count(*) AS n FROM merged_long GROUP BY label"
-SQL["stage_counts"] = with_(FX_META) + f"""SELECT count(*) AS n_rows, count_if(src IS NOT NULL) AS n_src,
-  count_if(coalesce({strip('scene')} <> '', false)) AS n_scene, count_if(coalesce({strip('tags')} <> '', false)) AS n_tags,
-  count_if(coalesce({strip('scene')} <> '' AND {strip('tags')} <> '', false)) AS n_clean FROM fx_meta"""
+SQL["stage_counts"] = with_(FX_META) + f"""SELECT count(*) AS n_rows, CAST(count_if(src IS NOT NULL) AS BIGINT) AS n_src,
+  CAST(count_if(coalesce({strip('scene')} <> '', false)) AS BIGINT) AS n_scene,
+  CAST(count_if(coalesce({strip('tags')} <> '', false)) AS BIGINT) AS n_tags,
+  CAST(count_if(coalesce({strip('scene')} <> '' AND {strip('tags')} <> '', false)) AS BIGINT) AS n_clean FROM fx_meta"""
 SQL["label_vocab_single"] = with_(FX_META, FX_WEB, MERGED_LONG) + (
     "SELECT label, CAST(row_number() OVER (ORDER BY label) - 1 AS INTEGER) AS id FROM (SELECT DISTINCT label FROM merged_long)")
 SQL["label_vocab_multi"] = with_(FX_META, CLEAN_SHORT) + (

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,7 +61,9 @@ def clean_short(meta: DataFrame, cfg: ShortConfig = ShortConfig()) -> tuple[Data
 def prepare_short(meta: DataFrame, cfg: ShortConfig = ShortConfig()) -> Prepared:
     """Clean -> parse labels -> vocabulary -> multi-hot ``y`` -> exact random split."""
     df, label_col = clean_short(meta, cfg)
-    df = df.withColumn("labels", parse_labels(label_col))
+    # the cleaned table feeds four passes (vocabulary, size, bucket counts, cut
+    # rows) before the final one: strip the whole texts once, not five times
+    df = df.withColumn("labels", parse_labels(label_col)).persist(StorageLevel.MEMORY_AND_DISK)
     vocab = label_vocab_multi(df, label_col)
     classes = vocab_list(vocab)  # bounded: checked against VOCAB_LIMIT
     df = df.withColumn("y", multi_hot("labels", classes))
