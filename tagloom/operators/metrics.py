@@ -121,37 +121,41 @@ def classification_report(df: DataFrame, y_col: str, pred_col: str) -> DataFrame
 # ---------------------------------------------------------------- multi-label
 
 
-def per_label_counts(df: DataFrame, y_col: str, pred_col: str) -> DataFrame:
-    """``pos, tp, fp, fn, support`` per label position of two equal-length 0/1 arrays."""
-    z = df.select(F.posexplode(F.arrays_zip(F.col(y_col).alias("t"), F.col(pred_col).alias("p"))).alias("pos", "v"))
+def per_label_counts(df: DataFrame, y_col: str, pred_col: str, with_rows: bool = False) -> DataFrame:
+    """``pos, tp, fp, fn, support`` per label position of two equal-length 0/1 arrays.
+
+    With ``with_rows`` the same pass also counts, on position 0, the rows and
+    the rows whose whole arrays are equal (for subset accuracy).
+    """
+    same = (F.col(y_col).cast("array<int>") == F.col(pred_col).cast("array<int>")).cast("long")
+    z = df.select(same.alias("_same"), F.posexplode(F.arrays_zip(F.col(y_col).alias("t"), F.col(pred_col).alias("p"))).alias("pos", "v"))
     t = F.col("v.t").cast("long")
     p = F.col("v.p").cast("long")
-    return z.groupBy("pos").agg(
+    aggs = [
         F.sum(t * p).alias("tp"),
         F.sum((F.lit(1) - t) * p).alias("fp"),
         F.sum(t * (F.lit(1) - p)).alias("fn"),
         F.sum(t).alias("support"),
-    )
+    ]
+    if with_rows:
+        first = F.col("pos") == 0
+        aggs += [F.sum(F.when(first, F.col("_same")).otherwise(0)).alias("_exact"),
+                 F.sum(F.when(first, 1).otherwise(0)).alias("_rows")]
+    return z.groupBy("pos").agg(*aggs)
 
 
 def multilabel_summary(df: DataFrame, y_col: str, pred_col: str) -> DataFrame:
-    """Micro and macro P/R/F1 over all label positions, plus subset accuracy."""
-    counts = with_scores(per_label_counts(df, y_col, pred_col))
-    agg = counts.agg(
+    """Micro and macro P/R/F1 over all label positions, plus subset accuracy — one pass over ``df``."""
+    counts = with_scores(per_label_counts(df, y_col, pred_col, with_rows=True))
+    return counts.agg(
         _ratio(F.sum("tp"), F.sum("tp") + F.sum("fp")).alias("micro_precision"),
         _ratio(F.sum("tp"), F.sum("tp") + F.sum("fn")).alias("micro_recall"),
         _f1(F.sum("tp"), F.sum("fp"), F.sum("fn")).alias("micro_f1"),
         F.avg("precision").alias("macro_precision"),
         F.avg("recall").alias("macro_recall"),
         F.avg("f1").alias("macro_f1"),
+        _ratio(F.sum("_exact"), F.sum("_rows")).alias("subset_acc"),
     )
-    exact = df.agg(
-        F.coalesce(F.avg((F.col(y_col).cast("array<int>") == F.col(pred_col).cast("array<int>")).cast("double")), F.lit(0.0)).alias(
-            "subset_acc"
-        )
-    )
-    # two one-row tables; attach side by side with a constant equi-key
-    return agg.withColumn("_k", F.lit(1)).join(exact.withColumn("_k", F.lit(1)), "_k").drop("_k")
 
 
 def multilabel_metrics(df: DataFrame, y_col: str, prob_col: str, t: float = 0.5) -> DataFrame:

@@ -59,3 +59,15 @@ def test_normalize_headers(spark):
     assert normalize_headers(df).columns == ["场景归类", "x"]
     with pytest.raises(ValueError):
         normalize_headers(spark.createDataFrame([(1, 2)], ["a\n1", "a\n2"]))
+
+
+def test_require_and_find_columns(spark):
+    from tagloom.operators.clean import find_column, require_columns
+
+    df = spark.createDataFrame([(1, 2, 3)], ["场景归类A", "场景归类B", "x"])
+    assert find_column(df, "场景归类") == "场景归类A"  # first in column order
+    with pytest.raises(ValueError):
+        find_column(df, "missing")
+    with pytest.raises(ValueError):
+        require_columns(df, ["x", "来源"])
+    assert require_columns(df, ["x"]) is df
