@@ -9,15 +9,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import arrays as AR
+from ..functions import templates as TP
 from ..functions import text as T
 from ..operators import aggregate as A
 from ..operators import clean as C
+from ..operators import encode as EN
 from ..operators import joins as J
+from ..operators import metrics as M
+from ..operators import rank as R
+from ..operators import score as SC
+from ..operators import split as X
+from ..operators import train as TR
 from ..operators import vocab as V
-from ..session import read_parquet_table, table_path
+from ..session import read_parquet_table, scratch_path, table_path
 from ..sources import tables as S
 from . import fixtures as FX
+from . import loader as LD
 from . import prepare as P
+from . import sft as SFT
+from .loader import assign_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -205,11 +216,6 @@ def q_label_ids(spark, sf_dir):
 
 # ------------------------------------------------------------------ ranks, batches, splits
 
-from ..functions import arrays as AR  # noqa: E402
-from ..operators import metrics as M  # noqa: E402
-from ..operators import rank as R  # noqa: E402
-from ..operators import split as X  # noqa: E402
-from ..session import scratch_path  # noqa: E402
 
 SEED = 42
 
@@ -235,7 +241,6 @@ def q_epoch_shuffle(spark, sf_dir):
     return R.exact_rank(d, ["shuffle_key", "row_id"], "position").select("row_id", "epoch", "shuffle_key", "position")
 
 
-from .loader import assign_batches  # noqa: E402
 
 
 @query("assign_batches")
@@ -458,10 +463,6 @@ def q_improved_epochs(spark, sf_dir):
 
 # ------------------------------------------------------------------ sinks and round trips
 
-from ..functions import templates as TP  # noqa: E402
-from ..operators import encode as EN  # noqa: E402
-from ..operators import score as SC  # noqa: E402
-from . import sft as SFT  # noqa: E402
 
 
 @query("csv_roundtrip")
@@ -744,8 +745,6 @@ def q_eval_generated_multi(spark, sf_dir):
 
 # ------------------------------------------------------------------ loader and training
 
-from ..operators import train as TR  # noqa: E402
-from . import loader as LD  # noqa: E402
 
 
 def _merged_keyed(spark, sf_dir) -> DataFrame:
