@@ -2,11 +2,11 @@
 
 Two tools, both without any unpartitioned window over data-sized input:
 
-* ``exact_rank`` — the exact 1-based position of every row in a total order.
-  Range-partition on the order, sort inside partitions, number rows inside
-  each partition, and add the row count of all earlier partitions. Partition
-  sizes come from the same range exchange (Spark reuses it), so the only
-  thing that passes through a single partition is one count per partition.
+* ``exact_rank`` — the exact 1-based position of every row in a hash order
+  (optionally within groups). Bucket the hash key so each bucket holds about
+  ``target_bucket_rows`` rows, count rows per bucket, and number rows inside
+  each bucket from the bucket's start. Deterministic: no range sampling and
+  no partition-dependent ids, so recomputed tasks agree.
 
 * ``segment_by_rank`` — exact splits by rank without moving
   the rows at all. A split only needs, per group, the order value at a few
@@ -43,30 +43,46 @@ def hash_order_key(seed, *cols) -> Column:
     return F.md5(F.concat_ws(":", *parts))
 
 
-def exact_rank(df: DataFrame, order_cols: Sequence, rank_col: str = "rank", num_partitions: int | None = None) -> DataFrame:
-    """Add ``rank_col`` = exact 1-based position of each row in ``order_cols`` order.
-
-    ``order_cols`` must be a total order (end it with a unique id) for the
-    result to be reproducible.
+def exact_rank(
+    df: DataFrame,
+    key_col: str,
+    id_col: str,
+    group_cols: Sequence[str] = (),
+    rank_col: str = "rank",
+    target_bucket_rows: int = 200_000,
+    max_groups: int = BROADCAST_ROW_LIMIT,
+) -> DataFrame:
+    """Add ``rank_col`` = exact 1-based position of each row in ``(key_col, id_col)`` order
+    within its group; ``key_col`` is a hex hash key (e.g. ``hash_order_key``), ``id_col`` unique.
+
+    Rows are numbered inside hash-prefix buckets of about ``target_bucket_rows``
+    rows of their group (a group holding a third of all rows just gets more
+    buckets), and each bucket's start comes from bucket counts. Everything is
+    a function of the data: no sampling, no partition-dependent ids, so a
+    recomputed task yields the same ranks. One shuffle moves the rows (by
+    group and bucket); the bucket table is broadcast when it is small.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [_col(c) for c in order_cols]
-    ranged = df.repartitionByRange(n, *order)
-    tagged = (
-        ranged.sortWithinPartitions(*order)
-        .withColumn("_rk_part", F.spark_partition_id())
-        .withColumn("_rk_local", F.monotonically_increasing_id() - F.shiftleft(F.col("_rk_part").cast("long"), 33))
-    )
-    # partition sizes read the same range exchange (reused at run time) without sorting it
-    sizes = ranged.select(F.spark_partition_id().alias("_rk_part")).groupBy("_rk_part").agg(F.count(F.lit(1)).alias("_rk_n"))
-    before = Window.orderBy("_rk_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_rk_part", F.coalesce(F.sum("_rk_n").over(before), F.lit(0)).alias("_rk_off"))
-    # one row per range partition: bounded by n
+    g = list(group_cols) or ["_all"]
+    if not group_cols:
+        df = df.withColumn("_all", F.lit(0))
+    sizes = df.groupBy(*g).count().limit(max_groups + 1).collect()
+    if len(sizes) > max_groups:
+        raise ValueError(f"more than {max_groups} rank groups")
+    if not sizes:
+        return df.withColumn(rank_col, F.lit(None).cast("long")).drop("_all")
+    digits = _bucket_digits(max(r["count"] for r in sizes), target_bucket_rows)
+    keyed = df.withColumn("_rb", F.substring(key_col, 1, digits))
+    hist = keyed.groupBy(*g, "_rb").agg(F.count(F.lit(1)).alias("_rn"))
+    upto = Window.partitionBy(*g).orderBy("_rb").rowsBetween(Window.unboundedPreceding, -1)
+    starts = hist.select(*g, "_rb", F.coalesce(F.sum("_rn").over(upto), F.lit(0)).alias("_rstart"))
+    # at most groups x 16^digits rows (~ n / target_bucket_rows); broadcast only below the limit
+    bound = len(sizes) * 16 ** digits
+    starts = F.broadcast(starts) if bound <= BROADCAST_ROW_LIMIT else starts
+    in_bucket = Window.partitionBy(*g, "_rb").orderBy(F.col(key_col), F.col(id_col))
     return (
-        tagged.join(F.broadcast(offsets), "_rk_part")
-        .withColumn(rank_col, F.col("_rk_off") + F.col("_rk_local") + F.lit(1))
-        .drop("_rk_part", "_rk_local", "_rk_off")
+        keyed.join(starts, g + ["_rb"])
+        .withColumn(rank_col, F.col("_rstart") + F.row_number().over(in_bucket))
+        .drop("_rb", "_rstart", "_all")
     )
 
 

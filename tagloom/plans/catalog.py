@@ -227,7 +227,7 @@ def _docs_ids(spark, sf_dir) -> DataFrame:
 @query("exact_rank")
 def q_exact_rank(spark, sf_dir):
     d = _docs_ids(spark, sf_dir).withColumn("_k", R.hash_order_key(SEED, "row_id"))
-    return R.exact_rank(d, ["_k", "row_id"], "rank").select("row_id", "rank")
+    return R.exact_rank(d, "_k", "row_id", rank_col="rank").select("row_id", "rank")
 
 
 def _epoch_order(spark, sf_dir, epoch: int) -> DataFrame:
@@ -238,7 +238,7 @@ def _epoch_order(spark, sf_dir, epoch: int) -> DataFrame:
 @query("epoch_shuffle")
 def q_epoch_shuffle(spark, sf_dir):
     d = _epoch_order(spark, sf_dir, 1)
-    return R.exact_rank(d, ["shuffle_key", "row_id"], "position").select("row_id", "epoch", "shuffle_key", "position")
+    return R.exact_rank(d, "shuffle_key", "row_id", rank_col="position").select("row_id", "epoch", "shuffle_key", "position")
 
 
 
@@ -246,7 +246,7 @@ def q_epoch_shuffle(spark, sf_dir):
 @query("assign_batches")
 def q_assign_batches(spark, sf_dir):
     d = _epoch_order(spark, sf_dir, 1)
-    return assign_batches(d, ["shuffle_key", "row_id"], 16).select("row_id", "batch_id", "pos_in_batch")
+    return assign_batches(d, "shuffle_key", "row_id", 16).select("row_id", "batch_id", "pos_in_batch")
 
 
 @query("split_random")
@@ -669,7 +669,7 @@ def q_strip_prompt_ids(spark, sf_dir):
 @query("pad_batches")
 def q_pad_batches(spark, sf_dir):
     m = _masked_records(spark, sf_dir).withColumn("_k", R.hash_order_key(SEED, "row_id"))
-    b = assign_batches(m, ["_k", "row_id"], 16)
+    b = assign_batches(m, "_k", "row_id", 16)
     padded = EN.pad_batches(b, "batch_id")
     return padded.select(
         "row_id", "batch_id", F.size("input_ids").alias("n_ids"),

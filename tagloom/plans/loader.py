@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.encode import encode_fixed, encode_tokens, token_vocab, tokenize
@@ -18,22 +18,9 @@ from ..operators.rank import exact_rank, hash_order_key
 from ..operators.split import split_fraction
 
 
-def assign_batches(df: DataFrame, order_cols: Sequence, batch_size: int, group_col: str | None = None) -> DataFrame:
-    """``batch_id`` / ``pos_in_batch`` from the exact rank in ``order_cols`` order (within ``group_col``).
-
-    One range shuffle of the rows; group offsets come from a per-group count
-    (one row per group, broadcast).
-    """
-    order = ([F.col(group_col)] if group_col else []) + [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    ranked = exact_rank(df, order, "_pos")
-    if group_col:
-        sizes = df.groupBy(group_col).agg(F.count(F.lit(1)).alias("_gn"))
-        before = Window.orderBy(group_col).rowsBetween(Window.unboundedPreceding, -1)
-        starts = sizes.select(group_col, F.coalesce(F.sum("_gn").over(before), F.lit(0)).alias("_gstart"))
-        n_groups = sizes.count()
-        if n_groups > 100_000:
-            raise ValueError(f"{n_groups} batch groups: too many to broadcast the offsets")
-        ranked = ranked.join(F.broadcast(starts), group_col).withColumn("_pos", F.col("_pos") - F.col("_gstart")).drop("_gstart")
+def assign_batches(df: DataFrame, key_col: str, id_col: str, batch_size: int, group_col: str | None = None) -> DataFrame:
+    """``batch_id`` / ``pos_in_batch`` from the exact rank in ``(key_col, id_col)`` hash order (within ``group_col``)."""
+    ranked = exact_rank(df, key_col, id_col, [group_col] if group_col else [], "_pos")
     return ranked.withColumns({
         "batch_id": F.floor((F.col("_pos") - 1) / batch_size).cast("long"),
         "pos_in_batch": ((F.col("_pos") - 1) % batch_size).cast("int"),
@@ -51,4 +38,4 @@ def load_batches(merged: DataFrame, vocab_labels: DataFrame, id_col: str, text_c
     # train and validation are reshuffled every epoch; test keeps one order
     ep: Column = F.when(F.col("split") == "test", F.lit(0)).otherwise(F.lit(epoch))
     rows = rows.withColumn("_bkey", hash_order_key(seed, ep, id_col))
-    return assign_batches(rows, ["_bkey", id_col], batch_size, group_col="split").drop("_bkey")
+    return assign_batches(rows, "_bkey", id_col, batch_size, group_col="split").drop("_bkey")

@@ -70,9 +70,14 @@ def test_stratified_quotas(spark):
 
 def test_exact_rank_equals_row_number(spark):
     df = _ids(spark, 500, 7).withColumn("k", R.hash_order_key(3, "row_id"))
-    got = {r.row_id: r.rank for r in R.exact_rank(df, ["k", "row_id"], "rank", 5).collect()}
+    got = {r.row_id: r.rank for r in R.exact_rank(df, "k", "row_id", target_bucket_rows=20).collect()}
     order = sorted(df.collect(), key=lambda r: (r.k, r.row_id))
     assert got == {r.row_id: i for i, r in enumerate(order, start=1)}
+    g = df.withColumn("g", (F.col("row_id") % 3).cast("string"))
+    got = {(r.g, r.row_id): r.rank for r in R.exact_rank(g, "k", "row_id", ["g"], target_bucket_rows=10).collect()}
+    for gv in "012":
+        rows = sorted((r for r in g.collect() if r.g == gv), key=lambda r: (r.k, r.row_id))
+        assert all(got[(gv, r.row_id)] == i for i, r in enumerate(rows, start=1))
 
 
 def test_split_plan_moves_no_rows(spark):
