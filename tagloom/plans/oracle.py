@@ -6,6 +6,8 @@ Fixtures are CTEs that build the same rows as ``plans.fixtures``.
 
 from __future__ import annotations
 
+from ..functions.templates import FIXED_CLASSES, MULTI_LABEL_INSTRUCTION, SINGLE_LABEL_INSTRUCTION
+
 # Python's str.isspace() set (see functions.text) as a DuckDB expression.
 WS = "(" + " || ".join(
     f"chr({c})" for c in [9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760]
@@ -329,12 +331,9 @@ SQL["load_split"] = SPLITS_SHORT + (
 
 # ------------------------------------------------------------------ instruction-tuning records
 
-MULTI_INSTRUCTION = (
-    "你是一个文本多标签分类专家。给定一段文本和一组备选标签，请从中选择所有适用的标签，"
-    "并且只输出这些标签的列表，用逗号分隔；如果没有任何标签适用，则输出“无”,注意：只能从备选标签中选择，不要生成新的标签。"
-)
-SINGLE_INSTRUCTION = "你是一个文本分类领域的专家，你会接收到一段文本和几个潜在的分类选项，请输出文本内容的正确类型。"
-FIXED_CATS = "[事故处理, 停车管控, 安全引导, 拥堵治理, 流量检测, 流量监测, 车辆违法]"
+MULTI_INSTRUCTION = MULTI_LABEL_INSTRUCTION
+SINGLE_INSTRUCTION = SINGLE_LABEL_INSTRUCTION
+FIXED_CATS = "[" + ", ".join(FIXED_CLASSES) + "]"
 
 
 def record_cols(text: str, label: str, instruction: str, cats: str) -> str:
