@@ -68,6 +68,8 @@ def exact_rank(
     sizes = df.groupBy(*g).count().limit(max_groups + 1).collect()
     if len(sizes) > max_groups:
         raise ValueError(f"more than {max_groups} rank groups")
+    if any(r[c] is None for r in sizes for c in g):
+        raise ValueError(f"null values in rank group columns {g}")
     if not sizes:
         return df.withColumn(rank_col, F.lit(None).cast("long")).drop("_all")
     digits = _bucket_digits(max(r["count"] for r in sizes), target_bucket_rows)
@@ -121,6 +123,8 @@ def segment_by_rank(
         cuts = [(0, c[-1]) for c in cuts]
     if len(cuts) > BROADCAST_ROW_LIMIT:
         raise ValueError(f"{len(cuts)} cut points: too many to broadcast")
+    if any(v is None for c in cuts for v in c[:-1]):
+        raise ValueError("null group value in cut points")
     mult: dict[tuple, int] = {}
     for c in cuts:
         key = tuple(c[:-1]) + (int(c[-1]),)

@@ -112,6 +112,8 @@ def stratified_plan(df: DataFrame, label_col: str, first_test: float = 0.3, seco
     rows = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("n")).limit(max_classes + 1).collect()
     if len(rows) > max_classes:
         raise ValueError(f"more than {max_classes} classes: not a stratification key")
+    if any(r[label_col] is None for r in rows):
+        raise ValueError(f"null {label_col!r} values: drop or fill them before a stratified split")
     small = [r for r in rows if r["n"] < 2]
     if small:
         raise ValueError(f"class {small[0][label_col]!r} has fewer than 2 rows; stratified split impossible")

@@ -85,3 +85,11 @@ def test_split_plan_moves_no_rows(spark):
     out = X.split_random(df, "row_id", 0.1, 0.1, 42)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "SinglePartition" not in plan
+
+
+def test_null_groups_are_rejected(spark):
+    df = _ids(spark, 50).withColumn("c", F.when(F.col("row_id") < 5, None).otherwise("a")).withColumn("_k", R.hash_order_key(1, "row_id"))
+    with pytest.raises(ValueError):
+        X.split_stratified(df, "c", "row_id")
+    with pytest.raises(ValueError):
+        R.exact_rank(df, "_k", "row_id", ["c"])
