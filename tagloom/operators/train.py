@@ -16,6 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .aggregate import mean_loss
 from .metrics import classification_metrics, multilabel_metrics
 
 TOKEN_GAPS = r"[^\p{L}\p{N}]+"
@@ -44,13 +45,26 @@ def predict_single(model, df: DataFrame, pred_col: str = "pred") -> DataFrame:
     return out.withColumn(pred_col, F.col("prediction").cast("int")).drop("_tok", "_tf", "features", "rawPrediction", "probability", "prediction")
 
 
+def evaluate_single(model, df: DataFrame, label_col: str) -> dict:
+    """Macro metrics and mean cross-entropy ``-log p(y)`` of one split (predictions scored once)."""
+    out = model.transform(df).select(
+        F.col(label_col).cast("int").alias("_y"),
+        F.col("prediction").cast("int").alias("_p"),
+        (-F.log(F.greatest(F.element_at(vector_to_array("probability"), F.col(label_col).cast("int") + 1), F.lit(1e-15)))).alias("_loss"),
+    ).cache()
+    m = classification_metrics(out, "_y", "_p").first().asDict()
+    m["loss"] = mean_loss(out, "_loss").first()["loss"]
+    out.unpersist()
+    return m
+
+
 def select_and_test(train: DataFrame, val: DataFrame, test: DataFrame, text_col: str, label_col: str,
                     regs: Sequence[float] = (0.0, 0.01, 0.1), max_iter: int = 30) -> tuple[PipelineModel, DataFrame]:
     """Fit each candidate, keep the first with the strictly best validation macro F1, score test once.
 
     Features are fitted once on train and the three transformed splits are
     cached, so candidates differ only in the classifier fit. Returns the
-    chosen pipeline and ``candidate, reg, split, accuracy, precision, recall, f1, chosen``.
+    chosen pipeline and ``candidate, reg, split, accuracy, precision, recall, f1, loss, chosen``.
     """
     y = F.col(label_col).cast("double")
     feats = Pipeline(stages=feature_stages(text_col)).fit(train)
@@ -58,20 +72,33 @@ def select_and_test(train: DataFrame, val: DataFrame, test: DataFrame, text_col:
     best, best_f1, best_i, rows = None, -1.0, 0, []
     for i, reg in enumerate(regs):
         clf = _classifier(label_col, reg, max_iter).fit(tr)
-        m = classification_metrics(predict_single(clf, va), label_col, "pred").first()
-        rows.append((i, float(reg), "val", m["accuracy"], m["precision"], m["recall"], m["f1"]))
+        m = evaluate_single(clf, va, label_col)
+        rows.append((i, float(reg), "val", m["accuracy"], m["precision"], m["recall"], m["f1"], m["loss"]))
         if m["f1"] > best_f1:  # strict: ties keep the earlier candidate
             best, best_f1, best_i = clf, m["f1"], i
-    t = classification_metrics(predict_single(best, te), label_col, "pred").first()
-    rows.append((best_i, float(regs[best_i]), "test", t["accuracy"], t["precision"], t["recall"], t["f1"]))
+    t = evaluate_single(best, te, label_col)
+    rows.append((best_i, float(regs[best_i]), "test", t["accuracy"], t["precision"], t["recall"], t["f1"], t["loss"]))
     for d in (tr, va, te):
         d.unpersist()
     spark = train.sparkSession
-    table = spark.createDataFrame(rows, "candidate int, reg double, split string, accuracy double, precision double, recall double, f1 double")
+    table = spark.createDataFrame(
+        rows, "candidate int, reg double, split string, accuracy double, precision double, recall double, f1 double, loss double")
     model = PipelineModel(stages=feats.stages + [best])
     return model, table.withColumn("chosen", F.col("candidate") == F.lit(best_i))
 
 
+def save_model(model: PipelineModel, metadata: DataFrame, path: str) -> None:
+    """Model and its label metadata side by side: the id order used in training travels with it."""
+    model.write().overwrite().save(f"{path}/model")
+    metadata.write.mode("overwrite").json(f"{path}/labels")
+
+
+def load_model(spark, path: str) -> tuple[PipelineModel, DataFrame]:
+    from ..sources.tables import load_label_metadata
+
+    return PipelineModel.load(f"{path}/model"), load_label_metadata(spark, f"{path}/labels")
+
+
 def train_multi(train: DataFrame, text_col: str, label_cols: Sequence[str], reg: float = 0.0, max_iter: int = 30):
     """Binary relevance: one logistic regression per label on shared (cached) TF-IDF features.
 

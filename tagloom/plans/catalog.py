@@ -765,12 +765,16 @@ def q_load_batches(spark, sf_dir):
 
 
 def _lang_splits(spark, sf_dir) -> DataFrame:
-    docs = read_parquet_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), "text", "lang")
-    vocab = V.dense_ids(docs.select(F.col("lang").alias("label")))
+    docs, vocab = _lang_docs(spark, sf_dir)
     enc = J.encode_label_id(docs, vocab, "lang", "y")
     return X.split_random(enc, "row_id", 0.2, 0.2, SEED).cache()
 
 
+def _lang_docs(spark, sf_dir):
+    docs = read_parquet_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), "text", "lang")
+    return docs, V.dense_ids(docs.select(F.col("lang").alias("label")))
+
+
 @query("train_single")
 def q_train_single(spark, sf_dir):
     d = _lang_splits(spark, sf_dir)
@@ -789,15 +793,19 @@ def q_select_and_test(spark, sf_dir):
 @query("model_roundtrip")
 def q_model_roundtrip(spark, sf_dir):
     d = _lang_splits(spark, sf_dir)
+    _, vocab = _lang_docs(spark, sf_dir)
     model = TR.train_single(d.where("split = 'train'"), "text", "y")
     path = scratch_path(spark, "model")
-    model.write().overwrite().save(path)
-    reloaded = TR.PipelineModel.load(path)
+    TR.save_model(model, V.label_metadata(vocab, "lang", "text"), path)
+    reloaded, meta = TR.load_model(spark, path)
     test = d.where("split = 'test'")
     a = TR.predict_single(model, test).select("row_id", F.col("pred").alias("before"))
     b = TR.predict_single(reloaded, test).select("row_id", F.col("pred").alias("after"))
+    # predictions decode through the reloaded metadata, as inference would
+    b = J.decode_label_id(b, V.metadata_to_vocab(meta), "after", "after_label")
     both = a.join(b, "row_id")
-    return both.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("before") == F.col("after")).alias("n_equal"))
+    return both.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("before") == F.col("after")).alias("n_equal"),
+                    F.count_if(F.col("after_label").isNotNull()).alias("n_decoded"))
 
 
 @query("train_multi")
