@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -56,15 +57,24 @@ def prompt_of(records: DataFrame) -> F.Column:
     return TP.render_prompt("instruction", "input")
 
 
+CHAT_TURN = "<|{role}|>\n{text}" + TP.PROMPT_END
+
+
+def _render_turn(fmt: str, m) -> F.Column:
+    """``fmt`` with ``{role}`` / ``{text}`` placeholders -> concat of literals and struct fields."""
+    parts = [p for p in re.split(r"(\{role\}|\{text\})", fmt) if p]
+    return F.concat(*[m["_role"] if p == "{role}" else m["_text"] if p == "{text}" else F.lit(p) for p in parts])
+
+
 def render_chat(turns: DataFrame, conv_col: str = "conv_id", order_col: str = "turn", role_col: str = "role",
-                text_col: str = "text", add_generation_prompt: bool = True) -> DataFrame:
-    """One prompt string per conversation: ``<|role|>\\n{text}<|endoftext|>\\n`` per turn, in turn order,
-    then the assistant header when ``add_generation_prompt``."""
-    msgs = F.sort_array(F.collect_list(F.struct(order_col, role_col, text_col)))
-    body = F.array_join(
-        F.transform("_m", lambda m: F.concat(F.lit("<|"), m[role_col], F.lit("|>\n"), m[text_col], F.lit(TP.PROMPT_END))), ""
-    )
-    tail = F.lit(TP.PROMPT_ASSISTANT if add_generation_prompt else "")
+                text_col: str = "text", turn_format: str = CHAT_TURN,
+                generation_prompt: str | None = TP.PROMPT_ASSISTANT) -> DataFrame:
+    """One prompt string per conversation: each turn rendered with ``turn_format`` in turn order,
+    then ``generation_prompt`` (the assistant header) unless it is None."""
+    msgs = F.sort_array(F.collect_list(F.struct(F.col(order_col).alias("_o"), F.col(role_col).alias("_role"),
+                                                F.col(text_col).alias("_text"))))
+    body = F.array_join(F.transform("_m", lambda m: _render_turn(turn_format, m)), "")
+    tail = F.lit(generation_prompt or "")
     return turns.groupBy(conv_col).agg(msgs.alias("_m")).select(conv_col, F.concat(body, tail).alias("prompt"), F.size("_m").alias("n_turns"))
 
 
