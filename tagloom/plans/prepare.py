@@ -7,10 +7,10 @@ few counts.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.arrays import multi_hot
@@ -48,6 +48,11 @@ class Prepared:
     data: DataFrame
     vocab: DataFrame
     metadata: DataFrame
+    # stage -> Observation with a row count ``n``; filled by the first action on ``data``
+    stage_counts: dict = field(default_factory=dict)
+
+    def counts(self) -> dict[str, int]:
+        return {k: o.get["n"] for k, o in self.stage_counts.items()}
 
 
 def clean_short(meta: DataFrame, cfg: ShortConfig = ShortConfig()) -> tuple[DataFrame, str]:
@@ -71,28 +76,38 @@ def prepare_short(meta: DataFrame, cfg: ShortConfig = ShortConfig()) -> Prepared
     return Prepared(df, vocab, label_metadata(vocab, label_col, cfg.text_col))
 
 
-def merge_long(meta: DataFrame, web: DataFrame, cfg: LongConfig = LongConfig()) -> DataFrame:
+def merge_long(meta: DataFrame, web: DataFrame, cfg: LongConfig = LongConfig(), stages: dict | None = None) -> DataFrame:
     """Dedupe metadata by source (keep first), first label, join page content, clean.
 
     Returns ``doc_id, page_id, content, label``; (doc_id, page_id) is the row
-    order of the reference's merged table.
+    order of the reference's merged table. With ``stages`` (a dict), row
+    counts of the metadata, the deduped metadata and the merged table are
+    recorded as ``Observation``s, collected by the same job that runs the plan.
     """
+    def seen(df: DataFrame, name: str) -> DataFrame:
+        if stages is None:
+            return df
+        stages[name] = Observation(name)
+        return df.observe(stages[name], F.count(F.lit(1)).alias("n"))
+
     meta = require_columns(normalize_headers(meta), [cfg.meta_key, cfg.meta_label, cfg.meta_order])
     web = require_columns(normalize_headers(web), [cfg.web_key, cfg.web_content, cfg.web_order])
-    first = dedupe_first(meta.select(cfg.meta_order, cfg.meta_key, cfg.meta_label), cfg.meta_key, cfg.meta_order)
+    meta = seen(meta.select(cfg.meta_order, cfg.meta_key, cfg.meta_label), "meta_rows")
+    first = seen(dedupe_first(meta, cfg.meta_key, cfg.meta_order), "deduped_rows")
     first = first.withColumn("label", first_label(cfg.meta_label))
     joined = merge_content(first, web.select(cfg.web_order, cfg.web_key, cfg.web_content), cfg.meta_key, cfg.web_key, cfg.web_content)
     merged = joined.select(
         F.col(cfg.meta_order).alias("doc_id"), F.col(cfg.web_order).alias("page_id"),
         F.col(cfg.web_content).alias("content"), "label",
     )
-    return clean_text_columns(merged, ["content", "label"])
+    return seen(clean_text_columns(merged, ["content", "label"]), "merged_rows")
 
 
-def prepare_long(meta: DataFrame, web: DataFrame, cfg: LongConfig = LongConfig()) -> Prepared:
-    merged = merge_long(meta, web, cfg)
+def prepare_long(meta: DataFrame, web: DataFrame, cfg: LongConfig = LongConfig(), observe: bool = False) -> Prepared:
+    stages: dict | None = {} if observe else None
+    merged = merge_long(meta, web, cfg, stages)
     vocab = label_vocab_single(merged, "label")
-    return Prepared(merged, vocab, label_metadata(vocab, "label", "content"))
+    return Prepared(merged, vocab, label_metadata(vocab, "label", "content"), stages or {})
 
 
 def save_short(p: Prepared, out_dir: str, text_col: str = "scene") -> None:

@@ -34,3 +34,17 @@ def test_pair_raises_on_missing_side(spark):
     with pytest.raises(Exception):
         pair_text_label(text, y).collect()
     assert pair_text_label(text, y.where(F.col("row_id") == 1)).count() == 1
+
+
+def test_prepare_long_observes_stage_counts(spark):
+    from tagloom.plans import fixtures as FX
+    from tagloom.plans.prepare import prepare_long
+
+    sf = "/root/testdata/sf0.01"
+    meta, web = FX.fx_meta(spark, sf), FX.fx_web(spark, sf)
+    p = prepare_long(meta, web, observe=True)
+    n = p.data.count()
+    counts = p.counts()
+    assert counts["merged_rows"] == n == 189
+    assert counts["meta_rows"] == meta.count()
+    assert counts["deduped_rows"] == meta.select("src").distinct().count()
