@@ -51,6 +51,7 @@ def exact_rank(
     rank_col: str = "rank",
     target_bucket_rows: int = 200_000,
     max_groups: int = BROADCAST_ROW_LIMIT,
+    group_sizes: dict | None = None,
 ) -> DataFrame:
     """Add ``rank_col`` = exact 1-based position of each row in ``(key_col, id_col)`` order
     within its group; ``key_col`` is a hex hash key (e.g. ``hash_order_key``), ``id_col`` unique.
@@ -65,7 +66,11 @@ def exact_rank(
     g = list(group_cols) or ["_all"]
     if not group_cols:
         df = df.withColumn("_all", F.lit(0))
-    sizes = df.groupBy(*g).count().limit(max_groups + 1).collect()
+    if group_sizes is not None:  # caller already knows the sizes (e.g. a split it just made)
+        sizes = [dict(zip(g, k if isinstance(k, tuple) else (k,)), count=v) for k, v in group_sizes.items()] if group_cols \
+            else [{"_all": 0, "count": sum(group_sizes.values())}]
+    else:
+        sizes = df.groupBy(*g).count().limit(max_groups + 1).collect()
     if len(sizes) > max_groups:
         raise ValueError(f"more than {max_groups} rank groups")
     if any(r[c] is None for r in sizes for c in g):

@@ -55,12 +55,18 @@ def split_holdout(df: DataFrame, id_col: str = "row_id", test_size: float = 0.2,
     return split_random(df, id_col, test_size, 0.0, seed, split_col)
 
 
+def fraction_sizes(n: int, train_frac: float = 0.8, test_frac: float = 0.1) -> dict[str, int]:
+    """train = int(0.8 n), test = int(0.1 n), val = the rest."""
+    n_train, n_test = int(float(train_frac) * n), int(float(test_frac) * n)
+    return {"train": n_train, "test": n_test, "val": n - n_train - n_test}
+
+
 def split_fraction(df: DataFrame, id_col: str = "row_id", train_frac: float = 0.8, test_frac: float = 0.1, seed=42,
-                   split_col: str = "split") -> DataFrame:
+                   split_col: str = "split", n: int | None = None) -> DataFrame:
     """train = int(0.8 n), test = int(0.1 n), val = the rest (segment order train, test, val)."""
-    n = df.count()
-    n_train = int(float(train_frac) * n)
-    n_test = int(float(test_frac) * n)
+    n = df.count() if n is None else n
+    sizes = fraction_sizes(n, train_frac, test_frac)
+    n_train, n_test = sizes["train"], sizes["test"]
     return split_by_sizes(df, id_col, [n_train, n_test], ["train", "test", "val"], seed, split_col, n)
 
 

@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 from ..operators.encode import encode_fixed, encode_tokens, token_vocab, tokenize
 from ..operators.joins import encode_label_id
 from ..operators.rank import exact_rank, hash_order_key
-from ..operators.split import split_fraction
+from ..operators.split import fraction_sizes, split_fraction
 
 
-def assign_batches(df: DataFrame, key_col: str, id_col: str, batch_size: int, group_col: str | None = None) -> DataFrame:
+def assign_batches(df: DataFrame, key_col: str, id_col: str, batch_size: int, group_col: str | None = None,
+                   group_sizes: dict | None = None) -> DataFrame:
     """``batch_id`` / ``pos_in_batch`` from the exact rank in ``(key_col, id_col)`` hash order (within ``group_col``)."""
-    ranked = exact_rank(df, key_col, id_col, [group_col] if group_col else [], "_pos")
+    ranked = exact_rank(df, key_col, id_col, [group_col] if group_col else [], "_pos", group_sizes=group_sizes)
     return ranked.withColumns({
         "batch_id": F.floor((F.col("_pos") - 1) / batch_size).cast("long"),
         "pos_in_batch": ((F.col("_pos") - 1) % batch_size).cast("int"),
@@ -34,8 +35,10 @@ def load_batches(merged: DataFrame, vocab_labels: DataFrame, id_col: str, text_c
     rows = rows.withColumn("_tokens", tokenize(text_col))
     tv = token_vocab(rows, "_tokens", max_vocab).cache()
     rows = encode_fixed(encode_tokens(rows, "_tokens", tv, max_vocab, "_ids"), "_ids", max_length).drop("_tokens", "_ids")
-    rows = split_fraction(rows, id_col, 0.8, 0.1, seed)
+    n = rows.count()
+    rows = split_fraction(rows, id_col, 0.8, 0.1, seed, n=n)
     # train and validation are reshuffled every epoch; test keeps one order
     ep: Column = F.when(F.col("split") == "test", F.lit(0)).otherwise(F.lit(epoch))
     rows = rows.withColumn("_bkey", hash_order_key(seed, ep, id_col))
-    return assign_batches(rows, "_bkey", id_col, batch_size, group_col="split").drop("_bkey")
+    sizes = {k: v for k, v in fraction_sizes(n, 0.8, 0.1).items() if v > 0}
+    return assign_batches(rows, "_bkey", id_col, batch_size, group_col="split", group_sizes=sizes).drop("_bkey")
