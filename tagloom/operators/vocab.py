@@ -29,7 +29,9 @@ def dense_ids(labels: DataFrame, label_col: str = "label", id_col: str = "id") -
     The window has no partition key; its input is the (checked) vocabulary.
     """
     distinct = bounded(labels.select(F.col(label_col).alias("label")).where(F.col("label").isNotNull()).distinct())
-    return distinct.select("label", (F.row_number().over(Window.orderBy("label")) - 1).cast("int").alias(id_col))
+    out = distinct.select("label", (F.row_number().over(Window.orderBy("label")) - 1).cast("int").alias(id_col))
+    out._cached_inputs = [distinct]  # released by Prepared.release()
+    return out
 
 
 def label_vocab_single(df: DataFrame, label_col: str) -> DataFrame:

@@ -54,6 +54,13 @@ class Prepared:
     def counts(self) -> dict[str, int]:
         return {k: o.get["n"] for k, o in self.stage_counts.items()}
 
+    def release(self) -> None:
+        """Drop cached intermediates (the cleaned short-text table) once the sinks are written."""
+        for df in [self.data, self.vocab, *self._persisted, *getattr(self.vocab, "_cached_inputs", [])]:
+            df.unpersist()
+
+    _persisted: list = field(default_factory=list)
+
 
 def clean_short(meta: DataFrame, cfg: ShortConfig = ShortConfig()) -> tuple[DataFrame, str]:
     meta = normalize_headers(meta)
@@ -72,8 +79,9 @@ def prepare_short(meta: DataFrame, cfg: ShortConfig = ShortConfig()) -> Prepared
     vocab = label_vocab_multi(df, label_col)
     classes = vocab_list(vocab)  # bounded: checked against VOCAB_LIMIT
     df = df.withColumn("y", multi_hot("labels", classes))
+    cleaned = df
     df = split_random(df, "row_id", cfg.test_size, cfg.val_size, cfg.seed)
-    return Prepared(df, vocab, label_metadata(vocab, label_col, cfg.text_col))
+    return Prepared(df, vocab, label_metadata(vocab, label_col, cfg.text_col), _persisted=[cleaned])
 
 
 def merge_long(meta: DataFrame, web: DataFrame, cfg: LongConfig = LongConfig(), stages: dict | None = None) -> DataFrame:
@@ -118,6 +126,7 @@ def save_short(p: Prepared, out_dir: str, text_col: str = "scene") -> None:
     tables.write_encoded(data, f"{out_dir}/encoded")
     tables.write_label_metadata(p.metadata, f"{out_dir}/labels")
     data.unpersist()
+    p.release()
 
 
 def save_long(p: Prepared, out_dir: str) -> None:
