@@ -76,10 +76,10 @@ def prepare_short(meta: DataFrame, cfg: ShortConfig = ShortConfig()) -> Prepared
     # the cleaned table feeds four passes (vocabulary, size, bucket counts, cut
     # rows) before the final one: strip the whole texts once, not five times
     df = df.withColumn("labels", parse_labels(label_col)).persist(StorageLevel.MEMORY_AND_DISK)
+    cleaned = df
     vocab = label_vocab_multi(df, label_col)
     classes = vocab_list(vocab)  # bounded: checked against VOCAB_LIMIT
     df = df.withColumn("y", multi_hot("labels", classes))
-    cleaned = df
     df = split_random(df, "row_id", cfg.test_size, cfg.val_size, cfg.seed)
     return Prepared(df, vocab, label_metadata(vocab, label_col, cfg.text_col), _persisted=[cleaned])
 
