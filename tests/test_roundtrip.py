@@ -29,3 +29,18 @@ def test_csv_with_bom_header(spark, tmp_path):
     back = S.read_csv(spark, str(p))
     assert back.columns == ["content", "label"]
     assert back.collect()[0].content == "a\nb"
+
+
+def test_save_short_artifacts_and_release(spark):
+    from tagloom.plans import fixtures as FX
+    from tagloom.plans import prepare as P
+
+    p = P.prepare_short(FX.fx_meta(spark, "/root/testdata/sf0.001"))
+    expected = {r.row_id: r.split for r in p.data.select("row_id", "split").collect()}
+    out = scratch_path(spark, "short")
+    P.save_short(p, out)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+    back = S.load_split(spark, f"{out}/splits_text", f"{out}/encoded", "train", "row_id bigint, scene string, split string")
+    assert {r.row_id for r in back.collect()} == {i for i, s in expected.items() if s == "train"}
+    meta = S.load_label_metadata(spark, f"{out}/labels").first()
+    assert meta.num_labels == len(meta.labels) and meta.id2lab["0"] == meta.labels[0]
