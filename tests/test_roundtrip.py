@@ -40,7 +40,7 @@ def test_save_short_artifacts_and_release(spark):
     expected = {r.row_id: r.split for r in p.data.select("row_id", "split").collect()}
     out = scratch_path(spark, "short")
     P.save_short(p, out)
-    assert spark.sparkContext._jsc.getPersistentRDDs().size() == cached_before
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= cached_before  # nothing left behind
     back = S.load_split(spark, f"{out}/splits_text", f"{out}/encoded", "train", "row_id bigint, scene string, split string")
     assert {r.row_id for r in back.collect()} == {i for i, s in expected.items() if s == "train"}
     meta = S.load_label_metadata(spark, f"{out}/labels").first()
