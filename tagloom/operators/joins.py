@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .vocab import VOCAB_LIMIT, bounded
+from .vocab import bounded
 
 
 def left_join_content(meta: DataFrame, web: DataFrame, left_key: str, right_key: str, skew_safe: bool = True) -> DataFrame:
@@ -72,5 +72,4 @@ __all__ = [
     "encode_label_id",
     "decode_label_id",
     "pair_text_label",
-    "VOCAB_LIMIT",
 ]

@@ -7,8 +7,6 @@ fixed-size batches in a per-epoch shuffle order (test keeps a fixed order).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 

@@ -57,3 +57,13 @@ def test_skew_safe_left_join_equals_plain(spark):
     a = sorted(tuple(r) for r in left_join_content(left, right, "k", "u").select("lid", "rid").collect())
     b = sorted(tuple(r) for r in left_join_content(left, right, "k", "u", skew_safe=False).select("lid", "rid").collect())
     assert a == b and len(a) > 300
+
+
+def test_spread_only_for_under_partitioned_inputs(spark):
+    from tagloom.session import spread
+
+    target = spark.sparkContext.defaultParallelism
+    many = spark.range(1000).repartition(target * 2)
+    assert spread(many) is many  # already parallel: the plan is left alone
+    few = spark.range(1000).coalesce(1)
+    assert spread(few).rdd.getNumPartitions() == target
