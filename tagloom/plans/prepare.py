@@ -70,9 +70,19 @@ def clean_short(meta: DataFrame, cfg: ShortConfig = ShortConfig()) -> tuple[Data
     return clean_text_columns(df, [cfg.text_col, label_col]), label_col
 
 
-def prepare_short(meta: DataFrame, cfg: ShortConfig = ShortConfig()) -> Prepared:
+def _observed(df: DataFrame, stages: dict | None, name: str) -> DataFrame:
+    """Record the row count of ``df`` as an ``Observation`` (filled by the job that runs the plan)."""
+    if stages is None:
+        return df
+    stages[name] = Observation(name)
+    return df.observe(stages[name], F.count(F.lit(1)).alias("n"))
+
+
+def prepare_short(meta: DataFrame, cfg: ShortConfig = ShortConfig(), observe: bool = False) -> Prepared:
     """Clean -> parse labels -> vocabulary -> multi-hot ``y`` -> exact random split."""
-    df, label_col = clean_short(meta, cfg)
+    stages: dict | None = {} if observe else None
+    df, label_col = clean_short(_observed(meta, stages, "meta_rows"), cfg)
+    df = _observed(df, stages, "clean_rows")
     # the cleaned table feeds four passes (vocabulary, size, bucket counts, cut
     # rows) before the final one: strip the whole texts once, not five times
     df = df.withColumn("labels", parse_labels(label_col)).persist(StorageLevel.MEMORY_AND_DISK)
@@ -81,7 +91,7 @@ def prepare_short(meta: DataFrame, cfg: ShortConfig = ShortConfig()) -> Prepared
     classes = vocab_list(vocab)  # bounded: checked against VOCAB_LIMIT
     df = df.withColumn("y", multi_hot("labels", classes))
     df = split_random(df, "row_id", cfg.test_size, cfg.val_size, cfg.seed)
-    return Prepared(df, vocab, label_metadata(vocab, label_col, cfg.text_col), _persisted=[cleaned])
+    return Prepared(df, vocab, label_metadata(vocab, label_col, cfg.text_col), stages or {}, _persisted=[cleaned])
 
 
 def merge_long(meta: DataFrame, web: DataFrame, cfg: LongConfig = LongConfig(), stages: dict | None = None) -> DataFrame:
@@ -93,10 +103,7 @@ def merge_long(meta: DataFrame, web: DataFrame, cfg: LongConfig = LongConfig(),
     recorded as ``Observation``s, collected by the same job that runs the plan.
     """
     def seen(df: DataFrame, name: str) -> DataFrame:
-        if stages is None:
-            return df
-        stages[name] = Observation(name)
-        return df.observe(stages[name], F.count(F.lit(1)).alias("n"))
+        return _observed(df, stages, name)
 
     meta = require_columns(normalize_headers(meta), [cfg.meta_key, cfg.meta_label, cfg.meta_order])
     web = require_columns(normalize_headers(web), [cfg.web_key, cfg.web_content, cfg.web_order])

@@ -45,3 +45,15 @@ def test_save_short_artifacts_and_release(spark):
     assert {r.row_id for r in back.collect()} == {i for i, s in expected.items() if s == "train"}
     meta = S.load_label_metadata(spark, f"{out}/labels").first()
     assert meta.num_labels == len(meta.labels) and meta.id2lab["0"] == meta.labels[0]
+
+
+def test_prepare_short_observes_stage_counts(spark):
+    from tagloom.plans import fixtures as FX
+    from tagloom.plans import prepare as P
+
+    meta = FX.fx_meta(spark, "/root/testdata/sf0.01")
+    p = P.prepare_short(meta, observe=True)
+    n = p.data.count()
+    c = p.counts()
+    assert c["meta_rows"] == 1000 and c["clean_rows"] == n == 948
+    p.release()
