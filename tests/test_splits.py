@@ -93,3 +93,21 @@ def test_null_groups_are_rejected(spark):
         X.split_stratified(df, "c", "row_id")
     with pytest.raises(ValueError):
         R.exact_rank(df, "_k", "row_id", ["c"])
+
+
+def test_segment_by_rank_random_configs(spark):
+    import random
+
+    rng = random.Random(11)
+    for trial in range(4):
+        n = rng.randint(50, 1500)
+        n_groups = rng.randint(1, 4)
+        df = _ids(spark, n, rng.randint(1, 9)).withColumn("g", (F.col("row_id") * 7 % n_groups).cast("string"))
+        df = df.withColumn("_k", R.hash_order_key(trial, "row_id"))
+        sizes = Counter(str(i * 7 % n_groups) for i in range(n))
+        cuts = [(g, rng.randint(-2, sizes[g] + 2)) for g in sizes for _ in range(rng.randint(0, 3))]
+        seg = R.segment_by_rank(df, "_k", "row_id", cuts, group_cols=["g"], target_bucket_rows=rng.choice([5, 40, 10_000])).collect()
+        for gv in sizes:
+            rows = sorted((r for r in seg if r.g == gv), key=lambda r: (r._k, r.row_id))
+            ks = [k for g2, k in cuts if g2 == gv]
+            assert [r._seg for r in rows] == [sum(1 for k in ks if rank > k) for rank in range(1, len(rows) + 1)]
