@@ -36,6 +36,9 @@ def con():
     return c
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("key", sorted(k for k in E.oracle_sql() if k not in SLOW))
 def test_query_matches_oracle(spark, con, key):
     df = E.queries()[key](spark, SF_SMALL)
@@ -44,6 +47,9 @@ def test_query_matches_oracle(spark, con, key):
     b, bc = _rows([d[0] for d in res.description], res.fetchall())
     assert ac == bc
     assert a == b
+    duck = {d[0]: str(d[1]) for d in res.description}
+    for f in df.schema.fields:
+        assert SPARK_TO_DUCK.get(f.dataType.simpleString()) == duck[f.name], (f.name, f.dataType, duck[f.name])
 
 
 def test_every_query_has_oracle_or_is_model_job():
