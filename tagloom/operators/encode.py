@@ -72,7 +72,7 @@ def encode_tokens(df: DataFrame, tokens_col: str, vocab: DataFrame, max_vocab: i
     def _lookup(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         d = table.value
         for s in batches:
-            yield s.map(lambda toks: np.fromiter((d.get(t, UNK_ID) for t in toks), dtype=np.int32, count=len(toks)))
+            yield s.map(lambda toks: None if toks is None else np.fromiter((d.get(t, UNK_ID) for t in toks), dtype=np.int32, count=len(toks)))
 
     return df.withColumn(out_col, _lookup(F.col(tokens_col)))
 
@@ -94,6 +94,8 @@ def decode_ids(df: DataFrame, ids_col: str, vocab: DataFrame, max_vocab: int, ou
         t = bc.value
         for s in batches:
             def one(ids):
+                if ids is None:
+                    return None
                 ids = np.asarray(ids, dtype=np.int64)
                 if skip_special:
                     ids = ids[ids >= n_special]

@@ -31,3 +31,16 @@ def test_strip_prompt_and_fixed(spark):
     assert e.input_ids == [2, 7, 8, 9, 3] and e.attention_mask == [1] * 5 and e.token_type_ids == [0] * 5
     e = encode_fixed(spark.createDataFrame([([7],)], "ids array<int>"), "ids", 5).first()
     assert e.input_ids == [2, 7, 3, 0, 0] and e.attention_mask == [1, 1, 1, 0, 0]
+
+
+def test_token_round_trip_with_nulls_and_unknowns(spark):
+    from tagloom.operators.encode import UNK_ID, decode_ids, encode_tokens, token_vocab, tokenize
+
+    docs = spark.createDataFrame([(1, "Hello, hello 世界!"), (2, None), (3, "zz unseen")], "id int, text string")
+    toks = docs.select("id", tokenize("text").alias("tokens"))
+    vocab = token_vocab(toks.where("id != 3"), "tokens", 100)
+    enc = encode_tokens(toks, "tokens", vocab, 100)
+    dec = {r.id: (r.input_ids, r.tokens) for r in decode_ids(enc, "input_ids", vocab, 100).collect()}
+    assert dec[2] == (None, None)
+    assert dec[1][1] == ["hello", ",", "hello", "世", "界", "!"]
+    assert dec[3][0] == [UNK_ID, UNK_ID] and dec[3][1] == []
