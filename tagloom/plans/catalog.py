@@ -600,7 +600,8 @@ def q_token_vocab(spark, sf_dir):
     return EN.token_vocab(_doc_tokens(spark, sf_dir), "tokens", MAX_VOCAB)
 
 
-def _encoded_docs(spark, sf_dir) -> DataFrame:
+def _encoded_docs(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Encoded documents and the (cached, capped) vocabulary they were encoded with."""
     toks = _doc_tokens(spark, sf_dir)
     vocab = EN.token_vocab(toks, "tokens", MAX_VOCAB).cache()
     return EN.encode_tokens(toks, "tokens", vocab, MAX_VOCAB), vocab
