@@ -37,6 +37,23 @@ def word_array(c: Column) -> Column:
     return matches(ascii_lower(F.coalesce(c, F.lit(""))), f"({WORD})")
 
 
+def text_key(text: Column) -> Column:
+    """``_key``: with the id it tells rows apart where ids repeat or are null."""
+    return F.xxhash64(F.coalesce(text, F.lit(""))).alias("_key")
+
+
+def small(df: DataFrame, most: int = 200_000) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``most`` (narrow) rows; else as it is, and
+    Spark joins it by shuffle."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
+def without(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` but for the rows named in ``dropped`` (doc_id, _key)."""
+    d = small(written(dropped.select(F.col("doc_id").alias("_d"), F.col("_key").alias("_k")).distinct(), "dropped"))
+    return docs.join(d, docs[id_col].eqNullSafe(F.col("_d")) & (text_key(F.col(text_col)) == F.col("_k")), "left_anti")
+
+
 def literal_table(spark: SparkSession, rows: list[tuple], names: list[str], types: list[str]) -> DataFrame:
     """A parameter list as a DataFrame, without Python in the plan."""
     schema = ", ".join(f"{n} {t}" for n, t in zip(names, types))

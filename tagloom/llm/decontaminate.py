@@ -24,11 +24,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import word_array, written
+from tagloom.llm.common import small, text_key, word_array, written
 
 SIZE = 13
-#: Candidate rows (each of some bytes) up to which they are broadcast instead of joined by shuffle.
-MAX_BROADCAST_ROWS = 50_000
 
 
 def phrases(benchmark: DataFrame, size: int = SIZE, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -43,8 +41,7 @@ def phrases(benchmark: DataFrame, size: int = SIZE, id_col: str = "item_id", tex
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_key"),
-                       word_array(F.col(text_col)).alias("_w"))
+    return docs.select(F.col(id_col).alias("doc_id"), text_key(F.col(text_col)), word_array(F.col(text_col)).alias("_w"))
 
 
 def index_terms(docs: DataFrame, windows: DataFrame, rarest: int, text_col: str) -> DataFrame:
@@ -91,12 +88,9 @@ def proximity(index: DataFrame, terms: DataFrame, slop: int = 3) -> DataFrame:
 
 def exact_matches(docs: DataFrame, found: DataFrame, windows: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, _key, phrase, start, length, items) where a candidate's document has the very words."""
-    per_doc = found.groupBy(F.col("doc_id").alias("_d"), F.col("_key").alias("_k")).agg(
-        F.collect_list(F.struct("phrase", "start")).alias("_c"))
-    if found.count() <= MAX_BROADCAST_ROWS:
-        per_doc = F.broadcast(per_doc)
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    few = docs.join(per_doc, docs[id_col].eqNullSafe(F.col("_d")) & (F.xxhash64(text) == F.col("_k")))
+    per_doc = small(written(found.groupBy(F.col("doc_id").alias("_d"), F.col("_key").alias("_k")).agg(
+        F.collect_list(F.struct("phrase", "start")).alias("_c")), "decontamination_per_document"), 50_000)
+    few = docs.join(per_doc, docs[id_col].eqNullSafe(F.col("_d")) & (text_key(F.col(text_col)) == F.col("_k")))
     words = few.select(F.col("_d").alias("doc_id"), F.col("_k").alias("_key"), "_c", word_array(F.col(text_col)).alias("_w"))
     taken = F.transform("_c", lambda c: F.struct(
         c["phrase"].alias("phrase"), c["start"].alias("start"),

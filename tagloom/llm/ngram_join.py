@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tagloom.llm.common import written
+from tagloom.llm.common import text_key, written
 from tagloom.llm.components import components
 
 U = np.uint64
@@ -190,9 +190,9 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str, buckets: int) ->
                     counts[k] = counts.get(k, 0) + c
             held, size = [], 0
 
-        def rows(which, ids, n, sig, c):
+        def rows(which, ids, key_column, n, sig, c):
             longs = [pa.array(x, pa.int64()) for x in (n, sig, c)]
-            return pa.RecordBatch.from_arrays([pa.array([which] * len(n), pa.int32()), ids, *longs], names)
+            return pa.RecordBatch.from_arrays([pa.array([which] * len(n), pa.int32()), ids, key_column, *longs], names)
 
         id_type = to_arrow_type(kind)
         for batch in batches:
@@ -209,16 +209,17 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str, buckets: int) ->
                     size += len(held[-1])
                     if size >= 1 << 21:
                         fold()
-            yield rows(0, batch.column(0), n, sig, [0] * len(n))
+            yield rows(0, batch.column(0), batch.column(2), n, sig, [0] * len(n))
         fold()
         least = max(8, len(seen) / 100)
         hot = [(k, c) for k, c in counts.items() if c >= least]
-        yield rows(1, pa.nulls(len(hot), id_type), [len(seen)] * len(hot), [k for k, _ in hot], [c for _, c in hot])
+        yield rows(1, pa.nulls(len(hot), id_type), pa.nulls(len(hot), pa.int64()), [len(seen)] * len(hot), [k for k, _ in hot], [c for _, c in hot])
 
-    names = ["kind", "doc_id", "n", "sig", "c"]
-    schema = (T.StructType().add("kind", T.IntegerType()).add("doc_id", kind).add("n", T.LongType())
+    names = ["kind", "doc_id", "_key", "n", "sig", "c"]
+    schema = (T.StructType().add("kind", T.IntegerType()).add("doc_id", kind).add("_key", T.LongType()).add("n", T.LongType())
               .add("sig", T.LongType()).add("c", T.LongType()))
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    text = F.col(text_col)
+    return docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), text_key(text)).mapInArrow(run, schema)
 
 
 def postings(docs: DataFrame, text_col: str, buckets: int, hot: np.ndarray, percent: int) -> DataFrame:
@@ -347,7 +348,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def jaccard_components(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text",
                        tokens_per_bucket: int = 1 << 20, max_broadcast: int = 2_000_000) -> DataFrame:
-    """Per document: ``doc_id``, ``n_shingles``, ``component_id``."""
+    """Per document: ``doc_id``, ``_key`` (hash of the text), ``n_shingles``, ``component_id``."""
     most = 1 << 21  # keys are made for the finest ranges; coarser ranges drop their top bits
     first = written(document_sets(docs, id_col, text_col, most), "jaccard_sets")
     rows = first.where("kind = 0")
@@ -417,6 +418,6 @@ def jaccard_components(docs: DataFrame, percent: int = 75, id_col: str = "doc_id
         F.col("sig"), F.coalesce("root", "sig").alias("root"), "doc_id")
     named = ids.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     final = ids.join(named, "root").select(F.col("sig").alias("_s"), "component_id")
-    full = rows.where("n > 0").join(final, F.col("sig") == F.col("_s")).select("doc_id", "n", "component_id")
-    empty = rows.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
-    return full.unionByName(empty).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    full = rows.where("n > 0").join(final, F.col("sig") == F.col("_s")).select("doc_id", "_key", "n", "component_id")
+    empty = rows.where("n = 0").select("doc_id", "_key", "n", F.col("doc_id").alias("component_id"))
+    return full.unionByName(empty).select("doc_id", "_key", F.col("n").alias("n_shingles"), "component_id")

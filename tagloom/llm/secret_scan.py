@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import written
+from tagloom.llm.common import small, text_key, written
 
 #: Fixed values of the contract. Per kind: pattern, least length, and the pattern of the
 #: part whose length counts (None: the whole match).
@@ -63,7 +63,7 @@ def candidates(docs: DataFrame, keep: list[str], text_col: str = "text") -> Data
         return F.when(_hint(t, kind, p), numbered).otherwise(none)
 
     per_kind = [of_kind(n, kind, p) for n, (kind, p) in enumerate(patterns)]
-    return base.select(*keep, "_row", F.xxhash64(t).alias("_key"), F.concat(*per_kind).alias("found"))
+    return base.select(*keep, "_row", text_key(t), F.concat(*per_kind).alias("found"))
 
 
 def spans_of(found: DataFrame, keep: list[str]) -> DataFrame:
@@ -129,10 +129,11 @@ def redact(docs: DataFrame, owner: str = "source", repo: str = "doc_id", min_own
     w = Window.partitionBy(repo, "_key").orderBy("value_start", "end").rowsBetween(Window.unboundedPreceding, -1)
     live = (spans.where(F.col("verdict") == "live").groupBy(repo, "_key", "value_start", "end").agg(F.lit(1).alias("_one"))
             .withColumn("_from", F.coalesce(F.max("end").over(w), F.lit(0).cast("long"))))
-    cuts = live.groupBy(F.col(repo).alias("_id"), F.col("_key").alias("_k")).agg(
-        F.sort_array(F.collect_list(F.struct("value_start", "end", "_from"))).alias("_cuts"), F.max("end").alias("_last"))
+    cuts = small(written(live.groupBy(F.col(repo).alias("_id"), F.col("_key").alias("_k")).agg(
+        F.sort_array(F.collect_list(F.struct("value_start", "end", "_from"))).alias("_cuts"), F.max("end").alias("_last")),
+        "secret_cuts"))
     t = F.coalesce(F.col(text_col), F.lit(""))
-    joined = docs.join(cuts, F.col(repo).eqNullSafe(F.col("_id")) & (F.xxhash64(t) == F.col("_k")), "left")
+    joined = docs.join(cuts, F.col(repo).eqNullSafe(F.col("_id")) & (text_key(F.col(text_col)) == F.col("_k")), "left")
     before = F.array_join(F.transform("_cuts", lambda x: F.when(x["value_start"] >= x["_from"], F.concat(
         F.substring(t, (x["_from"] + 1).cast("int"), (x["value_start"] - x["_from"]).cast("int")), F.lit(PLACEHOLDER)))
         .otherwise(F.lit(""))), "")

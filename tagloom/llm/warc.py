@@ -26,10 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagloom.llm.common import small, written
+
 MIN_REVISIT = 100
 DATE = "2024-01-01T00:00:00Z"
-#: Rows of repeated digests up to which they are broadcast; beyond that they are joined by shuffle.
-MAX_BROADCAST_ROWS = 200_000
 _COLUMNS = ["record_id", "record_type", "target_uri", "refers_to", "declared_digest", "declared_bytes", "origin",
             "segment", "total", "payload", "error"]
 _SCHEMA = ("record_id string, record_type string, target_uri string, refers_to string, declared_digest string, "
@@ -43,9 +43,7 @@ def with_revisits(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     p = p.withColumn("digest", F.sha2(F.col("payload").cast("binary"), 256)).withColumn("n", F.octet_length("payload").cast("long"))
     firsts = (p.where(F.col("n") >= min_revisit).groupBy(F.col("digest").alias("_d"))
               .agg(F.min("id").alias("_first"), F.count(F.lit(1)).alias("_k")).where("_k > 1 AND _first IS NOT NULL").drop("_k"))
-    if firsts.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS:
-        firsts = F.broadcast(firsts)
-    joined = p.join(firsts, (F.col("digest") == F.col("_d")) & (F.col("n") >= min_revisit), "left")
+    joined = p.join(small(written(firsts, "warc_repeated")), (F.col("digest") == F.col("_d")) & (F.col("n") >= min_revisit), "left")
     return joined.select("id", "url", "payload", "digest", "n",
                          F.when(~F.col("id").eqNullSafe(F.col("_first")), F.col("_first")).alias("first"))
 
