@@ -3,22 +3,22 @@
 A document's set holds the 64-bit hashes of its distinct 5-word shingles. Equal sets are one
 class from the start (copies are never paired). Then:
 
-1. *Token postings.* Map tasks send, packed by hash range, the part of each set that can matter
-   for a prefix filter: a fixed 40 % of the hash space, frequent tokens only where the rest is
-   too short, and as many others as a prefix still lacks. Per range, document frequencies
-   are counted over all sets, and tokens that one set alone has are dropped, since no pair
-   shares them. What is left is narrow. Tokens that a hundredth of a task's sets share are
-   found before, so that no range gathers them from every document.
-2. *Prefixes.* In the order (rare first, frequent tokens after, then the others by hash) a set of n
-   tokens keeps its first n - ceil(0.75 n) + 1; sets that link share one of these.
-3. *Groups.* Per token, the set with the fewest rare tokens is the pivot; each set is held against
-   the pivot with which it shares most. Similar ones form groups (a clump of thousands of near
-   copies becomes one or a few), and components of these links are the groups.
-4. *Matrix.* (token, group) rows hold each group's token union, with its range of set sizes.
-   A set queries only groups other than its own, of sizes that can reach the threshold, that
-   share a prefix token; only there are members paired. A pair is dropped when the shared prefix
-   tokens and what can follow the last of them stay below the overlap that 0.75 needs. The rest
-   is checked exactly on whole sets.
+1. *Token postings.* Map tasks send each distinct set's tokens packed by hash range (but for
+   frequent tokens, where the others suffice for the prefix). Per range, document frequencies are
+   counted over all sets, and tokens that one set alone has are dropped, since no pair shares
+   them. Tokens that a hundredth of a task's sets share are found before, so that no range
+   gathers them from every document.
+2. *Prefixes.* In the order (rare first, frequent ones last) a set of n tokens keeps its first
+   n - ceil(0.75 n) + 1; sets that link share one of these. What a set has alone bounds its overlap
+   with any other, too.
+3. *Groups.* Per token, the set with the smallest share of tokens of its own is the pivot; each set is
+   held against the pivot with which it shares most. Similar ones form groups: a clump of thousands
+   of near copies becomes one or a few.
+4. *Matrix.* (token, group) rows hold each group's token union, with its range of set sizes and the
+   largest overlap any member can have. A set queries only other groups that share a prefix token and
+   whose bounds can reach the threshold; only there are members paired. A pair is dropped when its
+   bounds, or the shared prefix tokens and what can follow the last of them, stay below the overlap
+   that 0.75 needs. The rest is checked exactly on whole sets.
 5. Links of steps 3 and 4 give the components; the smallest ``doc_id`` names each.
 
 All filters only drop pairs that cannot link, up to equal 64-bit hashes of different shingles.
@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tagloom.llm.common import text_key, written
+from tagloom.llm.common import small, text_key, written
 from tagloom.llm.components import components
 
 U = np.uint64
@@ -137,8 +137,6 @@ def signature(s: np.ndarray) -> int:
 
 # ---- what a set sends -------------------------------------------------------------------------
 
-S_SHARE = 102  # of 256: the part of the hash space whose tokens are all sent
-
 
 def token_keys(s: np.ndarray, buckets: int) -> np.ndarray:
     """53-bit key of a token at most: its range (bucket), then 32 bits."""
@@ -152,21 +150,12 @@ def prefix_size(n: int, percent: int) -> int:
 def sent_tokens(s: np.ndarray, buckets: int, hot: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
     """(keys that a set sends, how many of them lie beyond its prefix)."""
     p = prefix_size(len(s), percent)
-    keys = token_keys(s, buckets)
-    first = (keys & U(0xFF)) < U(S_SHARE)
-    inner = keys[first]
-    is_hot = np.isin(inner, hot) if len(hot) else np.zeros(len(inner), bool)
-    cool = inner[~is_hot]
-    if len(cool) >= p:
-        return cool, len(cool) - p
-    if len(inner) >= p:
-        return inner, len(inner) - p
-    rest = np.sort(keys[~first])[: p - len(inner)]
-    return np.concatenate((inner, rest)), 0
-
-
-def _as_long(a: np.ndarray) -> np.ndarray:
-    return a.view(np.int64) if a.dtype == U else a
+    keys = np.unique(token_keys(s, buckets))
+    if len(hot):
+        cool = keys[~np.isin(keys, hot)]
+        if len(cool) >= p:
+            return cool, len(cool) - p
+    return keys, len(keys) - p
 
 
 def document_sets(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> DataFrame:
@@ -204,9 +193,8 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str, buckets: int) ->
                 sig.append(v)
                 if len(s) and v not in seen:
                     seen.add(v)
-                    keys = token_keys(s, buckets)
-                    held.append(keys[(keys & U(0xFF)) < U(S_SHARE)])
-                    size += len(held[-1])
+                    held.append(token_keys(s, buckets))
+                    size += len(s)
                     if size >= 1 << 21:
                         fold()
             yield rows(0, batch.column(0), batch.column(2), n, sig, [0] * len(n))
@@ -286,7 +274,6 @@ def postings(docs: DataFrame, text_col: str, buckets: int, hot: np.ndarray, perc
         frequent = np.isin(full.view(U), sent.value)
         keep = (df > 1) | frequent  # a frequent token stays in its place, though but one set needed to send it
         full, rank = full[keep], df[keep] + np.where(frequent[keep], 1 << 40, 0)
-        rank = np.where((full & 0xFF) < S_SHARE, rank, 1 << 50)
         a = pd.DataFrame({"kind": 0, "key": full, "sig": sig[keep], "ord": rank, "n": 0, "slack": 0})
         b = pd.DataFrame({"kind": 1, "key": 0, "sig": sets[:, 0], "ord": 0, "n": sets[:, 1], "slack": sets[:, 2]})
         return pd.concat([a, b])
@@ -306,34 +293,18 @@ def _sizes_fit(a, b, percent: int):
     return (F.lit(percent) * a <= 100 * b) & (F.lit(percent) * b <= 100 * a)
 
 
-def whole_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, max_broadcast: int) -> DataFrame:
-    """(sig, tokens) of the sets named in ``wanted`` (sig, doc_id). The names go out as a broadcast
-    variable while there are at most ``max_broadcast`` of them; beyond that the texts are joined."""
-    ids = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    if wanted.count() <= max_broadcast:
-        got = wanted.select("sig").toPandas()["sig"].to_numpy()
-        names = docs.sparkSession.sparkContext.broadcast(np.sort(got))
-    else:
-        names = None
-        ids = ids.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
+def whole_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(sig, tokens) of the sets whose first document is named in ``wanted`` (doc_id, _key)."""
+    w = small(wanted.select(F.col("doc_id").alias("_d"), F.col("_key").alias("_k")))
+    text = F.col(text_col)
+    few = docs.join(w, docs[id_col].eqNullSafe(F.col("_d")) & (text_key(text) == F.col("_k")), "left_semi")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: set[int] = set()
         for pdf in batches:
-            rows = []
-            for text in pdf["text"]:
-                s = shingle_set(text)
-                v = signature(s)
-                if len(s) and v not in seen:
-                    if names is not None:
-                        k = np.searchsorted(names.value, v)
-                        if k >= len(names.value) or names.value[k] != v:
-                            continue
-                    seen.add(v)
-                    rows.append((v, s.view(np.int64)))
-            yield pd.DataFrame(rows, columns=["sig", "tokens"])
+            sets = [shingle_set(t) for t in pdf["text"]]
+            yield pd.DataFrame({"sig": [signature(s) for s in sets], "tokens": [s.view(np.int64) for s in sets]})
 
-    return ids.select("text").mapInPandas(run, "sig bigint, tokens array<bigint>").dropDuplicates(["sig"])
+    return few.select(text.alias("text")).mapInPandas(run, "sig bigint, tokens array<bigint>").dropDuplicates(["sig"])
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -347,14 +318,14 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text",
-                       tokens_per_bucket: int = 1 << 20, max_broadcast: int = 2_000_000) -> DataFrame:
+                       tokens_per_bucket: int = 1 << 21) -> DataFrame:
     """Per document: ``doc_id``, ``_key`` (hash of the text), ``n_shingles``, ``component_id``."""
     most = 1 << 21  # keys are made for the finest ranges; coarser ranges drop their top bits
     first = written(document_sets(docs, id_col, text_col, most), "jaccard_sets")
     rows = first.where("kind = 0")
     total = rows.agg(F.sum("n").alias("n"), F.countDistinct("sig").alias("d")).collect()[0]
     buckets = 64
-    while buckets < most and buckets * tokens_per_bucket < (total["n"] or 0) * S_SHARE / 256:
+    while buckets < most and buckets * tokens_per_bucket < (total["n"] or 0):
         buckets *= 2
     hot = first.where("kind = 1").groupBy("sig").agg(F.sum("c").alias("c"))
     # at most 200 times the mean set size, whatever the input's size
@@ -372,43 +343,46 @@ def jaccard_components(docs: DataFrame, percent: int = 75, id_col: str = "doc_id
     alone = F.floor(sent) + 1 + F.col("slack") - F.col("m")
     prefix = written(ranked.where(F.col("r") <= F.col("m") - F.col("slack")).select(
         "key", "sig", "n",
-        # bounds of the token's place in its set's order: tokens of its own come first, if none of the others was sent
-        (F.col("r") - 1 + F.when(F.col("slack") > 0, alone).otherwise(F.lit(0))).cast("long").alias("pos"),
-        (F.col("r") - 1 + alone).cast("long").alias("top"),
-        # share of the sent tokens that few others have: small for the original of a clump
-        (1 - F.col("m") / (sent + F.col("slack") + 1)).alias("rare")), "jaccard_prefixes")
+        (F.col("r") - 1 + alone).cast("long").alias("pos"),  # place in the set's order; its own tokens come first
+        (F.col("n") - alone).cast("long").alias("most"),  # bound of its overlap with any other set
+        (alone / F.col("n")).alias("own")), "jaccard_prefixes")
 
-    least = prefix.groupBy("key").agg(F.min(F.struct("rare", "sig", "n")).alias("p"), F.count(F.lit(1)).alias("k")).where("k > 1")
+    least = prefix.groupBy("key").agg(F.min(F.struct("own", "sig", "n")).alias("p"), F.count(F.lit(1)).alias("k")).where("k > 1")
     star = (prefix.join(least.select("key", "p"), "key")
             .where((F.col("sig") != F.col("p.sig")) & _sizes_fit(F.col("n"), F.col("p.n"), percent))
             .groupBy(F.col("sig").alias("a"), F.col("p.sig").alias("b")).agg(F.count(F.lit(1)).alias("k")))
     star = star.groupBy("a").agg(F.max(F.struct("k", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
 
     shared = prefix.join(least.select("key"), "key", "left_semi").select("sig").distinct()
-    owners = rows.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("doc_id"))
+    owners = rows.where("n > 0").groupBy("sig").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "_key")).alias("o"))
+    owners = owners.select("sig", "o.doc_id", "o._key")
     wanted = written(owners.join(shared, "sig"), "jaccard_wanted")
-    sets = written(whole_sets(docs, wanted, id_col, text_col, max_broadcast), "jaccard_tokens")
+    sets = written(whole_sets(docs, wanted, id_col, text_col), "jaccard_tokens")
 
     star_links = written(verified(star, sets, percent), "jaccard_star")
     groups = written(components(star_links, "a", "b"), "jaccard_groups")
 
     member = prefix.join(groups, prefix["sig"] == groups["node"], "left").select(
-        "key", "sig", "n", "pos", "top", F.coalesce("root", "sig").alias("g"))
-    matrix = member.groupBy("key", "g").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+        "key", "sig", "n", "pos", "most", F.coalesce("root", "sig").alias("g"))
+    matrix = member.groupBy("key", "g").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("most").alias("bound"))
     several = matrix.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("key")
     live = written(member.join(several, "key", "left_semi"), "jaccard_live")
-    other = matrix.join(several, "key", "left_semi").select("key", F.col("g").alias("h"), "lo", "hi")
-    # query-group: a set against the other groups whose token union holds its prefix token
+    other = live.groupBy("key", F.col("g").alias("h")).agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("most").alias("bound"))
+    # a set against the other groups whose token union holds its prefix token; the smallest member that fits
+    # asks for the least overlap (equal keys of different tokens may hide one or two: hence + 2)
+    fits = F.greatest(F.col("lo"), F.ceil(F.lit(percent) * F.col("n") / 100))
     opened = (live.join(other, "key")
               .where((F.col("h") > F.col("g")) & (F.lit(percent) * F.col("n") <= 100 * F.col("hi"))
-                     & (F.lit(percent) * F.col("lo") <= 100 * F.col("n")))
-              .select("key", F.col("sig").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("top").alias("ta"), "h"))
+                     & (F.lit(percent) * F.col("lo") <= 100 * F.col("n"))
+                     & (F.least("most", "bound") + 2 >= need_overlap(F.col("n"), fits, percent)))
+              .select("key", F.col("sig").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("most").alias("ma"), "h"))
     inside = live.select("key", F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"),
-                         F.col("top").alias("tb"), F.col("g").alias("h"))
+                         F.col("most").alias("mb"), F.col("g").alias("h"))
     need = need_overlap(F.col("na"), F.col("nb"), percent)
+    rest = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+    before = F.least(F.col("pa") - F.col("na") + F.col("ma"), F.col("pb") - F.col("nb") + F.col("mb"))
     met = (opened.join(inside, ["key", "h"]).where(
-        _sizes_fit(F.col("na"), F.col("nb"), percent)
-        & (F.least("ta", "tb") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) + 2 >= need))
+        _sizes_fit(F.col("na"), F.col("nb"), percent) & (F.least("ma", "mb") + 2 >= need) & (before + rest + 2 >= need))
         .groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("c"), F.max("pa").alias("pa"), F.max("pb").alias("pb")))
     pairs = met.where(F.col("c") + F.least(F.col("na") - F.col("pa") - 1, F.col("nb") - F.col("pb") - 1) + 2 >= need)
     links = star_links.unionByName(verified(pairs, sets, percent))
