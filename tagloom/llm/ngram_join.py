@@ -369,21 +369,22 @@ def jaccard_components(docs: DataFrame, percent: int = 75, id_col: str = "doc_id
     live = written(member.join(several, "key", "left_semi"), "jaccard_live")
     other = live.groupBy("key", F.col("g").alias("h")).agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("most").alias("bound"))
     # a set against the other groups whose token union holds its prefix token; the smallest member that fits
-    # asks for the least overlap (equal keys of different tokens may hide one or two: hence + 2)
+    # asks for the least overlap
     fits = F.greatest(F.col("lo"), F.ceil(F.lit(percent) * F.col("n") / 100))
     opened = (live.join(other, "key")
               .where((F.col("h") > F.col("g")) & (F.lit(percent) * F.col("n") <= 100 * F.col("hi"))
                      & (F.lit(percent) * F.col("lo") <= 100 * F.col("n"))
-                     & (F.least("most", "bound") + 2 >= need_overlap(F.col("n"), fits, percent)))
+                     & (F.least("most", "bound") >= need_overlap(F.col("n"), fits, percent)))
               .select("key", F.col("sig").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("most").alias("ma"), "h"))
     inside = live.select("key", F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"),
                          F.col("most").alias("mb"), F.col("g").alias("h"))
     need = need_overlap(F.col("na"), F.col("nb"), percent)
+    # what can follow, from a shared token on: for a pair's first shared token it must reach the need alone
     rest = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
-    before = F.least(F.col("pa") - F.col("na") + F.col("ma"), F.col("pb") - F.col("nb") + F.col("mb"))
     met = (opened.join(inside, ["key", "h"]).where(
-        _sizes_fit(F.col("na"), F.col("nb"), percent) & (F.least("ma", "mb") + 2 >= need) & (before + rest + 2 >= need))
+        _sizes_fit(F.col("na"), F.col("nb"), percent) & (F.least("ma", "mb") >= need) & (rest >= need))
         .groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("c"), F.max("pa").alias("pa"), F.max("pb").alias("pb")))
+    # two tokens of one set may have one key, and count once: hence + 2
     pairs = met.where(F.col("c") + F.least(F.col("na") - F.col("pa") - 1, F.col("nb") - F.col("pb") - 1) + 2 >= need)
     links = star_links.unionByName(verified(pairs, sets, percent))
     roots = written(components(links, "a", "b"), "jaccard_roots")
