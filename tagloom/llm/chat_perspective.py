@@ -36,8 +36,10 @@ def rotate_perspectives(turns: DataFrame, conv_col: str = "conv_id", turn_col: s
     who = t.where(F.col("speaker") != SYSTEM).select(F.col("conv_id").alias("_c"), F.col("speaker").alias("participant")).distinct()
     seen = t.join(who, F.col("conv_id").eqNullSafe(F.col("_c"))).drop("_c")
     as_role = F.when(F.col("speaker") == SYSTEM, SYSTEM).when(F.col("speaker") == F.col("participant"), "assistant").otherwise("user")
-    seen = seen.withColumn("as_role", as_role).withColumn("_head", header(F.col("as_role"), F.col("speaker")))
-    seen = seen.withColumn("segment", F.concat("_head", "_text", F.lit(END + "\n"))).withColumn("_n", F.length("segment"))
+    seen = seen.withColumn("as_role", as_role)
+    head = header(F.col("as_role"), F.col("speaker"))
+    # lengths alone go through the shuffles; segments are put together at the end
+    seen = seen.withColumn("_n", F.length(head) + F.length("_text") + len(END) + 1)
     keys = ["conv_id", "participant"]
     inner = Window.partitionBy(*keys, "_block").orderBy(F.col("turn").asc_nulls_first(), "speaker", "_text")
     before = inner.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -53,8 +55,8 @@ def rotate_perspectives(turns: DataFrame, conv_col: str = "conv_id", turn_col: s
     start = end - F.col("_n")
     own = F.col("as_role") == "assistant"
     return placed.select("conv_id", "participant", (F.col("_count") + F.col("_seq") - 1).alias("seq"), "turn", "speaker", "as_role",
-                         "segment", start.alias("start"), end.alias("end"),
-                         F.when(own, start + F.length("_head")).alias("mask_start"), F.when(own, end - 1).alias("mask_end"))
+                         F.concat(head, "_text", F.lit(END + "\n")).alias("segment"), start.alias("start"), end.alias("end"),
+                         F.when(own, start + F.length(head)).alias("mask_start"), F.when(own, end - 1).alias("mask_end"))
 
 
 def dialogues(rotated: DataFrame) -> DataFrame:

@@ -51,7 +51,7 @@ def small(df: DataFrame, most: int = 200_000) -> DataFrame:
 def without(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` but for the rows named in ``dropped`` (doc_id, _key)."""
     d = small(written(dropped.select(F.col("doc_id").alias("_d"), F.col("_key").alias("_k")).distinct(), "dropped"))
-    return docs.join(d, docs[id_col].eqNullSafe(F.col("_d")) & (text_key(F.col(text_col)) == F.col("_k")), "left_anti")
+    return docs.join(d, docs[id_col].eqNullSafe(d["_d"]) & (text_key(docs[text_col]) == d["_k"]), "left_anti")
 
 
 def literal_table(spark: SparkSession, rows: list[tuple], names: list[str], types: list[str]) -> DataFrame:

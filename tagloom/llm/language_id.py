@@ -161,7 +161,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
 
     schema = T.StructType([*docs.select(*own).schema, T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType())])
-    return docs.select(*own, F.col(text_col).alias("_text")).mapInArrow(run, schema)
+    return docs.select(*own, F.col(text_col).alias("__text")).mapInArrow(run, schema)
 
 
 def fold(doc_id: Column) -> Column:

@@ -296,15 +296,15 @@ def _sizes_fit(a, b, percent: int):
 def whole_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(sig, tokens) of the sets whose first document is named in ``wanted`` (doc_id, _key)."""
     w = small(wanted.select(F.col("doc_id").alias("_d"), F.col("_key").alias("_k")))
-    text = F.col(text_col)
-    few = docs.join(w, docs[id_col].eqNullSafe(F.col("_d")) & (text_key(text) == F.col("_k")), "left_semi")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    few = rows.join(w, F.col("doc_id").eqNullSafe(F.col("_d")) & (text_key(F.col("text")) == F.col("_k")), "left_semi")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             sets = [shingle_set(t) for t in pdf["text"]]
             yield pd.DataFrame({"sig": [signature(s) for s in sets], "tokens": [s.view(np.int64) for s in sets]})
 
-    return few.select(text.alias("text")).mapInPandas(run, "sig bigint, tokens array<bigint>").dropDuplicates(["sig"])
+    return few.select("text").mapInPandas(run, "sig bigint, tokens array<bigint>").dropDuplicates(["sig"])
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

@@ -1,3 +1,211 @@
-"""DuckDB twins of the queries that SQL can express."""
+"""DuckDB twins of the queries that SQL can express.
+
+Language identification, packing and the pipeline have none; tests hold them against plain Python.
+"""
+
+from __future__ import annotations
+
+import math
+
+from tagloom.llm.common import LOWER, TOKEN, UPPER, WORD
+from tagloom.llm.license_scan import TEMPLATES, template_words
+from tagloom.llm.quality_rules import COMMON_WORDS
+from tagloom.llm.secret_scan import ASSIGN, BASE, MORE
+from tagloom.llm.url_filter import RULES, TRACKING
+
+
+def q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def lower(x: str) -> str:
+    return f"translate(coalesce({x}, ''), '{UPPER}', '{LOWER}')"
+
+
+def strings(items) -> str:
+    return "[" + ", ".join(map(q, items)) + "]"
+
 
 SQL: dict[str, str] = {}
+
+# ------------------------------------------------------------------ op1
+
+_templates = [(k, label, sorted(set(template_words(t)))) for k, (label, t) in enumerate(TEMPLATES)]
+_values = ", ".join(f"({k}, {q(label)}, {strings(w)}, {max(1, math.ceil(0.8 * len(w) - 1e-9))})" for k, label, w in _templates)
+
+
+def _starts(words: list[str]) -> str:
+    same = " AND ".join(f"w[i + {k}] = {q(p)}" for k, p in enumerate(words))
+    return f"list_transform(list_filter(range(1, len(w) + 1), lambda i: {same}), lambda i: i - 1)"
+
+
+SQL["op1_license_scan"] = f"""WITH t(tid, label, words, need) AS (VALUES {_values}),
+d AS (SELECT row_number() OVER () AS r, doc_id, {lower('text')} AS low FROM documents),
+w AS (SELECT r, doc_id, low, regexp_extract_all(low, '{WORD}') AS w FROM d),
+s AS (SELECT r, doc_id, low, len(w) AS n, {_starts(['cc', 'by'])} AS s0, {_starts(['general', 'public', 'license'])} AS s1,
+  {_starts(['all', 'rights', 'reserved'])} AS s2 FROM w),
+b AS (SELECT r, unnest(range(0, len(string_split(low, chr(10))))) AS block, unnest(string_split(low, chr(10))) AS line FROM s),
+bw AS (SELECT r, block, list_distinct(regexp_extract_all(line, '{WORD}')) AS ws FROM b),
+m AS (SELECT bw.r, bw.block, t.label, len(list_intersect(bw.ws, t.words)) AS shared, len(t.words) AS size FROM bw, t
+  WHERE len(list_intersect(bw.ws, t.words)) >= t.need),
+g AS (SELECT r, list(DISTINCT label) AS more, max(shared / size) AS best, count(DISTINCT block) AS n_blocks FROM m GROUP BY r),
+z AS (SELECT s.r, s.doc_id, s.n, list_concat(list_concat(s0, s1), s2) AS a,
+  list_filter([CASE WHEN len(s0) > 0 THEN 'cc-by' END, CASE WHEN len(s1) > 0 THEN 'gpl' END, CASE WHEN len(s2) > 0 THEN 'reserved' END],
+    lambda x: x IS NOT NULL) AS base FROM s)
+SELECT z.doc_id, CAST(n AS BIGINT) AS n_words, CAST(len(a) AS BIGINT) AS n_base, CAST(list_min(a) AS BIGINT) AS first_word,
+  CAST(list_max(a) AS BIGINT) AS last_word, array_to_string(base, ',') AS base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(base, coalesce(more, [])))), ',') AS labels,
+  CASE WHEN len(a) > 0 THEN 1.0::DOUBLE ELSE coalesce(best, 0.0::DOUBLE) END AS score, coalesce(n_blocks, 0) AS n_blocks
+FROM z LEFT JOIN g ON z.r = g.r"""
+
+# ------------------------------------------------------------------ op4
+
+
+def _canonical(url: str) -> str:
+    host = f"regexp_replace(regexp_replace({_host(url)}, ':(80|443)$', ''), '^(www|m|mobile)\\.', '')"
+    path = f"regexp_replace({_path(url)}, '(/index)?\\.html?$|/+$', '')"
+    query = f"regexp_extract(coalesce({url}, ''), '(?s)^.*?://[^?#]*\\?([^#]*)', 1)"
+    kept = (f"list_sort(list_filter(string_split({query}, '&'), lambda p: p <> '' AND "
+            f"NOT regexp_matches(split_part(p, '=', 1), '(?i)^({TRACKING})$')))")
+    return (f"CASE WHEN {host} <> '' THEN concat({host}, {path}, "
+            f"CASE WHEN len({kept}) > 0 THEN concat('?', array_to_string({kept}, '&')) ELSE '' END) END")
+
+
+def _host(url: str) -> str:
+    return lower(f"regexp_extract(coalesce({url}, ''), '(?s)^.*?://([^/?#]*)', 1)")
+
+
+def _path(url: str) -> str:
+    return f"regexp_extract(coalesce({url}, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
+
+
+_ordered = sorted(RULES, key=lambda r: -len(r[1] + r[2]))
+_fits = {(v, h, p): f"(host = {q(h)} OR ends_with(host, {q('.' + h)})) AND starts_with(path, {q(p)})" for v, h, p in _ordered}
+_rule = "CASE " + " ".join(f"WHEN {_fits[r]} THEN {q(r[1] + r[2])}" for r in _ordered) + " END"
+_verdict = "CASE " + " ".join(f"WHEN {_fits[r]} THEN {q(r[0])}" for r in _ordered) + " WHEN listed THEN 'block' ELSE 'allow' END"
+SQL["op4_url_filter"] = f"""WITH c AS (SELECT page_id, url, {_host('url')} AS host, {_path('url')} AS path, {_canonical('url')} AS canonical_url FROM pages),
+l AS (SELECT DISTINCT canonical_url AS k FROM c WHERE try_cast(regexp_extract(url, '://[^/?#]*/[a-z]+/([0-9]{{1,18}})', 1) AS BIGINT)
+  IN (SELECT doc_id FROM labels WHERE toxic = 1) AND canonical_url IS NOT NULL),
+x AS (SELECT c.*, l.k IS NOT NULL AS listed FROM c LEFT JOIN l ON c.canonical_url = l.k)
+SELECT page_id, host, path, {_rule} AS rule, {_verdict} AS verdict, canonical_url, listed FROM x"""
+
+# ------------------------------------------------------------------ op5
+
+SQL["op5_ngram_jaccard"] = f"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({lower('text')}, '{TOKEN}') AS w FROM documents),
+g AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1),
+  lambda i: array_to_string(list_slice(w, i, i + 4), ' '))) END AS g FROM w),
+u AS (SELECT doc_id, len(g) AS n, unnest(g) AS s FROM g),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM u a JOIN u b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+r(a, b) AS (SELECT a, b FROM p UNION SELECT r.a, p.b FROM r JOIN p ON r.b = p.a),
+c AS (SELECT a, min(b) AS b FROM r GROUP BY a)
+SELECT g.doc_id, CAST(len(g.g) AS BIGINT) AS n_shingles, least(g.doc_id, coalesce(c.b, g.doc_id)) AS component_id FROM g LEFT JOIN c ON g.doc_id = c.a"""
+
+# ------------------------------------------------------------------ op6
+
+SQL["op6_decontaminate"] = f"""WITH bw AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({lower('text')}, '{WORD}') AS w FROM benchmark),
+win AS (SELECT item, unnest(list_transform(range(1, greatest(len(w) - 12, 1) + 1), lambda i: list_slice(w, i, i + 12))) AS ws FROM bw WHERE len(w) > 0),
+ph AS (SELECT array_to_string(ws, ' ') AS phrase, len(ws) AS n, any_value(ws) AS ws, list(DISTINCT item) AS items FROM win GROUP BY ALL),
+sizes AS (SELECT DISTINCT n FROM ph),
+d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({lower('text')}, '{WORD}') AS w FROM documents),
+dg AS (SELECT r, s.n, unnest(range(1, len(w) - s.n + 2)) AS i, unnest(list_transform(range(1, len(w) - s.n + 2), lambda i: array_to_string(list_slice(w, i, i + s.n - 1), ' '))) AS g
+  FROM d, sizes s WHERE len(w) >= s.n),
+hit AS (SELECT dg.r, dg.i, dg.n, ph.items FROM dg JOIN ph ON dg.g = ph.phrase AND dg.n = ph.n),
+pos AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hit) GROUP BY r),
+it AS (SELECT r, list_sort(list(DISTINCT item)) AS items FROM (SELECT r, unnest(items) AS item FROM hit) GROUP BY r),
+tok AS (SELECT r, unnest(range(0, len(w))) AS p, unnest(w) AS term FROM d),
+df AS (SELECT term, count(DISTINCT r) AS df FROM tok GROUP BY term),
+pl AS (SELECT phrase, unnest(range(0, len(ws))) AS o, unnest(ws) AS term FROM ph),
+rk AS (SELECT pl.*, row_number() OVER (PARTITION BY phrase ORDER BY coalesce(df, 0), pl.term, o) AS k, min(coalesce(df, 0)) OVER (PARTITION BY phrase) AS least,
+  count(*) OVER (PARTITION BY phrase) AS places FROM pl LEFT JOIN df ON pl.term = df.term),
+sh AS (SELECT tok.r, rk.phrase, rk.o, tok.p - rk.o AS s FROM rk JOIN tok ON tok.term = rk.term WHERE rk.k <= 2 AND rk.least > 0 AND rk.places > 1),
+near AS (SELECT DISTINCT a.r, a.phrase, a.s FROM sh a JOIN sh b ON a.r = b.r AND a.phrase = b.phrase AND a.o <> b.o AND b.s - a.s BETWEEN 1 AND 3),
+nn AS (SELECT r, count(*) AS n_near FROM near GROUP BY r)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, CAST(coalesce(len(items), 0) AS BIGINT) AS n_items,
+  sha256(array_to_string(coalesce(items, []), ',')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated,
+  coalesce(n_near, 0) AS n_near
+FROM d LEFT JOIN pos ON d.r = pos.r LEFT JOIN it ON d.r = it.r LEFT JOIN nn ON d.r = nn.r"""
+
+# ------------------------------------------------------------------ op7
+
+SQL["op7_warc"] = """WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+f AS (SELECT h, min(page_id) AS first FROM p WHERE strlen(h) >= 100 GROUP BY h)
+SELECT p.page_id, strlen(p.h) AS payload_bytes, sha256(p.h) AS payload_digest,
+  CASE WHEN f.first <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN f.first <> p.page_id THEN f.first END AS refers_to, CAST(NULL AS VARCHAR) AS error
+FROM p LEFT JOIN f ON p.h = f.h"""
+
+# ------------------------------------------------------------------ op8
+
+SQL["op8_perspective_rotation"] = """WITH t AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS x FROM conversations),
+who AS (SELECT DISTINCT conv_id, speaker AS participant FROM t WHERE speaker <> 'system'),
+s AS (SELECT t.*, who.participant, CASE WHEN speaker = 'system' THEN 'system' WHEN speaker = participant THEN 'assistant' ELSE 'user' END AS as_role
+  FROM t JOIN who ON t.conv_id = who.conv_id),
+h AS (SELECT *, concat('<|im_start|>', as_role, CASE WHEN as_role = 'user' THEN concat(' name=', speaker) ELSE '' END, chr(10)) AS head FROM s),
+g AS (SELECT *, concat(head, x, '<|im_end|>', chr(10)) AS segment FROM h),
+e AS (SELECT *, sum(length(segment)) OVER w AS z, row_number() OVER w - 1 AS seq FROM g
+  WINDOW w AS (PARTITION BY conv_id, participant ORDER BY turn NULLS FIRST, speaker, x ROWS UNBOUNDED PRECEDING))
+SELECT conv_id, participant, seq, turn, speaker, as_role, segment, CAST(z - length(segment) AS BIGINT) AS start, CAST(z AS BIGINT) AS "end",
+  CAST(CASE WHEN as_role = 'assistant' THEN z - length(segment) + length(head) END AS BIGINT) AS mask_start,
+  CAST(CASE WHEN as_role = 'assistant' THEN z - 1 END AS BIGINT) AS mask_end FROM e"""
+
+# ------------------------------------------------------------------ op9
+
+_SPACES = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_lists = "CASE lang " + " ".join(f"WHEN {q(k)} THEN {strings(v)}" for k, v in COMMON_WORDS.items()) + " END"
+
+
+def _js(p: str, r: str) -> str:
+    def term(a: str) -> str:
+        m = f"(({p}[i] / list_sum({p})) + ({r}[i] / list_sum({r}))) / 2"
+        return f"CASE WHEN {a}[i] > 0 THEN ({a}[i] / list_sum({a})) * log2(({a}[i] / list_sum({a})) / ({m})) ELSE 0.0::DOUBLE END"
+
+    return f"sqrt(greatest(0.0::DOUBLE, list_sum(list_transform(range(1, len({p}) + 1), lambda i: ({term(p)} + {term(r)}) / 2))))"
+
+
+SQL["op9_quality_rules"] = f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '{TOKEN}') AS w, translate(t, {_SPACES}, '') AS solid,
+  list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{TOKEN}')) AS lines, {_lists} AS words FROM d),
+grams AS (SELECT r, unnest(range(1, len(w) - 1)) AS i, unnest(list_transform(range(1, len(w) - 1), lambda i: [w[i], w[i + 1], w[i + 2]])) AS g FROM w WHERE len(w) > 2),
+again AS (SELECT r, i FROM grams QUALIFY count(*) OVER (PARTITION BY r, g) > 1),
+rep AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM again) GROUP BY r),
+c AS (SELECT w.r, doc_id, lang, len(w) AS n_words, length(solid) AS word_chars, length(solid) - length(translate(solid, '#*$%&|<>', '')) AS n_symbols,
+  len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words,
+  length(t) - length(regexp_replace(t, '\\p{{L}}', '', 'g')) AS letters, length(t) - length(regexp_replace(t, '\\p{{Lu}}', '', 'g')) AS upper,
+  length(t) - length(regexp_replace(t, '\\p{{Nd}}', '', 'g')) AS digits, length(t) - length(solid) AS spaces, length(t) AS n,
+  list_transform(words, lambda x: len(list_filter(w, lambda y: y = x))) AS hist FROM w LEFT JOIN rep ON w.r = rep.r),
+h AS (SELECT *, [letters - upper, upper, digits, spaces, n - letters - digits - spaces] AS cls,
+  list_concat(hist, [n_words - list_sum(hist)]) AS wrd FROM c),
+ref AS (SELECT lang, [{', '.join(f'sum(cls[{i}])' for i in range(1, 6))}] AS rc, [{', '.join(f'sum(wrd[{i}])' for i in range(1, 14))}] AS rw FROM h GROUP BY lang),
+j AS (SELECT h.*, CASE WHEN n_words >= 50 THEN {_js('cls', 'rc')} END AS cd, CASE WHEN n_words >= 50 AND hist IS NOT NULL THEN {_js('wrd', 'rw')} END AS wd,
+  n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS failed FROM h JOIN ref ON h.lang IS NOT DISTINCT FROM ref.lang)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+  CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, failed AS base_failed,
+  round(cd, 6) AS class_distance, round(wd, 6) AS word_distance,
+  NOT failed AND NOT (coalesce(cd, 0) > 0.45 OR coalesce(wd, 0) > 0.75) AS kept FROM j"""
+
+# ------------------------------------------------------------------ op10
+
+
+def _found(n: int, pattern: str) -> str:
+    return (f"SELECT r, doc_id, source, {n} AS kind, regexp_extract_all(t, {q(pattern)}) AS m, regexp_split_to_array(t, {q(pattern)}) AS g "
+            f"FROM d WHERE regexp_matches(t, {q(pattern)})")
+
+
+_patterns = [p for _, p, _ in BASE] + [p for _, p, _ in MORE]
+_names = strings([k for k, *_ in BASE] + [k for k, *_ in MORE])
+_least = "[" + ", ".join([str(n) for *_, n in BASE] + ["0"] * len(MORE)) + "]"
+SQL["op10_secret_scan"] = f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
+f AS ({' UNION ALL '.join(_found(n, p) for n, p in enumerate(_patterns))}),
+e AS (SELECT r, doc_id, source, kind, unnest(range(1, len(m) + 1)) AS k, m, g FROM f),
+s AS (SELECT r, doc_id, source, kind, m[k] AS hit, CAST(list_sum(list_transform(list_slice(g, 1, k), lambda x: length(x)))
+  + coalesce(list_sum(list_transform(list_slice(m, 1, k - 1), lambda x: length(x))), 0) AS BIGINT) AS a FROM e),
+v AS (SELECT r, doc_id, source, kind, a, a + length(hit) AS z, CASE WHEN kind = 0 THEN regexp_extract(hit, {q(ASSIGN)}, 1) ELSE hit END AS v FROM s),
+o AS (SELECT * FROM v WHERE length(v) >= {_least}[kind + 1]),
+n AS (SELECT v, count(DISTINCT source) AS owners FROM o GROUP BY v),
+x AS (SELECT o.*, n.owners, concat({_names}[kind + 1], ':', a, ':', z) AS label FROM o JOIN n ON o.v = n.v),
+y AS (SELECT r, string_agg(label, ',' ORDER BY a, kind, label) AS spans, string_agg(label, ',' ORDER BY a, kind, label) FILTER (WHERE kind < 3) AS base,
+  count(*) FILTER (WHERE kind = 0) AS n0, count(*) FILTER (WHERE kind = 1) AS n1, count(*) FILTER (WHERE kind = 2) AS n2,
+  count(*) FILTER (WHERE owners < 4) AS live, count(*) FILTER (WHERE owners >= 4) AS example FROM x GROUP BY r)
+SELECT d.doc_id, coalesce(n0, 0) AS n_assign, coalesce(n1, 0) AS n_access, coalesce(n2, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+  coalesce(spans, '') AS spans, coalesce(live, 0) AS n_live, coalesce(example, 0) AS n_example FROM d LEFT JOIN y ON d.r = y.r"""

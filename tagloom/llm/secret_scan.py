@@ -129,14 +129,14 @@ def redact(docs: DataFrame, owner: str = "source", repo: str = "doc_id", min_own
     w = Window.partitionBy(repo, "_key").orderBy("value_start", "end").rowsBetween(Window.unboundedPreceding, -1)
     live = (spans.where(F.col("verdict") == "live").groupBy(repo, "_key", "value_start", "end").agg(F.lit(1).alias("_one"))
             .withColumn("_from", F.coalesce(F.max("end").over(w), F.lit(0).cast("long"))))
-    cuts = small(written(live.groupBy(F.col(repo).alias("_id"), F.col("_key").alias("_k")).agg(
-        F.sort_array(F.collect_list(F.struct("value_start", "end", "_from"))).alias("_cuts"), F.max("end").alias("_last")),
+    cuts = small(written(live.groupBy(F.col(repo).alias("__id"), F.col("_key").alias("__k")).agg(
+        F.sort_array(F.collect_list(F.struct("value_start", "end", "_from"))).alias("__cuts"), F.max("end").alias("__last")),
         "secret_cuts"))
     t = F.coalesce(F.col(text_col), F.lit(""))
-    joined = docs.join(cuts, F.col(repo).eqNullSafe(F.col("_id")) & (text_key(F.col(text_col)) == F.col("_k")), "left")
-    before = F.array_join(F.transform("_cuts", lambda x: F.when(x["value_start"] >= x["_from"], F.concat(
+    joined = docs.join(cuts, docs[repo].eqNullSafe(cuts["__id"]) & (text_key(docs[text_col]) == cuts["__k"]), "left")
+    before = F.array_join(F.transform("__cuts", lambda x: F.when(x["value_start"] >= x["_from"], F.concat(
         F.substring(t, (x["_from"] + 1).cast("int"), (x["value_start"] - x["_from"]).cast("int")), F.lit(PLACEHOLDER)))
         .otherwise(F.lit(""))), "")
-    new = F.when(F.col("_cuts").isNull(), F.col(text_col)).otherwise(
-        F.concat(before, F.substring(t, (F.col("_last") + 1).cast("int"), F.lit(2**31 - 1))))
+    new = F.when(F.col("__cuts").isNull(), F.col(text_col)).otherwise(
+        F.concat(before, F.substring(t, (F.col("__last") + 1).cast("int"), F.lit(2**31 - 1))))
     return joined.withColumn(text_col, new).select(*docs.columns)

@@ -95,14 +95,14 @@ def url_filter(pages: DataFrame, listed: DataFrame, rules=None, url_col: str = "
                max_blocks: int = 1 << 16, keys_per_block: int = 40) -> DataFrame:
     """``pages`` with ``host``, ``path``, ``canonical_url``, ``rule``, ``listed``, ``verdict``.
 
-    ``listed``: urls to block unless a rule says otherwise.
+    ``listed``: urls to block unless a rule says otherwise. Columns of ``pages`` with one of these
+    names are replaced; all others are kept.
     """
     keys = listed.select(canonical(F.col(listed_col)).alias("_key")).where(F.col("_key").isNotNull()).distinct()
     n_blocks = max(1, min(max_blocks, -(-keys.count() // keys_per_block)))
     blocks = bloom_blocks(keys, "_key", n_blocks)
-    own = pages.columns
-    out = ["host", "path", "canonical_url"]
-    rows = pages.select(*own, host_of(F.col(url_col)).alias("_host"), path_of(F.col(url_col)).alias("_path"),
+    own = [c for c in pages.columns if c not in ("host", "path", "canonical_url", "rule", "listed", "verdict")]
+    rows = pages.select(F.struct(*own).alias("_own"), host_of(F.col(url_col)).alias("_host"), path_of(F.col(url_col)).alias("_path"),
                         canonical(F.col(url_col)).alias("_canon"))
     flagged = bloom_pass(rows, "_canon", blocks, n_blocks)
     exact = (flagged.where("_maybe").join(keys.withColumn("_in", F.lit(True)), F.col("_canon") == F.col("_key"), "left")
@@ -112,6 +112,6 @@ def url_filter(pages: DataFrame, listed: DataFrame, rules=None, url_col: str = "
     judged = exact.unionByName(sure).withColumn("_rule", rule)
     named = [F.col("_host").alias("host"), F.col("_path").alias("path"), F.col("_canon").alias("canonical_url")]
     return judged.select(
-        *[c for c in own if c not in {*out, "rule", "listed", "verdict"}], *named, F.col("_rule.rule").alias("rule"),
+        *[F.col("_own")[c].alias(c) for c in own], *named, F.col("_rule.rule").alias("rule"),
         F.col("_listed").alias("listed"),
         F.coalesce(F.col("_rule.verdict"), F.when(F.col("_listed"), F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"))
