@@ -7,7 +7,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +19,8 @@ from ..functions.arrays import IGNORE_INDEX, fixed_length, masked_sequence, pad_
 # Special tokens and their ids; corpus tokens follow from id 4 in rank order.
 SPECIAL_TOKENS = ["[PAD]", "[UNK]", "[CLS]", "[SEP]"]
 PAD_ID, UNK_ID, CLS_ID, SEP_ID = 0, 1, 2, 3
+# Ids of the code points with which tokens outside the vocabulary are spelled, after an [UNK].
+SPELL_BASE = 1 << 22
 # CJK Unified Ideographs get a space on each side so each is its own token.
 CJK_PATTERN = "([一-鿿])"
 # A token: a run of letters/digits, or one other non-space character.
@@ -51,56 +54,83 @@ def token_vocab(df: DataFrame, tokens_col: str, max_vocab: int) -> DataFrame:
     return ranked.select("token", "id", "n")
 
 
-def _vocab_dict(vocab: DataFrame, max_vocab: int) -> dict:
-    rows = vocab.select("token", "id").limit(max_vocab + 1).collect()
-    if len(rows) > max_vocab:
-        raise ValueError(f"vocabulary exceeds max_vocab={max_vocab}")
-    return {r["token"]: r["id"] for r in rows}
+def _vocab_arrays(vocab: DataFrame, max_vocab: int) -> tuple[pa.Array, np.ndarray]:
+    """Tokens and ids of the vocabulary's first ``max_vocab`` entries."""
+    rows = vocab.select("token", "id").orderBy("id").limit(max_vocab).collect()
+    return pa.array([r["token"] for r in rows], pa.string()), np.array([r["id"] for r in rows], dtype=np.int32)
+
+
+def _offsets(lengths: np.ndarray) -> np.ndarray:
+    return np.concatenate(([0], np.cumsum(lengths)))
+
+
+def _list_lengths(arr: pa.ListArray) -> np.ndarray:
+    return pc.fill_null(pc.list_value_length(arr), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def encode_lists(arr: pa.ListArray, tokens: pa.Array, ids: np.ndarray) -> pa.ListArray:
+    """Ids of lists of tokens. A token outside the vocabulary is spelled: [UNK], then its code points
+    from ``SPELL_BASE`` on, so nothing is lost."""
+    flat = arr.flatten()
+    at = pc.fill_null(pc.index_in(flat, value_set=tokens), -1).to_numpy(zero_copy_only=False)
+    unknown = at < 0
+    rare = flat.filter(pa.array(unknown))
+    n = pc.utf8_length(rare).to_numpy(zero_copy_only=False).astype(np.int64)
+    size = np.ones(len(flat), dtype=np.int64)
+    size[unknown] += n
+    ends = _offsets(size)
+    out = np.empty(int(ends[-1]), dtype=np.int32)
+    out[ends[:-1][~unknown]] = ids[at[~unknown]]
+    out[ends[:-1][unknown]] = UNK_ID
+    points = np.frombuffer("".join(rare.to_pylist()).encode("utf-32-le"), dtype="<u4")
+    out[np.repeat(ends[:-1][unknown] + 1 - _offsets(n)[:-1], n) + np.arange(len(points))] = points.astype(np.int32) + SPELL_BASE
+    offsets = ends[_offsets(_list_lengths(arr))].astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(out), mask=arr.is_null())
+
+
+def decode_lists(arr: pa.ListArray, tokens: list[str], skip_special: bool) -> pa.ListArray:
+    """Tokens of lists of ids, the inverse of :func:`encode_lists`."""
+    flat = arr.flatten().to_numpy(zero_copy_only=False)
+    spelled = flat >= SPELL_BASE
+    begins = ~spelled
+    if skip_special:
+        begins &= (flat >= len(SPECIAL_TOKENS)) | (flat == UNK_ID)
+    # code points belong to the token that began last
+    owner = np.cumsum(begins) - 1
+    heads = flat[begins]
+    text = (flat[spelled] - SPELL_BASE).astype("<u4").tobytes().decode("utf-32-le")
+    cuts = _offsets(np.bincount(owner[spelled], minlength=len(heads)))
+    table = [*SPECIAL_TOKENS, *tokens]
+    out = [text[cuts[k] : cuts[k + 1]] if i == UNK_ID and cuts[k] < cuts[k + 1] else table[i] for k, i in enumerate(heads.tolist())]
+    offsets = _offsets(begins)[_offsets(_list_lengths(arr))].astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(out, pa.string()), mask=arr.is_null())
 
 
 def encode_tokens(df: DataFrame, tokens_col: str, vocab: DataFrame, max_vocab: int, out_col: str = "input_ids") -> DataFrame:
-    """Token array -> id array, unknown -> [UNK], in place (no shuffle of the corpus).
+    """Token array -> id array in place (no shuffle of the corpus); tokens outside the vocabulary are spelled.
 
-    The capped vocabulary (at most ``max_vocab`` entries, checked) is shipped
-    once per executor as a broadcast variable; each Arrow batch is mapped by
-    a dict lookup inside the task.
+    The vocabulary (``max_vocab`` entries, a parameter) is shipped once per executor as a
+    broadcast variable; Arrow batches are mapped whole.
     """
-    spark = df.sparkSession
-    table = spark.sparkContext.broadcast(_vocab_dict(vocab, max_vocab))
+    table = df.sparkSession.sparkContext.broadcast(_vocab_arrays(vocab, max_vocab))
 
-    @F.pandas_udf("array<int>")
-    def _lookup(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        d = table.value
-        for s in batches:
-            yield s.map(lambda toks: None if toks is None else np.fromiter((d.get(t, UNK_ID) for t in toks), dtype=np.int32, count=len(toks)))
+    @F.arrow_udf("array<int>")
+    def _lookup(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        tokens, ids = table.value
+        for arr in batches:
+            yield encode_lists(arr, tokens, ids)
 
     return df.withColumn(out_col, _lookup(F.col(tokens_col)))
 
 
 def decode_ids(df: DataFrame, ids_col: str, vocab: DataFrame, max_vocab: int, out_col: str = "tokens", skip_special: bool = True) -> DataFrame:
-    """Id array -> token array through the same vocabulary (vectorised take per row)."""
-    spark = df.sparkSession
-    d = _vocab_dict(vocab, max_vocab)
-    size = max(d.values(), default=len(SPECIAL_TOKENS) - 1) + 1
-    table = np.empty(size, dtype=object)
-    table[: len(SPECIAL_TOKENS)] = SPECIAL_TOKENS
-    for tok, i in d.items():
-        table[i] = tok
-    bc = spark.sparkContext.broadcast(table)
-    n_special = len(SPECIAL_TOKENS)
-
-    @F.pandas_udf("array<string>")
-    def _take(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        t = bc.value
-        for s in batches:
-            def one(ids):
-                if ids is None:
-                    return None
-                ids = np.asarray(ids, dtype=np.int64)
-                if skip_special:
-                    ids = ids[ids >= n_special]
-                return t[ids].tolist()
-            yield s.map(one)
+    """Id array -> token array through the same vocabulary."""
+    table = df.sparkSession.sparkContext.broadcast(_vocab_arrays(vocab, max_vocab)[0].to_pylist())
+
+    @F.arrow_udf("array<string>")
+    def _take(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for arr in batches:
+            yield decode_lists(arr, table.value, skip_special)
 
     return df.withColumn(out_col, _take(F.col(ids_col)))
 

@@ -1,13 +1,11 @@
 """Joins: metadata to page content (null-safe, fan-out kept), label <-> id
-lookups against a bounded vocabulary, and text/target pairing by row id."""
+lookups against a vocabulary, and text/target pairing by row id."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .vocab import bounded
-
 
 def left_join_content(meta: DataFrame, web: DataFrame, left_key: str, right_key: str, skew_safe: bool = True) -> DataFrame:
     """pandas ``merge(how="left")``: null keys match null keys, repeated right keys fan out.
@@ -38,22 +36,22 @@ def encode_label_id(df: DataFrame, vocab: DataFrame, label_col: str, id_col: str
     """Label -> id through the vocabulary (``label``, ``id``).
 
     ``on_unknown``: "error" raises like a dict lookup would, "drop" removes
-    the row, "null" keeps it with a null id.
+    the row, "null" keeps it with a null id. A null label is unknown. Spark picks the join by size.
     """
-    v = bounded(vocab.select(F.col("label").alias("_lab"), F.col("id").alias(id_col)))
-    out = df.join(F.broadcast(v), df[label_col] == F.col("_lab"), "left").drop("_lab")
+    v = vocab.select(F.col("label").alias("_lab"), F.col("id").alias(id_col))
+    out = df.join(v, df[label_col] == F.col("_lab"), "left").drop("_lab")
     if on_unknown == "drop":
         return out.where(F.col(id_col).isNotNull())
     if on_unknown == "error":
-        known = F.col(id_col).isNotNull() | F.col(label_col).isNull()
-        return out.where(F.when(known, F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("unknown label: "), F.col(label_col)))))
+        name = F.coalesce(F.col(label_col).cast("string"), F.lit("null"))
+        return out.where(F.when(F.col(id_col).isNotNull(), F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("unknown label: "), name))))
     return out
 
 
 def decode_label_id(df: DataFrame, vocab: DataFrame, id_col: str, label_col: str = "label") -> DataFrame:
     """Id -> label; ids may arrive as int or as their decimal string (JSON map keys)."""
-    v = bounded(vocab.select(F.col("id").cast("int").alias("_id"), F.col("label").alias(label_col)))
-    return df.join(F.broadcast(v), df[id_col].cast("int") == F.col("_id"), "left").drop("_id")
+    v = vocab.select(F.col("id").cast("int").alias("_id"), F.col("label").alias(label_col))
+    return df.join(v, df[id_col].cast("int") == F.col("_id"), "left").drop("_id")
 
 
 def pair_text_label(text: DataFrame, target: DataFrame, id_col: str = "row_id") -> DataFrame:

@@ -35,19 +35,15 @@ def confusion_matrix(df: DataFrame, y_col: str, pred_col: str) -> DataFrame:
 
 def class_counts(cm: DataFrame) -> DataFrame:
     """Per class over the union of true and predicted classes: ``label, tp, fp, fn, support``."""
-    truth = cm.groupBy(F.col("y_true").alias("label")).agg(
-        F.sum("n").alias("support"), F.sum(F.when(F.col("y_true") == F.col("y_pred"), F.col("n")).otherwise(0)).alias("tp")
-    )
-    predicted = cm.groupBy(F.col("y_pred").alias("label")).agg(F.sum("n").alias("predicted"))
-    both = truth.join(predicted, "label", "full_outer")
-    tp = F.coalesce("tp", F.lit(0))
-    return both.select(
-        "label",
-        tp.cast("long").alias("tp"),
-        (F.coalesce("predicted", F.lit(0)) - tp).cast("long").alias("fp"),
-        (F.coalesce("support", F.lit(0)) - tp).cast("long").alias("fn"),
-        F.coalesce("support", F.lit(0)).cast("long").alias("support"),
-    )
+    zero, n = F.lit(0).cast("long"), F.col("n").cast("long")
+    kind = cm.schema["y_true"].dataType
+    hit = F.when(F.col("y_true").eqNullSafe(F.col("y_pred")), n).otherwise(zero)
+    # each cell counts once for its true class and once for its predicted class: no join
+    sides = cm.select(F.inline(F.array(
+        F.struct(F.col("y_true").alias("label"), n.alias("support"), zero.alias("predicted"), hit.alias("tp")),
+        F.struct(F.col("y_pred").cast(kind).alias("label"), zero.alias("support"), n.alias("predicted"), zero.alias("tp")))))
+    both = sides.groupBy("label").agg(*[F.sum(c).alias(c) for c in ("support", "predicted", "tp")])
+    return both.select("label", "tp", (F.col("predicted") - F.col("tp")).alias("fp"), (F.col("support") - F.col("tp")).alias("fn"), "support")
 
 
 def with_scores(counts: DataFrame) -> DataFrame:
@@ -89,7 +85,7 @@ def classification_metrics(df: DataFrame, y_col: str, pred_col: str) -> DataFram
 
 
 def classification_report(df: DataFrame, y_col: str, pred_col: str) -> DataFrame:
-    """Per-class rows (sorted by label) then ``accuracy``, ``macro avg``, ``weighted avg``.
+    """Per-class rows, then ``accuracy``, ``macro avg``, ``weighted avg``; sort by ``ord, row`` to print.
 
     Columns ``row, precision, recall, f1, support, ord``; the accuracy row
     carries its value in ``f1`` only (like the printed report).
@@ -111,11 +107,8 @@ def classification_report(df: DataFrame, y_col: str, pred_col: str) -> DataFrame
             )
         )
     )
-    ordered = per_class.withColumn("ord", F.row_number().over(Window.orderBy("row")).cast("int"))
-    tail = summary.withColumn(
-        "ord", (F.lit(1_000_000_000) + F.when(F.col("row") == "accuracy", 0).when(F.col("row") == "macro avg", 1).otherwise(2)).cast("int")
-    )
-    return ordered.unionByName(tail)
+    tail = F.when(F.col("row") == "accuracy", 1).when(F.col("row") == "macro avg", 2).otherwise(3)
+    return per_class.withColumn("ord", F.lit(0)).unionByName(summary.withColumn("ord", tail.cast("int")))
 
 
 # ---------------------------------------------------------------- multi-label

@@ -25,9 +25,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Small tables (cut values, bucket histograms, partition sizes) are broadcast
-# only below this row count; the real counts are checked before hinting.
-BROADCAST_ROW_LIMIT = 1_000_000
+# Cut lists (a few rows per group) carry a broadcast hint up to this many rows.
+BROADCAST_ROW_LIMIT = 100_000
 
 
 def _col(c) -> Column:
@@ -50,7 +49,6 @@ def exact_rank(
     group_cols: Sequence[str] = (),
     rank_col: str = "rank",
     target_bucket_rows: int = 200_000,
-    max_groups: int = BROADCAST_ROW_LIMIT,
     group_sizes: dict | None = None,
 ) -> DataFrame:
     """Add ``rank_col`` = exact 1-based position of each row in ``(key_col, id_col)`` order
@@ -61,30 +59,28 @@ def exact_rank(
     buckets), and each bucket's start comes from bucket counts. Everything is
     a function of the data: no sampling, no partition-dependent ids, so a
     recomputed task yields the same ranks. One shuffle moves the rows (by
-    group and bucket); the bucket table is broadcast when it is small.
+    group and bucket); Spark picks the join with the bucket table by its size.
     """
     g = list(group_cols) or ["_all"]
     if not group_cols:
         df = df.withColumn("_all", F.lit(0))
     if group_sizes is not None:  # caller already knows the sizes (e.g. a split it just made)
-        sizes = [dict(zip(g, k if isinstance(k, tuple) else (k,)), count=v) for k, v in group_sizes.items()] if group_cols \
-            else [{"_all": 0, "count": sum(group_sizes.values())}]
+        largest = max(group_sizes.values()) if group_cols else sum(group_sizes.values())
     else:
-        sizes = df.groupBy(*g).count().limit(max_groups + 1).collect()
-    if len(sizes) > max_groups:
-        raise ValueError(f"more than {max_groups} rank groups")
-    if any(r[c] is None for r in sizes for c in g):
-        raise ValueError(f"null values in rank group columns {g}")
-    if not sizes:
-        return df.withColumn(rank_col, F.lit(None).cast("long")).drop("_all")
-    digits = _bucket_digits(max(r["count"] for r in sizes), target_bucket_rows)
+        null_group = F.lit(False)
+        for c in g:
+            null_group = null_group | F.col(c).isNull()
+        stats = df.groupBy(*g).count().agg(F.max("count").alias("n"), F.coalesce(F.max(null_group), F.lit(False)).alias("null")).first()
+        if stats["null"]:
+            raise ValueError(f"null values in rank group columns {g}")
+        largest = stats["n"] or 0
+    # enough buckets for every core, and of a bounded number of rows
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    digits = max(2, _bucket_digits(largest, target_bucket_rows), _bucket_digits(4 * cores, 1))
     keyed = df.withColumn("_rb", F.substring(key_col, 1, digits))
     hist = keyed.groupBy(*g, "_rb").agg(F.count(F.lit(1)).alias("_rn"))
     upto = Window.partitionBy(*g).orderBy("_rb").rowsBetween(Window.unboundedPreceding, -1)
     starts = hist.select(*g, "_rb", F.coalesce(F.sum("_rn").over(upto), F.lit(0)).alias("_rstart"))
-    # at most groups x 16^digits rows (~ n / target_bucket_rows); broadcast only below the limit
-    bound = len(sizes) * 16 ** digits
-    starts = F.broadcast(starts) if bound <= BROADCAST_ROW_LIMIT else starts
     in_bucket = Window.partitionBy(*g, "_rb").orderBy(F.col(key_col), F.col(id_col))
     return (
         keyed.join(starts, g + ["_rb"])
@@ -126,8 +122,10 @@ def segment_by_rank(
     if not group_cols:
         df = df.withColumn("_all", F.lit(0))
         cuts = [(0, c[-1]) for c in cuts]
-    if len(cuts) > BROADCAST_ROW_LIMIT:
-        raise ValueError(f"{len(cuts)} cut points: too many to broadcast")
+
+    def hinted(table):
+        return F.broadcast(table) if len(cuts) <= BROADCAST_ROW_LIMIT else table
+
     if any(v is None for c in cuts for v in c[:-1]):
         raise ValueError("null group value in cut points")
     mult: dict[tuple, int] = {}
@@ -150,7 +148,7 @@ def segment_by_rank(
     hist = hist.withColumn("_end", F.sum("_bn").over(upto)).withColumn("_start", F.col("_end") - F.col("_bn"))
     # the bucket holding each cut rank: start < k <= end (equi-join on the group, range test)
     targets = (
-        hist.join(F.broadcast(cuts_df), g, "inner")
+        hist.join(hinted(cuts_df), g, "inner")
         .where((F.col("_start") < F.col("k")) & (F.col("k") <= F.col("_end")))
         .select(*g, "_b", "k", "_mult", (F.col("k") - F.col("_start")).alias("_kr"))
         .collect()  # at most one row per cut point
@@ -167,7 +165,7 @@ def segment_by_rank(
         # exact position only inside the target buckets (each about target_bucket_rows rows)
         in_bucket = Window.partitionBy(*g, "_b", "k").orderBy("_ck", "_cid")
         picked_rows = (
-            bucketed.join(F.broadcast(t_df), g + ["_b"], "inner")
+            bucketed.join(hinted(t_df), g + ["_b"], "inner")
             .withColumn("_r", F.row_number().over(in_bucket))
             .where(F.col("_r") == F.col("_kr"))
             .select(*g, "_ck", "_cid", "_mult")
@@ -195,5 +193,5 @@ def segment_by_rank(
         lambda acc, c: acc + F.when(me > c["v"], c["m"]).otherwise(F.lit(0)),
     )
     passed = F.coalesce(F.col("_below"), F.lit(0)) + exceeded
-    # one row per group (bounded by the cut list, checked above)
-    return df.join(F.broadcast(small), g, "left").withColumn(seg_col, passed.cast("int")).drop("_cuts", "_below")
+    # one row per group
+    return df.join(hinted(small), g, "left").withColumn(seg_col, passed.cast("int")).drop("_cuts", "_below")

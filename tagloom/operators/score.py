@@ -29,8 +29,8 @@ def batch_score(df: DataFrame, factory: PredictFactory, schema: StructType | str
     return df.mapInPandas(run, schema)
 
 
-def argmax_rule(id_col: str, logits_col: str, n_logits: int) -> PredictFactory:
-    """A deterministic stand-in model: the first ``n_logits`` values are the logits.
+def argmax_rule(id_col: str, logits_col: str) -> PredictFactory:
+    """A deterministic stand-in model: the values are the logits.
 
     Emits ``id, pred`` (argmax, first maximum wins) and ``score`` (max softmax prob).
     """
@@ -40,7 +40,7 @@ def argmax_rule(id_col: str, logits_col: str, n_logits: int) -> PredictFactory:
             if len(pdf) == 0:
                 return pd.DataFrame({id_col: pd.Series([], dtype="int64"), "pred": pd.Series([], dtype="int32"),
                                      "score": pd.Series([], dtype="float64")})
-            z = np.stack([np.asarray(v, dtype=np.float64)[:n_logits] for v in pdf[logits_col]])
+            z = np.stack([np.asarray(v, dtype=np.float64) for v in pdf[logits_col]])
             pred = z.argmax(axis=1).astype(np.int32)
             e = np.exp(z - z.max(axis=1, keepdims=True))
             score = (e.max(axis=1) / e.sum(axis=1)).astype(np.float64)

@@ -1,6 +1,5 @@
 """Label vocabularies: distinct labels, dense ids by codepoint order, and the
-label-metadata record. A vocabulary is small by nature, but it is derived
-from data, so its size is checked before it is broadcast or inlined."""
+label-metadata record. Joins with a vocabulary are left to Spark's choice by size."""
 
 from __future__ import annotations
 
@@ -9,29 +8,15 @@ from pyspark.sql import functions as F
 
 from ..functions.text import parse_labels
 
-# Largest vocabulary we broadcast or inline (checked, never assumed).
-VOCAB_LIMIT = 100_000
-
-
-def bounded(vocab: DataFrame, limit: int = VOCAB_LIMIT) -> DataFrame:
-    """Cache ``vocab`` and raise unless it has at most ``limit`` rows."""
-    vocab = vocab.cache()
-    n = vocab.count()
-    if n > limit:
-        raise ValueError(f"vocabulary has {n} entries, more than the broadcast limit {limit}")
-    return vocab
-
-
 def dense_ids(labels: DataFrame, label_col: str = "label", id_col: str = "id") -> DataFrame:
     """``{l: i for i, l in enumerate(sorted(labels))}`` on distinct labels.
 
     Spark's string order is UTF-8 binary = codepoint order = Python's sort.
-    The window has no partition key; its input is the (checked) vocabulary.
+    The window has no partition key: ids without gaps in one order need one. Its input is one row
+    per distinct label, whatever the table's size.
     """
-    distinct = bounded(labels.select(F.col(label_col).alias("label")).where(F.col("label").isNotNull()).distinct())
-    out = distinct.select("label", (F.row_number().over(Window.orderBy("label")) - 1).cast("int").alias(id_col))
-    out._cached_inputs = [distinct]  # released by Prepared.release()
-    return out
+    distinct = labels.select(F.col(label_col).alias("label")).where(F.col("label").isNotNull()).distinct()
+    return distinct.select("label", (F.row_number().over(Window.orderBy("label")) - 1).cast("int").alias(id_col))
 
 
 def label_vocab_single(df: DataFrame, label_col: str) -> DataFrame:
@@ -44,12 +29,9 @@ def label_vocab_multi(df: DataFrame, label_col: str) -> DataFrame:
     return dense_ids(df.select(F.explode(parse_labels(label_col)).alias("label")))
 
 
-def vocab_list(vocab: DataFrame, limit: int = VOCAB_LIMIT) -> list[str]:
-    """Labels in id order (bounded; used to inline a multi-hot class list)."""
-    rows = vocab.orderBy("id").select("label").limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"vocabulary has more than {limit} entries")
-    return [r["label"] for r in rows]
+def vocab_list(vocab: DataFrame) -> list[str]:
+    """Labels in id order (one driver row per label; used to inline a multi-hot class list)."""
+    return [r["label"] for r in vocab.orderBy("id").select("label").collect()]
 
 
 def label_metadata(vocab: DataFrame, label_col: str, text_col: str) -> DataFrame:

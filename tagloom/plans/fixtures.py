@@ -22,7 +22,7 @@ def fx_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     text, every label separator, and an ASCII comma that must not split."""
     d = read_parquet_table(spark, sf_dir, "documents")
     i = F.col("doc_id")
-    src = F.when(i % 97 == 0, F.lit(None)).otherwise(F.concat(F.lit("u"), _s(i % 700)))
+    src = F.when(i % 97 == 0, F.lit(None)).otherwise(F.concat(F.lit("u"), _s(F.expr("doc_id div 3"))))
     scene = (
         F.when(i % 53 == 0, F.lit(None))
         .when(i % 59 == 0, F.lit(" " + U3000))
@@ -45,7 +45,7 @@ def fx_web(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Web table ``(page_id, url, content)``: null and repeated keys, null and blank content."""
     p = read_parquet_table(spark, sf_dir, "pages")
     i = F.col("page_id")
-    url = F.when(i % 41 == 0, F.lit(None)).otherwise(F.concat(F.lit("u"), _s(i % 200)))
+    url = F.when(i % 41 == 0, F.lit(None)).otherwise(F.concat(F.lit("u"), _s(F.expr("page_id div 2"))))
     content = F.when(i % 37 == 1, F.lit(None)).when(i % 43 == 1, F.lit(U3000 + " ")).otherwise(F.col("html"))
     return p.select("page_id", url.cast("string").alias("url"), content.cast("string").alias("content"))
 
@@ -94,10 +94,10 @@ def fx_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fx_logits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scores ``(vec_id, y, z, y_multi)``: 10 logits, a class id, and a 10-wide 0/1 truth
+    """Scores ``(vec_id, y, z, y_multi)``: the whole vector as logits, a class id, and a 0/1 truth as wide
     (``z_i >= 0``, flipped where ``(vec_id * 7 + i) % 31 == 0``)."""
     e = read_parquet_table(spark, sf_dir, "embeddings")
-    z = F.slice(F.col("embedding").cast("array<double>"), 1, 10)
+    z = F.col("embedding").cast("array<double>")
     base = e.select("vec_id", F.col("label").alias("y"), z.alias("z"))
     flip = lambda x, i: F.when((F.col("vec_id") * 7 + i) % 31 == 0, F.lit(1) - (x >= 0).cast("int")).otherwise((x >= 0).cast("int"))
     return base.withColumn("y_multi", F.transform("z", flip))

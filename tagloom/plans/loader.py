@@ -31,12 +31,15 @@ def load_batches(merged: DataFrame, vocab_labels: DataFrame, id_col: str, text_c
     """Rows with ``split, batch_id, pos_in_batch, label_id`` and fixed-length ``input_ids`` / ``attention_mask``."""
     rows = encode_label_id(merged, vocab_labels, label_col)
     rows = rows.withColumn("_tokens", tokenize(text_col))
-    tv = token_vocab(rows, "_tokens", max_vocab).cache()
-    rows = encode_fixed(encode_tokens(rows, "_tokens", tv, max_vocab, "_ids"), "_ids", max_length).drop("_tokens", "_ids")
-    n = rows.count()
+    tv = token_vocab(rows, "_tokens", max_vocab)
+    # texts end here; the shuffles below carry unpadded ids, cut to what can be used
+    rows = encode_tokens(rows, "_tokens", tv, max_vocab, "_ids").drop("_tokens", text_col)
+    rows = rows.withColumn("_ids", F.slice("_ids", 1, max_length))
+    n = merged.count()
     rows = split_fraction(rows, id_col, 0.8, 0.1, seed, n=n)
     # train and validation are reshuffled every epoch; test keeps one order
     ep: Column = F.when(F.col("split") == "test", F.lit(0)).otherwise(F.lit(epoch))
     rows = rows.withColumn("_bkey", hash_order_key(seed, ep, id_col))
     sizes = {k: v for k, v in fraction_sizes(n, 0.8, 0.1).items() if v > 0}
-    return assign_batches(rows, "_bkey", id_col, batch_size, group_col="split", group_sizes=sizes).drop("_bkey")
+    batched = assign_batches(rows, "_bkey", id_col, batch_size, group_col="split", group_sizes=sizes)
+    return encode_fixed(batched, "_ids", max_length).drop("_bkey", "_ids")

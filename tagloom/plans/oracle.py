@@ -35,7 +35,7 @@ def joined(x: str) -> str:
 
 FX_META = """fx_meta AS (
 SELECT doc_id,
-  CASE WHEN doc_id % 97 = 0 THEN NULL ELSE concat('u', CAST(doc_id % 700 AS VARCHAR)) END AS src,
+  CASE WHEN doc_id % 97 = 0 THEN NULL ELSE concat('u', CAST(doc_id // 3 AS VARCHAR)) END AS src,
   CASE WHEN doc_id % 53 = 0 THEN NULL WHEN doc_id % 59 = 0 THEN ' 　' ELSE concat(' ', text, '　') END AS scene,
   CASE WHEN doc_id % 61 = 1 THEN NULL WHEN doc_id % 67 = 1 THEN ' 、 '
     ELSE concat(CASE doc_id % 5 WHEN 1 THEN '、' WHEN 2 THEN ' ' ELSE '' END, lang,
@@ -45,7 +45,7 @@ FROM documents)"""
 
 FX_WEB = """fx_web AS (
 SELECT page_id,
-  CASE WHEN page_id % 41 = 0 THEN NULL ELSE concat('u', CAST(page_id % 200 AS VARCHAR)) END AS url,
+  CASE WHEN page_id % 41 = 0 THEN NULL ELSE concat('u', CAST(page_id // 2 AS VARCHAR)) END AS url,
   CASE WHEN page_id % 37 = 1 THEN NULL WHEN page_id % 43 = 1 THEN '　 ' ELSE html END AS content
 FROM pages)"""
 
@@ -68,7 +68,7 @@ FX_EPOCHS = """fx_epochs AS (
 SELECT user_id % 20 + 1 AS epoch, round(avg(value) / 10, 0) AS macro_f1 FROM events GROUP BY user_id % 20 + 1)"""
 
 FX_LOGITS = """fx_logits AS (
-SELECT vec_id, label AS y, list_transform(embedding[1:10], lambda x: CAST(x AS DOUBLE)) AS z FROM embeddings),
+SELECT vec_id, label AS y, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS z FROM embeddings),
 fx_logits_m AS (
 SELECT vec_id, y, z,
   list_transform(z, lambda x, i: CASE WHEN (vec_id * 7 + (i - 1)) % 31 = 0 THEN 1 - CAST(x >= 0 AS INTEGER) ELSE CAST(x >= 0 AS INTEGER) END) AS y_multi
@@ -108,9 +108,11 @@ SQL["parse_labels"] = with_(FX_META) + f"SELECT doc_id, {joined(parse_labels('ta
 SQL["first_label"] = with_(FX_META) + "SELECT doc_id, split_part(tags, '、', 1) AS label FROM fx_meta"
 SQL["canonical_separator"] = with_(FX_META) + "SELECT doc_id, replace(tags, '、', ',') AS tags FROM fx_meta"
 SQL["left_join_web"] = with_(FX_META, FX_WEB) + (
-    "SELECT m.doc_id, w.page_id FROM fx_meta m LEFT JOIN fx_web w ON m.src IS NOT DISTINCT FROM w.url")
+    "SELECT m.doc_id, w.page_id FROM (SELECT src, min(doc_id) AS doc_id FROM fx_meta GROUP BY src) m "
+    "LEFT JOIN fx_web w ON m.src IS NOT DISTINCT FROM w.url")
 SQL["merge_content"] = with_(FX_META, FX_WEB) + (
-    "SELECT m.doc_id, w.page_id, w.content FROM fx_meta m LEFT JOIN fx_web w ON m.src IS NOT DISTINCT FROM w.url "
+    "SELECT m.doc_id, w.page_id, w.content FROM (SELECT src, min(doc_id) AS doc_id FROM fx_meta GROUP BY src) m "
+    "LEFT JOIN fx_web w ON m.src IS NOT DISTINCT FROM w.url "
     "WHERE w.content IS NOT NULL")
 SQL["dedupe_first"] = with_(FX_META) + (
     "SELECT doc_id, src, tags FROM fx_meta QUALIFY row_number() OVER (PARTITION BY src ORDER BY doc_id) = 1")
@@ -217,7 +219,7 @@ SQL["load_label_metadata"] = SQL["label_vocab_multi"]
 SIG = "list_transform(z, lambda x: 1.0 / (1.0 + exp(-x)))"
 SQL["sigmoid_threshold"] = with_(FX_LOGITS) + (
     f"SELECT vec_id, array_to_string(list_transform({SIG}, lambda p: CAST(p >= 0.5 AS INTEGER)), '|') AS pred, "
-    f"round({SIG}[1], 6) AS p0 FROM fx_logits_m")
+    f"array_to_string(list_transform({SIG}, lambda p: CAST(floor(p * 1e6 + 0.5) AS BIGINT)), '|') AS p_millionths FROM fx_logits_m")
 SQL["softmax_argmax"] = with_(FX_LOGITS) + (
     "SELECT vec_id, CAST(list_position(z, list_max(z)) - 1 AS INTEGER) AS pred, "
     "round(1.0 / list_sum(list_transform(z, lambda x: exp(x - list_max(z)))), 6) AS p_max FROM fx_logits")
@@ -291,11 +293,11 @@ SQL["sft_single_report"] = with_(FX_RESP, single_cls_sql("SELECT gold AS y_true,
     f"SELECT {SUMMARY_COLS} FROM sc")
 SQL["classification_report"] = with_(FX_RESP, single_cls_sql("SELECT gold AS y_true, pred AS y_pred FROM (" + RESP_PAIRS + ")")) + f"""
 SELECT CAST(label AS VARCHAR) AS row, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1,
-  CAST(support AS BIGINT) AS support, CAST(row_number() OVER (ORDER BY label) AS INTEGER) AS ord FROM sc
-UNION ALL SELECT 'accuracy', NULL, NULL, round({ratio('sum(tp)', 'sum(support)')}, 6), CAST(sum(support) AS BIGINT), 1000000000 FROM sc
-UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), CAST(sum(support) AS BIGINT), 1000000001 FROM sc
+  CAST(support AS BIGINT) AS support, 0 AS ord FROM sc
+UNION ALL SELECT 'accuracy', NULL, NULL, round({ratio('sum(tp)', 'sum(support)')}, 6), CAST(sum(support) AS BIGINT), 1 FROM sc
+UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), CAST(sum(support) AS BIGINT), 2 FROM sc
 UNION ALL SELECT 'weighted avg', round({ratio('sum(precision * support)', 'sum(support)')}, 6), round({ratio('sum(recall * support)', 'sum(support)')}, 6),
-  round({ratio('sum(f1 * support)', 'sum(support)')}, 6), CAST(sum(support) AS BIGINT), 1000000002 FROM sc"""
+  round({ratio('sum(f1 * support)', 'sum(support)')}, 6), CAST(sum(support) AS BIGINT), 3 FROM sc"""
 
 MULTI_RESP = f"SELECT vec_id, {split_pred('gold')} AS gold_labels, {split_pred('resp')} AS pred_labels FROM fx_resp_multi"
 FX_CLASSES_SQL = "['s0', 's1', 's2', 's3', 's4', 's5', 's6']"
@@ -350,11 +352,6 @@ def codepoints(x: str) -> str:
     return f"list_transform(string_split({x}, ''), lambda c: CAST(unicode(c) AS INTEGER))"
 
 
-def checksum(ids: str) -> str:
-    return (f"CAST(len({ids}) AS INTEGER) AS n_ids, CAST(coalesce(list_sum({ids}), 0) AS BIGINT) AS ids_sum, "
-            f"CAST(coalesce(list_sum(list_transform({ids}, lambda x, i: CAST(x AS BIGINT) * i)), 0) AS BIGINT) AS ids_wsum")
-
-
 MULTI_RECORDS = f"""multi_records AS (SELECT c.row_id, s.split, {record_cols('c.scene', 'c.tags', MULTI_INSTRUCTION, FIXED_CATS)}
   FROM clean_short c JOIN splits s ON c.row_id = s.row_id WHERE s.split IN ('train', 'test'))"""
 SINGLE_RECORDS = f"""single_ranked AS (SELECT *, row_number() OVER (ORDER BY doc_id, page_id) AS position, count(*) OVER () AS n FROM merged_long),
@@ -384,33 +381,34 @@ tcounts AS (SELECT tok, count(*) AS n FROM (SELECT unnest(t) AS tok FROM toks) G
 tvocab AS (SELECT tok AS token, CAST(row_number() OVER (ORDER BY n DESC, tok) + 3 AS INTEGER) AS id, n FROM tcounts
   ORDER BY n DESC, tok LIMIT 5000),
 tpos AS (SELECT doc_id, unnest(t) AS tok, unnest(range(1, len(t) + 1)) AS pos FROM toks),
-enc AS (SELECT d.doc_id, coalesce(list(coalesce(v.id, 1) ORDER BY p.pos) FILTER (WHERE p.pos IS NOT NULL), []) AS ids,
-  coalesce(list(v.token ORDER BY p.pos) FILTER (WHERE v.id IS NOT NULL), []) AS known
+enc AS (SELECT d.doc_id, coalesce(flatten(list(CASE WHEN v.id IS NOT NULL THEN [v.id]
+    ELSE list_concat([1], list_transform(string_split(p.tok, ''), lambda c: CAST(unicode(c) + 4194304 AS INTEGER))) END ORDER BY p.pos)
+    FILTER (WHERE p.pos IS NOT NULL)), []) AS ids
   FROM documents d LEFT JOIN tpos p ON d.doc_id = p.doc_id LEFT JOIN tvocab v ON p.tok = v.token GROUP BY d.doc_id)"""
 
 SQL["token_vocab"] = with_(TOKENS) + "SELECT token, id, n FROM tvocab"
-SQL["encode_text"] = with_(TOKENS) + f"SELECT doc_id, {checksum('ids')} FROM enc"
-SQL["decode_ids"] = with_(TOKENS) + "SELECT doc_id, array_to_string(known, ' ') AS decoded FROM enc"
+SQL["encode_text"] = with_(TOKENS) + "SELECT doc_id, CAST(len(ids) AS INTEGER) AS n_ids, array_to_string(ids, ' ') AS input_ids FROM enc"
+SQL["decode_ids"] = with_(TOKENS) + "SELECT doc_id, array_to_string(t, ' ') AS decoded FROM toks"
 FIXED128 = "list_concat([2], list_slice(ids, 1, 126), [3])"
 SQL["encode_fixed"] = with_(TOKENS) + f"""SELECT doc_id,
   array_to_string(list_concat({FIXED128}, list_transform(range(128 - len({FIXED128})), lambda x: 0)), ' ') AS input_ids,
   CAST(len({FIXED128}) AS INTEGER) AS n_real, 128 AS n_types FROM enc"""
-SQL["tokenizer_udf"] = f"SELECT doc_id, {checksum(codepoints('text'))} FROM documents"
+SQL["tokenizer_udf"] = f"SELECT doc_id, array_to_string({codepoints('text')}, ' ') AS ids FROM documents"
 
 MASKED = f"""masked0 AS (SELECT row_id, {codepoints(prompt_sql('instruction', 'input'))} AS p, {codepoints('output')} AS r FROM multi_records),
 masked AS (SELECT row_id, list_slice(list_concat(p, r, [0]), 1, 512) AS ids,
   list_slice(list_concat(list_transform(p, lambda x: -100), r, [0]), 1, 512) AS labels FROM masked0)"""
-SQL["sft_mask_labels"] = with_(FX_META, CLEAN_SHORT, VOCAB_MULTI, _split_cte, MULTI_RECORDS, MASKED) + f"""SELECT row_id, {checksum('ids')},
-  CAST(len(ids) AS INTEGER) AS n_mask, CAST(len(list_filter(labels, lambda x: x = -100)) AS INTEGER) AS n_ignored,
+SQL["sft_mask_labels"] = with_(FX_META, CLEAN_SHORT, VOCAB_MULTI, _split_cte, MULTI_RECORDS, MASKED) + """SELECT row_id, array_to_string(ids, ' ') AS input_ids,
+  CAST(len(ids) AS INTEGER) AS n_mask, array_to_string(labels, ' ') AS labels,
   CAST(len(list_filter(labels, lambda x: x <> -100)) AS INTEGER) AS n_target FROM masked"""
-SQL["strip_prompt_ids"] = with_(FX_META, CLEAN_SHORT, VOCAB_MULTI, _split_cte, MULTI_RECORDS) + f"""SELECT row_id, {checksum('s')} FROM (
+SQL["strip_prompt_ids"] = with_(FX_META, CLEAN_SHORT, VOCAB_MULTI, _split_cte, MULTI_RECORDS) + f"""SELECT row_id, array_to_string(s, ' ') AS ids FROM (
   SELECT row_id, list_slice(o, len(i) + 1, len(o)) AS s FROM (
     SELECT row_id, {codepoints(prompt_sql('instruction', 'input'))} AS i, {codepoints(f"concat({prompt_sql('instruction', 'input')}, output)")} AS o
     FROM multi_records))"""
 SQL["pad_batches"] = with_(FX_META, CLEAN_SHORT, VOCAB_MULTI, _split_cte, MULTI_RECORDS, MASKED) + f"""SELECT row_id, batch_id,
-  CAST(max(len(ids)) OVER (PARTITION BY batch_id) AS INTEGER) AS n_ids, CAST(len(ids) AS INTEGER) AS mask_sum,
-  CAST(len(list_filter(labels, lambda x: x = -100)) + max(len(ids)) OVER (PARTITION BY batch_id) - len(ids) AS INTEGER) AS n_ignored,
-  CAST(list_sum(ids) AS BIGINT) AS ids_sum
+  array_to_string(list_concat(ids, list_transform(range(max(len(ids)) OVER (PARTITION BY batch_id) - len(ids)), lambda x: 0)), ' ') AS input_ids,
+  CAST(len(ids) AS INTEGER) AS mask_sum,
+  array_to_string(list_concat(labels, list_transform(range(max(len(ids)) OVER (PARTITION BY batch_id) - len(ids)), lambda x: -100)), ' ') AS labels
 FROM (SELECT *, CAST(floor((row_number() OVER (ORDER BY {okey('row_id')}, row_id) - 1) / 16) AS BIGINT) AS batch_id FROM masked)"""
 
 # ------------------------------------------------------------------ scoring and generated answers
@@ -425,7 +423,7 @@ SQL["eval_generated_single"] = with_(
 
 MULTI_ANSWERS = f"""multi_answers AS (SELECT row_id, output, CASE length(input) % 3 WHEN 0 THEN '无' WHEN 1 THEN concat(output, '、未知') ELSE output END AS response
   FROM multi_records WHERE split = 'test'),
-mclasses AS (SELECT list(label ORDER BY label) AS cl FROM vocab),
+mclasses AS (SELECT list(DISTINCT label ORDER BY label) AS cl FROM (SELECT unnest({split_pred('output')}) AS label FROM multi_records)),
 mbin AS (SELECT list_transform(m.cl, lambda c: CASE WHEN list_contains(g, c) THEN 1 ELSE 0 END) AS y_true,
   list_transform(m.cl, lambda c: CASE WHEN list_contains(p, c) THEN 1 ELSE 0 END) AS y_pred
   FROM (SELECT {split_pred('output')} AS g, {split_pred(f"replace(response, {NL}, '')")} AS p FROM multi_answers), mclasses m)"""
@@ -440,11 +438,20 @@ LOAD_BATCHES = f"""keyed AS (SELECT *, concat_ws(':', CAST(doc_id AS VARCHAR), C
 lvocab AS (SELECT label, CAST(row_number() OVER (ORDER BY label) - 1 AS INTEGER) AS id FROM (SELECT DISTINCT label FROM keyed)),
 ltoks AS (SELECT row_key, regexp_extract_all(regexp_replace(lower(content), '([一-鿿])', ' \\1 ', 'g'),
   '[\\p{{L}}\\p{{N}}]+|[^\\s\\x0b\\x1c-\\x1f\\x85\\p{{Z}}\\p{{L}}\\p{{N}}]') AS t FROM keyed),
+ltok AS (SELECT row_key, unnest(t) AS tok, unnest(range(1, len(t) + 1)) AS pos FROM ltoks),
+lcount AS (SELECT tok, count(*) AS n FROM ltok GROUP BY tok),
+ltv AS (SELECT tok AS token, CAST(row_number() OVER (ORDER BY n DESC, tok) + 3 AS INTEGER) AS id FROM lcount ORDER BY n DESC, tok LIMIT 5000),
+lenc AS (SELECT k.row_key, coalesce(list_slice(flatten(list(CASE WHEN v.id IS NOT NULL THEN [v.id]
+  ELSE list_concat([1], list_transform(string_split(p.tok, ''), lambda c: CAST(unicode(c) + 4194304 AS INTEGER))) END ORDER BY p.pos)
+  FILTER (WHERE p.pos IS NOT NULL)), 1, 510), []) AS t FROM keyed k LEFT JOIN ltok p ON k.row_key = p.row_key LEFT JOIN ltv v ON p.tok = v.token GROUP BY k.row_key),
 lranked AS (SELECT k.row_key, v.id AS label_id, l.t, row_number() OVER (ORDER BY {okey('k.row_key')}, k.row_key) AS r, count(*) OVER () AS n
-  FROM keyed k JOIN lvocab v ON k.label = v.label JOIN ltoks l ON k.row_key = l.row_key),
+  FROM keyed k JOIN lvocab v ON k.label = v.label JOIN lenc l ON k.row_key = l.row_key),
 lsplit AS (SELECT *, CASE WHEN r <= floor(CAST(0.8 AS DOUBLE) * n) THEN 'train' WHEN r <= floor(CAST(0.8 AS DOUBLE) * n) + floor(CAST(0.1 AS DOUBLE) * n)
   THEN 'test' ELSE 'val' END AS split FROM lranked),
 lbatch AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY
   md5(concat_ws(':', '42', CASE WHEN split = 'test' THEN '0' ELSE '1' END, row_key)), row_key) AS p FROM lsplit)"""
 SQL["load_batches"] = with_(FX_META, FX_WEB, MERGED_LONG, LOAD_BATCHES) + """SELECT row_key, split, CAST(floor((p - 1) / 16) AS BIGINT) AS batch_id,
-  CAST((p - 1) % 16 AS INTEGER) AS pos_in_batch, label_id, CAST(least(len(t), 510) + 2 AS INTEGER) AS n_real, 512 AS n_ids FROM lbatch"""
+  CAST((p - 1) % 16 AS INTEGER) AS pos_in_batch, label_id, CAST(len(t) + 2 AS INTEGER) AS n_real,
+  array_to_string(list_concat([2], t, [3], list_transform(range(510 - len(t)), lambda x: 0)), ' ') AS input_ids FROM lbatch"""
+SQL["model_roundtrip"] = """SELECT CAST(ceil(CAST(0.2 AS DOUBLE) * count(*)) AS BIGINT) AS n_rows, CAST(ceil(CAST(0.2 AS DOUBLE) * count(*)) AS BIGINT) AS n_equal,
+  CAST(ceil(CAST(0.2 AS DOUBLE) * count(*)) AS BIGINT) AS n_decoded FROM documents"""

@@ -56,7 +56,7 @@ class Prepared:
 
     def release(self) -> None:
         """Drop cached intermediates (the cleaned short-text table) once the sinks are written."""
-        for df in [self.data, self.vocab, *self._persisted, *getattr(self.vocab, "_cached_inputs", [])]:
+        for df in [self.data, self.vocab, *self._persisted]:
             df.unpersist()
 
     _persisted: list = field(default_factory=list)
@@ -88,7 +88,7 @@ def prepare_short(meta: DataFrame, cfg: ShortConfig = ShortConfig(), observe: bo
     df = df.withColumn("labels", parse_labels(label_col)).persist(StorageLevel.MEMORY_AND_DISK)
     cleaned = df
     vocab = label_vocab_multi(df, label_col)
-    classes = vocab_list(vocab)  # bounded: checked against VOCAB_LIMIT
+    classes = vocab_list(vocab)
     df = df.withColumn("y", multi_hot("labels", classes))
     df = split_random(df, "row_id", cfg.test_size, cfg.val_size, cfg.seed)
     return Prepared(df, vocab, label_metadata(vocab, label_col, cfg.text_col), stages or {}, _persisted=[cleaned])

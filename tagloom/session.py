@@ -72,19 +72,21 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+#: Tables up to this size (as Spark estimates it) may be dealt anew to all cores.
+SPREAD_BYTES = 256 << 20
+
+
 def spread(df):
-    """Spread rows over the cluster's cores when the input has fewer partitions.
+    """Deal the rows of a small table over the cores when it scans as fewer partitions.
 
-    A table stored as one large row group scans as one partition, so all
-    per-row text work would run on one core. Large inputs already have many
-    partitions and pass through untouched (no shuffle is added at scale).
+    A small table stored as one row group scans as one partition, so all per-row text work would run on
+    one core. Only tables of at most ``SPREAD_BYTES`` are dealt anew, whatever the cluster's size;
+    larger ones are never shuffled for it.
     """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < target:
-            return df.repartition(target)
-    except Exception:  # Spark Connect: no RDD access; leave the plan alone
-        pass
+    target = df.sparkSession.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if size <= SPREAD_BYTES and df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
     return df
 
 
