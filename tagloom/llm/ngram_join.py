@@ -364,17 +364,17 @@ def jaccard_components(docs: DataFrame, percent: int = 75, id_col: str = "doc_id
 
     member = prefix.join(groups, prefix["sig"] == groups["node"], "left").select(
         "key", "sig", "n", "pos", "most", F.coalesce("root", "sig").alias("g"))
-    matrix = member.groupBy("key", "g").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("most").alias("bound"))
-    several = matrix.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("key")
+    several = member.select("key", "g").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("key")
     live = written(member.join(several, "key", "left_semi"), "jaccard_live")
-    other = live.groupBy("key", F.col("g").alias("h")).agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("most").alias("bound"))
+    other = live.groupBy("key", F.col("g").alias("h")).agg(
+        F.min("n").alias("lo"), F.max("n").alias("hi"), F.max(F.least(F.col("most"), F.col("n") - F.col("pos"))).alias("bound"))
     # a set against the other groups whose token union holds its prefix token; the smallest member that fits
-    # asks for the least overlap
+    # asks for the least overlap, and at a pair's first shared token what follows must reach it
     fits = F.greatest(F.col("lo"), F.ceil(F.lit(percent) * F.col("n") / 100))
     opened = (live.join(other, "key")
               .where((F.col("h") > F.col("g")) & (F.lit(percent) * F.col("n") <= 100 * F.col("hi"))
                      & (F.lit(percent) * F.col("lo") <= 100 * F.col("n"))
-                     & (F.least("most", "bound") >= need_overlap(F.col("n"), fits, percent)))
+                     & (F.least(F.col("most"), F.col("n") - F.col("pos"), F.col("bound")) >= need_overlap(F.col("n"), fits, percent)))
               .select("key", F.col("sig").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("most").alias("ma"), "h"))
     inside = live.select("key", F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"),
                          F.col("most").alias("mb"), F.col("g").alias("h"))
