@@ -43,6 +43,8 @@ from tagloom.llm.components import components
 
 U = np.uint64
 PIECE = 1 << 20
+#: Tokens that a task holds before it folds or sends them: bounds a Python worker's memory.
+CHUNK = 1 << 20
 _MIX = (U(0xFF51AFD7ED558CCD), U(0xC4CEB9FE1A85EC53), U(0x9E3779B97F4A7C15))
 _TABLES: dict = {}
 
@@ -195,7 +197,7 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str, buckets: int) ->
                     seen.add(v)
                     held.append(token_keys(s, buckets))
                     size += len(s)
-                    if size >= 1 << 21:
+                    if size >= CHUNK:
                         fold()
             yield rows(0, batch.column(0), batch.column(2), n, sig, [0] * len(n))
         fold()
@@ -225,10 +227,10 @@ def postings(docs: DataFrame, text_col: str, buckets: int, hot: np.ndarray, perc
             if not info:
                 return
             flat = np.concatenate(keys)
-            owner = np.repeat(np.arange(len(info)), [len(k) for k in keys])
+            owner = np.repeat(np.arange(len(info), dtype=np.int32), [len(k) for k in keys])
             meta = np.array(info, dtype=np.int64)  # sig, n, slack
             home = _mix(meta[:, 0].view(U)) & U(buckets - 1)
-            where = (flat >> U(32)).astype(np.int64)
+            where = (flat >> U(32)).astype(np.int32)
             order = np.argsort(where, kind="stable")
             flat, owner, where = flat[order].astype(np.uint32), owner[order], where[order]
             horder = np.argsort(home, kind="stable")
@@ -254,7 +256,7 @@ def postings(docs: DataFrame, text_col: str, buckets: int, hot: np.ndarray, perc
                     keys.append(k)
                     info.append((v, len(s), slack))
                     size += len(k)
-                    if size >= 1 << 22:
+                    if size >= CHUNK:
                         yield from out()
         yield from out()
 
@@ -318,7 +320,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text",
-                       tokens_per_bucket: int = 1 << 21) -> DataFrame:
+                       tokens_per_bucket: int = 1 << 20) -> DataFrame:
     """Per document: ``doc_id``, ``_key`` (hash of the text), ``n_shingles``, ``component_id``."""
     most = 1 << 21  # keys are made for the finest ranges; coarser ranges drop their top bits
     first = written(document_sets(docs, id_col, text_col, most), "jaccard_sets")
