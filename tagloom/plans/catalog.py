@@ -741,21 +741,42 @@ def q_eval_generated_multi(spark, sf_dir):
 
 
 
-def _merged_keyed(spark, sf_dir) -> DataFrame:
-    m = _merged_long(spark, sf_dir)
+def _keyed(m: DataFrame) -> DataFrame:
     return m.withColumn("row_key", F.concat_ws(":", F.col("doc_id").cast("string"), F.col("page_id").cast("string")))
 
 
+def _merged_keyed(spark, sf_dir) -> DataFrame:
+    return _keyed(_merged_long(spark, sf_dir))
+
+
+def _batch_columns(b: DataFrame, *cols: str) -> DataFrame:
+    return b.select(*cols, "split", "batch_id", "pos_in_batch", F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("n_real"),
+                    F.array_join("input_ids", " ").alias("input_ids"))
+
+
 @query("load_batches")
 def q_load_batches(spark, sf_dir):
-    merged = _merged_keyed(spark, sf_dir).cache()
-    meta_path = scratch_path(spark, "labels")
-    S.write_label_metadata(V.label_metadata(V.label_vocab_single(merged, "label"), "label", "content"), meta_path)
-    vocab = V.metadata_to_vocab(S.load_label_metadata(spark, meta_path))
-    b = LD.load_batches(merged, vocab, "row_key", max_length=512)
-    return b.select("row_key", "split", "batch_id", "pos_in_batch", "label_id",
-                    F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("n_real"),
-                    F.array_join("input_ids", " ").alias("input_ids"))
+    """The long path from its saved artifacts: merged CSV and label metadata."""
+    path = scratch_path(spark, "long")
+    P.save_long(P.prepare_long(FX.fx_meta(spark, sf_dir), FX.fx_web(spark, sf_dir)), path)
+    merged = S.read_csv(spark, f"{path}/merged", "doc_id bigint, page_id bigint, content string, label string")
+    vocab = V.metadata_to_vocab(S.load_label_metadata(spark, f"{path}/labels"))
+    return _batch_columns(LD.load_batches(_keyed(merged), vocab, "row_key", max_length=512), "row_key", "label_id")
+
+
+@query("load_batches_short")
+def q_load_batches_short(spark, sf_dir):
+    """The short path from its saved artifacts: split text CSV, targets with their split, label metadata."""
+    path = scratch_path(spark, "short")
+    P.save_short(_prepared_short(spark, sf_dir), path)
+    b = LD.load_batches_short(spark, path)
+    return _batch_columns(b.withColumn("y", F.array_join(F.col("y").cast("array<int>"), "|")), "row_id", "y")
+
+
+@query("load_batches_stratified")
+def q_load_batches_stratified(spark, sf_dir):
+    docs, vocab = _lang_docs(spark, sf_dir)
+    return _batch_columns(LD.load_batches_stratified(docs, vocab, "row_id", "text", "lang"), "row_id", "label_id")
 
 
 def _lang_splits(spark, sf_dir) -> DataFrame:
@@ -823,3 +844,30 @@ def q_train_eval(spark, sf_dir):
     _, table = TR.select_and_test(rows.where("split = 'train'"), rows.where("split = 'val'"), rows.where("split = 'test'"),
                                   "content", "y", regs=(0.0, 0.1))
     return _round_all(table)
+
+
+@query("train_eval_multi")
+def q_train_eval_multi(spark, sf_dir):
+    """Short-text job end to end: prepared rows -> candidates by macro F1 -> test once -> saved with the label
+    metadata -> read back. Split sizes, labels, whether test micro F1 is better than that of assigning every
+    label, and whether the model read back gives equal scores."""
+    p = _prepared_short(spark, sf_dir)
+    d = p.data.select("row_id", "scene", "y", "split").cache()
+    n_labels = p.metadata.first()["num_labels"]
+    parts = {s: d.where(F.col("split") == s) for s in ("train", "val", "test")}
+    model, result = TR.select_and_test_multi(parts["train"], parts["val"], parts["test"], "scene", "y", n_labels, regs=(0.0, 0.1), max_iter=10)
+    path = scratch_path(spark, "model")
+    TR.save_model(model, p.metadata, path)
+    again, meta = TR.load_model(spark, path)
+    names = [str(i) for i in range(meta.first()["num_labels"])]
+    feats = [TR.PipelineModel(stages=m.stages[:3]).transform(parts["test"]) for m in (model, again)]
+    before, after = (TR.predict_multi_heads(m.stages[3:], f, names).select("row_id", F.col("prob").alias(c))
+                     for m, f, c in zip((model, again), feats, ("before", "after")))
+    same = before.join(after, "row_id").agg(F.count_if(F.col("before") == F.col("after")).alias("n_equal"))
+    all_on = M.multilabel_metrics(parts["test"].withColumn("prob", F.transform("y", lambda _: F.lit(1.0))), "y", "prob").select(
+        F.col("micro_f1").alias("base"))
+    sizes = d.agg(*[F.count_if(F.col("split") == s).alias(f"n_{s}") for s in ("train", "val", "test")])
+    found = result.where("split = 'test'").select("micro_f1").first()["micro_f1"]
+    base = all_on.first()["base"]
+    return sizes.select("*", F.lit(n_labels).alias("n_labels"), F.lit(same.first()["n_equal"]).cast("long").alias("n_equal"),
+                        F.lit(found > base).alias("above_baseline"))

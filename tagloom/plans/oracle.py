@@ -434,24 +434,54 @@ SQL["eval_generated_multi"] = with_(
 
 # ------------------------------------------------------------------ loader
 
-LOAD_BATCHES = f"""keyed AS (SELECT *, concat_ws(':', CAST(doc_id AS VARCHAR), CAST(page_id AS VARCHAR)) AS row_key FROM merged_long),
-lvocab AS (SELECT label, CAST(row_number() OVER (ORDER BY label) - 1 AS INTEGER) AS id FROM (SELECT DISTINCT label FROM keyed)),
-ltoks AS (SELECT row_key, regexp_extract_all(regexp_replace(lower(content), '([一-鿿])', ' \\1 ', 'g'),
-  '[\\p{{L}}\\p{{N}}]+|[^\\s\\x0b\\x1c-\\x1f\\x85\\p{{Z}}\\p{{L}}\\p{{N}}]') AS t FROM keyed),
-ltok AS (SELECT row_key, unnest(t) AS tok, unnest(range(1, len(t) + 1)) AS pos FROM ltoks),
+def encoded_sql(src: str, key: str, text: str, n: int) -> str:
+    """CTE ``lenc`` (key, t): the first ``n`` ids of every text of ``src``, over its own vocabulary."""
+    return f"""ltoks AS (SELECT {key}, regexp_extract_all(regexp_replace(lower({text}), '([一-鿿])', ' \\1 ', 'g'),
+  '[\\p{{L}}\\p{{N}}]+|[^\\s\\x0b\\x1c-\\x1f\\x85\\p{{Z}}\\p{{L}}\\p{{N}}]') AS t FROM {src}),
+ltok AS (SELECT {key}, unnest(t) AS tok, unnest(range(1, len(t) + 1)) AS pos FROM ltoks),
 lcount AS (SELECT tok, count(*) AS n FROM ltok GROUP BY tok),
 ltv AS (SELECT tok AS token, CAST(row_number() OVER (ORDER BY n DESC, tok) + 3 AS INTEGER) AS id FROM lcount ORDER BY n DESC, tok LIMIT 5000),
-lenc AS (SELECT k.row_key, coalesce(list_slice(flatten(list(CASE WHEN v.id IS NOT NULL THEN [v.id]
+lenc AS (SELECT k.{key}, coalesce(list_slice(flatten(list(CASE WHEN v.id IS NOT NULL THEN [v.id]
   ELSE list_concat([1], list_transform(string_split(p.tok, ''), lambda c: CAST(unicode(c) + 4194304 AS INTEGER))) END ORDER BY p.pos)
-  FILTER (WHERE p.pos IS NOT NULL)), 1, 510), []) AS t FROM keyed k LEFT JOIN ltok p ON k.row_key = p.row_key LEFT JOIN ltv v ON p.tok = v.token GROUP BY k.row_key),
+  FILTER (WHERE p.pos IS NOT NULL)), 1, {n}), []) AS t FROM {src} k LEFT JOIN ltok p ON k.{key} = p.{key} LEFT JOIN ltv v ON p.tok = v.token GROUP BY k.{key})"""
+
+
+def batch_order(key: str, fixed: str) -> str:
+    """Place in the split's order; the splits of ``fixed`` (an SQL list) keep one order in every epoch."""
+    return (f"row_number() OVER (PARTITION BY split ORDER BY md5(concat_ws(':', '42', CASE WHEN split IN ({fixed}) THEN '0' ELSE '1' END, "
+            f"CAST({key} AS VARCHAR))), {key}) AS p")
+
+
+def batch_columns(size: int, n: int) -> str:
+    """Batch, place and padded ids of rows with a place ``p`` and ids ``t`` of at most ``n``."""
+    return f"""split, CAST(floor((p - 1) / {size}) AS BIGINT) AS batch_id, CAST((p - 1) % {size} AS INTEGER) AS pos_in_batch,
+  CAST(len(t) + 2 AS INTEGER) AS n_real,
+  array_to_string(list_concat([2], t, [3], list_transform(range({n} - len(t)), lambda x: 0)), ' ') AS input_ids"""
+
+
+LOAD_BATCHES = f"""keyed AS (SELECT *, concat_ws(':', CAST(doc_id AS VARCHAR), CAST(page_id AS VARCHAR)) AS row_key FROM merged_long),
+lvocab AS (SELECT label, CAST(row_number() OVER (ORDER BY label) - 1 AS INTEGER) AS id FROM (SELECT DISTINCT label FROM keyed)),
+{encoded_sql('keyed', 'row_key', 'content', 510)},
 lranked AS (SELECT k.row_key, v.id AS label_id, l.t, row_number() OVER (ORDER BY {okey('k.row_key')}, k.row_key) AS r, count(*) OVER () AS n
   FROM keyed k JOIN lvocab v ON k.label = v.label JOIN lenc l ON k.row_key = l.row_key),
 lsplit AS (SELECT *, CASE WHEN r <= floor(CAST(0.8 AS DOUBLE) * n) THEN 'train' WHEN r <= floor(CAST(0.8 AS DOUBLE) * n) + floor(CAST(0.1 AS DOUBLE) * n)
   THEN 'test' ELSE 'val' END AS split FROM lranked),
-lbatch AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY
-  md5(concat_ws(':', '42', CASE WHEN split = 'test' THEN '0' ELSE '1' END, row_key)), row_key) AS p FROM lsplit)"""
-SQL["load_batches"] = with_(FX_META, FX_WEB, MERGED_LONG, LOAD_BATCHES) + """SELECT row_key, split, CAST(floor((p - 1) / 16) AS BIGINT) AS batch_id,
-  CAST((p - 1) % 16 AS INTEGER) AS pos_in_batch, label_id, CAST(len(t) + 2 AS INTEGER) AS n_real,
-  array_to_string(list_concat([2], t, [3], list_transform(range(510 - len(t)), lambda x: 0)), ' ') AS input_ids FROM lbatch"""
+lbatch AS (SELECT *, {batch_order('row_key', "'test'")} FROM lsplit)"""
+SQL["load_batches"] = with_(FX_META, FX_WEB, MERGED_LONG, LOAD_BATCHES) + f"SELECT row_key, label_id, {batch_columns(16, 510)} FROM lbatch"
+SQL["load_batches_short"] = with_(
+    FX_META, CLEAN_SHORT, VOCAB_MULTI, _split_cte, encoded_sql("clean_short", "row_id", "scene", 126),
+    f"""lbatch AS (SELECT *, {batch_order('row_id', "'val', 'test'")} FROM (SELECT l.row_id, l.t, s.split, array_to_string(h.y, '|') AS y
+  FROM lenc l JOIN splits s ON l.row_id = s.row_id JOIN hot h ON l.row_id = h.row_id))""",
+) + f"SELECT row_id, y, {batch_columns(16, 126)} FROM lbatch"
+SQL["load_batches_stratified"] = with_(
+    f"strat AS ({SQL['split_stratified']})",
+    "lvocab AS (SELECT lang, CAST(row_number() OVER (ORDER BY lang) - 1 AS INTEGER) AS id FROM (SELECT DISTINCT lang FROM documents))",
+    encoded_sql("documents", "doc_id", "text", 254),
+    f"""lbatch AS (SELECT *, {batch_order('row_id', "'val', 'test'")} FROM (SELECT s.row_id, s.split, l.t, v.id AS label_id
+  FROM strat s JOIN lenc l ON s.row_id = l.doc_id JOIN lvocab v ON s.lang = v.lang))""",
+) + f"SELECT row_id, label_id, {batch_columns(8, 254)} FROM lbatch"
+SQL["train_eval_multi"] = with_(FX_META, CLEAN_SHORT, VOCAB_MULTI, _split_cte) + """SELECT count(*) FILTER (WHERE split = 'train') AS n_train,
+  count(*) FILTER (WHERE split = 'val') AS n_val, count(*) FILTER (WHERE split = 'test') AS n_test,
+  CAST((SELECT len(classes) FROM vlist) AS INTEGER) AS n_labels, count(*) FILTER (WHERE split = 'test') AS n_equal, true AS above_baseline FROM splits"""
 SQL["model_roundtrip"] = """SELECT CAST(ceil(CAST(0.2 AS DOUBLE) * count(*)) AS BIGINT) AS n_rows, CAST(ceil(CAST(0.2 AS DOUBLE) * count(*)) AS BIGINT) AS n_equal,
   CAST(ceil(CAST(0.2 AS DOUBLE) * count(*)) AS BIGINT) AS n_decoded FROM documents"""
