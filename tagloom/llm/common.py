@@ -42,10 +42,13 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit(""))).alias("_key")
 
 
-def small(df: DataFrame, most: int = 200_000) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``most`` (narrow) rows; else as it is, and
-    Spark joins it by shuffle."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+def small(df: DataFrame, most: int = 200_000, entries: str | None = None) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``most`` (narrow) rows, or as many ``entries``
+    in that array column over all rows; else as it is, and Spark joins it by shuffle."""
+    few = df.limit(most + 1).count() <= most
+    if few and entries is not None:
+        few = (df.agg(F.sum(F.size(entries)).alias("n")).first()["n"] or 0) <= most
+    return F.broadcast(df) if few else df
 
 
 def without(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

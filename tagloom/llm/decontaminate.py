@@ -88,8 +88,9 @@ def proximity(index: DataFrame, terms: DataFrame, slop: int = 3) -> DataFrame:
 
 def exact_matches(docs: DataFrame, found: DataFrame, windows: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, _key, phrase, start, length, items) where a candidate's document has the very words."""
-    per_doc = small(written(found.groupBy(F.col("doc_id").alias("_d"), F.col("_key").alias("_k")).agg(
-        F.collect_list(F.struct("phrase", "start")).alias("_c")), "decontamination_per_document"), 50_000)
+    per_doc = written(found.groupBy(F.col("doc_id").alias("_d"), F.col("_key").alias("_k")).agg(
+        F.collect_list(F.struct("phrase", "start")).alias("_c")), "decontamination_per_document")
+    per_doc = small(per_doc, entries="_c")
     rows = docs.select(F.col(id_col).alias("_i"), F.col(text_col).alias("_t"))
     few = rows.join(per_doc, F.col("_i").eqNullSafe(F.col("_d")) & (text_key(F.col("_t")) == F.col("_k")))
     words = few.select(F.col("_d").alias("doc_id"), F.col("_k").alias("_key"), "_c", word_array(F.col("_t")).alias("_w"))

@@ -131,7 +131,7 @@ def redact(docs: DataFrame, owner: str = "source", repo: str = "doc_id", min_own
             .withColumn("_from", F.coalesce(F.max("end").over(w), F.lit(0).cast("long"))))
     cuts = small(written(live.groupBy(F.col(repo).alias("__id"), F.col("_key").alias("__k")).agg(
         F.sort_array(F.collect_list(F.struct("value_start", "end", "_from"))).alias("__cuts"), F.max("end").alias("__last")),
-        "secret_cuts"))
+        "secret_cuts"), entries="__cuts")
     t = F.coalesce(F.col(text_col), F.lit(""))
     joined = docs.join(cuts, docs[repo].eqNullSafe(cuts["__id"]) & (text_key(docs[text_col]) == cuts["__k"]), "left")
     before = F.array_join(F.transform("__cuts", lambda x: F.when(x["value_start"] >= x["_from"], F.concat(
