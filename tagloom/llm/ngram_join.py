@@ -19,7 +19,7 @@ class from the start (copies are never paired). Then:
    whose bounds can reach the threshold; only there are members paired. A pair is dropped when its
    bounds, or the shared prefix tokens and what can follow the last of them, stay below the overlap
    that 0.75 needs. The rest is checked exactly on whole sets.
-5. Links of steps 3 and 4 give the components; the smallest ``doc_id`` names each.
+5. Links of step 4 join the groups of step 3 to components; the smallest ``doc_id`` names each.
 
 All filters only drop pairs that cannot link, up to equal 64-bit hashes of different shingles.
 Documents without words, null texts too, have an empty set and link with nothing. Repeated rows
@@ -388,11 +388,16 @@ def jaccard_components(docs: DataFrame, percent: int = 75, id_col: str = "doc_id
         .groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("c"), F.max("pa").alias("pa"), F.max("pb").alias("pb")))
     # two tokens of one set may have one key, and count once: hence + 2
     pairs = met.where(F.col("c") + F.least(F.col("na") - F.col("pa") - 1, F.col("nb") - F.col("pb") - 1) + 2 >= need)
-    links = star_links.unionByName(verified(pairs, sets, percent))
-    roots = written(components(links, "a", "b"), "jaccard_roots")
-
-    ids = owners.join(roots, owners["sig"] == roots["node"], "left").select(
-        F.col("sig"), F.coalesce("root", "sig").alias("root"), "doc_id")
+    # groups are linked as wholes: only links between two of them go through the steps again
+    near = verified(pairs, sets, percent)
+    for side in ("a", "b"):
+        of = groups.select(F.col("node").alias(side), F.col("root").alias("_r"))
+        near = near.join(of, side, "left").withColumn(side, F.coalesce("_r", side)).drop("_r")
+    joined = written(components(near, "a", "b"), "jaccard_roots")
+
+    ids = owners.join(groups, owners["sig"] == groups["node"], "left").select(
+        "sig", F.coalesce("root", "sig").alias("_g"), "doc_id")
+    ids = ids.join(joined, ids["_g"] == joined["node"], "left").select("sig", F.coalesce("root", "_g").alias("root"), "doc_id")
     named = ids.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     final = ids.join(named, "root").select(F.col("sig").alias("_s"), "component_id")
     full = rows.where("n > 0").join(final, F.col("sig") == F.col("_s")).select("doc_id", "_key", "n", "component_id")
