@@ -55,14 +55,23 @@ def cross_entropy(z, y) -> Column:
     return lse - F.element_at(z, y + F.lit(1))
 
 
+def string_array(values: list[str]) -> Column:
+    """A list of strings as one array constant: a single literal, split by a character that
+    none of them holds and folded once by the optimizer, so a long list adds no plan nodes."""
+    if not values:
+        return F.array().cast("array<string>")
+    used = set().union(*values)
+    sep = next(c for c in map(chr, range(0xE000, 0x110000)) if c not in used)
+    return F.split(F.lit(sep.join(values)), sep, -1)
+
+
 def multi_hot(labels, classes: list[str]) -> Column:
     """Indicator array over ``classes`` (in the given order) as float.
 
     Unknown labels are ignored, duplicates count once, null labels give zeros.
-    ``classes`` is a bounded vocabulary (caller checks its size).
     """
     labels = _col(labels)
-    vocab = F.array(*[F.lit(c) for c in classes]) if classes else F.array().cast("array<string>")
+    vocab = string_array(classes)
     return F.transform(vocab, lambda lab: F.coalesce(F.array_contains(labels, lab), F.lit(False)).cast("float"))
 
 

@@ -21,3 +21,17 @@ def test_long_label_table(spark):
     vocab = V.dense_ids(labels)
     out = J.encode_label_id(labels, vocab, "label")
     assert out.count() == 200_000 and out.agg(F.countDistinct("label_id")).first()[0] == 200_000
+
+
+def test_long_class_list_is_one_constant(spark):
+    from tagloom.functions.arrays import multi_hot
+
+    classes = ["", "x", "a.b|c", *[f"l{i}" for i in range(8000)]]
+    df = spark.createDataFrame([(["l7999", "", "l7999", "other"],), (["x", "a.b|c"],), (None,)], "labels array<string>")
+    out = df.select(multi_hot("labels", classes).alias("y"))
+    assert [[i for i, v in enumerate(r.y) if v] for r in out.collect()] == [[0, 8002], [1, 2], []]
+    assert all(len(r.y) == len(classes) for r in out.collect())
+    plan = out._jdf.queryExecution().analyzed().toString()
+    assert plan.count("array(") == 0 and "split(" in plan
+    assert "split(" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert df.select(multi_hot("labels", []).alias("y")).first().y == []
