@@ -6,7 +6,8 @@ Candidates are found per document by patterns; the place of each follows from th
 of the matches and of the text between them (running sums per document and kind). Every
 candidate value is hashed and counted over the corpus by distinct repository and distinct
 owner. A value held by ``min_owners`` owners or more is a widely copied ``example``; any
-other looks ``live``, as its owner's own.
+other looks ``live``, as its owner's own. A private key is one span from its BEGIN to its END line, and is
+counted by its body.
 
 Counts are pre-aggregated per (value, owner, repository), then per (value, owner), then
 per value, so a value that stands in a third of all rows meets one task as a few rows.
@@ -25,17 +26,32 @@ from tagloom.llm.common import small, text_key, written
 #: part whose length counts (None: the whole match).
 ASSIGN = (r"(?i:password|passwd|secret|token|api_?key)[\x22']?\x20*[:=]\x20*[\x22']?([A-Za-z0-9+/_.=-]+)")
 BASE = [("assign", ASSIGN, 6), ("access", r"(AKIA[A-Z0-9]+)", 20), ("hex", r"([0-9a-f]{24,})", 24)]
+#: A private key: its BEGIN line, header lines (of encrypted keys), and the body up to the END line; without an
+#: END line up to the last base64 line. Where no body follows, the BEGIN line alone. No step repeats a group without
+#: bound or scans a stretch twice, so any text is matched in linear time and without deep recursion.
+KEY_LINE = r"-----(?:BEGIN|END) [A-Z ]*PRIVATE KEY-----"
+PRIVATE_KEY = (r"(-----BEGIN [A-Z ]*PRIVATE KEY-----(?:(?:(?:\r?\n[\x20\t]*[A-Za-z][A-Za-z0-9-]*:[^\r\n]*){1,8}\r?\n)?"
+               r"(?:[^-]*-----END [A-Z ]*PRIVATE KEY-----"
+               r"|[\s\x5C\x22\x27,]*[A-Za-z0-9+/=]{40,}(?:[A-Za-z0-9+/=\s\x5C\x22\x27,]*[A-Za-z0-9+/=]{40,})?"
+               r"(?:\r?\n[\x20\t]*[A-Za-z0-9+/]+={0,2}(?m:$))?))?)")
 #: Further kinds: public formats of tokens, with a string that any match holds.
 MORE = [
     ("github", r"(gh[pousr]_[A-Za-z0-9]{36,})", "gh"),
     ("jwt", r"(eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,})", "eyJ"),
-    ("privatekey", r"(-----BEGIN [A-Z ]*PRIVATE KEY-----)", "PRIVATE KEY-----"),
+    ("privatekey", PRIVATE_KEY, "PRIVATE KEY-----"),
     ("slack", r"(xox[abprs]-[A-Za-z0-9-]{10,})", "xox"),
 ]
 KINDS = [k for k, *_ in BASE] + [k for k, *_ in MORE]
 PLACEHOLDER = "<secret>"
 
 
+def _key_body(hit: Column) -> Column:
+    """What makes one private key differ from others, however its lines are wrapped or quoted; the whole
+    match where nothing but a BEGIN line is there."""
+    body = F.regexp_replace(F.regexp_replace(hit, KEY_LINE, ""), r"\\[nrt]|[\s\x5C\x22\x27,]+", "")
+    return F.when(body == "", hit).otherwise(body)
+
+
 def _hint(text: Column, kind: str, pattern: str) -> Column:
     if kind == "access":
         return text.contains("AKIA")
@@ -72,11 +88,12 @@ def spans_of(found: DataFrame, keep: list[str]) -> DataFrame:
     w = Window.partitionBy("_row", "kind").orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     end = F.sum((F.col("gap") + F.length("hit")).cast("long")).over(w)
     value = F.when(F.col("kind") == 0, F.regexp_extract("hit", ASSIGN, 1)).otherwise(F.col("hit"))
+    own = F.when(F.col("kind") == KINDS.index("privatekey"), _key_body(F.col("_v"))).otherwise(F.col("_v"))
     least = F.element_at(F.array(*[F.lit(n) for *_, n in BASE], *[F.lit(0) for _ in MORE]), F.col("kind") + 1)
     return (x.select(*keep, "_row", "_key", "kind", (end - F.length("hit")).alias("start"), end.alias("end"), value.alias("_v"))
             .where(F.length("_v") >= least)
             .select(*keep, "_row", "_key", "kind", "start", "end", (F.col("end") - F.length("_v")).alias("value_start"),
-                    F.sha2("_v", 256).alias("value_hash")))
+                    F.sha2(own, 256).alias("value_hash")))
 
 
 def ownership(spans: DataFrame, owner: str, repo: str) -> DataFrame:
