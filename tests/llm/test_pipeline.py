@@ -41,6 +41,24 @@ def test_stages(spark):
     release_scratch(spark)
 
 
+def test_language_stage_drops_what_is_in_no_learned_language(spark):
+    import random
+
+    rng = random.Random(1)
+    docs = table(spark, SF, "documents")
+    clean = docs.where("lang = 'de' and length(text) > 2000").first().text
+    gibberish = " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(3, 9))) for _ in range(120))
+    foreign = ["Это простой русский текст о том, как дети играют в саду, а вечером все вместе идут домой и читают книги. " * 3,
+               "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem.",
+               "人人生而自由在尊严和权利上一律平等他们赋有理性和良心并应以兄弟关系的精神相对待", gibberish, "".join(rng.choices("0123456789abcdef", k=800))]
+    kept = [clean[:1000], clean[:25], "The children play in the garden and in the evening they all go home together and read books about the sea."]
+    rows = [(9000 + k, t, None, "s", len(t)) for k, t in enumerate(foreign + kept)]
+    more = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    before = {r.doc_id for r in corpus_pipeline.language_stage(spark, docs, SF).collect()}
+    after = {r.doc_id for r in corpus_pipeline.language_stage(spark, more, SF).collect()}
+    assert after == before | {9000 + len(foreign) + k for k in range(len(kept))}
+
+
 def test_near_duplicates_keep_one_of_repeated_rows(spark):
     rows = [(1, "a b c d e f g", "en"), (1, "a b c d e f g", "en"), (2, "A b c d e f g", "en"), (3, "other words stand here now and then", "en"), (4, None, "en"),
             (4, None, "en"), (None, "a b c d e f g", "en")]
