@@ -320,8 +320,9 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text",
-                       tokens_per_bucket: int = 1 << 20) -> DataFrame:
-    """Per document: ``doc_id``, ``_key`` (hash of the text), ``n_shingles``, ``component_id``."""
+                       tokens_per_bucket: int = 1 << 20, with_root: bool = False) -> DataFrame:
+    """Per document: ``doc_id``, ``_key`` (hash of the text), ``n_shingles``, ``component_id``; if asked for, ``_root``:
+    the hash of one set of the component, which also tells components without any id apart (null without words)."""
     most = 1 << 21  # keys are made for the finest ranges; coarser ranges drop their top bits
     first = written(document_sets(docs, id_col, text_col, most), "jaccard_sets")
     rows = first.where("kind = 0")
@@ -399,7 +400,7 @@ def jaccard_components(docs: DataFrame, percent: int = 75, id_col: str = "doc_id
         "sig", F.coalesce("root", "sig").alias("_g"), "doc_id")
     ids = ids.join(joined, ids["_g"] == joined["node"], "left").select("sig", F.coalesce("root", "_g").alias("root"), "doc_id")
     named = ids.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    final = ids.join(named, "root").select(F.col("sig").alias("_s"), "component_id")
-    full = rows.where("n > 0").join(final, F.col("sig") == F.col("_s")).select("doc_id", "_key", "n", "component_id")
-    empty = rows.where("n = 0").select("doc_id", "_key", "n", F.col("doc_id").alias("component_id"))
-    return full.unionByName(empty).select("doc_id", "_key", F.col("n").alias("n_shingles"), "component_id")
+    final = ids.join(named, "root").select(F.col("sig").alias("_s"), "component_id", F.col("root").alias("_root"))
+    full = rows.where("n > 0").join(final, F.col("sig") == F.col("_s")).select("doc_id", "_key", "n", "component_id", "_root")
+    empty = rows.where("n = 0").select("doc_id", "_key", "n", F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("_root"))
+    return full.unionByName(empty).select("doc_id", "_key", F.col("n").alias("n_shingles"), "component_id", *["_root"] * with_root)

@@ -67,6 +67,15 @@ def test_near_duplicates_keep_one_of_repeated_rows(spark):
     assert out == sorted([(1, "a b c d e f g"), (3, rows[3][1]), (4, None), (4, None)], key=str)
 
 
+def test_near_duplicates_without_ids_keep_one(spark):
+    words = [f"word{i}" for i in range(60)]
+    texts = [" ".join(words), " ".join(words[:59]), " ".join(words).upper(), "other words stand here now and then", "Other words stand here now and then"]
+    rows = [(None, t) for t in texts] + [(None, texts[3]), (7, "a third text of its own with some words")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    out = sorted(r.text.lower() for r in corpus_pipeline.near_duplicate_stage(spark, docs, SF).collect())
+    assert len(out) == 3 and out[0] == rows[-1][1] and out[1] == texts[3] and out[2] in {t.lower() for t in texts[:3]}
+
+
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_oracle(spark, name):
     import duckdb
