@@ -80,26 +80,27 @@ def gram_buckets(points: np.ndarray, buckets: int) -> Iterator[np.ndarray]:
 def pieces(texts) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Code points of whole texts, some at a time: (points, number of the document per point).
 
-    Two spaces stand before each part and at the end, so n-grams of a document never reach into
-    its neighbours. A text of more than ``PIECE`` letters is cut into parts of that size."""
+    Two spaces stand before each text and at the end, so n-grams of a document never reach into its neighbours.
+    A text of more than ``PIECE`` letters is cut into parts of that size; a part ends with the first two points of
+    the next one, in which no n-gram of it starts, so all parts together have the n-grams of the whole text."""
     gap = np.full(2, 32, dtype=np.uint32)
     held, owner, size = [], [], 0
 
-    def joined():
-        return np.concatenate([*held, gap]), np.repeat([o for o, _ in owner], [n for _, n in owner])
+    def joined(end):
+        return np.concatenate([*held, end]), np.repeat([o for o, _ in owner], [n for _, n in owner])
 
     for k, text in enumerate(texts):
         points = letters_only(text) if text else np.empty(0, np.uint32)
         for at in range(0, len(points), PIECE):
-            part = points[at : at + PIECE]
-            held += [gap, part]
-            owner.append((k, len(part) + 2))
-            size += len(part) + 2
+            part, lead = points[at : at + PIECE], gap[: 0 if at else 2]
+            held += [lead, part]
+            owner.append((k, len(part) + len(lead)))
+            size += len(part) + len(lead)
             if size >= PIECE:
-                yield joined()
+                yield joined(np.append(points[at + PIECE : at + PIECE + 2], gap)[:2])
                 held, owner, size = [], [], 0
     if held:
-        yield joined()
+        yield joined(gap)
 
 
 def has_letter(text) -> bool:

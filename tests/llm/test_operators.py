@@ -103,6 +103,24 @@ def test_language_id(spark):
     assert {(r.lang_pred, r.score) for r in language_id.predict(edge(spark), none).collect()} == {("und", 0.0)}
 
 
+def test_pieces_have_the_grams_of_the_whole_texts(monkeypatch):
+    import numpy as np
+
+    texts = ["short one", "the small boat left the harbour at dawn " * 5, "", None, "abcdefghij" * 4, "x", "abcdefghi"]
+
+    def grams():
+        total = np.zeros((len(texts), 1 << 12), dtype=np.int64)
+        for points, owner in language_id.pieces(texts):
+            for idx in language_id.gram_buckets(points, 1 << 12):
+                np.add.at(total, (owner, idx), 1)
+        return total
+
+    whole = grams()
+    for size in (1, 2, 3, 10, 39, 40, 41):
+        monkeypatch.setattr(language_id, "PIECE", size)
+        assert (grams() == whole).all()
+
+
 def test_language_accuracy_on_held_out(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     fold = language_id.fold(F.col("doc_id"))
