@@ -85,6 +85,39 @@ def test_license_containment_by_brute_force(spark):
     assert got == want and want
 
 
+def test_wrapped_notices_by_brute_force(spark):
+    import math
+    import textwrap
+
+    from tagloom.llm.license_scan import TEMPLATES, template_words
+
+    texts = []
+    for _, t in TEMPLATES:
+        for width in (18, 45, 72):
+            for mark in ("", "# ", " * "):
+                texts.append(PROSE + "\n\n" + "\n".join(mark + x for x in textwrap.wrap(t + ". " + PROSE, width)) + "\n" + PROSE)
+    apart = template_words(TEMPLATES[1][1])
+    texts += ["\n".join(f"{w} {PROSE}" for w in apart), "\n".join(apart), "\r\n\r\n".join(apart[:15]), "x\n" * 3000, "", None]
+    out = license_scan(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    assert len(out) == len(texts)
+    for r in out:
+        text, want, best = texts[r.doc_id], set(), 0.0
+        w = brute.words(text)
+        for label, t in TEMPLATES:
+            own = template_words(t)
+            s, run = set(own), math.ceil(len(own) / 0.8 - 1e-9)
+            blocks = [brute.words(x) for x in (text or "").split("\n")] + [w[i : i + run] for i in range(len(w))]
+            share = max(len(s & set(b)) / len(s) for b in blocks)
+            if share >= 0.8 - 1e-12:
+                want.add(label)
+                best = max(best, share)
+        base = brute.license_base(text)
+        assert set(filter(None, r.labels.split(","))) == want | set(filter(None, base[4].split(",")))
+        assert round(r.score, 9) == round(1.0 if base[1] else best, 9) and (r.n_blocks > 0) == bool(want)
+        if r.doc_id < 9 * len(TEMPLATES):
+            assert TEMPLATES[r.doc_id // 9][0] in want
+
+
 def test_language_id(spark):
     train = spark.createDataFrame([(i, w, lang) for i in range(40) for lang, w in (
         ("en", "the ship and the harbour with the wind"), ("de", "das schiff und der hafen mit dem wind"))], "doc_id bigint, text string, lang string")
