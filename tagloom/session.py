@@ -68,6 +68,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tagloom-out/{uuid.uuid4().hex}/{name}"
 
 
+_STORED: dict[int, list[str]] = {}
+
+
+def stored(df, name: str):
+    """``df`` written beneath the checkpoint folder and read back: a lost executor costs no recomputation of what
+    went before, and row numbers made before the write stay as they are."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    _STORED.setdefault(id(spark), []).append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release_stored(spark: SparkSession) -> int:
+    """Delete the tables that :func:`stored` made in this session; call it once the results built on them are written."""
+    paths = _STORED.pop(id(spark), [])
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
+    return len(paths)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
