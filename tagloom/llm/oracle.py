@@ -209,3 +209,59 @@ y AS (SELECT r, string_agg(label, ',' ORDER BY a, kind, label) AS spans, string_
   count(*) FILTER (WHERE owners < 4) AS live, count(*) FILTER (WHERE owners >= 4) AS example FROM x GROUP BY r)
 SELECT d.doc_id, coalesce(n0, 0) AS n_assign, coalesce(n1, 0) AS n_access, coalesce(n2, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
   coalesce(spans, '') AS spans, coalesce(live, 0) AS n_live, coalesce(example, 0) AS n_example FROM d LEFT JOIN y ON d.r = y.r"""
+
+# ------------------------------------------------------------------ op13
+# Damage by a CRC-32 of SQL's own, then a DP from the last row to the first that carries (cost, audit, lines) per state.
+
+_NONE = "{'c': 1000000000::BIGINT, 'a': '', 'l': ''}"
+_SPACE = r"\x20\x09-\x0D"
+
+
+def _edit(cost: str, letter: str, line: str, to: str) -> str:
+    return f"{{'c': ({cost}) + {to}.c, 'a': '{letter}' || {to}.a, 'l': {line} || {to}.l}}"
+
+
+def _read(s: str, initials: dict[str, str], inserted: str) -> str:
+    """The best way from state ``s`` over the row to the states behind it."""
+    keep = " ".join(f"WHEN k.h = '{h}' THEN {_edit('k.x', 'K', 'k.line', to)}" for h, to in initials.items())
+    role = {"s2": "user", "s3": "assistant"}[inserted]
+    reroled = _edit("1 + k.x", "R", f"chr(10) || '{role}:' || k.text", "r." + inserted)
+    return (f"list_sort([{_edit('2', 'D', chr(39) * 2, 'r.' + s)}, CASE WHEN k.gone THEN {_NONE} {keep} ELSE {_NONE} END, "
+            f"CASE WHEN k.gone THEN {_NONE} ELSE {reroled} END])[1]")
+
+
+def _insert(role: str, to: str) -> str:
+    return _edit("5", "I", f"chr(10) || '{role}:'", to)
+
+
+SQL["op13_conversation_repair"] = f"""WITH RECURSIVE crc AS (SELECT list(list_reduce(range(8), lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n)
+  ORDER BY n) AS tab FROM range(256) AS t(n)),
+o AS (SELECT dense_rank() OVER (ORDER BY conv_id) AS c, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  concat(coalesce(CAST(conv_id AS VARCHAR), ' '), ':', coalesce(CAST(turn AS VARCHAR), ' ')) AS key FROM conversations),
+f AS (SELECT o.*, xor(list_reduce(list_transform(string_split(key, ''), lambda x: unicode(x)::BIGINT),
+  lambda s, b: xor(s >> 8, tab[(xor(s, b) & 255) + 1]), 4294967295), 4294967295) % 20 AS fate FROM o, crc),
+d AS (SELECT c, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+  CASE WHEN fate = 1 THEN '' WHEN fate = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+  unnest(range(CASE WHEN fate = 3 THEN 2 ELSE 1 END)) FROM f WHERE fate <> 0),
+p AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, sha256(text)) AS i FROM d),
+k0 AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^{_SPACE}]') THEN 'blank'
+  WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 THEN 'duplicate'
+  WHEN NOT regexp_matches(text, '[.!?][{_SPACE}]*$') THEN 'truncated' ELSE 'ok' END AS fault, left(role, 1) AS h,
+  chr(10) || role || ':' || text AS line, lag(left(role, 1)) OVER (PARTITION BY c ORDER BY i) AS g FROM p),
+k AS (SELECT *, fault IN ('blank', 'duplicate') AS gone, CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS x FROM k0),
+n AS (SELECT c, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+  count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+  count(*) FILTER (i > 1 AND g || h NOT IN ('su', 'ua', 'au')) AS illegal FROM k GROUP BY c),
+r AS (SELECT c, n + 1 AS i, {{'c': 0::BIGINT, 'a': '', 'l': ''}} AS s0, {{'c': 10::BIGINT, 'a': 'II', 'l': concat(chr(10), 'user:', chr(10), 'assistant:')}} AS s1,
+    {{'c': 5::BIGINT, 'a': 'I', 'l': concat(chr(10), 'assistant:')}} AS s2, {{'c': 0::BIGINT, 'a': '', 'l': ''}} AS s3 FROM n
+  UNION ALL
+  SELECT c, i, list_sort([w0, {_insert('user', 't2')}])[1], list_sort([w1, {_insert('user', 't2')}])[1], t2, t3
+  FROM (SELECT *, list_sort([w2, {_insert('assistant', 'w3')}])[1] AS t2, list_sort([w3, {_insert('user', 'w2')}])[1] AS t3
+    FROM (SELECT r.c, k.i, {_read('s0', {'s': 'r.s1', 'u': 'r.s2'}, 's2')} AS w0, {_read('s1', {'u': 'r.s2'}, 's2')} AS w1,
+      {_read('s2', {'a': 'r.s3'}, 's3')} AS w2, {_read('s3', {'u': 'r.s2'}, 's2')} AS w3
+      FROM r JOIN k ON k.c = r.c AND k.i = r.i - 1))),
+best AS (SELECT c, s0 FROM r WHERE i = 1)
+SELECT u.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(s0.c, 0) AS BIGINT) AS cost, coalesce(s0.a, '') AS audit,
+  sha256(coalesce(substr(s0.l, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT c, conv_id FROM o) u LEFT JOIN n ON n.c = u.c LEFT JOIN best ON best.c = u.c"""

@@ -145,3 +145,56 @@ def archived(pages):
 
 def crc_of_ids(ids):
     return zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids))
+
+
+def repaired(rows):
+    """The contract of conversation repair: damage, faults, cheapest edits, per conversation."""
+    convs = {}
+    for conv, turn, role, text in rows:
+        kept = convs.setdefault(conv, [])
+        show = [" " if x is None else x for x in (conv, turn, role, text)]
+        fate = zlib.crc32(f"{show[0]}:{show[1]}".encode()) % 20
+        row = (turn, "user" if fate == 4 else show[2], "" if fate == 1 else re.sub("[.!?]", "", show[3]) if fate == 2 else show[3])
+        kept += [] if fate == 0 else [row, row] if fate == 3 else [row]
+    legal = {(0, "s"): 1, (0, "u"): 2, (1, "u"): 2, (2, "a"): 3, (3, "u"): 2}
+    out = []
+    for conv, kept in convs.items():
+        kept.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), hashlib.sha256(r[2].encode()).hexdigest()))
+        turns = [t for t, *_ in kept if t is not None]
+        seen, faults = set(), []
+        for _, role, text in kept:
+            body = text.rstrip(" \t\n\x0b\x0c\r")
+            faults.append("blank" if not body else "duplicate" if (role, text) in seen else "truncated" if body[-1] not in ".!?" else "ok")
+            seen.add((role, text))
+        initials = [r[:1] for _, r, _ in kept]
+        illegal = sum(a + b not in ("su", "ua", "au") or not (a and b) for a, b in zip(initials, initials[1:]))
+        best = {}
+        for i in range(len(kept), -1, -1):
+            here = {q: [(0, "", ())] if i == len(kept) and q in (0, 3) else [] for q in range(4)}
+            if i < len(kept):
+                _, role, text = kept[i]
+                extra = 5 if faults[i] == "truncated" else 0
+                for q in range(4):
+                    def add(cost, letter, to, line):
+                        c, a, ls = best[to]
+                        here[q].append((c + cost, letter + a, (line, *ls) if line is not None else ls))
+                    add(2, "D", q, None)
+                    if faults[i] in ("ok", "truncated"):
+                        if (q, role[:1]) in legal:
+                            add(extra, "K", legal[q, role[:1]], f"{role}:{text}")
+                        for new in ("user", "assistant"):
+                            if (q, new[0]) in legal:
+                                add(1 + extra, "R", legal[q, new[0]], f"{new}:{text}")
+            for _ in range(4):  # inserts, until nothing gets better
+                for q in range(4):
+                    for new in ("user", "assistant"):
+                        if (q, new[0]) in legal and here[legal[q, new[0]]]:
+                            c, a, ls = min(here[legal[q, new[0]]])
+                            here[q].append((c + 5, "I" + a, (f"{new}:", *ls)))
+                    here[q] = [min(here[q], key=lambda x: x[:2])] if here[q] else []
+            best = {q: here[q][0] for q in range(4)}
+        cost, audit, lines = best[0]
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        n = Counter(faults)
+        out.append((conv, gaps, n["blank"], n["duplicate"], n["truncated"], illegal, cost, audit, hashlib.sha256("\n".join(lines).encode()).hexdigest()))
+    return out
