@@ -8,6 +8,7 @@ from __future__ import annotations
 import math
 
 from tagloom.llm.common import LOWER, TOKEN, UPPER, WORD
+from tagloom.llm.lexical_search import TERM
 from tagloom.llm.license_scan import TEMPLATES, template_words
 from tagloom.llm.quality_rules import COMMON_WORDS
 from tagloom.llm.secret_scan import ASSIGN, BASE, MORE
@@ -210,6 +211,19 @@ y AS (SELECT r, string_agg(label, ',' ORDER BY a, kind, label) AS spans, string_
 SELECT d.doc_id, coalesce(n0, 0) AS n_assign, coalesce(n1, 0) AS n_access, coalesce(n2, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
   coalesce(spans, '') AS spans, coalesce(live, 0) AS n_live, coalesce(example, 0) AS n_example FROM d LEFT JOIN y ON d.r = y.r"""
 
+# ------------------------------------------------------------------ op11
+
+SQL["op11_lexical_search"] = f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({lower('text')}, '{TERM}') AS w FROM documents),
+s AS (SELECT count(*) AS n_docs, sum(len(w)) AS n_terms FROM d WHERE len(w) > 0),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) GROUP BY r, term),
+wt AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS wt FROM tf, s GROUP BY term, n_docs),
+i AS (SELECT row_number() OVER () AS i, item_id, regexp_extract_all({lower('text')}, '{TERM}') AS w FROM benchmark),
+a AS (SELECT i, item_id, term, count(*) AS times FROM (SELECT i, item_id, unnest(w) AS term FROM i) GROUP BY ALL),
+x AS (SELECT a.i, a.item_id, d.r, d.doc_id, CAST(sum(a.times * wt.wt * ((1000000000 * tf.tf) // (1000 * tf.tf + 12 * (75 + (25 * len(d.w) * s.n_docs) // s.n_terms))))
+  AS BIGINT) AS score FROM a JOIN tf ON tf.term = a.term JOIN wt ON wt.term = a.term JOIN d ON d.r = tf.r, s GROUP BY a.i, a.item_id, d.r, d.doc_id),
+k AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS FIRST) AS rank FROM x WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM k WHERE rank <= 20"""
+
 # ------------------------------------------------------------------ op13
 # Damage by a CRC-32 of SQL's own, then a DP from the last row to the first that carries (cost, audit, lines) per state.
 

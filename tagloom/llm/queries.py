@@ -10,6 +10,7 @@ from tagloom.llm.chat_perspective import rotate_perspectives
 from tagloom.llm.common import table
 from tagloom.llm.conversation_repair import damaged, repair_conversations, repair_report
 from tagloom.llm.decontaminate import decontaminate
+from tagloom.llm.lexical_search import lexical_search
 from tagloom.llm.license_scan import license_scan
 from tagloom.llm.ngram_join import jaccard_components
 from tagloom.llm.packing import pack
@@ -86,6 +87,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(table(spark, sf_dir, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return repair_report(rows, repair_conversations(damaged(rows)))
@@ -94,4 +99,4 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_language_id, op3_best_fit_packing, op4_url_filter, op5_ngram_jaccard, op6_decontaminate, op7_warc,
     op8_perspective_rotation, op9_quality_rules, op10_secret_scan,
-    op13_conversation_repair)}
+    op11_lexical_search, op13_conversation_repair)}

@@ -1,6 +1,7 @@
 """Brute-force versions of the contracts, in plain Python over whole rows."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -198,3 +199,24 @@ def repaired(rows):
         n = Counter(faults)
         out.append((conv, gaps, n["blank"], n["duplicate"], n["truncated"], illegal, cost, audit, hashlib.sha256("\n".join(lines).encode()).hexdigest()))
     return out
+
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def ranked(docs, items, k=20):
+    """(item_id, rank, doc_id, score) by scoring every document for every item."""
+    bags = [(d, Counter(TERM.findall(low(t)))) for d, t in docs]
+    bags = [(d, b) for d, b in bags if b]
+    n_docs, n_terms = len(bags), sum(sum(b.values()) for _, b in bags)
+    df = Counter(t for _, b in bags for t in b)
+    out = []
+    for item, text in items:
+        terms, found = TERM.findall(low(text)), []
+        for d, b in bags:
+            m = 75 + (25 * sum(b.values()) * n_docs) // n_terms
+            score = sum(math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * ((10**9 * b[t]) // (1000 * b[t] + 12 * m)) for t in terms if t in b)
+            if score > 0:
+                found.append((-score, d is not None, d))
+        out += [(item, r, d, -s) for r, (s, _, d) in enumerate(sorted(found, key=lambda x: (x[0], x[1], x[2] or 0))[:k], 1)]
+    return out
