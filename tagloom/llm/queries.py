@@ -14,6 +14,7 @@ from tagloom.llm.lexical_search import lexical_search
 from tagloom.llm.license_scan import license_scan
 from tagloom.llm.ngram_join import jaccard_components
 from tagloom.llm.packing import pack
+from tagloom.llm.pii import pii
 from tagloom.llm.quality_rules import quality_rules
 from tagloom.llm.secret_scan import secret_scan
 from tagloom.llm.url_filter import url_filter
@@ -91,6 +92,10 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii(table(spark, sf_dir, "documents"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return repair_report(rows, repair_conversations(damaged(rows)))
@@ -99,4 +104,4 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_language_id, op3_best_fit_packing, op4_url_filter, op5_ngram_jaccard, op6_decontaminate, op7_warc,
     op8_perspective_rotation, op9_quality_rules, op10_secret_scan,
-    op11_lexical_search, op13_conversation_repair)}
+    op11_lexical_search, op12_pii, op13_conversation_repair)}
