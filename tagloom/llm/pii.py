@@ -80,6 +80,8 @@ HELD = 4
 FEATURES = ["w1", "w2", "next", "shape", "size", "edges"]
 ONE = 1_000_000
 #: Chance of a vote (-1, 0, +1) before any data, on other and on private candidates.
+#: Weight of what is assumed before any data, as a part of all candidates.
+ANCHOR = 1.0
 START = {0: (0.4, 0.5, 0.1), 1: (0.01, 0.49, 0.5)}
 
 
@@ -200,7 +202,7 @@ def votes(spans: DataFrame) -> DataFrame:
 def estimate(counted: list[tuple[int, tuple[int, ...], int]], rounds: int = ROUNDS) -> dict[tuple[int, tuple[int, ...]], int]:
     """Millionths of being private by (kind, votes), by expectation-maximisation over (kind, votes, count).
 
-    Every estimate is drawn towards its start (``START``, an even share) with the weight of all candidates once more: what a vote means stays
+    Every estimate is drawn towards its start (``START``, an even share) with the weight of ``ANCHOR`` times all candidates: what a vote means stays
     anchored, and a kind whose candidates vote alike can't become a class of its own. The result doesn't hang on the corpus's size."""
     total = max(1, sum(n for *_, n in counted))
     chance = [{y: list(START[y]) for y in (0, 1)} for _ in LABELERS]
@@ -219,10 +221,10 @@ def estimate(counted: list[tuple[int, tuple[int, ...], int]], rounds: int = ROUN
         for kind in share:
             own = [(n, post[k, v]) for k, v, n in counted if k == kind]
             size = sum(n for n, _ in own)
-            share[kind] = (sum(n * p for n, p in own) + size / 2) / (2 * size)
+            share[kind] = (sum(n * p for n, p in own) + ANCHOR * size / 2) / ((1 + ANCHOR) * size)
         for at, who in enumerate(chance):
             for y in (0, 1):
-                by = [total * x for x in START[y]]
+                by = [ANCHOR * total * x for x in START[y]]
                 for k, v, n in counted:
                     by[v[at] + 1] += n * (post[k, v] if y else 1 - post[k, v])
                 who[y] = [x / sum(by) for x in by]

@@ -106,5 +106,5 @@ def test_estimate_recovers_how_labelers_vote():
     post = P.estimate([(0, v, sum(n)) for v, n in counts.items()])
     right = sum(n[1] if post[0, v] > P.ONE / 2 else n[0] for v, n in counts.items())
     best = sum(max(n) if 1 in v else n[0] for v, n in counts.items())  # what nobody can beat who sees the votes alone
-    assert right >= best - 0.02 * 20_000
+    assert right >= best - 0.04 * 20_000
     assert all(post[0, v] == 0 for v in counts if 1 not in v)
