@@ -153,20 +153,21 @@ def cut_values(df: DataFrame, key_col: str, cuts: DataFrame, group_cols: Sequenc
 
 
 def ordered_starts(df: DataFrame, key_col: str, group_cols: Sequence[str] = (), weight_col: str | None = None,
-                   out_col: str = "start", target_rows: int = 200_000, digits: int = DIGITS) -> DataFrame:
+                   out_col: str = "start", target_rows: int = 200_000, digits: int = DIGITS, open_all: bool = False) -> DataFrame:
     """``df`` with ``out_col``: the number of rows before the row in its group by ``key_col`` (with ``weight_col``: their
     total weight). Rows of equal keys follow one another in any order.
 
-    Groups of at most ``target_rows`` rows are numbered as they are; larger ones by buckets of at most as many."""
+    Groups of at most ``target_rows`` rows are numbered as they are (with ``open_all`` by buckets as well, so that a
+    table without groups is always numbered in many tasks); larger ones by buckets of at most as many rows."""
     g = _names(group_cols)
     weight = F.col(weight_col).cast("long") if weight_col else F.lit(1).cast("long")
     rows = _keyed(df, key_col, group_cols, weight.alias("_w")).withColumn("_p", F.lit(""))
     tally = [F.count(F.lit(1)).alias("_n"), F.sum("_w").alias("_s"), F.min("_k").alias("_lo"), F.max("_k").alias("_hi")]
     heavy = F.col("_n") > target_rows
-    state = stored(rows.groupBy(*g).agg(*tally).where(heavy).withColumn("_p", F.lit("")), "radix_hot")
+    state = stored(rows.groupBy(*g).agg(*tally).where(F.lit(True) if open_all else heavy).withColumn("_p", F.lit("")), "radix_hot")
     opens, leaves, chain = [], [], rows
     while True:
-        todo = state.where(heavy & (F.col("_lo") < F.col("_hi")))
+        todo = state.where((F.lit(open_all and not opens) | heavy) & (F.col("_lo") < F.col("_hi")))
         if todo.isEmpty():
             break
         open_ = hinted(stored(_opened(todo.select(*g, "_p", "_lo", "_hi"), digits), "radix_open"))

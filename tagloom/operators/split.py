@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .radix import cut_values, order_key
 from .rank import hash_order_key, segment_by_rank
 
 
@@ -70,27 +71,34 @@ def split_fraction(df: DataFrame, id_col: str = "row_id", train_frac: float = 0.
     return split_by_sizes(df, id_col, [n_train, n_test], ["train", "test", "val"], seed, split_col, n)
 
 
-def split_positional(df: DataFrame, id_col: str = "row_id", train_frac: float = 0.8, drop_last: bool = False,
-                     split_col: str = "split") -> DataFrame:
-    """First ``int(0.8 n)`` rows by ``id_col`` -> train, the rest -> test.
+def split_by_position(df: DataFrame, order_cols: Sequence[str], train_frac: float = 0.8, drop_last: bool = False,
+                      split_col: str = "split", target_rows: int = 200_000) -> DataFrame:
+    """First ``int(train_frac * n)`` rows in the order of ``order_cols`` (together unique, of any orderable type, nulls
+    first) -> train, the rest -> test.
 
-    ``drop_last=True`` reproduces the reference's ``messages[k:-1]``, which
-    loses the last row.
+    Only the key at each cut is found (``radix.cut_values``: buckets are opened until none holds more than ``target_rows``
+    rows); every row is then compared with it. ``drop_last=True`` reproduces the reference's
+    ``messages[k:-1]``, which loses the last row.
     """
-    stats = df.agg(F.count(F.lit(1)).alias("n"), F.min(id_col).alias("lo"), F.max(id_col).alias("hi")).first()
-    n = stats["n"]
+    n = df.count()
     if n == 0:
         return df.withColumn(split_col, F.lit(None).cast("string"))
+    keyed = df.withColumn("_okey", order_key(df, order_cols))
     k = int(float(train_frac) * n)
-    width = max(1, len(format(int(stats["hi"]) - int(stats["lo"]), "x")))
-    # fixed-width hex of (id - min): string order == numeric order, prefixes spread over the id range
-    keyed = df.withColumn("_okey", F.lpad(F.lower(F.hex(F.col(id_col) - F.lit(stats["lo"]))), width, "0"))
-    ks = [(k,), (n - 1,)] if drop_last else [(k,)]
-    seg = segment_by_rank(keyed, "_okey", id_col, ks, max_group_rows=n)
-    out = _name_segments(seg, ["train", "test", "_dropped"], split_col)
+    cuts = [k, n - 1] if drop_last else [k]
+    wanted = df.sparkSession.createDataFrame([(c,) for c in cuts], "k long")
+    keys = {r["k"]: r["key"] for r in cut_values(keyed, "_okey", wanted, target_rows=target_rows).collect()}  # one row per cut
+    passed = [F.lit(0) if c >= n else F.lit(1) if c <= 0 else (F.col("_okey") > F.lit(keys[c])).cast("int") for c in cuts]
+    out = _name_segments(keyed.withColumn("_seg", sum(passed[1:], passed[0])), ["train", "test", "_dropped"], split_col)
     return out.where(F.col(split_col) != "_dropped") if drop_last else out
 
 
+def split_positional(df: DataFrame, id_col: str = "row_id", train_frac: float = 0.8, drop_last: bool = False,
+                     split_col: str = "split") -> DataFrame:
+    """:func:`split_by_position` by one unique id of any orderable type."""
+    return split_by_position(df, [id_col], train_frac, drop_last, split_col)
+
+
 def stratified_quota(counts: DataFrame, label_col: str, n_col: str, draws_col: str, out_col: str) -> DataFrame:
     """scikit-learn's ``_approximate_mode``: floor of ``n / total * draws`` per class,
     the remaining draws to the largest remainders (ties: by label, where

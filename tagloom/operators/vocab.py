@@ -3,20 +3,23 @@ label-metadata record. Joins with a vocabulary are left to Spark's choice by siz
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import parse_labels
+from ..session import stored
+from .radix import order_key, ordered_starts
 
-def dense_ids(labels: DataFrame, label_col: str = "label", id_col: str = "id") -> DataFrame:
+def dense_ids(labels: DataFrame, label_col: str = "label", id_col: str = "id", target_rows: int = 200_000) -> DataFrame:
     """``{l: i for i, l in enumerate(sorted(labels))}`` on distinct labels.
 
-    Spark's string order is UTF-8 binary = codepoint order = Python's sort.
-    The window has no partition key: ids without gaps in one order need one. Its input is one row
-    per distinct label, whatever the table's size.
+    Spark's string order is UTF-8 binary = codepoint order = Python's sort. Labels are numbered inside buckets by prefix
+    (``radix.ordered_starts``; a prefix that too many labels share is opened further), and only bucket counts meet in one place.
     """
     distinct = labels.select(F.col(label_col).alias("label")).where(F.col("label").isNotNull()).distinct()
-    return distinct.select("label", (F.row_number().over(Window.orderBy("label")) - 1).cast("int").alias(id_col))
+    keyed = stored(distinct.withColumn("_okey", order_key(distinct, ["label"])), "labels")
+    numbered = ordered_starts(keyed, "_okey", out_col=id_col, target_rows=target_rows, open_all=True)
+    return numbered.select("label", F.col(id_col).cast("int").alias(id_col))
 
 
 def label_vocab_single(df: DataFrame, label_col: str) -> DataFrame:

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from ..functions import templates as TP
 from ..functions.text import clean_response, split_predicted_labels
 from ..operators import metrics as M
-from ..operators.rank import segment_by_rank
 from ..operators.score import batch_score
+from ..operators.split import split_by_position
 
 
 def build_sft_multi(split_rows: DataFrame, text_col: str = "scene", label_col: str = "tags",
@@ -27,30 +27,12 @@ def build_sft_single(merged: DataFrame, categories: Sequence[str] = (), train_fr
                      drop_last: bool = False) -> DataFrame:
     """Single-label SFT records from the merged table, split by position (first 80 % train).
 
-    Position is the merged table's row order ``(doc_id, page_id)``. Only the
-    order value at the cut is computed (``segment_by_rank`` on a fixed-width
-    hex key of the pair); records never move. ``drop_last=True`` reproduces
-    the reference's loss of the last row.
+    Position is the merged table's row order ``(doc_id, page_id)``, whatever the type of the ids. Records never move.
+    ``drop_last=True`` reproduces the reference's loss of the last row.
     """
-    stats = merged.agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("d0"), F.max("doc_id").alias("d1"),
-                       F.min("page_id").alias("p0"), F.max("page_id").alias("p1")).first()
-    n = stats["n"]
     rec = TP.sft_record("content", "label", TP.SINGLE_LABEL_INSTRUCTION, list(categories))
-    out = merged.select("doc_id", "page_id", rec.alias("r"))
-    if n == 0:
-        return out.select("doc_id", "page_id", F.lit(None).cast("string").alias("split"), "r.*")
-    wd = len(format(int(stats["d1"]) - int(stats["d0"]), "x"))
-    wp = len(format(int(stats["p1"]) - int(stats["p0"]), "x"))
-    key = F.concat(F.lpad(F.lower(F.hex(F.col("doc_id") - F.lit(stats["d0"]))), wd, "0"),
-                   F.lpad(F.lower(F.hex(F.col("page_id") - F.lit(stats["p0"]))), wp, "0"))
-    k = int(float(train_frac) * n)
-    ks = [(k,), (n - 1,)] if drop_last else [(k,)]
-    seg = segment_by_rank(out.withColumn("_okey", key), "_okey", "page_id", ks, max_group_rows=n)
-    names = F.array(F.lit("train"), F.lit("test"), F.lit("_dropped"))
-    res = seg.withColumn("split", F.element_at(names, F.col("_seg") + 1)).drop("_seg", "_okey")
-    if drop_last:
-        res = res.where(F.col("split") != "_dropped")
-    return res.select("doc_id", "page_id", "split", "r.*")
+    placed = split_by_position(merged, ["doc_id", "page_id"], train_frac, drop_last)
+    return placed.select("doc_id", "page_id", "split", rec.alias("r")).select("doc_id", "page_id", "split", "r.*")
 
 
 def prompt_of(records: DataFrame) -> F.Column:
