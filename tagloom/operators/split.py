@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .radix import cut_values, order_key
@@ -51,6 +51,22 @@ def split_random(df: DataFrame, id_col: str = "row_id", test_size: float = 0.1,
     return split_by_sizes(df, id_col, [n_test, n_val], ["test", "val", "train"], seed, split_col, n)
 
 
+def random_split_column(ids: DataFrame, id_col: str = "row_id", test_size: float = 0.1, val_size: float = 0.1, seed=42) -> Column:
+    """The split of :func:`split_random` as an expression of ``id_col``, found on the narrow table ``ids``: it names the split in
+    any table with the same ids, so wide rows take part in no job before their own."""
+    n = ids.count()
+    _, n_val, n_test = random_split_sizes(n, test_size, val_size)
+    key = F.concat(hash_order_key(seed, id_col), order_key(ids, [id_col]))
+    cuts = [n_test, n_test + n_val]
+    inner = sorted({c for c in cuts if 0 < c < n})
+    keys = {}
+    if inner:
+        wanted = ids.sparkSession.createDataFrame([(c,) for c in inner], "k long")
+        keys = {r["k"]: r["key"] for r in cut_values(ids.select(key.alias("_okey")), "_okey", wanted).collect()}  # one row per cut
+    passed = [F.lit(0) if c >= n else F.lit(1) if c <= 0 else (key > F.lit(keys[c])).cast("int") for c in cuts]
+    return F.element_at(F.array(F.lit("test"), F.lit("val"), F.lit("train")), passed[0] + passed[1] + 1)
+
+
 def split_holdout(df: DataFrame, id_col: str = "row_id", test_size: float = 0.2, seed=42, split_col: str = "split") -> DataFrame:
     """Single random holdout (``train_test_split(test_size=0.2)``)."""
     return split_random(df, id_col, test_size, 0.0, seed, split_col)

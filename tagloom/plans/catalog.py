@@ -20,6 +20,7 @@ from ..operators import metrics as M
 from ..operators import rank as R
 from ..operators import score as SC
 from ..operators import split as X
+from ..operators import targets as TG
 from ..operators import train as TR
 from ..operators import vocab as V
 from ..session import read_parquet_table, scratch_path, table_path
@@ -288,16 +289,16 @@ def _prepared_short(spark, sf_dir) -> P.Prepared:
 def q_multi_hot(spark, sf_dir):
     df, label_col = P.clean_short(FX.fx_meta(spark, sf_dir))
     df = df.withColumn("labels", T.parse_labels(label_col))
-    classes = V.vocab_list(V.label_vocab_multi(df, label_col))
-    y = AR.multi_hot("labels", classes)
-    return df.select("row_id", F.array_join(y.cast("array<int>"), "|").alias("y"),
-                     F.aggregate(y, F.lit(0.0), lambda a, v: a + v).cast("int").alias("n_hot"))
+    vocab = V.label_vocab_multi(df, label_col)
+    rows = TG.sparse_targets(df, vocab)
+    y = TG.dense_targets("label_ids", vocab.count())
+    return rows.select("row_id", F.array_join(y.cast("array<int>"), "|").alias("y"), F.size("label_ids").alias("n_hot"))
 
 
 @query("prepare_short")
 def q_prepare_short(spark, sf_dir):
     p = _prepared_short(spark, sf_dir)
-    return p.data.select("row_id", "split", F.array_join(F.col("y").cast("array<int>"), "|").alias("y"))
+    return p.dense().select("row_id", "split", F.array_join(F.col("y").cast("array<int>"), "|").alias("y"))
 
 
 def _metadata_row(meta: DataFrame) -> DataFrame:
@@ -502,7 +503,7 @@ def q_write_splits_csv(spark, sf_dir):
 def q_write_encoded(spark, sf_dir):
     p = _prepared_short(spark, sf_dir)
     path = scratch_path(spark, "encoded")
-    S.write_encoded(p.data, path)
+    S.write_encoded(p.dense(), path)
     back = spark.read.parquet(path)
     return back.select("row_id", "split", F.array_join(F.col("y").cast("array<int>"), "|").alias("y"))
 
@@ -510,10 +511,9 @@ def q_write_encoded(spark, sf_dir):
 @query("load_split")
 def q_load_split(spark, sf_dir):
     p = _prepared_short(spark, sf_dir)
-    data = p.data.cache()
     text_path, y_path = scratch_path(spark, "splits_text"), scratch_path(spark, "encoded")
-    S.write_splits_csv(data, text_path, "scene")
-    S.write_encoded(data, y_path)
+    S.write_splits_csv(p.data, text_path, "scene")
+    S.write_encoded(p.dense(), y_path)
     test = S.load_split(spark, text_path, y_path, "test", "row_id bigint, scene string, split string")
     return test.select("row_id", "scene", F.array_join(F.col("y").cast("array<int>"), "|").alias("y"))
 

@@ -1,8 +1,7 @@
 """Composite preparation jobs (the reference's ``process_data`` mode).
 
 Both return lazy DataFrames; sinks are separate calls so a caller can write
-any subset. The driver only ever sees the (checked) label vocabulary and a
-few counts.
+any subset. The driver only ever sees a few counts and cut keys.
 """
 
 from __future__ import annotations
@@ -13,13 +12,13 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..functions.arrays import multi_hot
 from ..functions.text import first_label, parse_labels
 from ..operators.aggregate import dedupe_first
 from ..operators.clean import clean_text_columns, find_column, normalize_headers, require_columns
 from ..operators.joins import merge_content
-from ..operators.split import split_random
-from ..operators.vocab import label_metadata, label_vocab_multi, label_vocab_single, vocab_list
+from ..operators.split import random_split_column
+from ..operators.targets import dense_targets, sparse_targets
+from ..operators.vocab import dense_ids, label_metadata, label_vocab_single
 from ..sources import tables
 
 
@@ -50,10 +49,17 @@ class Prepared:
     metadata: DataFrame
     # stage -> Observation with a row count ``n``; filled by the first action on ``data``
     stage_counts: dict = field(default_factory=dict)
+    # multi-label jobs: ``row_id``, ``label_ids`` (sorted), ``split``; and the number of labels
+    targets: DataFrame | None = None
+    n_labels: int = 0
 
     def counts(self) -> dict[str, int]:
         return {k: o.get["n"] for k, o in self.stage_counts.items()}
 
+    def dense(self) -> DataFrame:
+        """``row_id, split, y``: the targets as vectors over all labels, for a sink or a loader that wants them."""
+        return self.targets.select("row_id", "split", dense_targets("label_ids", self.n_labels).alias("y"))
+
     def release(self) -> None:
         """Drop cached intermediates (the cleaned short-text table) once the sinks are written."""
         for df in [self.data, self.vocab, *self._persisted]:
@@ -79,19 +85,18 @@ def _observed(df: DataFrame, stages: dict | None, name: str) -> DataFrame:
 
 
 def prepare_short(meta: DataFrame, cfg: ShortConfig = ShortConfig(), observe: bool = False) -> Prepared:
-    """Clean -> parse labels -> vocabulary -> multi-hot ``y`` -> exact random split."""
+    """Clean -> parse labels -> vocabulary -> label ids per row -> exact random split."""
     stages: dict | None = {} if observe else None
     df, label_col = clean_short(_observed(meta, stages, "meta_rows"), cfg)
     df = _observed(df, stages, "clean_rows")
-    # the cleaned table feeds four passes (vocabulary, size, bucket counts, cut
-    # rows) before the final one: strip the whole texts once, not five times
-    df = df.withColumn("labels", parse_labels(label_col)).persist(StorageLevel.MEMORY_AND_DISK)
-    cleaned = df
-    vocab = label_vocab_multi(df, label_col)
-    classes = vocab_list(vocab)
-    df = df.withColumn("y", multi_hot("labels", classes))
-    df = split_random(df, "row_id", cfg.test_size, cfg.val_size, cfg.seed)
-    return Prepared(df, vocab, label_metadata(vocab, label_col, cfg.text_col), stages or {}, _persisted=[cleaned])
+    rows = df.withColumn("labels", parse_labels(label_col))
+    # ids and labels feed vocabulary, targets and split cuts; texts are read once more, by whoever takes ``data``
+    narrow = rows.select("row_id", "labels").persist(StorageLevel.MEMORY_AND_DISK)
+    vocab = dense_ids(narrow.select(F.explode("labels").alias("label")))
+    split = random_split_column(narrow, "row_id", cfg.test_size, cfg.val_size, cfg.seed)
+    targets = sparse_targets(narrow, vocab).withColumn("split", split)
+    return Prepared(rows.withColumn("split", split), vocab, label_metadata(vocab, label_col, cfg.text_col), stages or {}, targets, vocab.count(),
+                    _persisted=[narrow])
 
 
 def merge_long(meta: DataFrame, web: DataFrame, cfg: LongConfig = LongConfig(), stages: dict | None = None) -> DataFrame:
@@ -127,12 +132,10 @@ def prepare_long(meta: DataFrame, web: DataFrame, cfg: LongConfig = LongConfig()
 
 def save_short(p: Prepared, out_dir: str, text_col: str = "scene") -> None:
     """The reference's artifact set: split JSONL, split text CSV, targets + index, label metadata."""
-    data = p.data.cache()
-    tables.write_splits_json(data.drop("labels", "y"), f"{out_dir}/splits_json")
-    tables.write_splits_csv(data, f"{out_dir}/splits_text", text_col)
-    tables.write_encoded(data, f"{out_dir}/encoded")
+    tables.write_splits_json(p.data.drop("labels"), f"{out_dir}/splits_json")
+    tables.write_splits_csv(p.data, f"{out_dir}/splits_text", text_col)
+    tables.write_encoded(p.dense(), f"{out_dir}/encoded")
     tables.write_label_metadata(p.metadata, f"{out_dir}/labels")
-    data.unpersist()
     p.release()
 
 
