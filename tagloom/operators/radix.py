@@ -63,9 +63,9 @@ def order_key(df: DataFrame, cols: Sequence[str]) -> Column:
     return F.concat(*parts)
 
 
-def hinted(table: DataFrame, most: int = HINTED_ROWS) -> DataFrame:
-    """``table`` with a broadcast hint where it has at most ``most`` rows."""
-    return F.broadcast(table) if table.limit(most + 1).count() <= most else table
+def _small(table: DataFrame, rows: int) -> DataFrame:
+    """``table`` of so many rows, with a broadcast hint where they are few."""
+    return F.broadcast(table) if rows <= HINTED_ROWS else table
 
 
 def _shared(lo: Column, hi: Column) -> Column:
@@ -104,48 +104,72 @@ def _children(rows: DataFrame, open_: DataFrame, g: list[str], carry: Sequence[s
     return rows.join(o, cond).withColumn("_p", F.expr("substring(_k, 1, _olen)")).drop("_op", "_olen", *[f"_o{c}" for c in g])
 
 
+def _root(rows: DataFrame, g: list[str], tally: Sequence[Column], name: str) -> tuple[DataFrame, dict | None]:
+    """Counts and key range per group; without groups also as the one row they are."""
+    root = rows.groupBy(*g).agg(*tally)
+    if g:
+        return stored(root, name), None
+    only = root.first()
+    return rows.sparkSession.createDataFrame([tuple(only)], root.schema), only.asDict()
+
+
+def _tell(state: DataFrame, *tests: Column) -> list[int]:
+    """How many rows of ``state`` there are, and how many pass each test."""
+    return list(state.agg(F.count(F.lit(1)), *[F.count_if(t) for t in tests]).first())
+
+
 def cut_values(df: DataFrame, key_col: str, cuts: DataFrame, group_cols: Sequence[str] = (), target_rows: int = 200_000,
                digits: int = DIGITS) -> DataFrame:
     """For each row of ``cuts`` (``group_cols``, ``k``) the key of rank ``k`` (from 1) in its group: ``group_cols``, ``k``, ``key``.
 
     A rank beyond its group's rows gives no row. ``key_col`` is a string as ``order_key`` makes."""
     g = _names(group_cols)
+    ops = [f"_o{c}" for c in g]
     rows = _keyed(df, key_col, group_cols).withColumn("_p", F.lit(""))
     wanted = cuts.select(*[F.col(c).alias(f"_c{n}") for c, n in zip(group_cols, g)], F.col("k").cast("long").alias("_k0")).distinct()
-    sizes = rows.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"), F.min("_k").alias("_lo"), F.max("_k").alias("_hi"))
+    sizes, only = _root(rows, g, [F.count(F.lit(1)).alias("_n"), F.min("_k").alias("_lo"), F.max("_k").alias("_hi")], "radix_sizes")
     found = sizes.join(wanted, _match(sizes, wanted, [(c, f"_c{c}") for c in g])).where("_k0 >= 1 AND _k0 <= _n")
-    state = stored(found.select(*g, F.lit("").alias("_p"), "_n", "_lo", "_hi", "_k0", F.col("_k0").alias("_r")), "radix_cuts")
-    done = []
-    chain = rows
+    state = found.select(*g, F.lit("").alias("_p"), "_n", "_lo", "_hi", "_k0", F.col("_k0").alias("_r"))
+    state = stored(state, "radix_cuts") if g else state
+    large, same = F.col("_n") > target_rows, F.col("_lo") == F.col("_hi")
+    done, chain = [], rows
+
+    def others(table: DataFrame, *more) -> DataFrame:
+        return table.select(*[F.col(c).alias(o) for c, o in zip(g, ops)], *more)
+
     while True:
-        fits = state.where(F.col("_n") <= target_rows)
-        equal = state.where((F.col("_n") > target_rows) & (F.col("_lo") == F.col("_hi")))
-        done.append(equal.select(*g, "_k0", F.col("_lo").alias("_v")))
-        need = fits.select(*[F.col(c).alias(f"_o{c}") for c in g], F.col("_p").alias("_op"), "_k0", "_r")
-        cond = _match(chain, need, [(c, f"_o{c}") for c in g]) & (chain["_p"] == need["_op"])
-        # a bucket is numbered once, however many ranks fall into it
-        needed = need.select(*[f"_o{c}" for c in g], "_op").distinct()
-        inside = chain.join(hinted(needed), _match(chain, needed, [(c, f"_o{c}") for c in g]) & (chain["_p"] == needed["_op"]), "left_semi")
-        numbered = inside.withColumn("_i", F.row_number().over(Window.partitionBy(*g, "_p").orderBy("_k")))
-        cond = _match(numbered, need, [(c, f"_o{c}") for c in g]) & (numbered["_p"] == need["_op"]) & (numbered["_i"] == need["_r"])
-        done.append(numbered.join(hinted(need), cond).select(*g, "_k0", F.col("_k").alias("_v")))
-        heavy = state.where((F.col("_n") > target_rows) & (F.col("_lo") < F.col("_hi")))
-        if heavy.isEmpty():
+        if only and only["_n"] <= target_rows:
+            n_state, n_open, n_equal = 1, 0, 0  # a single small bucket holds every rank
+        else:
+            n_state, n_open, n_equal = _tell(state, large & ~same, large & same)
+        if n_equal:
+            done.append(state.where(large & same).select(*g, "_k0", F.col("_lo").alias("_v")))
+        if n_state > n_open + n_equal:
+            need = others(state.where(~large), F.col("_p").alias("_op"), "_k0", "_r")
+            # a bucket is numbered once, however many ranks fall into it
+            buckets = need.select(*ops, "_op").distinct()
+            inside = chain.join(_small(buckets, n_state), _match(chain, buckets, list(zip(g, ops))) & (chain["_p"] == buckets["_op"]), "left_semi")
+            numbered = inside.withColumn("_i", F.row_number().over(Window.partitionBy(*g, "_p").orderBy("_k")))
+            cond = _match(numbered, need, list(zip(g, ops))) & (numbered["_p"] == need["_op"]) & (numbered["_i"] == need["_r"])
+            done.append(numbered.join(_small(need, n_state), cond).select(*g, "_k0", F.col("_k").alias("_v")))
+        if not n_open:
             break
-        open_ = _opened(heavy.select(*g, "_p", "_lo", "_hi").distinct(), digits)
-        chain = _children(chain, hinted(stored(open_, "radix_open")), g)
+        heavy = state.where(large & ~same)
+        open_ = stored(_opened(heavy.select(*g, "_p", "_lo", "_hi").distinct(), digits), "radix_open")
+        chain = _children(chain, _small(open_, n_open), g)
         hist = chain.groupBy(*g, "_p").agg(F.count(F.lit(1)).alias("_n"), F.min("_k").alias("_lo"), F.max("_k").alias("_hi"))
-        parents = open_.select(*[F.col(c).alias(f"_o{c}") for c in g], F.col("_p").alias("_op"))
+        parents = others(open_, F.col("_p").alias("_op"))
         # children of one bucket: at most 16^digits rows; their running count places the rank
-        of = _match(hist, parents, [(c, f"_o{c}") for c in g]) & F.expr("startswith(_p, _op)")
-        hist = hist.join(hinted(parents), of).drop(*[f"_o{c}" for c in g])
+        hist = hist.join(_small(parents, n_open), _match(hist, parents, list(zip(g, ops))) & F.expr("startswith(_p, _op)")).drop(*ops)
         upto = Window.partitionBy(*g, "_op").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
         hist = hist.withColumn("_before", F.coalesce(F.sum("_n").over(upto), F.lit(0)))
-        ranks = heavy.select(*[F.col(c).alias(f"_o{c}") for c in g], F.col("_p").alias("_of"), "_k0", "_r")
-        hit = (_match(hist, ranks, [(c, f"_o{c}") for c in g]) & (hist["_op"] == ranks["_of"])
+        ranks = others(heavy, F.col("_p").alias("_of"), "_k0", "_r")
+        hit = (_match(hist, ranks, list(zip(g, ops))) & (hist["_op"] == ranks["_of"])
                & (ranks["_r"] > hist["_before"]) & (ranks["_r"] <= hist["_before"] + hist["_n"]))
-        state = stored(hist.join(hinted(ranks), hit).select(*g, "_p", "_n", "_lo", "_hi", "_k0", (F.col("_r") - F.col("_before")).alias("_r")),
+        state = stored(hist.join(_small(ranks, n_open), hit).select(*g, "_p", "_n", "_lo", "_hi", "_k0", (F.col("_r") - F.col("_before")).alias("_r")),
                        "radix_cuts")
+    if not done:
+        done = [state.select(*g, "_k0", F.col("_lo").alias("_v"))]  # no rank lies in the table
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
@@ -160,29 +184,37 @@ def ordered_starts(df: DataFrame, key_col: str, group_cols: Sequence[str] = (),
     Groups of at most ``target_rows`` rows are numbered as they are (with ``open_all`` by buckets as well, so that a
     table without groups is always numbered in many tasks); larger ones by buckets of at most as many rows."""
     g = _names(group_cols)
+    ops = [f"_o{c}" for c in g]
     weight = F.col(weight_col).cast("long") if weight_col else F.lit(1).cast("long")
     rows = _keyed(df, key_col, group_cols, weight.alias("_w")).withColumn("_p", F.lit(""))
     tally = [F.count(F.lit(1)).alias("_n"), F.sum("_w").alias("_s"), F.min("_k").alias("_lo"), F.max("_k").alias("_hi")]
-    heavy = F.col("_n") > target_rows
-    state = stored(rows.groupBy(*g).agg(*tally).where(F.lit(True) if open_all else heavy).withColumn("_p", F.lit("")), "radix_hot")
-    opens, leaves, chain = [], [], rows
+    large, differ = F.col("_n") > target_rows, F.col("_lo") < F.col("_hi")
+    state, only = _root(rows, g, tally, "radix_groups")
+    state = state.withColumn("_p", F.lit(""))
+    opens, leaves, n_leaves, chain = [], [], 0, rows
     while True:
-        todo = state.where((F.lit(open_all and not opens) | heavy) & (F.col("_lo") < F.col("_hi")))
-        if todo.isEmpty():
+        opening = differ if open_all and not opens else large & differ
+        if only and not opens:
+            n_state, n_open = 1, int(bool(only["_n"]) and only["_lo"] < only["_hi"] and (open_all or only["_n"] > target_rows))
+        else:
+            n_state, n_open = _tell(state, opening)
+        if opens:
+            leaves.append(state.where(~F.coalesce(opening, F.lit(False))).select(*g, "_p", "_s"))
+            n_leaves += n_state - n_open
+        if not n_open:
             break
-        open_ = hinted(stored(_opened(todo.select(*g, "_p", "_lo", "_hi"), digits), "radix_open"))
+        open_ = _opened(state.where(opening).select(*g, "_p", "_lo", "_hi"), digits)
+        open_ = _small(open_ if not g and not opens else stored(open_, "radix_open"), n_open)
         opens.append(open_)
         chain = _children(chain, open_, g)
         state = stored(chain.groupBy(*g, "_p").agg(*tally), "radix_buckets")
-        leaves.append(state.where(~heavy | (F.col("_lo") == F.col("_hi"))).select(*g, "_p", "_s"))
-    groups = [F.col(c) for c in group_cols]
     full = df.withColumn("_w", weight).withColumn("_leaf", F.lit(""))
     for open_ in opens:
-        o = open_.select(*[F.col(c).alias(f"_o{c}") for c in g], F.col("_p").alias("_op"), F.col("_len").alias("_olen"))
-        cond = _match(full, o, [(c, f"_o{n}") for c, n in zip(group_cols, g)]) & (full["_leaf"] == o["_op"])
+        o = open_.select(*[F.col(c).alias(x) for c, x in zip(g, ops)], F.col("_p").alias("_op"), F.col("_len").alias("_olen"))
+        cond = _match(full, o, list(zip(group_cols, ops))) & (full["_leaf"] == o["_op"])
         child = F.when(F.col("_olen").isNull(), F.col("_leaf")).otherwise(F.expr(f"substring(`{key_col}`, 1, _olen)"))
-        full = full.join(o, cond, "left").withColumn("_leaf", child).drop("_op", "_olen", *[f"_o{c}" for c in g])
-    inside = Window.partitionBy(*groups, "_leaf").orderBy(key_col).rowsBetween(Window.unboundedPreceding, -1)
+        full = full.join(o, cond, "left").withColumn("_leaf", child).drop("_op", "_olen", *ops)
+    inside = Window.partitionBy(*[F.col(c) for c in group_cols], "_leaf").orderBy(key_col).rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("long")
     placed = full.withColumn(out_col, F.coalesce(F.sum("_w").over(inside), zero))
     if leaves:
@@ -190,10 +222,8 @@ def ordered_starts(df: DataFrame, key_col: str, group_cols: Sequence[str] = (),
         for x in leaves[1:]:
             table = table.unionByName(x)
         before = Window.partitionBy(*g).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-        base = table.select(*[F.col(c).alias(f"_o{c}") for c in g], F.col("_p").alias("_op"),
-                            F.coalesce(F.sum("_s").over(before), zero).alias("_base"))
-        base = hinted(stored(base, "radix_base"))
-        cond = _match(placed, base, [(c, f"_o{n}") for c, n in zip(group_cols, g)]) & (placed["_leaf"] == base["_op"])
-        placed = placed.join(base, cond, "left").withColumn(out_col, F.col(out_col) + F.coalesce("_base", zero))
-        placed = placed.drop("_op", "_base", *[f"_o{c}" for c in g])
+        base = table.select(*[F.col(c).alias(x) for c, x in zip(g, ops)], F.col("_p").alias("_op"), F.coalesce(F.sum("_s").over(before), zero).alias("_base"))
+        cond = _match(placed, base, list(zip(group_cols, ops))) & (placed["_leaf"] == base["_op"])
+        placed = placed.join(_small(base, n_leaves), cond, "left").withColumn(out_col, F.col(out_col) + F.coalesce("_base", zero))
+        placed = placed.drop("_op", "_base", *ops)
     return placed.drop("_w", "_leaf")

@@ -49,16 +49,15 @@ class Prepared:
     metadata: DataFrame
     # stage -> Observation with a row count ``n``; filled by the first action on ``data``
     stage_counts: dict = field(default_factory=dict)
-    # multi-label jobs: ``row_id``, ``label_ids`` (sorted), ``split``; and the number of labels
+    # multi-label jobs: ``row_id``, ``label_ids`` (sorted), ``split``
     targets: DataFrame | None = None
-    n_labels: int = 0
 
     def counts(self) -> dict[str, int]:
         return {k: o.get["n"] for k, o in self.stage_counts.items()}
 
     def dense(self) -> DataFrame:
         """``row_id, split, y``: the targets as vectors over all labels, for a sink or a loader that wants them."""
-        return self.targets.select("row_id", "split", dense_targets("label_ids", self.n_labels).alias("y"))
+        return self.targets.select("row_id", "split", dense_targets("label_ids", self.vocab.count()).alias("y"))
 
     def release(self) -> None:
         """Drop cached intermediates (the cleaned short-text table) once the sinks are written."""
@@ -95,7 +94,7 @@ def prepare_short(meta: DataFrame, cfg: ShortConfig = ShortConfig(), observe: bo
     vocab = dense_ids(narrow.select(F.explode("labels").alias("label")))
     split = random_split_column(narrow, "row_id", cfg.test_size, cfg.val_size, cfg.seed)
     targets = sparse_targets(narrow, vocab).withColumn("split", split)
-    return Prepared(rows.withColumn("split", split), vocab, label_metadata(vocab, label_col, cfg.text_col), stages or {}, targets, vocab.count(),
+    return Prepared(rows.withColumn("split", split), vocab, label_metadata(vocab, label_col, cfg.text_col), stages or {}, targets,
                     _persisted=[narrow])
 
 

@@ -66,7 +66,7 @@ def test_no_bucket_is_numbered_beyond_the_target(spark):
     finally:
         radix.stored = plain
     assert keyed.where(F.col("key") == got).first()["id"] == (1 << 20) - 1
-    assert seen[0] == (1 << 21) + 1 and seen[-1] <= 10_000 and len(seen) <= 4
+    assert seen[-1] <= 10_000 and len(seen) <= 3
 
 
 def test_sft_records_by_position_of_string_ids(spark):
@@ -87,4 +87,6 @@ def test_dense_ids_of_labels_with_shared_prefixes(spark):
 def test_labels_never_meet_in_one_task(spark):
     df = spark.range(20_000).select(F.concat(F.lit("label "), F.col("id") % 5000).alias("label"))
     plan = dense_ids(df)._jdf.queryExecution().executedPlan().toString()
-    assert "SinglePartition" not in plan
+    # bucket counts meet in one task, labels don't: the only single partition stands over the stored counts
+    before = plan.split("Exchange SinglePartition")[1:]
+    assert all("label" not in part.split("FileScan")[1] for part in before)
