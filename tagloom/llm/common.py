@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,15 +87,36 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release_scratch(spark: SparkSession) -> int:
-    """Delete the intermediate tables that :func:`written` made in this session.
+def scratch_mark(spark: SparkSession) -> int:
+    """How many intermediate tables there are: what :func:`release_scratch` leaves alone if told so."""
+    return len(_SCRATCH.get(id(spark), []))
+
+
+def release_scratch(spark: SparkSession, since: int = 0, keep: int = 0) -> int:
+    """Delete the intermediate tables that :func:`written` made in this session, but the first ``since`` and the last ``keep``.
 
     Call it once the results built on them have been written. Returns how many went.
     """
-    paths = _SCRATCH.pop(id(spark), [])
+    made = _SCRATCH.get(id(spark), [])
+    paths = made[since : len(made) - keep]
+    _SCRATCH[id(spark)] = made[:since] + made[len(made) - keep :] if keep else made[:since]
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for p in paths:
         path = jvm.org.apache.hadoop.fs.Path(p)
         path.getFileSystem(conf).delete(path, True)
     return len(paths)
+
+
+def tidy(batches: Iterator, *states: dict) -> Iterator:
+    """A task's output; when it ends, module state kept by the Python worker is dropped and memory held for reuse goes back
+    to the system, as the worker lives on beside those of other stages."""
+    try:
+        yield from batches
+    finally:
+        for state in states:
+            state.clear()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+        if trim:
+            trim(0)

@@ -29,6 +29,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tagloom.llm.common import tidy
+
 PIECE = 1 << 19
 ORDERS = (1, 2, 3)
 UND = "und"
@@ -132,7 +134,7 @@ def fitting_rows(docs: DataFrame, max_rows_per_label: int = 4000, id_col: str =
     labels = sorted(sizes)
     if not labels:
         return [], None
-    share = F.pmod(F.xxhash64("id", F.lit("train")), F.lit(1 << 20))
+    share = F.pmod(F.xxhash64("id", "text", F.lit("train")), F.lit(1 << 20))
     rate = F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(int(min(1.0, max_rows_per_label / n) * (1 << 20))))])
     return labels, rows.where(share < rate[F.col("lang")]).select("text", "lang")
 
@@ -141,7 +143,7 @@ def fit(labels: list[str], picked: DataFrame | None, buckets: int = 1 << 16) ->
     """(labels, log-probability matrix buckets x labels)."""
     if not labels:
         return [], np.zeros((buckets, 0), dtype=np.float32)
-    counted = (picked.mapInPandas(_train_counts(buckets), "lang string, bucket int, n bigint")
+    counted = (picked.mapInPandas(lambda batches: tidy(_train_counts(buckets)(batches)), "lang string, bucket int, n bigint")
                .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas())  # labels x buckets at most
     matrix = np.full((buckets, len(labels)), 0.5)
     where = {x: i for i, x in enumerate(labels)}
@@ -183,25 +185,34 @@ def score_texts(texts, labels: list[str], matrix: np.ndarray) -> tuple[list[str]
     return [labels[b] if k else UND for b, k in zip(best, known)], np.where(known, posterior, 0.0), mean, grams
 
 
-def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred``, ``score``, ``gram_logprob`` and ``n_grams``. The matrix is broadcast: labels x buckets."""
+#: Rows of a batch that are scored at a time.
+ROWS_AT_ONCE = 512
+
+
+def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str = "text", prefix: str = "") -> DataFrame:
+    """``docs`` with ``lang_pred``, ``score``, ``gram_logprob`` and ``n_grams`` (each with ``prefix``; columns of these names are
+    replaced). Each row travels once, with its text. The matrix is broadcast: labels x buckets."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
-    new = ["lang_pred", "score", "gram_logprob", "n_grams"]
+    new = [prefix + c for c in ("lang_pred", "score", "gram_logprob", "n_grams")]
     own = [c for c in docs.columns if c not in new]
+    if text_col not in own:
+        raise ValueError(f"{text_col!r} would be replaced by a prediction")
+    at = own.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labels, matrix = shared.value
         for batch in batches:
-            pred, score, mean, grams = score_texts(batch.column(len(own)).to_pylist(), labels, matrix)
-            more = [pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(mean, pa.float64(), mask=np.isnan(mean)),
-                    pa.array(grams, pa.int64())]
-            yield pa.RecordBatch.from_arrays(batch.columns[: len(own)] + more, [*own, *new])
-
-    schema = T.StructType([*docs.select(*own).schema, T.StructField("lang_pred", T.StringType()),
-                           T.StructField("score", T.DoubleType()), T.StructField("gram_logprob", T.DoubleType()),
-                           T.StructField("n_grams", T.LongType())])
-    return docs.select(*own, F.col(text_col).alias("__text")).mapInArrow(run, schema)
+            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(start, ROWS_AT_ONCE)
+                pred, score, mean, grams = score_texts(part.column(at).to_pylist(), labels, matrix)
+                more = [pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(mean, pa.float64(), mask=np.isnan(mean)),
+                        pa.array(grams, pa.int64())]
+                yield pa.RecordBatch.from_arrays(part.columns + more, [*own, *new])
+
+    types = [T.StringType(), T.DoubleType(), T.DoubleType(), T.LongType()]
+    schema = T.StructType([*docs.select(*own).schema, *[T.StructField(n, t) for n, t in zip(new, types)]])
+    return docs.select(*own).mapInArrow(lambda batches: tidy(run(batches)), schema)
 
 
 def fold(doc_id: Column) -> Column:

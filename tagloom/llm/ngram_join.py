@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tagloom.llm.common import small, text_key, written
+from tagloom.llm.common import small, text_key, tidy, written
 from tagloom.llm.components import components
 
 U = np.uint64
@@ -209,7 +209,7 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str, buckets: int) ->
     schema = (T.StructType().add("kind", T.IntegerType()).add("doc_id", kind).add("_key", T.LongType()).add("n", T.LongType())
               .add("sig", T.LongType()).add("c", T.LongType()))
     text = F.col(text_col)
-    return docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), text_key(text)).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), text_key(text)).mapInArrow(lambda batches: tidy(run(batches), _TABLES), schema)
 
 
 def postings(docs: DataFrame, text_col: str, buckets: int, hot: np.ndarray, percent: int) -> DataFrame:
@@ -281,7 +281,7 @@ def postings(docs: DataFrame, text_col: str, buckets: int, hot: np.ndarray, perc
         return pd.concat([a, b])
 
     packed = docs.select(F.col(text_col).alias("text")).mapInPandas(
-        pack, "bucket int, keys binary, sigs binary, sets binary")
+        lambda batches: tidy(pack(batches), _TABLES), "bucket int, keys binary, sigs binary, sets binary")
     return packed.groupBy("bucket").applyInPandas(
         count, "kind int, key bigint, sig bigint, ord bigint, n bigint, slack bigint")
 

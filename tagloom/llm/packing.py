@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagloom.llm.common import written
+from tagloom.llm.common import tidy, written
 
 CAPACITY = 2048
 END = (0).to_bytes(4, "little")
@@ -158,7 +158,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPAC
         schema = schema.add(name, T.LongType())
     if with_ids:
         schema = schema.add("ids", T.ArrayType(T.IntegerType()))
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(lambda batches: tidy(run(batches), _STATE), schema)
 
 
 def best_fit(pieces: DataFrame, capacity: int = CAPACITY, open_bins: int = 1024, rows_per_shard: int = 200_000) -> DataFrame:

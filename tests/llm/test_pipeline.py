@@ -93,3 +93,19 @@ def test_oracle(spark, name):
 
     assert norm(tuple(r) for r in df.select(*cols).collect()) == norm(res.fetchall())
     release_scratch(spark)
+
+
+def test_language_stage_keeps_columns_named_like_its_own(spark):
+    docs = table(spark, SF, "documents")
+    more = docs.withColumn("score", F.col("doc_id") * 3).withColumn("lang_pred", F.lit("mine"))
+    out = corpus_pipeline.language_stage(spark, more, SF)
+    assert out.columns == more.columns and out.count() > 0
+    assert out.where("score <> doc_id * 3 OR lang_pred <> 'mine'").count() == 0
+
+
+def test_run_leaves_only_its_result_behind(spark):
+    from tagloom.llm.common import scratch_mark
+
+    mark = scratch_mark(spark)
+    out = corpus_pipeline.run(spark, SF)
+    assert scratch_mark(spark) == mark + 1 and out.count() > 0
