@@ -15,6 +15,7 @@ from ..functions import text as T
 from ..operators import aggregate as A
 from ..operators import clean as C
 from ..operators import encode as EN
+from ..operators import heads as H
 from ..operators import joins as J
 from ..operators import metrics as M
 from ..operators import rank as R
@@ -871,3 +872,18 @@ def q_select_and_test_multi(spark, sf_dir):
     equal = both.where(F.col("before") == F.col("after")).count()
     sizes = d.agg(*[F.count_if(F.col("split") == s).alias(f"n_{s}") for s in parts])
     return sizes.select("*", F.lit(equal).cast("long").alias("n_equal"))
+
+
+@query("select_and_test_short")
+def q_select_and_test_short(spark, sf_dir):
+    """The short path end to end: prepared rows with all labels of their vocabulary -> all heads of all candidates trained
+    together -> candidate by macro F1 -> test once. Split sizes, heads, and how many of them a pass of its own over the training rows proves optimal."""
+    p = _prepared_short(spark, sf_dir)
+    rows = p.data.select("row_id", "scene").join(p.targets, "row_id")
+    n_labels, tol = p.vocab.count(), 1e-3
+    _, heads, _, _, train = H.select_and_test_heads(rows, "scene", "label_ids", n_labels, regs=(0.1, 1.0), num_features=1 << 11, tol=tol)
+    proofs = H.certificates(train, heads, 1 << 11)
+    optimal = sum(gradient <= 2 * tol for *_, gradient in proofs)  # one row per head
+    sizes = p.targets.agg(*[F.count_if(F.col("split") == s).alias(f"n_{s}") for s in ("train", "val", "test")])
+    return sizes.select("*", F.lit(n_labels).cast("long").alias("n_labels"), F.lit(len(proofs)).cast("long").alias("n_heads"),
+                        F.lit(optimal).cast("long").alias("n_optimal"))

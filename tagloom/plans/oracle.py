@@ -486,3 +486,6 @@ v AS (SELECT n, n_test, CAST(ceil(CAST(0.2 AS DOUBLE) * (n - n_test)) AS BIGINT)
 SELECT n - n_test - n_val AS n_train, n_val, n_test, n_test AS n_equal FROM v"""
 SQL["model_roundtrip"] = """SELECT CAST(ceil(CAST(0.2 AS DOUBLE) * count(*)) AS BIGINT) AS n_rows, CAST(ceil(CAST(0.2 AS DOUBLE) * count(*)) AS BIGINT) AS n_equal,
   CAST(ceil(CAST(0.2 AS DOUBLE) * count(*)) AS BIGINT) AS n_decoded FROM documents"""
+SQL["select_and_test_short"] = SPLITS_SHORT + """SELECT count(*) FILTER (WHERE s.split = 'train') AS n_train, count(*) FILTER (WHERE s.split = 'val') AS n_val,
+  count(*) FILTER (WHERE s.split = 'test') AS n_test, any_value(v.n) AS n_labels, any_value(2 * v.n) AS n_heads, any_value(2 * v.n) AS n_optimal
+  FROM splits s, (SELECT count(*) AS n FROM vocab) v"""

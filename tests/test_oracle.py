@@ -12,7 +12,7 @@ from tagloom.plans.catalog import QUERIES
 from tagloom.plans.oracle import SQL
 
 TABLES = "events documents embeddings pages benchmark labels conversations".split()
-SLOW = {"train_single", "train_multi", "select_and_test", "model_roundtrip", "train_eval", "select_and_test_multi"}
+SLOW = {"train_single", "train_multi", "select_and_test", "model_roundtrip", "train_eval", "select_and_test_multi", "select_and_test_short"}
 
 
 def _norm(v):
