@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagloom.llm.common import tidy
+from tagloom.llm.common import text_batches, tidy
 
 PIECE = 1 << 19
 ORDERS = (1, 2, 3)
@@ -193,6 +193,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
     """``docs`` with ``lang_pred``, ``score``, ``gram_logprob`` and ``n_grams`` (each with ``prefix``; columns of these names are
     replaced). Each row travels once, with its text. The matrix is broadcast: labels x buckets."""
     spark = docs.sparkSession
+    text_batches(spark)
     shared = spark.sparkContext.broadcast(model)
     new = [prefix + c for c in ("lang_pred", "score", "gram_logprob", "n_grams")]
     own = [c for c in docs.columns if c not in new]

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tagloom.llm.common import small, text_key, tidy, written
+from tagloom.llm.common import small, text_batches, text_key, tidy, written
 from tagloom.llm.components import components
 
 U = np.uint64
@@ -280,6 +280,7 @@ def postings(docs: DataFrame, text_col: str, buckets: int, hot: np.ndarray, perc
         b = pd.DataFrame({"kind": 1, "key": 0, "sig": sets[:, 0], "ord": 0, "n": sets[:, 1], "slack": sets[:, 2]})
         return pd.concat([a, b])
 
+    text_batches(docs.sparkSession)
     packed = docs.select(F.col(text_col).alias("text")).mapInPandas(
         lambda batches: tidy(pack(batches), _TABLES), "bucket int, keys binary, sigs binary, sets binary")
     return packed.groupBy("bucket").applyInPandas(

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagloom.llm.common import tidy, written
+from tagloom.llm.common import text_batches, tidy, written
 
 CAPACITY = 2048
 END = (0).to_bytes(4, "little")
@@ -62,7 +62,7 @@ class Encoder:
         import tiktoken
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.load, self.tokenizer = lambda: Tokenizer.from_file(path), None  # wanted by few texts
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
@@ -74,6 +74,7 @@ class Encoder:
 
     def part(self, text: str) -> bytes:
         if any(t in text for t in self.added):
+            self.tokenizer = self.tokenizer or self.load()
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         else:
             ids = (self.full if _TWO_SPACES.search(text) else self.plain)(text)
@@ -136,6 +137,8 @@ class OpenBins:
 def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_ids: bool = False,
                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pieces of all documents: doc_id, piece, start, length, ids_crc32 (and ``ids``)."""
+    text_batches(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _STATE.get(tokenizer_path) or _STATE.setdefault(tokenizer_path, Encoder(tokenizer_path))
         for batch in batches:
