@@ -10,7 +10,7 @@ import math
 from tagloom.llm.common import LOWER, TOKEN, UPPER, WORD
 from tagloom.llm.lexical_search import TERM
 from tagloom.llm.license_scan import TEMPLATES, template_words
-from tagloom.llm.quality_rules import COMMON_WORDS
+from tagloom.llm.quality_rules import COMMON_WORDS, PUNCTUATION
 from tagloom.llm.secret_scan import ASSIGN, BASE, MORE
 from tagloom.llm.url_filter import RULES, TRACKING
 
@@ -174,16 +174,23 @@ c AS (SELECT w.r, doc_id, lang, len(w) AS n_words, length(solid) AS word_chars,
   len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words,
   length(t) - length(regexp_replace(t, '\\p{{L}}', '', 'g')) AS letters, length(t) - length(regexp_replace(t, '\\p{{Lu}}', '', 'g')) AS upper,
   length(t) - length(regexp_replace(t, '\\p{{Nd}}', '', 'g')) AS digits, length(t) - length(solid) AS spaces, length(t) AS n,
-  list_transform(words, lambda x: len(list_filter(w, lambda y: y = x))) AS hist FROM w LEFT JOIN rep ON w.r = rep.r),
+  list_transform(words, lambda x: len(list_filter(list_transform(w, lambda z: trim(translate(z, {q(UPPER)}, {q(LOWER)}), {q(PUNCTUATION)})), lambda y: y = x))) AS hist FROM w LEFT JOIN rep ON w.r = rep.r),
 h AS (SELECT *, [letters - upper, upper, digits, spaces, n - letters - digits - spaces] AS cls,
   list_concat(hist, [n_words - list_sum(hist)]) AS wrd FROM c),
-ref AS (SELECT lang, [{', '.join(f'sum(cls[{i}])' for i in range(1, 6))}] AS rc, [{', '.join(f'sum(wrd[{i}])' for i in range(1, 14))}] AS rw FROM h GROUP BY lang),
-j AS (SELECT h.*, CASE WHEN n_words >= 50 THEN {_js('cls', 'rc')} END AS cd, CASE WHEN n_words >= 50 AND hist IS NOT NULL THEN {_js('wrd', 'rw')} END AS wd,
-  n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS failed FROM h JOIN ref ON h.lang IS NOT DISTINCT FROM ref.lang)
+x AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS failed, length(bin(n_words)) AS band FROM h),
+u AS (SELECT DISTINCT lang, band, cls, wrd FROM x WHERE NOT failed),
+ref AS (SELECT lang, [{', '.join(f'sum(cls[{i}] * 1000000 // list_sum(cls))' for i in range(1, 6))}] AS rc,
+  CASE WHEN count(wrd) > 0 THEN [{', '.join(f'sum(wrd[{i}] * 1000000 // list_sum(wrd))' for i in range(1, 14))}] END AS rw FROM u GROUP BY lang),
+ud AS (SELECT u.lang, band, {_js('cls', 'rc')} AS cd, CASE WHEN wrd IS NOT NULL THEN {_js('wrd', 'rw')} END AS wd FROM u JOIN ref ON u.lang IS NOT DISTINCT FROM ref.lang),
+b AS (SELECT lang, band, quantile_cont(floor(cd * 1000), 0.25) AS c1, quantile_cont(floor(cd * 1000), 0.75) AS c3,
+  quantile_cont(floor(wd * 1000), 0.25) AS w1, quantile_cont(floor(wd * 1000), 0.75) AS w3 FROM ud GROUP BY lang, band),
+j AS (SELECT x.*, CASE WHEN n_words >= 50 THEN {_js('cls', 'rc')} END AS cd, CASE WHEN n_words >= 50 AND wrd IS NOT NULL THEN {_js('wrd', 'rw')} END AS wd
+  FROM x LEFT JOIN ref ON x.lang IS NOT DISTINCT FROM ref.lang)
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
   CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, failed AS base_failed,
   round(cd, 6) AS class_distance, round(wd, 6) AS word_distance,
-  NOT failed AND NOT (coalesce(cd, 0) > 0.45 OR coalesce(wd, 0) > 0.75) AS kept FROM j"""
+  NOT failed AND NOT (coalesce(cd > (c3 + 3 * greatest(c3 - c1, 30)) / 1000, FALSE) OR coalesce(wd > (w3 + 3 * greatest(w3 - w1, 30)) / 1000, FALSE)) AS kept
+FROM j LEFT JOIN b ON j.lang IS NOT DISTINCT FROM b.lang AND j.band = b.band"""
 
 # ------------------------------------------------------------------ op10
 

@@ -119,6 +119,64 @@ RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "exa
          ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 
 
+def quality_verdicts(rows, margin=3.0, least_spread=0.03):
+    """id -> (kept, class_distance, word_distance) of rows (id, text, lang)."""
+    import math
+    import string
+    import unicodedata
+    from statistics import quantiles
+
+    from tagloom.llm.quality_rules import COMMON_WORDS
+
+    facts = []
+    for i, text, lang in rows:
+        t = text or ""
+        tokens = re.findall(r"[^\x20\x09-\x0D]+", t)
+        classes = [0] * 5
+        for ch in t:
+            kind = unicodedata.category(ch)
+            classes[3 if ch in " \t\n\x0b\x0c\r" else 1 if kind == "Lu" else 0 if kind[0] == "L" else 2 if kind == "Nd" else 4] += 1
+        words = None
+        if lang in COMMON_WORDS:
+            stripped = [low(w).strip(string.punctuation) for w in tokens]
+            words = [stripped.count(w) for w in COMMON_WORDS[lang]]
+            words.append(len(tokens) - sum(words))
+        facts.append((i, lang, len(tokens), classes, words, quality_base(text)[-1]))
+
+    def distance(p, q):
+        if not p or not q or not sum(p) or not sum(q):
+            return None
+        total = 0.0
+        for x, y in zip([v / sum(p) for v in p], [v / sum(q) for v in q]):
+            total += sum(v * math.log2(2 * v / (x + y)) / 2 for v in (x, y) if v)
+        return math.sqrt(max(0.0, total))
+
+    learned = {(lang, n, tuple(c), w and tuple(w)) for _, lang, n, c, w, failed in facts if not failed}
+    refs = {}
+    for lang, _, c, w in learned:
+        both = refs.setdefault(lang, ([0] * 5, w and [0] * 13))
+        for h, into in ((c, both[0]), (w, both[1])):
+            for k, v in enumerate(h or []):
+                into[k] += v * 10**6 // sum(h)
+    spread = {}
+    for lang, n, c, w in learned:
+        for k, d in enumerate((distance(c, refs[lang][0]), distance(w, refs[lang][1]))):
+            if d is not None:
+                spread.setdefault((lang, n.bit_length(), k), []).append(math.floor(1000 * d))
+    out = {}
+    for i, lang, n, c, w, failed in facts:
+        ref = refs.get(lang, (None, None))
+        pair = [distance(c, ref[0]), distance(w, ref[1])] if n >= 50 else [None, None]
+        far = False
+        for k, d in enumerate(pair):
+            seen = spread.get((lang, n.bit_length(), k))
+            if d is not None and seen:
+                q1, _, q3 = quantiles(seen, n=4, method="inclusive") if len(seen) > 1 else seen * 3
+                far |= d > (q3 + margin * max(q3 - q1, 1000 * least_spread)) / 1000
+        out[i] = (not failed and not far, *pair)
+    return out
+
+
 def url_rule(url):
     _, sep, rest = (url or "").partition("://")
     host = path = ""

@@ -327,6 +327,55 @@ def test_quality_rules(spark):
     assert quality_rules(empty(spark)).count() == 0
 
 
+def quality_corpus():
+    """(id, text, lang) of clean prose in four languages and of planted texts, with what is planted by id."""
+    import random
+
+    from tagloom.llm.quality_rules import COMMON_WORDS
+
+    rng = random.Random(11)
+    rows, planted = [], {}
+
+    def made(n=None):
+        return "".join(rng.choices("aeiounrstlmdcp", k=n or rng.randint(3, 10)))
+
+    def prose(lang, n, common=0.25):
+        words = [rng.choice(COMMON_WORDS[lang]) if rng.random() < common else made() for _ in range(n)]
+        return " ".join(w.capitalize() if k % 12 == 0 else w + "." if k % 12 == 11 else w for k, w in enumerate(words))
+
+    for lang in COMMON_WORDS:
+        rows += [(prose(lang, rng.randint(150, 250)), lang) for _ in range(40)]
+    rows += [(prose("en", 200), None) for _ in range(12)] + [("short but fine " + prose("en", 20), "en"), (None, "en"), ("", None)]
+    bad = [(" ".join(w + rng.choice(["###", "$$$", "%%%"]) for w in prose("en", 200).split()), "en"), (prose("en", 200).upper(), "en"),
+           (" ".join(made() for _ in range(200)), "en"), (prose("de", 200), "en"), (prose("en", 200), "fr"),
+           (" ".join(str(rng.randrange(10**6)) for _ in range(200)), None)]
+    huge = (" ".join("%%%" + made() for _ in range(200)) + " $$$" * 3 + " ".join(made() for _ in range(40)), "es")
+    out = [(k, t, lang) for k, (t, lang) in enumerate(rows)]
+    out += [(1000 + k, t, lang) for k, (t, lang) in enumerate([*bad, huge])]
+    copy = prose("de", 200)
+    return out + [(2000 + k, copy, "de") for k in range(300)], {1000 + k for k in range(len(bad) + 1)}
+
+
+def test_quality_verdicts_by_brute_force(spark):
+    rows, planted = quality_corpus()
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id bigint, text string, lang string, _ref string, band int").repartition(3)
+    got = {r.doc_id: r for r in quality_rules(df).collect()}
+    want = brute.quality_verdicts(rows)
+    for i, (kept, class_distance, word_distance) in want.items():
+        assert got[i].kept == kept, i
+        assert got[i].class_distance == (class_distance if class_distance is None else pytest.approx(class_distance, abs=1e-9))
+        assert got[i].word_distance == (word_distance if word_distance is None else pytest.approx(word_distance, abs=1e-9))
+    judged = {i for i, r in got.items() if not r.base_failed}
+    assert {i for i in judged if not got[i].kept} == planted  # clean texts of every language stay, copies of one too
+
+
+def test_quality_rejects_by_the_method_on_the_given_table(spark):
+    from tagloom.llm.common import table
+
+    out = quality_rules(table(spark, "/root/testdata/sf0.001", "documents"))
+    assert out.where("not kept and not base_failed").count() > 0
+
+
 def test_js_distance(spark):
     from tagloom.llm.quality_rules import js_distance
 
