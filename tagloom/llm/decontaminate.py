@@ -15,8 +15,11 @@ Native: DataFrame functions only.
 ``proximity`` gives from the same postings the places where the terms stand near, but not at,
 their distances.
 
-Null texts have no words; null items no windows. Repeated rows each give a row (documents are
-known by id and hash of the text). The benchmark is joined by Spark's choice of join.
+Null and empty texts have no words; items without an id or without words have no windows. Repeated rows each give a
+row (documents are known by id and hash of the text, so rows that share an id alone keep their own counts). Ties: of
+equally rare words the smallest, then the first, is the index term. Very long texts are read whole. Without documents there are no rows,
+without items no hits. Extra columns are not carried, whatever their names. The benchmark is joined by Spark's choice
+of join.
 """
 
 from __future__ import annotations
@@ -33,7 +36,7 @@ def phrases(benchmark: DataFrame, size: int = SIZE, id_col: str = "item_id", tex
     """(phrase, words, items): distinct windows with the ids of the items that hold them."""
     w = F.col("_w")
     last = F.greatest(F.size(w) - size, F.lit(0))
-    cut = (benchmark.select(F.col(id_col).cast("string").alias("item"), word_array(F.col(text_col)).alias("_w"))
+    cut = (benchmark.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("string").alias("item"), word_array(F.col(text_col)).alias("_w"))
            .where(F.size("_w") > 0)
            .select("item", F.explode(F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(w, i + 1, F.lit(size)))).alias("words")))
     return (cut.groupBy("words").agg(F.collect_set("item").alias("items"))
@@ -77,13 +80,13 @@ def candidates(index: DataFrame, terms: DataFrame) -> DataFrame:
 
 
 def proximity(index: DataFrame, terms: DataFrame, slop: int = 3) -> DataFrame:
-    """(doc_id, phrase, start): two index terms of a phrase whose shifted starts differ by 1 to ``slop``."""
+    """(doc_id, _key, phrase, start): two index terms of a phrase whose shifted starts differ by 1 to ``slop``."""
     shifted = index.join(terms.where("lists > 1"), "term").select(
-        "_row", "doc_id", "phrase", "offset", (F.col("position") - F.col("offset")).alias("start"))
+        "_row", "doc_id", "_key", "phrase", "offset", (F.col("position") - F.col("offset")).alias("start"))
     w = Window.partitionBy("_row", "phrase").orderBy("start").rangeBetween(1, slop)
     near = shifted.withColumn("_others", F.max("offset").over(w)).withColumn("_least", F.min("offset").over(w))
     return near.where((F.col("_others") != F.col("offset")) | (F.col("_least") != F.col("offset"))).where(
-        F.col("_others").isNotNull()).select("doc_id", "phrase", "start").distinct()
+        F.col("_others").isNotNull()).select("doc_id", "_key", "phrase", "start").distinct()
 
 
 def exact_matches(docs: DataFrame, found: DataFrame, windows: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -122,15 +125,15 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, rarest: int = 2, slop:
     items = (exact.select("doc_id", "_key", F.explode("items").alias("item")).distinct()
              .groupBy("doc_id", "_key").agg(F.sort_array(F.collect_list("item")).alias("_items")))
     hits = hit_words(exact)
-    near = proximity(index.where("term <> ''"), terms, slop).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_near"))
+    near = proximity(index.where("term <> ''"), terms, slop).groupBy("doc_id", "_key").agg(F.count(F.lit(1)).alias("n_near"))
     same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["_key"] == b["_key"])
     sizes = index.where("term = ''").select("doc_id", "_key", F.col("position").cast("long").alias("n_words"))
     zero = F.lit(0).cast("long")
-    per_near = near.select(F.col("doc_id").alias("_nd"), "n_near")
+    per_near = near.select(F.col("doc_id").alias("_nd"), F.col("_key").alias("_nk"), "n_near")
     out = sizes.join(hits.join(items, same(hits, items), "left").select(
         hits["doc_id"].alias("_d"), hits["_key"].alias("_k"), "n_hit", "_items"),
         F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_key") == F.col("_k")), "left")
-    out = out.join(per_near, F.col("doc_id").eqNullSafe(F.col("_nd")), "left")
+    out = out.join(per_near, F.col("doc_id").eqNullSafe(F.col("_nd")) & (F.col("_key") == F.col("_nk")), "left")
     listed = F.coalesce("_items", F.array().cast("array<string>"))
     n_hit = F.coalesce("n_hit", zero)
     return out.select("doc_id", "_key", "n_words", n_hit.alias("n_hit"), F.size(listed).cast("long").alias("n_items"),

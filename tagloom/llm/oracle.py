@@ -104,7 +104,7 @@ SELECT g.doc_id, CAST(len(g.g) AS BIGINT) AS n_shingles, least(g.doc_id, coalesc
 
 # ------------------------------------------------------------------ op6
 
-SQL["op6_decontaminate"] = f"""WITH bw AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({lower('text')}, '{WORD}') AS w FROM benchmark),
+SQL["op6_decontaminate"] = f"""WITH bw AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({lower('text')}, '{WORD}') AS w FROM benchmark WHERE item_id IS NOT NULL),
 win AS (SELECT item, unnest(list_transform(range(1, greatest(len(w) - 12, 1) + 1), lambda i: list_slice(w, i, i + 12))) AS ws FROM bw WHERE len(w) > 0),
 ph AS (SELECT array_to_string(ws, ' ') AS phrase, len(ws) AS n, any_value(ws) AS ws, list(DISTINCT item) AS items FROM win GROUP BY ALL),
 sizes AS (SELECT DISTINCT n FROM ph),
