@@ -81,12 +81,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     row numbers made before the write stay the same ever after.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = scratch_folder(spark, name)
     df.write.parquet(path)
-    _SCRATCH.setdefault(id(spark), []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new path beneath the shared checkpoint folder that :func:`release_scratch` deletes."""
+    path = scratch_path(spark, name)
+    _SCRATCH.setdefault(id(spark), []).append(path)
+    return path
+
+
 def scratch_mark(spark: SparkSession) -> int:
     """How many intermediate tables there are: what :func:`release_scratch` leaves alone if told so."""
     return len(_SCRATCH.get(id(spark), []))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tagloom.llm import language_id
 from tagloom.llm.chat_perspective import rotate_perspectives
-from tagloom.llm.common import table
+from tagloom.llm.common import scratch_folder, table
 from tagloom.llm.conversation_repair import damaged, repair_conversations, repair_report
 from tagloom.llm.decontaminate import decontaminate
 from tagloom.llm.lexical_search import lexical_search
@@ -19,7 +19,6 @@ from tagloom.llm.quality_rules import quality_rules
 from tagloom.llm.secret_scan import secret_scan
 from tagloom.llm.url_filter import url_filter
 from tagloom.llm.warc import read_warc, write_warc
-from tagloom.session import scratch_path
 
 
 def tokenizer_path() -> str:
@@ -66,12 +65,13 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "warc")
+    path = scratch_folder(spark, "warc")
     write_warc(table(spark, sf_dir, "pages"), path)
     back = read_warc(spark, path)
+    revisit = F.col("record_type") == "revisit"  # its header declares the payload that it leaves out
     return back.select(
-        "page_id", F.coalesce(F.octet_length("payload").cast("long"), "declared_bytes").alias("payload_bytes"),
-        F.coalesce(F.sha2("payload", 256), "declared_digest").alias("payload_digest"), "record_type",
+        "page_id", F.when(revisit, F.col("declared_bytes")).otherwise(F.octet_length("payload").cast("long")).alias("payload_bytes"),
+        F.when(revisit, F.col("declared_digest")).otherwise(F.sha2("payload", 256)).alias("payload_digest"), "record_type",
         F.col("refers_to_page").alias("refers_to"), "error")
 
 

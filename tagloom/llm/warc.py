@@ -9,17 +9,26 @@ records and files are bounded whatever a page's length.
 
 Reading: archives come through Spark's binary file reader and are cut by Content-Length. Whole
 records are decoded where they are; segments alone are shuffled, grouped by origin id, ordered by
-number, checked against the total length, then chunked framing is taken off. A record that
-fails a check has its reason in ``error`` and a null payload.
-
+number, checked against the total length, then chunked framing is taken off, and the payload's SHA-256 is
+compared with the declared one. A record that fails a check has its reason in ``error`` and a null payload; the
+others of its archive are read all the same. Bytes that are no record, or a record that does not end at
+its length, give one row with an ``error``, and reading goes on at the next line ``WARC/`` behind an empty line
+(which may be a line of the damaged record's own text). So does an archive that is cut short or whose
+compression is damaged: what could be unpacked is read.
+
+Ids of any type stand in a header field, percent-encoded; :func:`read_warc` casts them to ``id_type``.
 Null html is an empty payload, null ids and urls are left out of the header. Repeated rows each
-make a record (equal id and payload: all responses).
+make a record (equal id and payload: all responses). Ties: of equal payloads the smallest id is the response, a null
+id never. Very long payloads are chunked and segmented. An empty table gives no records. Extra columns of
+the input are not carried, whatever their names.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from hashlib import sha256
+from urllib.parse import quote, unquote
 
 import pandas as pd
 import pyarrow as pa
@@ -31,9 +40,9 @@ from tagloom.llm.common import small, written
 MIN_REVISIT = 100
 DATE = "2024-01-01T00:00:00Z"
 _COLUMNS = ["record_id", "record_type", "target_uri", "refers_to", "declared_digest", "declared_bytes", "origin",
-            "segment", "total", "payload", "error"]
+            "segment", "total", "payload", "error", "page_id", "refers_to_page"]
 _SCHEMA = ("record_id string, record_type string, target_uri string, refers_to string, declared_digest string, "
-           "declared_bytes bigint, origin string, segment int, total bigint, payload binary, error string")
+           "declared_bytes bigint, origin string, segment int, total bigint, payload binary, error string, page_id string, refers_to_page string")
 
 
 def with_revisits(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", text_col: str = "html",
@@ -74,15 +83,19 @@ def _record(fields: list[tuple[str, object]], block: bytes) -> str:
     return f"WARC/1.1\r\n{head}Content-Length: {len(block)}\r\n\r\n" + block.decode() + "\r\n\r"
 
 
+def _named(page_id) -> str:
+    return "" if page_id is None else quote(str(page_id), safe="")
+
+
 def page_records(page_id, row, url, payload: str, digest: str, first, chunk_bytes: int, segment_bytes: int) -> Iterator[str]:
-    name = f"<urn:x-page:{'' if page_id is None else page_id}:{row}>"
+    name = f"<urn:x-page:{_named(page_id)}:{row}>"
     uri = None if url is None else re.sub(r"[\r\n]", lambda m: "%%%02X" % ord(m[0]), url)
     fields = [("WARC-Type", "response" if first is None else "revisit"), ("WARC-Record-ID", name), ("WARC-Date", DATE),
               ("WARC-Target-URI", uri), ("WARC-Payload-Digest", f"sha256:{digest}"),
-              ("Content-Type", "application/http;msgtype=response")]
+              ("X-Page-ID", None if page_id is None else _named(page_id)), ("Content-Type", "application/http;msgtype=response")]
     body = payload.encode()
     if first is not None:
-        fields += [("WARC-Refers-To", f"<urn:x-page:{first}>"),
+        fields += [("WARC-Refers-To", f"<urn:x-page:{_named(first)}>"), ("X-Refers-To-Page-ID", _named(first)),
                    ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")]
         yield _record(fields, b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(body))
         return
@@ -103,7 +116,7 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
                records_per_file: int = 2000, compression: str = "gzip") -> None:
     """Write one record (or one and its continuations) per page to archives in ``path``."""
     rows = with_revisits(pages, id_col, url_col, text_col, min_revisit).select(
-        "id", F.monotonically_increasing_id().alias("row"), "url", "payload", "digest", "first")
+        F.col("id").cast("string"), F.monotonically_increasing_id().alias("row"), "url", "payload", "digest", F.col("first").cast("string"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,29 +137,62 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
 # ---- reading -----------------------------------------------------------------------------------
 
 
-def split_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(fields by lower-case name, block) of each record of an uncompressed archive."""
+def split_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes, str | None]]:
+    """(fields by lower-case name, block, error) of each record of an uncompressed archive."""
     at = 0
     while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        head = data[at:end].decode("utf-8", "replace").split("\r\n")
-        if not head[0].startswith("WARC/"):
-            raise ValueError(f"no record at byte {at}")
-        fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in head[1:])}
-        start = end + 4
-        stop = start + int(fields["content-length"])
-        if data[stop : stop + 4] != b"\r\n\r\n":
-            raise ValueError(f"record at byte {at} does not end at its length")
-        yield fields, data[start:stop]
-        at = stop + 4
+        fields, block, error, after = {}, b"", None, None
+        end = data.find(b"\r\n\r\n", at)
+        head = data[at : max(end, at)].decode("utf-8", "replace").split("\r\n")
+        if end < 0 or not head[0].startswith("WARC/"):
+            error = f"no record at byte {at}"
+        else:
+            fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in head[1:])}
+            length = fields.get("content-length", "")
+            if not (length.isascii() and length.isdigit()):
+                error = f"record at byte {at} has no length"
+            else:
+                start, stop = end + 4, end + 4 + int(length)
+                if data[stop : stop + 4] != b"\r\n\r\n":
+                    error = f"record at byte {at} does not end at its length"
+                else:
+                    block, after = data[start:stop], stop + 4
+        yield fields, block, error
+        if after is None:
+            found = data.find(b"\r\n\r\nWARC/", at)
+            after = len(data) if found < 0 else found + 4
+        at = after
+
+
+def unpacked(data: bytes) -> tuple[bytes, str | None]:
+    """An archive's bytes without compression, and what is wrong with it."""
+    import zlib
+
+    if data[:2] != b"\x1f\x8b":
+        return data, None
+    members = []
+    while data:
+        z = zlib.decompressobj(31)
+        try:
+            members.append(z.decompress(data))
+        except zlib.error as e:
+            return b"".join(members), f"compression is damaged: {e}"
+        if not z.eof:
+            return b"".join(members), "archive is cut short"
+        data = z.unused_data
+    return b"".join(members), None
 
 
 def dechunk(body: bytes) -> bytes:
     out, at = [], 0
     while True:
-        end = body.index(b"\r\n", at)
+        end = body.find(b"\r\n", at)
+        if end < 0:
+            raise ValueError("chunks have no end")
         size = int(body[at:end].split(b";")[0], 16)
         start = end + 2
+        if size < 0:
+            raise ValueError("chunk of negative length")
         if not size:
             return b"".join(out)
         if body[start + size : start + size + 2] != b"\r\n":
@@ -165,52 +211,55 @@ def http_payload(block: bytes) -> tuple[bytes, int | None]:
     return body, length
 
 
-def _decoded(block: bytes, is_revisit: bool) -> tuple:
+def _decoded(block: bytes, is_revisit: bool, digest: str | None) -> tuple:
     """(declared bytes, payload, error)"""
     try:
         payload, length = http_payload(block)
-        if is_revisit:
-            return length, None, None
-        if length is not None and length != len(payload):
-            return length, None, "payload differs from Content-Length"
-        return length, payload, None
     except ValueError as e:
         return None, None, str(e)
-
-
-def _head(f: dict[str, str]) -> tuple:
-    digest = f.get("warc-payload-digest")
-    return (f.get("warc-record-id"), f.get("warc-type"), f.get("warc-target-uri"), f.get("warc-refers-to"),
-            digest and digest.removeprefix("sha256:"))
+    if is_revisit:
+        return length, None, None
+    if length is not None and length != len(payload):
+        return length, None, "payload differs from Content-Length"
+    if digest and digest != sha256(payload).hexdigest():
+        return length, None, "payload differs from its digest"
+    return length, payload, None
+
+
+def _head(f: dict[str, str]) -> dict:
+    digest = f.get("warc-payload-digest", "")
+    page, other = f.get("x-page-id"), f.get("x-refers-to-page-id")
+    return {"record_id": f.get("warc-record-id"), "record_type": f.get("warc-type"), "target_uri": f.get("warc-target-uri"),
+            "refers_to": f.get("warc-refers-to"), "declared_digest": digest.removeprefix("sha256:") if digest.startswith("sha256:") else None,
+            "page_id": page if page is None else unquote(page), "refers_to_page": other if other is None else unquote(other)}
+
+
+def _read_record(f: dict[str, str], block: bytes, error: str | None, segments: bool) -> dict | None:
+    """A row of ``_SCHEMA``; None if the record belongs to the other kind (a faulty one counts as whole)."""
+    number, total = f.get("warc-segment-number"), f.get("warc-segment-total-length")
+    origin = f.get("warc-segment-origin-id", f.get("warc-record-id"))
+    if error is None and number is not None and not (number.isdigit() and (total or "0").isdigit() and origin):
+        error = "segment without number or origin"
+    if (error is None and number is not None) != segments:
+        return None
+    row = dict.fromkeys(_COLUMNS) | _head(f) | {"error": error}
+    if segments:
+        row |= {"origin": origin, "segment": int(number), "total": total and int(total), "payload": block}
+    elif error is None:
+        row["declared_bytes"], row["payload"], row["error"] = _decoded(block, row["record_type"] == "revisit", row["declared_digest"])
+    return row
 
 
 def _records(spark: SparkSession, path: str, segments: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zlib
-
         for batch in batches:
             for k in range(batch.num_rows):
-                data = batch.column(0)[k].as_py()
-                if data[:2] == b"\x1f\x8b":
-                    members = []
-                    while data:
-                        z = zlib.decompressobj(31)
-                        members.append(z.decompress(data))
-                        data = z.unused_data
-                    data = b"".join(members)
-                rows = []
-                for f, block in split_records(data):
-                    if ("warc-segment-number" in f) != segments:
-                        continue
-                    if segments:
-                        origin = f.get("warc-segment-origin-id", f["warc-record-id"])
-                        total = f.get("warc-segment-total-length")
-                        rows.append((*_head(f), None, origin, int(f["warc-segment-number"]), total and int(total), block, None))
-                    else:
-                        n, payload, error = _decoded(block, f["warc-type"] == "revisit")
-                        rows.append((*_head(f), n, None, None, None, payload, error))
+                data, fault = unpacked(batch.column(0)[k].as_py())
+                rows = [r for f, block, error in split_records(data) if (r := _read_record(f, block, error, segments))]
+                if fault and not segments:
+                    rows.append(dict.fromkeys(_COLUMNS) | {"error": fault})
                 del data
-                yield pa.RecordBatch.from_pylist([dict(zip(_COLUMNS, r)) for r in rows], schema=arrow)
+                yield pa.RecordBatch.from_pylist(rows, schema=arrow)
 
     kinds = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
     arrow = pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in _SCHEMA.split(", ")])
@@ -229,17 +278,14 @@ def reassemble(pdf: pd.DataFrame) -> pd.DataFrame:
     elif totals != [len(block)]:
         error = "segments differ from the total length"
     else:
-        length, payload, error = _decoded(block, False)
+        length, payload, error = _decoded(block, False, first["declared_digest"])
     return pd.DataFrame([(first["record_id"], first["record_type"], first["target_uri"], first["refers_to"],
-                          first["declared_digest"], length, first["origin"], None, len(block), payload, error)], columns=_COLUMNS)
+                          first["declared_digest"], length, first["origin"], None, len(block), payload, error, first["page_id"], first["refers_to_page"])], columns=_COLUMNS)
 
 
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
+def read_warc(spark: SparkSession, path: str, id_type: str = "bigint") -> DataFrame:
     """All records of the archives in ``path``, segments put together. A group is one record's parts."""
     whole = _records(spark, path, False)
     parts = _records(spark, path, True).groupBy("origin").applyInPandas(reassemble, _SCHEMA)
     both = whole.unionByName(parts).drop("segment", "total", "origin")
-    number = F.regexp_extract("record_id", r"x-page:(-?[0-9]+):", 1)
-    other = F.regexp_extract("refers_to", r"x-page:(-?[0-9]+)>", 1)
-    return both.select("*", F.when(number != "", number.cast("long")).alias("page_id"),
-                       F.when(other != "", other.cast("long")).alias("refers_to_page"))
+    return both.withColumns({c: F.col(c).try_cast(id_type) for c in ("page_id", "refers_to_page")})

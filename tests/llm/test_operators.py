@@ -257,6 +257,18 @@ def test_decontaminate(spark):
     assert decontaminate(empty(spark), items).count() == 0
 
 
+def test_decontaminate_tells_rows_of_one_id_apart(spark):
+    words = [f"rare{k}" for k in range(13)]
+    near = " ".join([*words[:1], "gap", *words[1:]])  # one word put in: no exact match, but index terms stand near
+    rows = [(1, near), (1, "nothing here"), (None, near), (None, "nothing here"), (2, "only lost words"), (3, None)]
+    items = spark.createDataFrame([(9, " ".join(words)), (None, "only lost words"), (10, None)], "item_id bigint, text string")
+    out = decontaminate(spark.createDataFrame(rows, "doc_id bigint, text string"), items)
+    got = {(r.doc_id, r.n_words): (r.n_near, r.n_hit, r.n_items, r.contaminated) for r in out.collect()}
+    assert len(got) == 6 and got[1, 14][0] > 0 and got[1, 14] == got[None, 14]
+    for key in ((1, 2), (None, 2), (2, 3), (3, 0)):  # an item without id hits nothing
+        assert got[key] == (0, 0, 0, False)
+
+
 def test_warc(spark, tmp_path):
     big = "<p>ünï 日本 😀</p>\r\n\r\nWARC/1.1\r\n0\r\n\r\n" * 900
     pages = [(1, "http://a/1", big), (2, None, None), (3, "u\r\nX: y", ""), (4, "u", "x" * 99), (5, "u", "x" * 99), (6, "u", "x" * 100), (0, "u", "x" * 100),
@@ -275,6 +287,51 @@ def test_warc(spark, tmp_path):
     assert warc.read_warc(spark, path).count() == 0
 
 
+def test_warc_reads_what_is_whole_in_damaged_archives(spark, tmp_path):
+    import gzip
+
+    pages = spark.createDataFrame([(k, f"http://h/{k}", f"page {k} " + "text " * 40) for k in range(6)], "page_id bigint, url string, html string")
+    warc.write_warc(pages.coalesce(1), str(tmp_path / "w"), compression="none")
+    whole = next((tmp_path / "w").glob("part-*")).read_bytes()
+    starts = [i for i in range(len(whole)) if whole.startswith(b"WARC/1.1", i)]
+    folder = tmp_path / "damaged"
+    folder.mkdir()
+
+    def read(data):
+        (folder / "a.warc").write_bytes(data)
+        rows = warc.read_warc(spark, str(folder)).collect()
+        return sorted(r.page_id for r in rows if r.payload is not None), sorted(r.error for r in rows if r.error)
+
+    assert read(whole) == (list(range(6)), [])
+    assert read(b"") == ([], [])
+    cut = read(whole[: starts[5] - 30])
+    assert cut == ([0, 1, 2, 3], [f"record at byte {starts[4]} does not end at its length"])
+    junk = read(whole[: starts[2]] + b"junk" + whole[starts[2] :])
+    assert junk[0] == [0, 1, 3, 4, 5] and len(junk[1]) == 1 and junk[1][0].startswith("no record")
+    changed = read(whole.replace(b"page 3 text", b"page 3 tExt"))
+    assert changed == ([0, 1, 2, 4, 5], ["payload differs from its digest"])
+    third = whole[starts[3] :].replace(b"Content-Length:", b"Content-Longth:", 1)
+    assert read(whole[: starts[3]] + third) == ([0, 1, 2, 4, 5], [f"record at byte {starts[3]} has no length"])
+    packed = gzip.compress(whole[: starts[3]]) + gzip.compress(whole[starts[3] :])
+    assert read(packed) == (list(range(6)), [])
+    short = read(packed[:-5])
+    assert set(short[0]) >= {0, 1, 2} and "archive is cut short" in short[1]
+    broken = bytearray(packed)
+    broken[len(gzip.compress(whole[: starts[3]])) + 12] ^= 0xFF
+    assert set(read(bytes(broken))[0]) >= {0, 1, 2} and read(bytes(broken))[1]
+
+
+def test_warc_ids_of_any_type(spark, tmp_path):
+    ids = ["a b", "ü:1", "x>\r\ny", " padded ", None]
+    same_text = "twice " * 30
+    df = spark.createDataFrame([(i, "u", same_text) for i in ids], "page_id string, url string, html string")
+    warc.write_warc(df, str(tmp_path / "s"))
+    back = warc.read_warc(spark, str(tmp_path / "s"), "string").collect()
+    assert {(r.page_id, r.record_type, r.refers_to_page) for r in back} == {
+        (i, "response" if i == " padded " else "revisit", None if i == " padded " else " padded ") for i in ids}
+    assert all(r.error is None for r in back)
+
+
 def test_warc_faults():
     import pandas as pd
 
