@@ -12,11 +12,12 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stored
 from .radix import cut_values, order_key
-from .rank import hash_order_key, segment_by_rank
+from .rank import BROADCAST_ROW_LIMIT, hash_order_key, segment_by_rank
 
 
 def _name_segments(df: DataFrame, names: Sequence[str], split_col: str, seg_col: str = "_seg") -> DataFrame:
@@ -115,54 +116,67 @@ def split_positional(df: DataFrame, id_col: str = "row_id", train_frac: float =
     return split_by_position(df, [id_col], train_frac, drop_last, split_col)
 
 
-def stratified_quota(counts: DataFrame, label_col: str, n_col: str, draws_col: str, out_col: str) -> DataFrame:
+def stratified_quota(counts: DataFrame, label_col: str, n_col: str, draws: int, out_col: str, target_rows: int = 200_000) -> DataFrame:
     """scikit-learn's ``_approximate_mode``: floor of ``n / total * draws`` per class,
     the remaining draws to the largest remainders (ties: by label, where
-    scikit-learn picks at random). Input is one row per class (small)."""
-    all_rows = Window.partitionBy(F.lit(0))
-    total = F.sum(n_col).over(all_rows)
-    cont = (F.col(n_col) / total) * F.col(draws_col)
-    w = counts.withColumn("_cont", cont.cast("double")).withColumn("_floor", F.floor("_cont").cast("long"))
-    w = w.withColumn("_need", F.col(draws_col) - F.sum("_floor").over(all_rows))
-    by_rem = Window.partitionBy(F.lit(0)).orderBy(F.desc(F.col("_cont") - F.col("_floor")), F.asc(label_col))
-    w = w.withColumn("_ord", F.row_number().over(by_rem))
-    return w.withColumn(out_col, (F.col("_floor") + F.when(F.col("_ord") <= F.col("_need"), 1).otherwise(0)).cast("long")).drop(
-        "_cont", "_floor", "_need", "_ord"
-    )
-
-
-def stratified_plan(df: DataFrame, label_col: str, first_test: float = 0.3, second_test: float = 0.5) -> DataFrame:
+    scikit-learn picks at random). Input is one row per class, of any number of classes: how many
+    draws remain is one sum, and the last remainder that gets one is found by ``radix.cut_values``."""
+    total = counts.agg(F.sum(n_col)).first()[0]
+    share = (F.col(n_col) / F.lit(total)) * F.lit(draws)
+    w = counts.withColumn("_floor", F.floor(share).cast("long")).withColumn("_less", F.col("_floor") - share)
+    need = draws - w.agg(F.sum("_floor")).first()[0]
+    more = F.lit(0)
+    if need > 0:
+        keyed = w.select(order_key(w, ["_less", label_col]).alias("_qkey"))
+        last = cut_values(keyed, "_qkey", w.sparkSession.createDataFrame([(need,)], "k long"), target_rows=target_rows).first()
+        more = (order_key(w, ["_less", label_col]) <= F.lit(last["key"])).cast("int")
+    return w.withColumn(out_col, (F.col("_floor") + more).cast("long")).drop("_floor", "_less")
+
+
+def stratified_plan(df: DataFrame, label_col: str, first_test: float = 0.3, second_test: float = 0.5, target_rows: int = 200_000) -> DataFrame:
     """Per class ``n, n_train, n_val, n_test`` of the two-step stratified split (70/15/15).
 
-    One job counts the classes (partial aggregation); the quota arithmetic
-    then runs on that one-row-per-class table.
+    One job counts the classes (partial aggregation); the quota arithmetic runs on the stored table of one row per
+    class. Totals alone come to the driver.
     """
-    spark = df.sparkSession
-    rows = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("n")).collect()  # one row per class
-    if any(r[label_col] is None for r in rows):
+    counts = stored(df.groupBy(label_col).agg(F.count(F.lit(1)).alias("n")), "stratified_classes")
+    lonely = F.when(F.col("n") < 2, F.col(label_col))
+    seen = counts.agg(F.sum("n").alias("n"), F.count_if(F.col(label_col).isNull()).alias("nulls"), F.min(lonely).alias("lonely")).first()
+    if seen["nulls"]:
         raise ValueError(f"null {label_col!r} values: drop or fill them before a stratified split")
-    small = [r for r in rows if r["n"] < 2]
-    if small:
-        raise ValueError(f"class {small[0][label_col]!r} has fewer than 2 rows; stratified split impossible")
-    n = sum(r["n"] for r in rows)
-    counts = spark.createDataFrame([tuple(r) for r in rows], df.select(label_col).schema.add("n", "long"))
+    if seen["lonely"] is not None:
+        raise ValueError(f"class {seen['lonely']!r} has fewer than 2 rows; stratified split impossible")
+    n = seen["n"] or 0
     n_tmp = math.ceil(first_test * n)
-    step1 = stratified_quota(counts.withColumn("_d", F.lit(n - n_tmp)), label_col, "n", "_d", "n_train")
-    step1 = step1.withColumn("n_tmp", F.col("n") - F.col("n_train")).drop("_d")
-    t = n_tmp
-    n_val_total = t - math.ceil(second_test * t)
-    step2 = stratified_quota(step1.withColumn("_d", F.lit(n_val_total)), label_col, "n_tmp", "_d", "n_val")
-    return step2.withColumn("n_test", F.col("n_tmp") - F.col("n_val")).drop("_d", "n_tmp")
+    step1 = stratified_quota(counts, label_col, "n", n - n_tmp, "n_train", target_rows) if n else counts.withColumn("n_train", F.col("n"))
+    step1 = step1.withColumn("n_tmp", F.col("n") - F.col("n_train"))
+    step2 = (stratified_quota(step1, label_col, "n_tmp", n_tmp - math.ceil(second_test * n_tmp), "n_val", target_rows) if n
+             else step1.withColumn("n_val", F.col("n")))
+    return step2.withColumn("n_test", F.col("n_tmp") - F.col("n_val")).drop("n_tmp")
 
 
-def split_stratified(df: DataFrame, label_col: str, id_col: str = "row_id", seed=42, split_col: str = "split") -> DataFrame:
+def split_stratified(df: DataFrame, label_col: str, id_col: str = "row_id", seed=42, split_col: str = "split",
+                     target_rows: int = 200_000) -> DataFrame:
     """Stratified 70 / 15 / 15 split: exact per-class quotas, hash order inside each class.
 
-    Per-class ranks come from bucket counts per (class, bucket), so a class
-    holding a third of all rows is still spread over many tasks.
+    Quotas and the keys at the cuts are tables of one row per class, joined with the rows and never collected. Keys are found by
+    ``radix.cut_values``, so a class holding a third of all rows is spread over many tasks. ``id_col``: unique, of any orderable type.
+    An empty table gives no rows.
     """
-    plan = stratified_plan(df, label_col).collect()  # one row per class (vocabulary-sized)
-    cuts = [(r[label_col], r["n_train"]) for r in plan] + [(r[label_col], r["n_train"] + r["n_val"]) for r in plan]
-    keyed = df.withColumn("_okey", hash_order_key(seed, id_col))
-    seg = segment_by_rank(keyed, "_okey", id_col, cuts, group_cols=[label_col], max_group_rows=max(r["n"] for r in plan))
-    return _name_segments(seg, ["train", "val", "test"], split_col)
+    plan = stored(stratified_plan(df, label_col, target_rows=target_rows), "stratified_plan")
+    key = F.concat(hash_order_key(seed, id_col), order_key(df, [id_col]))
+    ends = F.array(F.col("n_train"), F.col("n_train") + F.col("n_val"))
+    wanted = plan.select(label_col, F.explode(F.array_distinct(ends)).alias("k"))
+    found = cut_values(df.select(label_col, key.alias("_okey")), "_okey", wanted, [label_col], target_rows)
+    per_class = found.groupBy(F.col(label_col).alias("_class")).agg(F.collect_list(F.struct("k", "key")).alias("_keys"))  # two at most
+    cuts = plan.select(F.col(label_col).alias("_label"), ends.alias("_ends")).join(per_class, F.col("_label") == F.col("_class"), "left")
+
+    def key_at(i: int) -> Column:  # null where the cut lies before the first row
+        return F.get(F.filter("_keys", lambda x: x["k"] == F.get("_ends", F.lit(i))), F.lit(0))["key"]
+
+    cuts = stored(cuts.select("_label", key_at(0).alias("_cut0"), key_at(1).alias("_cut1")), "stratified_cuts")
+    n_classes = cuts.count()
+    hinted = F.broadcast(cuts) if n_classes <= BROADCAST_ROW_LIMIT else cuts
+    passed = [F.coalesce((key > F.col(c)).cast("int"), F.lit(1)) for c in ("_cut0", "_cut1")]
+    joined = df.join(hinted, df[label_col] == F.col("_label")).withColumn("_seg", passed[0] + passed[1])
+    return _name_segments(joined.drop("_label", "_cut0", "_cut1"), ["train", "val", "test"], split_col)

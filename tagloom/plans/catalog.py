@@ -18,6 +18,7 @@ from ..operators import encode as EN
 from ..operators import heads as H
 from ..operators import joins as J
 from ..operators import metrics as M
+from ..operators import permute as PM
 from ..operators import rank as R
 from ..operators import score as SC
 from ..operators import split as X
@@ -245,6 +246,15 @@ def q_epoch_shuffle(spark, sf_dir):
 
 
 
+@query("epoch_orders")
+def q_epoch_orders(spark, sf_dir):
+    """Batches of epochs 1 and 2 of a random split, from ranks that are computed once."""
+    rows = X.split_random(_docs_ids(spark, sf_dir).select("row_id"), "row_id", 0.1, 0.1, SEED)
+    ranked = PM.rank_once(rows, "row_id", "split", SEED)
+    epochs = [LD.epoch_batches(ranked, e, 16, SEED).withColumn("epoch", F.lit(e)) for e in (1, 2)]
+    return epochs[0].unionByName(epochs[1]).select("row_id", "split", "epoch", "batch_id", "pos_in_batch")
+
+
 @query("assign_batches")
 def q_assign_batches(spark, sf_dir):
     d = _epoch_order(spark, sf_dir, 1)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators.encode import encode_fixed, encode_tokens, token_vocab, tokenize
 from ..operators.joins import encode_label_id, pair_text_label
+from ..operators.permute import in_order
 from ..operators.rank import exact_rank, hash_order_key
 from ..operators.split import fraction_sizes, split_fraction, split_stratified
 from ..sources import tables
@@ -29,6 +30,16 @@ def assign_batches(df: DataFrame, key_col: str, id_col: str, batch_size: int, gr
     }).drop("_pos")
 
 
+def epoch_batches(ranked: DataFrame, epoch: int, batch_size: int, seed, group_col: str = "split", shuffled: Sequence[str] = ("train",)) -> DataFrame:
+    """Batches of one epoch of the rows that ``permute.rank_once`` numbered: groups in ``shuffled`` in a new order every epoch,
+    the others always in that of epoch 0. A projection: no epoch moves a row."""
+    ordered = in_order(in_order(ranked, seed, epoch, "_new"), seed, 0, "_fixed")
+    at = F.when(F.col(group_col).isin(*shuffled), F.col("_new")).otherwise(F.col("_fixed"))
+    return ordered.withColumns({
+        "batch_id": F.floor(at / batch_size).cast("long"), "pos_in_batch": (at % batch_size).cast("int"),
+    }).drop("_new", "_fixed", "place", "size")
+
+
 def encode_and_batch(rows: DataFrame, id_col: str, text_col: str, max_length: int, max_vocab: int, batch_size: int,
                      epoch: int, seed, shuffled: Sequence[str] = ("train",), group_sizes: dict | None = None) -> DataFrame:
     """Rows with a ``split`` as batches of fixed-length ids; the splits in ``shuffled`` change their order every epoch."""

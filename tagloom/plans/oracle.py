@@ -171,6 +171,20 @@ SQL["split_positional"] = """WITH ranked AS (SELECT page_id AS row_id, row_numbe
 SELECT row_id, CASE WHEN r <= floor(CAST(0.8 AS DOUBLE) * n) THEN 'train' ELSE 'test' END AS split FROM ranked"""
 
 
+SQL["epoch_orders"] = f"""WITH RECURSIVE placed AS (WITH {random_split_sql("SELECT doc_id AS row_id FROM documents", 0.1, 0.1)}),
+ranks AS (SELECT row_id, split, CAST(row_number() OVER (PARTITION BY split ORDER BY {okey('row_id')}, row_id) - 1 AS BIGINT) AS x,
+  count(*) OVER (PARTITION BY split) AS size FROM placed),
+digests AS (SELECT o, r, md5(concat('42:', o, ':', r)) AS d FROM (SELECT unnest([0, 1, 2]) AS o), (SELECT unnest(range(0, 128)) AS r)),
+ks AS (SELECT o, r, CAST(concat('0x', substr(d, 1, 15)) AS BIGINT) AS s, CAST(concat('0x', substr(d, 16, 7)) AS BIGINT) AS a,
+  CAST(concat('0x', substr(d, 23, 7)) AS BIGINT) AS b FROM digests),
+walk AS (SELECT row_id, split, size, e AS epoch, CASE WHEN split = 'train' THEN e ELSE 0 END AS o, x, 0 AS r FROM ranks, (SELECT unnest([1, 2]) AS e)
+  UNION ALL
+  SELECT row_id, split, size, epoch, o, CASE WHEN (m * m + s % 2147483647) % 2147483647 % 2 = 1 THEN y ELSE x END, r + 1
+  FROM (SELECT *, (greatest(x, y) % 1073741824 * a + greatest(x, y) // 1073741824 * b + b) % 2147483647 AS m
+    FROM (SELECT walk.*, s, a, b, (s % size + size - x) % size AS y FROM walk JOIN ks ON walk.o = ks.o AND walk.r = ks.r)))
+SELECT row_id, split, CAST(epoch AS INTEGER) AS epoch, CAST(x // 16 AS BIGINT) AS batch_id, CAST(x % 16 AS INTEGER) AS pos_in_batch FROM walk WHERE r = 128"""
+
+
 def quota_sql(name: str, src: str, n_col: str, draws: str, out: str) -> str:
     """scikit-learn's approximate mode with ties broken by label (``src`` has label, n_col)."""
     return f"""{name}_a AS (SELECT *, ({n_col} / sum({n_col}) OVER ()) * ({draws}) AS _cont FROM {src}),

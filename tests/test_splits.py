@@ -68,6 +68,30 @@ def test_stratified_quotas(spark):
         X.split_stratified(df.withColumn("c", F.when(F.col("row_id") == 0, "lonely").otherwise("x")), "c", "row_id")
 
 
+def test_stratified_split_of_many_classes(spark):
+    classes = 1_000_000  # of 2 or 3 rows each, and one class of 100,000
+    ids = spark.range(2_500_000).select(F.col("id").alias("row_id"), (F.col("id") % classes).alias("c"))
+    df = ids.unionByName(spark.range(2_500_000, 2_600_000).select(F.col("id").alias("row_id"), F.lit(-1).cast("long").alias("c")))
+    counts = X.split_stratified(df, "c", "row_id", 42).groupBy("split").count().collect()
+    assert {r["split"]: r["count"] for r in counts} == {"train": 1_820_000, "val": 390_000, "test": 390_000}
+
+
+def test_stratified_split_by_any_id_and_in_small_buckets(spark):
+    rows = [(f"r{k:03d}" if k % 2 else f"ü{k}", "ab"[k % 3 == 0], k, "x") for k in range(400)]
+    df = spark.createDataFrame(rows, "row_id string, c string, k int, n string").repartition(5)
+    got = X.split_stratified(df, "c", "row_id", 7, target_rows=20)
+    assert sorted(got.columns) == sorted([*df.columns, "split"])
+    names = {r.row_id: r.split for r in got.collect()}
+    assert names == {r.row_id: r.split for r in X.split_stratified(df, "c", "row_id", 7).collect()}
+    import hashlib
+
+    for c in "ab":
+        mine = sorted((hashlib.md5(f"7:{i}".encode()).hexdigest(), i) for i, x, *_ in rows if x == c)
+        order = [names[i] for _, i in mine]
+        assert order == sorted(order, key=["train", "val", "test"].index) and len(set(order)) == 3
+    assert X.split_stratified(df.limit(0), "c", "row_id").count() == 0
+
+
 def test_exact_rank_equals_row_number(spark):
     df = _ids(spark, 500, 7).withColumn("k", R.hash_order_key(3, "row_id"))
     got = {r.row_id: r.rank for r in R.exact_rank(df, "k", "row_id", target_bucket_rows=20).collect()}
