@@ -63,7 +63,7 @@ FROM z LEFT JOIN g ON z.r = g.r"""
 
 
 def _canonical(url: str) -> str:
-    host = f"regexp_replace(regexp_replace({_host(url)}, ':(80|443)$', ''), '^(www|m|mobile)\\.', '')"
+    host = f"regexp_replace(regexp_replace({_host(url)}, ':(80|443)$', ''), '^(www|m|mobile)\\.([^.]+\\.)', '\\2')"
     path = f"regexp_replace({_path(url)}, '(/index)?\\.html?$|/+$', '')"
     query = f"regexp_extract(coalesce({url}, ''), '(?s)^.*?://[^?#]*\\?([^#]*)', 1)"
     kept = (f"list_sort(list_filter(string_split({query}, '&'), lambda p: p <> '' AND "

@@ -2,7 +2,7 @@
 
 Native: DataFrame functions only.
 
-* The canonical form drops the scheme, ``www.``/``m.`` labels, default ports, the fragment,
+* The canonical form drops the scheme, a ``www.``/``m.``/``mobile.`` label before two others or more, default ports, the fragment,
   tracking parameters, ``index.html``/``.html`` endings and the last slash, and sorts the
   remaining query parameters.
 * The filter has up to ``max_blocks`` blocks of eight 64-bit words. One hash picks the
@@ -44,7 +44,7 @@ def path_of(url: Column) -> Column:
 
 def canonical(url: Column) -> Column:
     """The canonical form; null where the url has no ``://`` or no host."""
-    host = F.regexp_replace(F.regexp_replace(host_of(url), r":(80|443)$", ""), r"^(www|m|mobile)\.", "")
+    host = F.regexp_replace(F.regexp_replace(host_of(url), r":(80|443)$", ""), r"^(www|m|mobile)\.([^.]+\.)", "$2")
     path = F.regexp_replace(path_of(url), r"(/index)?\.html?$|/+$", "")
     query = F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^?#]*\?([^#]*)", 1)
     kept = F.array_sort(F.filter(F.split(query, "&"),

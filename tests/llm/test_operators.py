@@ -219,6 +219,18 @@ def test_url_filter(spark):
     assert url_filter(pages.limit(0), listed).count() == 0 and url_filter(pages, listed.limit(0)).where("listed").count() == 0
 
 
+def test_url_filter_keeps_the_only_label_before_a_suffix(spark):
+    from tagloom.llm.url_filter import canonical
+
+    urls = {"http://m.com/x": "m.com/x", "http://www.net/x": "www.net/x", "http://m.a.com/x": "a.com/x", "https://www.m.com/x": "m.com/x",
+            "http://com/x": "com/x", "http://mobile.a.b.org/x": "a.b.org/x", "http://mm.a.com/x": "mm.a.com/x"}
+    df = spark.createDataFrame([(u,) for u in urls], "url string").select("url", canonical(F.col("url")).alias("c"))
+    got = {r.url: r.c for r in df.collect()}
+    assert {u: got[u] for u in urls} == urls
+    assert url_filter(spark.createDataFrame([(1, "http://com/x"), (2, "http://m.com/x")], "page_id long, url string"),
+                      spark.createDataFrame([("http://m.com/x",)], "url string")).where("verdict = 'block'").select("page_id").first()[0] == 2
+
+
 def test_jaccard(spark):
     same(jaccard_components(edge(spark)).drop("_key"), brute.jaccard(TEXTS))
     assert jaccard_components(empty(spark)).count() == 0
