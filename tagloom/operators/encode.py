@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.arrays import IGNORE_INDEX, fixed_length, masked_sequence, pad_to
+from ..session import text_batches
+from .score import parts
 
 # ---------------------------------------------------------------------------
 # Fixed values of our corpus tokenizer (ours, not the reference's).
@@ -68,6 +70,14 @@ def _list_lengths(arr: pa.ListArray) -> np.ndarray:
     return pc.fill_null(pc.list_value_length(arr), 0).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
+def _list_bytes(arr: pa.ListArray) -> pa.Array:
+    """For each list about the bytes that its values take (8 more for each)."""
+    flat = arr.flatten()
+    width = pc.fill_null(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False) if pa.types.is_string(flat.type) else np.zeros(len(flat), np.int64)
+    ends, at = _offsets(width.astype(np.int64) + 8), _offsets(_list_lengths(arr))
+    return pa.array(ends[at[1:]] - ends[at[:-1]])
+
+
 def encode_lists(arr: pa.ListArray, tokens: pa.Array, ids: np.ndarray) -> pa.ListArray:
     """Ids of lists of tokens. A token outside the vocabulary is spelled: [UNK], then its code points
     from ``SPELL_BASE`` on, so nothing is lost."""
@@ -110,15 +120,17 @@ def encode_tokens(df: DataFrame, tokens_col: str, vocab: DataFrame, max_vocab: i
     """Token array -> id array in place (no shuffle of the corpus); tokens outside the vocabulary are spelled.
 
     The vocabulary (``max_vocab`` entries, a parameter) is shipped once per executor as a
-    broadcast variable; Arrow batches are mapped whole.
+    broadcast variable; Arrow batches are mapped in parts of bounded size.
     """
     table = df.sparkSession.sparkContext.broadcast(_vocab_arrays(vocab, max_vocab))
+    text_batches(df.sparkSession)
 
     @F.arrow_udf("array<int>")
     def _lookup(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokens, ids = table.value
         for arr in batches:
-            yield encode_lists(arr, tokens, ids)
+            for part in parts(arr, _list_bytes(arr)):
+                yield encode_lists(part, tokens, ids)
 
     return df.withColumn(out_col, _lookup(F.col(tokens_col)))
 
@@ -126,11 +138,13 @@ def encode_tokens(df: DataFrame, tokens_col: str, vocab: DataFrame, max_vocab: i
 def decode_ids(df: DataFrame, ids_col: str, vocab: DataFrame, max_vocab: int, out_col: str = "tokens", skip_special: bool = True) -> DataFrame:
     """Id array -> token array through the same vocabulary."""
     table = df.sparkSession.sparkContext.broadcast(_vocab_arrays(vocab, max_vocab)[0].to_pylist())
+    text_batches(df.sparkSession)
 
     @F.arrow_udf("array<string>")
     def _take(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for arr in batches:
-            yield decode_lists(arr, table.value, skip_special)
+            for part in parts(arr, _list_bytes(arr)):
+                yield decode_lists(part, table.value, skip_special)
 
     return df.withColumn(out_col, _take(F.col(ids_col)))
 

@@ -4,6 +4,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tagloom.operators import encode as EN
 from tagloom.operators import score as SC
 from tagloom.session import BATCH_ROWS
 
@@ -41,3 +42,21 @@ def test_tokenizer_returns_ids_in_parts(spark, plain_batches, monkeypatch):
     out = list(fn.func(iter([pa.array(["x" * 60, "y" * 60, None, "z" * 500, "w"])])))
     assert [len(a) for a in out] == [1, 2, 1, 1]
     assert pa.concat_arrays(out).to_pylist() == [[60] * 3, [60] * 3, None, [500] * 3, [1] * 3]
+
+
+def test_encoder_and_decoder_work_in_parts(spark, plain_batches, monkeypatch):
+    docs = spark.range(2 * BATCH_ROWS, numPartitions=1).select(
+        "id", F.when(F.col("id") % 11 == 0, F.lit(None)).otherwise(F.array(F.lit("a"), F.lit("bé"), F.concat(F.lit("x"), F.col("id").cast("string")))).alias("tokens"))
+    vocab = spark.createDataFrame([("a", 4, 9), ("bé", 5, 8)], "token string, id int, n long")
+    enc = EN.encode_tokens(docs, "tokens", vocab, 10)
+    assert int(spark.conf.get(ROWS_CONF)) <= BATCH_ROWS
+    rows = EN.decode_ids(enc, "input_ids", vocab, 10, "again").collect()
+    assert len(rows) == 2 * BATCH_ROWS and all(r.tokens == r.again for r in rows)
+    assert next(r for r in rows if r.id == 5).input_ids == [4, 5, 1, ord("x") + EN.SPELL_BASE, ord("5") + EN.SPELL_BASE]
+
+
+def test_sizes_of_lists():
+    lists = pa.array([["ab", "c"], None, [], ["def", None]])
+    assert EN._list_bytes(lists).to_pylist() == [19, 0, 0, 19]
+    assert EN._list_bytes(lists.slice(2)).to_pylist() == [0, 19]
+    assert EN._list_bytes(pa.array([[1, 2], [3]], pa.list_(pa.int32()))).to_pylist() == [16, 8]
