@@ -6,6 +6,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stored
+
+#: Vocabularies of at most this many labels carry a broadcast hint.
+HINTED_LABELS = 50_000
+
+
+def small_vocab(vocab: DataFrame) -> DataFrame:
+    """``vocab``, stored, with a broadcast hint if it has at most ``HINTED_LABELS`` rows: the rows that meet it then stay where they are.
+    Left to estimates, Spark may deal whole rows out by label, and a few labels are a few tasks."""
+    kept = stored(vocab, "vocab")
+    return F.broadcast(kept) if kept.limit(HINTED_LABELS + 1).count() <= HINTED_LABELS else kept
+
 
 def left_join_content(meta: DataFrame, web: DataFrame, left_key: str, right_key: str, skew_safe: bool = True) -> DataFrame:
     """pandas ``merge(how="left")``: null keys match null keys, repeated right keys fan out.
@@ -36,9 +48,9 @@ def encode_label_id(df: DataFrame, vocab: DataFrame, label_col: str, id_col: str
     """Label -> id through the vocabulary (``label``, ``id``).
 
     ``on_unknown``: "error" raises like a dict lookup would, "drop" removes
-    the row, "null" keeps it with a null id. A null label is unknown. Spark picks the join by size.
+    the row, "null" keeps it with a null id. A null label is unknown.
     """
-    v = vocab.select(F.col("label").alias("_lab"), F.col("id").alias(id_col))
+    v = small_vocab(vocab).select(F.col("label").alias("_lab"), F.col("id").alias(id_col))
     out = df.join(v, df[label_col] == F.col("_lab"), "left").drop("_lab")
     if on_unknown == "drop":
         return out.where(F.col(id_col).isNotNull())
@@ -50,7 +62,7 @@ def encode_label_id(df: DataFrame, vocab: DataFrame, label_col: str, id_col: str
 
 def decode_label_id(df: DataFrame, vocab: DataFrame, id_col: str, label_col: str = "label") -> DataFrame:
     """Id -> label; ids may arrive as int or as their decimal string (JSON map keys)."""
-    v = vocab.select(F.col("id").cast("int").alias("_id"), F.col("label").alias(label_col))
+    v = small_vocab(vocab).select(F.col("id").cast("int").alias("_id"), F.col("label").alias(label_col))
     return df.join(v, df[id_col].cast("int") == F.col("_id"), "left").drop("_id")
 
 
@@ -65,6 +77,7 @@ def pair_text_label(text: DataFrame, target: DataFrame, id_col: str = "row_id")
 
 
 __all__ = [
+    "small_vocab",
     "left_join_content",
     "merge_content",
     "encode_label_id",

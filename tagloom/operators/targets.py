@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .joins import small_vocab
+
 
 def sparse_targets(rows: DataFrame, vocab: DataFrame, id_col: str = "row_id", labels_col: str = "labels", out_col: str = "label_ids") -> DataFrame:
     """``id_col`` and ``out_col``: for every row the sorted ids of its labels, each once; labels outside ``vocab`` are left out, a row
@@ -12,7 +14,7 @@ def sparse_targets(rows: DataFrame, vocab: DataFrame, id_col: str = "row_id", la
 
     Labels meet the vocabulary in a join, one row per label of a cell, so neither the plan nor a row grows with the vocabulary."""
     each = rows.select(id_col, F.explode(F.array_distinct(labels_col)).alias("label"))
-    known = each.join(vocab.select("label", "id"), "label").groupBy(id_col).agg(F.sort_array(F.collect_list("id")).alias(out_col))
+    known = each.join(small_vocab(vocab.select("label", "id")), "label").groupBy(id_col).agg(F.sort_array(F.collect_list("id")).alias(out_col))
     return rows.select(id_col).join(known, id_col, "left").withColumn(out_col, F.coalesce(out_col, F.array().cast("array<int>")))
 
 

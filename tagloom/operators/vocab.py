@@ -1,5 +1,5 @@
 """Label vocabularies: distinct labels, dense ids by codepoint order, and the
-label-metadata record. Joins with a vocabulary are left to Spark's choice by size."""
+label-metadata record. Joins with a vocabulary: ``joins.small_vocab``."""
 
 from __future__ import annotations
 

@@ -48,3 +48,37 @@ def test_left_join_hot_right_key(spark):
     rows = out.collect()
     assert sum(1 for r in rows if r.lid == 0) == N // 3  # fan-out of the hot key kept whole
     assert len(rows) == N // 3 + 49  # other left rows: unmatched, kept once with nulls
+
+
+def test_labels_meet_their_vocabulary_without_moving_rows(spark):
+    """A few labels are no few tasks: whole rows are never dealt out by label, whatever Spark thinks of the vocabulary's size."""
+    from tagloom.operators import joins as J
+    from tagloom.operators import targets as TG
+    from tagloom.operators.vocab import dense_ids
+
+    df = _hot(spark).withColumn("label", F.when(F.col("k") == "hot", "hot").otherwise("other"))
+    vocab = dense_ids(df)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
+    try:
+        out = J.encode_label_id(df, vocab, "label", "y")
+        back = J.decode_label_id(out.drop("label"), vocab, "y")
+        cells = df.select("row_id", F.array("label").alias("labels"))
+        hot = TG.sparse_targets(cells, vocab)
+        for x in (out, back):
+            plan = x._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin" in plan and "hashpartitioning(label" not in plan and "hashpartitioning(y" not in plan
+        assert "hashpartitioning(label" not in hot._jdf.queryExecution().executedPlan().toString()
+        assert out.rdd.getNumPartitions() == 6
+        assert sorted((r.y, r.label, r["count"]) for r in back.groupBy("y", "label").count().collect()) == [(0, "hot", 1000), (1, "other", 2000)]
+        assert hot.where("label_ids = array(0)").count() == 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_gradients_come_from_few_tasks(spark):
+    from tagloom.session import gathered
+
+    cores = spark.sparkContext.defaultParallelism
+    assert gathered(spark.range(100, numPartitions=50 * cores)).rdd.getNumPartitions() == 2 * cores
+    assert gathered(spark.range(100, numPartitions=1)).rdd.getNumPartitions() == 1
