@@ -2,8 +2,8 @@
 
 A head is one label under one candidate (an L2 strength). Its loss is the mean binary cross-entropy over the
 training rows plus the candidate's penalty on weights of standardised features, the intercept left free: the objective of
-one logistic regression per label. Each step broadcasts the weights of all heads (features x heads), every task
-sums the losses and gradients of its rows over stored values only, sums meet per block of features, and the driver moves
+one logistic regression per label. Each step broadcasts the weights of the heads that still move (features x heads), every task
+sums the losses and gradients of its rows by products of matrices over slices of them, sums meet per block of features, and the driver moves
 each head by its own limited-memory quasi-Newton step and step length. A head stops when its gradient is
 small. Heads are taken in blocks so that weights never exceed ``WEIGHTS`` numbers, whatever the number of labels.
 
@@ -21,7 +21,7 @@ from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stored
+from ..session import gathered, stored
 from .train import feature_stages
 
 #: Numbers in the weights of the heads that are trained together.
@@ -52,13 +52,18 @@ def sparse_features(model, rows: DataFrame, text_col: str, ids_col: str) -> Data
     return feats.select(vec["indices"].alias("idx"), vec["values"].alias("val"), F.col("_y").cast("array<int>").alias("y"))
 
 
-def _parts(batches: Iterator[pa.RecordBatch], heads: int) -> Iterator[tuple]:
-    """(row numbers per value, feature, value, row numbers per label, label, rows) of slices whose products fit in ``CELLS``."""
+def _parts(batches: Iterator[pa.RecordBatch], heads: int, dense: int = 0) -> Iterator[tuple]:
+    """(row numbers per value, feature, value, row numbers per label, label, rows) of slices whose products fit in ``CELLS``, as do
+    (with ``dense`` features) their rows as a matrix."""
     for batch in batches:
         start = 0
         sizes = np.concatenate([[0], np.cumsum(batch.column(0).value_lengths().to_numpy(zero_copy_only=False) + 1)])
         while start < batch.num_rows:
-            end = max(start + 1, int(np.searchsorted(sizes, sizes[start] + max(1, CELLS // heads), side="right")) - 1)
+            most = max(1, CELLS // heads)
+            if dense:  # the matrices are rows x heads and rows x features in use: a row's values are never that many copies
+                end = min(start + max(1, CELLS // max(heads, dense)), batch.num_rows)
+            else:
+                end = max(start + 1, int(np.searchsorted(sizes, sizes[start] + most, side="right")) - 1)
             part = batch.slice(start, end - start)
             idx, val, y = part.column(0), part.column(1), part.column(2)
             n = part.num_rows
@@ -78,8 +83,20 @@ def _sum_by(keys: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
+def _matrix(row, idx, val, n: int, features: int) -> tuple[np.ndarray, np.ndarray]:
+    """The features in use and the rows as a matrix over them: sums over values become products of matrices."""
+    used = np.zeros(features, dtype=bool)
+    used[idx] = True
+    cols = np.flatnonzero(used)
+    place = np.cumsum(used) - 1
+    x = np.zeros((n, len(cols)))
+    x[row, place[idx]] = val  # a sparse vector holds each feature once
+    return cols, x
+
+
 def _margins(w: np.ndarray, row, idx, val, n: int) -> np.ndarray:
-    return _sum_by(row, w[idx] * val[:, None], n) + w[-1]
+    cols, x = _matrix(row, idx, val, n, len(w) - 1)
+    return x @ w[cols] + w[-1]
 
 
 def _blocks(table: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -109,15 +126,16 @@ def _losses(rows: DataFrame, w: np.ndarray, labels: np.ndarray) -> np.ndarray:
         weights, own = shared.value
         total = np.zeros((len(weights) + 1, weights.shape[1]))
         n_labels = int(own.max()) + 1
-        for row, idx, val, of, y, n in _parts(batches, weights.shape[1]):
-            z = _margins(weights, row, idx, val, n)
+        for row, idx, val, of, y, n in _parts(batches, weights.shape[1], len(weights) - 1):
+            cols, x = _matrix(row, idx, val, n, len(weights) - 1)
+            z = x @ weights[cols] + weights[-1]
             truth = np.zeros((n, n_labels))
             known = y < n_labels
             truth[of[known], y[known]] = 1
             truth = truth[:, own]
             total[-1] += (np.logaddexp(0, z) - truth * z).sum(axis=0)
             rest = 1 / (1 + np.exp(-np.clip(z, -700, 700))) - truth
-            total[:-2] += _sum_by(idx, rest[row] * val[:, None], len(weights) - 1)
+            total[cols] += x.T @ rest
             total[-2] += rest.sum(axis=0)
         yield from _blocks(total)
 
@@ -180,7 +198,9 @@ def _minimised(rows: DataFrame, scale: np.ndarray, penalty: np.ndarray, labels:
             break
         slope = (d * grad).sum(axis=0)
         trial = x + np.where(live, step, 0) * d
-        v, g = _objective(rows, trial, scale, penalty, labels, n)
+        at = np.flatnonzero(live)  # the others stay where they are
+        v, g = value.copy(), grad.copy()
+        v[at], g[:, at] = _objective(rows, trial[:, at], scale, penalty[at], labels[at], n)
         good = live & (v <= value + 1e-4 * step * slope + 1e-12)
         s, y = np.where(good, trial - x, 0), np.where(good, g - grad, 0)
         sy = (s * y).sum(axis=0)
@@ -197,6 +217,7 @@ def _minimised(rows: DataFrame, scale: np.ndarray, penalty: np.ndarray, labels:
 def fit_heads(rows: DataFrame, n_features: int, n_labels: int, regs: Sequence[float] = (0.01, 0.1), max_passes: int = 150,
               tol: float = 1e-5) -> Heads:
     """Heads for every label and candidate from ``rows`` (``sparse_features``; stored or cached, as each step reads them)."""
+    rows = gathered(rows)
     n, spread = feature_spread(rows, n_features)
     scale = np.where(spread > 0, 1 / np.where(spread > 0, spread, 1), 0)
     labels = np.tile(np.arange(n_labels), len(regs))
@@ -209,6 +230,7 @@ def fit_heads(rows: DataFrame, n_features: int, n_labels: int, regs: Sequence[fl
 
 def certificates(rows: DataFrame, heads: Heads, n_features: int) -> list[tuple[int, int, float, float]]:
     """(candidate, label, objective, gradient norm) of every fitted head, recomputed over ``rows``."""
+    rows = gathered(rows)
     n, spread = feature_spread(rows, n_features)
     scale = np.where(spread > 0, 1 / np.where(spread > 0, spread, 1), 0)
     out, at_once = [], max(1, WEIGHTS // (n_features + 1))
@@ -230,7 +252,7 @@ def _counts(rows: DataFrame, w: np.ndarray, t: float) -> np.ndarray:
     def run(batches):
         weights = shared.value
         total = np.zeros((n_labels + 1, 4))
-        for row, idx, val, of, y, n in _parts(batches, n_labels):
+        for row, idx, val, of, y, n in _parts(batches, n_labels, len(weights) - 1):
             z = _margins(weights, row, idx, val, n)
             truth = np.zeros((n, n_labels), dtype=bool)
             truth[of, y] = True

@@ -54,3 +54,25 @@ def test_blocks_of_heads_and_small_slices_change_nothing(spark, rows, monkeypatc
     monkeypatch.setattr(H, "CELLS", 50)
     parts = H.fit_heads(feats, 64, 5, (0.05,))
     assert np.abs(whole.weights - parts.weights).max() < 1e-4
+
+
+def test_passes_take_only_the_heads_that_still_move(spark, rows, monkeypatch):
+    model = Pipeline(stages=TR.feature_stages("text", 64)).fit(rows)
+    feats = H.sparse_features(model, rows, "text", "ids").cache()
+    seen = []
+    losses = H._losses
+    monkeypatch.setattr(H, "_losses", lambda r, w, labels: seen.append(w.shape[1]) or losses(r, w, labels))
+    heads = H.fit_heads(feats, 64, 6, (0.05, 5.0))
+    assert seen[0] == 12 and sorted(seen, reverse=True) == seen and seen[-1] < 12
+    monkeypatch.undo()
+    assert max(c[3] for c in H.certificates(feats, heads, 64)) < 1e-4
+
+
+def test_matrix_products_equal_sums_over_values():
+    rng = np.random.default_rng(3)
+    row = np.repeat(np.arange(5), [2, 0, 3, 1, 2])
+    idx = np.array([1, 7, 0, 3, 7, 2, 3, 9])
+    val, w = rng.normal(size=8), rng.normal(size=(11, 4))
+    cols, x = H._matrix(row, idx, val, 5, 10)
+    assert cols.tolist() == [0, 1, 2, 3, 7, 9] and x.shape == (5, 6)
+    assert np.allclose(H._margins(w, row, idx, val, 5), H._sum_by(row, w[idx] * val[:, None], 5) + w[-1])
