@@ -7,8 +7,8 @@ out as a broadcast variable, and batches are scored in numpy as sparse rows: gat
 matrix's columns by n-gram, then sum by document. Texts are handled whole, in pieces of
 ``PIECE`` characters that overlap, so memory is bounded for any length.
 
-The classifier is fitted on at most about ``max_rows_per_label`` rows of each label, picked by a
-hash of the id (a documented bound; the counts that set the rate cover all rows).
+The classifier is fitted on every labelled row. With ``max_rows_per_label`` it is fitted on at most about so many of each label,
+picked by a hash of id and text (the counts that set the rate cover all rows).
 
 The posterior is over the learned labels alone, so a text in no learned language gets one near 1 as well. What tells
 it apart is ``gram_logprob``, the mean log-probability of its n-grams under the predicted label: :func:`least_logprob`
@@ -125,15 +125,18 @@ def _train_counts(buckets: int):
     return run
 
 
-def fitting_rows(docs: DataFrame, max_rows_per_label: int = 4000, id_col: str = "doc_id", text_col: str = "text",
+def fitting_rows(docs: DataFrame, max_rows_per_label: int | None = None, id_col: str = "doc_id", text_col: str = "text",
                  lang_col: str = "lang") -> tuple[list[str], DataFrame | None]:
-    """The labels of ``docs``, and the rows (text, lang) that the classifier is fitted on (None without a label)."""
+    """The labels of ``docs``, and the rows (text, lang) that the classifier is fitted on (None without a label): all that have
+    both, or with ``max_rows_per_label`` about so many of each label."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(
         F.col("lang").isNotNull() & F.col("text").isNotNull())
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # one row per label
     labels = sorted(sizes)
     if not labels:
         return [], None
+    if max_rows_per_label is None:
+        return labels, rows.select("text", "lang")
     share = F.pmod(F.xxhash64("id", "text", F.lit("train")), F.lit(1 << 20))
     rate = F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(int(min(1.0, max_rows_per_label / n) * (1 << 20))))])
     return labels, rows.where(share < rate[F.col("lang")]).select("text", "lang")
@@ -143,6 +146,7 @@ def fit(labels: list[str], picked: DataFrame | None, buckets: int = 1 << 16) ->
     """(labels, log-probability matrix buckets x labels)."""
     if not labels:
         return [], np.zeros((buckets, 0), dtype=np.float32)
+    text_batches(picked.sparkSession)
     counted = (picked.mapInPandas(lambda batches: tidy(_train_counts(buckets)(batches)), "lang string, bucket int, n bigint")
                .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas())  # labels x buckets at most
     matrix = np.full((buckets, len(labels)), 0.5)
@@ -151,7 +155,7 @@ def fit(labels: list[str], picked: DataFrame | None, buckets: int = 1 << 16) ->
     return labels, np.log(matrix / matrix.sum(axis=0)).astype(np.float32)
 
 
-def train(docs: DataFrame, buckets: int = 1 << 16, max_rows_per_label: int = 4000, id_col: str = "doc_id",
+def train(docs: DataFrame, buckets: int = 1 << 16, max_rows_per_label: int | None = None, id_col: str = "doc_id",
           text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
     """(labels, log-probability matrix buckets x labels) from the labelled rows of ``docs``."""
     return fit(*fitting_rows(docs, max_rows_per_label, id_col, text_col, lang_col), buckets)

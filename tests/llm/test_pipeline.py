@@ -109,3 +109,23 @@ def test_run_leaves_only_its_result_behind(spark):
     mark = scratch_mark(spark)
     out = corpus_pipeline.run(spark, SF)
     assert scratch_mark(spark) == mark + 1 and out.count() > 0
+
+
+def test_language_stage_learns_from_every_labelled_row(spark):
+    """Far more rows of one label than any sample would hold: the n-grams of every one of them count."""
+    from tagloom.llm import language_id
+
+    docs = spark.range(9000).select(F.col("id").alias("doc_id"), F.concat(F.lit("plain words stand here "), F.conv(F.col("id").cast("string"), 10, 36)).alias("text"),
+                                    F.when(F.col("id") < 8900, "en").otherwise("de").alias("lang"))
+    labels, picked = language_id.fitting_rows(docs)
+    assert labels == ["de", "en"] and picked.count() == 9000
+    assert language_id.fitting_rows(docs, 4000)[1].count() < 9000
+    seen = []
+    fit = language_id.fit
+    docs = docs.withColumn("source", F.lit("s")).withColumn("n_chars", F.length("text"))
+    try:
+        language_id.fit = lambda labels, picked, *a: seen.append(picked.count()) or fit(labels, picked, *a)
+        corpus_pipeline.language_stage(spark, docs, SF)
+    finally:
+        language_id.fit = fit
+    assert seen == [docs.where(language_id.fold(F.col("doc_id")) != 0).count()]
